@@ -35,14 +35,13 @@ def _nothing(dtype: T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
 
-def _fraction_to_long(col: Column) -> Column:
-    """Truncate, saturate at the ends of the range, NaN becomes 0."""
-    value = col.cast("double")
+def _truncated(value: Column, low: int, high: int, sql_type: str) -> Column:
+    """A double without its fraction, held at the ends of the range; NaN becomes 0."""
     return (
-        F.when(F.isnan(value), F.lit(0).cast("bigint"))
-        .when(value >= float(2**63), F.lit(LONG_MAX).cast("bigint"))
-        .when(value <= float(LONG_MIN), F.lit(LONG_MIN).cast("bigint"))
-        .otherwise(value.cast("bigint"))
+        F.when(F.isnan(value), F.lit(0).cast(sql_type))
+        .when(value >= float(high), F.lit(high).cast(sql_type))
+        .when(value <= float(low), F.lit(low).cast(sql_type))
+        .otherwise(value.cast(sql_type))
     )
 
 
@@ -51,10 +50,6 @@ def _decimal_to_long(col: Column) -> Column:
     return F.coalesce(col.try_cast("bigint"), overflow)
 
 
-def _saturate_to_int(col: Column) -> Column:
-    return F.least(F.greatest(col, F.lit(INT_MIN)), F.lit(INT_MAX)).cast("int")
-
-
 def to_string(col: Column, dtype: T.DataType) -> Column:
     return col.cast("string")
 
@@ -66,9 +61,10 @@ def to_integer(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, _WHOLE):
         return col.cast("int")
     if isinstance(dtype, _FRACTION):
-        return _saturate_to_int(_fraction_to_long(col))
+        return _truncated(col.cast("double"), INT_MIN, INT_MAX, "int")
     if isinstance(dtype, T.DecimalType):
-        return _saturate_to_int(_decimal_to_long(col))
+        whole = _decimal_to_long(col)
+        return F.when(whole > INT_MAX, F.lit(INT_MAX)).when(whole < INT_MIN, F.lit(INT_MIN)).otherwise(whole.cast("int"))
     return _nothing(T.IntegerType())
 
 
@@ -76,7 +72,7 @@ def to_long(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, _WHOLE):
         return col.cast("bigint")
     if isinstance(dtype, _FRACTION):
-        return _fraction_to_long(col)
+        return _truncated(col.cast("double"), LONG_MIN, LONG_MAX, "bigint")
     if isinstance(dtype, T.DecimalType):
         return _decimal_to_long(col)
     return _nothing(T.LongType())

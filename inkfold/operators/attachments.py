@@ -16,12 +16,16 @@ from inkfold.sources.tables import UNID
 ATT_POS, NAME, CONTENT, ATTACHMENT = "att_pos", "name", "content", "attachment_name"
 
 
-def join_attachments(notes: DataFrame, attachments: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Each attachment with the columns of its note. Contents are shuffled only when the notes'
-    columns are too large to broadcast."""
+def _refuse_shared_columns(notes: DataFrame, attachments: DataFrame):
     shared = [c for c in attachments.columns if c != UNID and c in notes.columns]
     if shared:
         raise ValueError(f"notes and attachments share the columns {shared}")
+
+
+def join_attachments(notes: DataFrame, attachments: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Each attachment with the columns of its note. Contents are shuffled only when the notes'
+    columns are too large to broadcast."""
+    _refuse_shared_columns(notes, attachments)
     if fits_broadcast(notes, limit):
         return attachments.join(F.broadcast(notes), UNID)
     narrow = attachments.select(UNID, ATT_POS, NAME)
@@ -57,6 +61,7 @@ def named_attachment(
     """The attachment of exactly this name for every note. The query fails if a note has none."""
     if not name:
         raise ValueError("an attachment name must not be empty")
+    _refuse_shared_columns(notes, attachments)
     picked = attachments.where(F.col(NAME) == name).withColumn("__found", F.lit(True))
     keys = notes.select(UNID)
     if fits_broadcast(keys, limit):

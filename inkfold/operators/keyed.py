@@ -64,9 +64,10 @@ def profile_keys(side: DataFrame, key: str) -> KeyProfile:
 
 
 def fits_broadcast(side: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``side`` is proven small: rows are counted first, values only when rows are few."""
+    """Whether ``side`` is proven small. Of a wide side the rows are counted first, which reads next to
+    nothing, and the values measured only when the rows are few."""
     size = _value_bytes(side)
-    if size is None or side.count() > BROADCAST_ROWS:
+    if size is None or (len(side.columns) > 1 and side.count() > BROADCAST_ROWS):
         return False
     return (side.agg(F.sum(size)).first()[0] or 0) <= limit
 

@@ -1,9 +1,10 @@
-"""HTML fragments to text as a column job: five regular-expression passes and one entity pass."""
+"""HTML fragments to text as a column job: four regular-expression passes and one entity pass."""
 
 from __future__ import annotations
 
 import html.entities
 import json
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,66 +18,73 @@ BLOCK_TAGS = (
     "pre script section style svg table tbody td template tfoot th thead title tr ul video audio"
 ).split()
 
-# Rest of a tag after its name: quoted attribute values may hold '>'. The possessive quantifiers keep a
-# tag that is never closed from costing more than one pass over it.
-_TAG_REST = r"""(?:[\s/](?:[^'">]++|"[^"]*+"|'[^']*+')*+)?>"""
 
-# Comments, declarations and the contents of script and style go; their opening tags stay for the
-# block pass. What is never closed runs to the end of the text.
+def _one_of(names: list[str]) -> str:
+    """Alternatives grouped by first letter, so that most tags fail after a few comparisons."""
+    groups = groupby(sorted(names), key=lambda name: name[0])
+    return "|".join(f"{letter}(?:{'|'.join(name[1:] for name in group)})" for letter, group in groups)
+
+
+# Every pattern starts with the one character '<', which lets the matcher skip text quickly. Quoted attribute
+# values may hold '>'. The possessive quantifiers keep a tag that is never closed from costing more than one
+# pass over it.
+_ATTRIBUTES = r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
+_TAG_REST = rf"(?:[\s/]{_ATTRIBUTES})?>"
+
+# Comments, declarations and the contents of script and style go; the closing tags of the latter two stay
+# for the block pass. What is never closed runs to the end of the text.
 _HIDDEN = (
-    r"(?is)<!--.*?(?:-->|\z)|<[!?][^>]*+>"
-    rf"|(<script{_TAG_REST}).*?(?:</script\s*>|\z)"
-    rf"|(<style{_TAG_REST}).*?(?:</style\s*>|\z)"
+    r"(?is)<(?:!--.*?(?:-->|\z)|[!?][^>]*+>"
+    rf"|script{_TAG_REST}.*?(</script\s*>|\z)"
+    rf"|style{_TAG_REST}.*?(</style\s*>|\z))"
 )
-_BLOCK = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)}){_TAG_REST}"
-_INLINE = r"""</?[A-Za-z](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|</[^>]*+>"""
-_INVISIBLE = r"[\u200B\u00AD]"
+_BLOCK = rf"(?i)</?(?:{_one_of(BLOCK_TAGS)}){_TAG_REST}"
+_INLINE = rf"<(?:/?[A-Za-z]{_ATTRIBUTES}>|/[^>]*+>)"
+# Characters that take no room, the zero-width space and the soft hyphen.
+_INVISIBLE = ("\u200B", "\u00AD")
 _SPACES = r"[ \t\n\f\r\u00A0]+"
 
-# A character reference, split off at its ampersand: 1 = decimal, 2 = hexadecimal, 3 = name.
-_REFERENCE = r"\A&(?:#([0-9]{1,7});?|#[xX]([0-9A-Fa-f]{1,6});?|([A-Za-z][A-Za-z0-9]*;?))"
+# What follows the ampersand of a character reference: 1 = decimal, 2 = hexadecimal, 3 = name.
+_REFERENCE = r"\A(?:#([0-9]{1,7});?|#[xX]([0-9A-Fa-f]{1,6});?|([A-Za-z][A-Za-z0-9]*;?))"
 
 # Name to text, as JSON so that it folds into one map literal. Names without ';' are those that
-# HTML allows to leave it out.
-_NAMED = json.dumps(html.entities.html5)
+# HTML allows to leave it out. A lookup goes through them in order: common characters first.
+_NAMED = json.dumps(dict(sorted(html.entities.html5.items(), key=lambda item: (len(item[1]), item[1]))))
+
+# The references that text is full of, tried before the map.
+_FREQUENT = {"amp;": "&", "quot;": '"', "lt;": "<", "gt;": ">", "nbsp;": " "}
 
 
 def _code_point(number: Column) -> Column:
     """The character of a code point; U+FFFD for what is not one."""
     valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
     char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.when(valid, char).otherwise(F.lit("\ufffd"))
+    return F.when(valid, char).otherwise(F.lit("\uFFFD"))
 
 
-def _decode_reference(piece: Column) -> Column:
-    """Replace the character reference a piece starts with, if it is one."""
+def _decode_reference(rest: Column) -> Column:
+    """Text that began with an ampersand, with the character reference there decoded if it is one."""
     named = F.from_json(F.lit(_NAMED), "map<string,string>")
-    decimal = F.regexp_extract(piece, _REFERENCE, 1)
-    hexadecimal = F.regexp_extract(piece, _REFERENCE, 2)
+    decimal = F.regexp_extract(rest, _REFERENCE, 1)
+    hexadecimal = F.regexp_extract(rest, _REFERENCE, 2)
     char = (
         F.when(decimal != "", _code_point(decimal.try_cast("bigint")))
         .when(hexadecimal != "", _code_point(F.conv(hexadecimal, 16, 10).try_cast("bigint")))
-        .otherwise(F.try_element_at(named, F.regexp_extract(piece, _REFERENCE, 3)))
-    )
-    # The frequent ones come first and need no expression beyond a prefix test.
-    return (
-        F.when(~piece.startswith("&"), piece)
-        .when(piece.startswith("&amp;"), F.concat(F.lit("&"), F.substr(piece, F.lit(6))))
-        .when(piece.startswith("&quot;"), F.concat(F.lit('"'), F.substr(piece, F.lit(7))))
-        .when(piece.startswith("&lt;"), F.concat(F.lit("<"), F.substr(piece, F.lit(5))))
-        .when(piece.startswith("&gt;"), F.concat(F.lit(">"), F.substr(piece, F.lit(5))))
-        .when(piece.startswith("&nbsp;"), F.concat(F.lit(" "), F.substr(piece, F.lit(7))))
-        .otherwise(
-            F.coalesce(F.concat(char, F.regexp_replace(piece, _REFERENCE, "")), piece)
-        )
+        .otherwise(F.try_element_at(named, F.regexp_extract(rest, _REFERENCE, 3)))
     )
+    decoded = F.concat(char, F.regexp_replace(rest, _REFERENCE, ""))
+    result = F
+    for name, text in _FREQUENT.items():
+        result = result.when(rest.startswith(name), F.concat(F.lit(text), F.substr(rest, F.lit(len(name) + 1))))
+    return result.otherwise(F.coalesce(decoded, F.concat(F.lit("&"), rest)))
 
 
 def decode_entities(text: Column) -> Column:
     """Named and numeric character references as characters, each decoded once."""
-    pieces = F.split(text, "(?=&)")
-    decoded = F.array_join(F.transform(pieces, _decode_reference), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    # The text is named once here, else Spark would compute what it stands for again.
+    pieces = F.split(text, "&")
+    decoded = F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(_decode_reference(piece)))
+    return F.array_join(decoded, "")
 
 
 def html_text(fragment: Column) -> Column:
@@ -85,5 +93,6 @@ def html_text(fragment: Column) -> Column:
     text = F.regexp_replace(text, _BLOCK, " ")
     text = F.regexp_replace(text, _INLINE, "")
     text = decode_entities(text)
-    text = F.regexp_replace(text, _INVISIBLE, "")
+    for invisible in _INVISIBLE:
+        text = F.replace(text, F.lit(invisible), F.lit(""))
     return F.trim(F.regexp_replace(text, _SPACES, " "))

@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 EMAIL = "[A-Za-z0-9._]+@[A-Za-z0-9.]+"
 
 
+def address(text: str) -> Column:
+    """The first address in a text, '' when there is none."""
+    return F.when(F.contains(text, F.lit("@")), F.regexp_extract(text, EMAIL, 0)).otherwise("")
+
+
+def addresses(text: str) -> Column:
+    """All addresses in a text, mostly none."""
+    found = F.regexp_extract_all(text, F.lit(f"({EMAIL})"))
+    return F.when(F.contains(text, F.lit("@")), found).otherwise(F.array().cast("array<string>"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,7 +44,7 @@ def document_notes(spark, sf_dir) -> DataFrame:
         "lang",
         "n_chars",
         F.col("text").alias("body"),
-        F.regexp_extract_all("text", F.lit(f"({EMAIL})")).alias("contacts"),
+        addresses("text").alias("contacts"),
         F.split("text", "\n").alias("lines"),
     )
 

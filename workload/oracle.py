@@ -163,7 +163,7 @@ ORACLE = {
     "glob_match": """SELECT page_id, regexp_matches(lower(url), '^https:.*/[^/][^/]/[^/]*$') AS secure_language,
         regexp_matches(lower(url), '^[^/]*example[^/]*$') AS one_segment,
         regexp_matches(lower(url), '^.*\\.(com|net)/.*[?].*$') AS with_query FROM pages""",
-    "blank_filter": f"""SELECT doc_id, regexp_extract(text, '{EMAIL}') AS text FROM documents
+    "blank_filter": f"""SELECT doc_id, chr(9) || chr(31) || ' ' || regexp_extract(text, '{EMAIL}') || chr(10) AS text FROM documents
         WHERE regexp_matches(text, '{EMAIL}')""",
     "is_empty_string": f"""SELECT doc_id, regexp_extract(text, '{EMAIL}') = '' AS no_address,
         regexp_extract(text, '{EMAIL}') = '' AS null_address, false AS space, text <> '' AS has_text,

@@ -23,7 +23,7 @@ from inkfold.operators.metadata import metadata_columns
 from inkfold.plans.definition import DEFAULT
 from inkfold.sources.tables import open_table as open_notes
 from workload.notes import (
-    EMAIL,
+    address,
     customer_notes,
     document_notes,
     entries,
@@ -363,15 +363,14 @@ def glob_match(spark, d):
 
 
 def blank_filter(spark, d):
-    """Documents reduced to their addresses, or else to a control character."""
-    found = F.regexp_extract("text", EMAIL, 0)
-    notes = table(spark, d, "documents").withColumn("kept", F.when(found == "", F.lit("\t\x1f ")).otherwise(found))
-    return select_nonblank(notes, [F.col("doc_id")], F.col("kept"))
+    """Documents reduced to their first address among blanks, most of them to the blanks alone."""
+    documents = table(spark, d, "documents")
+    return select_nonblank(documents, [F.col("doc_id")], F.concat(F.lit("\t\x1f "), address("text"), F.lit("\n")))
 
 
 def is_empty_text(spark, d):
-    found = F.regexp_extract("text", EMAIL, 0)
-    notes = table(spark, d, "documents").select(
+    found = F.col("found")
+    return table(spark, d, "documents").withColumn("found", address("text")).select(
         "doc_id",
         is_empty_string(found).alias("no_address"),
         is_empty_string(F.when(found != "", found)).alias("null_address"),
@@ -379,7 +378,6 @@ def is_empty_text(spark, d):
         (~is_empty_string(F.col("text"))).alias("has_text"),
         not_blank(F.col("text")).alias("has_visible_text"),
     )
-    return notes
 
 
 def is_empty_values(spark, d):

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from inkfold.functions.text import decode_utf8, fields_text, not_blank
@@ -67,6 +68,55 @@ def _columns(names: Iterable[str]) -> list[Column]:
     return [F.col(f"`{name}`") for name in names]
 
 
+@dataclass(frozen=True)
+class Extract:
+    """Rows to turn into documents: their text, the bytes behind it, and their metadata."""
+
+    rows: DataFrame
+    text: Column
+    content: Column
+    metadata: list[Column]
+
+    def documents(self, keep: Iterable[str], parser: Parser | None = None) -> DataFrame:
+        """The columns to keep, the text and the metadata of every row that is not blank."""
+        if parser is None:
+            return select_nonblank(self.rows, _columns(keep), self.text, self.metadata)
+        text = parsed(self.content, parser).alias(TEXT)
+        return self.rows.select(*_columns(keep), text, *self.metadata).where(not_blank(F.col(TEXT)))
+
+    def observed(self, counter: Observation) -> Extract:
+        return replace(self, rows=self.rows.observe(counter, F.count(F.lit(1)).alias("rows")))
+
+
+def extract_fields(notes: DataFrame, definition: MetadataDefinition, fields: Iterable[str]) -> Extract:
+    text = fields_text(notes, fields)
+    return Extract(notes, text, text.cast("binary"), metadata_columns(notes, definition))
+
+
+def extract_attachments(
+    notes: DataFrame,
+    definition: MetadataDefinition,
+    attachments: DataFrame | str = "attachments",
+    pattern: str | None = None,
+    keep: Iterable[str] = (UNID,),
+    limit: int = BROADCAST_BYTES,
+) -> Extract:
+    """Attachments with matching names beside their note's columns.
+
+    ``attachments`` is a long table, or the name of an array column of the notes.
+    """
+    # Metadata is computed once per note, ahead of the attachments.
+    sides = [*_columns(keep), *metadata_columns(notes, definition)]
+    if isinstance(attachments, str):
+        rows = matching(unnest_attachments(notes.select(*sides, F.col(f"`{attachments}`")), attachments), pattern)
+    else:
+        long = attachments.select(UNID, ATT_POS, NAME, CONTENT)
+        rows = join_attachments(notes.select(*sides), matching(long, pattern), limit)
+    rows = rows.withColumnRenamed(NAME, ATTACHMENT)
+    metadata = _columns(PREFIX + field.name for field in definition)
+    return Extract(rows, decode_utf8(F.col(CONTENT)), F.col(CONTENT), metadata)
+
+
 def field_documents(
     notes: DataFrame,
     definition: MetadataDefinition,
@@ -75,12 +125,7 @@ def field_documents(
     parser: Parser | None = None,
 ) -> DataFrame:
     """One document per note with any text in the named fields. Narrow: no shuffle, also on a stream."""
-    text = fields_text(notes, fields)
-    extra = metadata_columns(notes, definition)
-    if parser is None:
-        return select_nonblank(notes, _columns(keep), text, extra)
-    rows = notes.select(*_columns(keep), parsed(text.cast("binary"), parser).alias(TEXT), *extra)
-    return rows.where(not_blank(F.col(TEXT)))
+    return extract_fields(notes, definition, fields).documents(keep, parser)
 
 
 def attachment_documents(
@@ -92,26 +137,9 @@ def attachment_documents(
     parser: Parser | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """One document per attachment whose name matches, with the metadata of its note.
-
-    ``attachments`` is a long table, or the name of an array column of the notes.
-    """
-    kept = list(keep)
-    # Metadata is computed once per note, ahead of the attachments.
-    metadata = metadata_columns(notes, definition)
-    if isinstance(attachments, str):
-        sides = notes.select(*_columns(kept), *metadata, F.col(f"`{attachments}`"))
-        rows = matching(unnest_attachments(sides, attachments), pattern)
-    else:
-        sides = notes.select(*_columns(kept), *metadata)
-        long = attachments.select(UNID, ATT_POS, NAME, CONTENT)
-        rows = join_attachments(sides, matching(long, pattern), limit)
-    head = [*_columns(kept), F.col(ATT_POS), F.col(NAME).alias(ATTACHMENT)]
-    tail = _columns(PREFIX + field.name for field in definition)
-    if parser is None:
-        return select_nonblank(rows, head, decode_utf8(F.col(CONTENT)), tail)
-    rows = rows.select(*head, parsed(F.col(CONTENT), parser).alias(TEXT), *tail)
-    return rows.where(not_blank(F.col(TEXT)))
+    """One document per attachment whose name matches, with the metadata of its note."""
+    found = extract_attachments(notes, definition, attachments, pattern, keep, limit)
+    return found.documents([*keep, ATT_POS, ATTACHMENT], parser)
 
 
 def field_source(

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +36,7 @@ class KeyProfile:
     top: tuple[tuple[object, int], ...]
 
 
-def _value_bytes(df: DataFrame):
+def _value_bytes(df: DataFrame) -> Column | None:
     """Bytes of the values of one row, or ``None`` when the columns do not bound them."""
     total = F.lit(8 * len(df.columns)).cast("bigint")
     for field in df.schema:
@@ -64,12 +64,27 @@ def profile_keys(side: DataFrame, key: str) -> KeyProfile:
 
 
 def fits_broadcast(side: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``side`` is proven small. Of a wide side the rows are counted first, which reads next to
-    nothing, and the values measured only when the rows are few."""
+    """Whether ``side`` is proven small. Its rows are counted first, which reads next to nothing, and its
+    values measured only when the rows are few."""
     size = _value_bytes(side)
-    if size is None or (len(side.columns) > 1 and side.count() > BROADCAST_ROWS):
+    if size is None or side.count() > BROADCAST_ROWS:
         return False
-    return (side.agg(F.sum(size)).first()[0] or 0) <= limit
+    return measured_bytes(side) <= limit
+
+
+def measured_bytes(side: DataFrame) -> int:
+    return side.agg(F.sum(_value_bytes(side))).first()[0] or 0
+
+
+def narrowed(side: DataFrame, key: str, other: KeyProfile) -> DataFrame:
+    """Rows of ``side`` that can match few known keys, as a condition that reaches its scan.
+
+    A file or row group without any of the keys is then not read at all.
+    """
+    if other.rows > HOT_KEYS:
+        return side
+    # So few rows are all in the sketch, exactly.
+    return side.where(F.col(f"`{key}`").isin([item for item, _ in other.top if item is not None]))
 
 
 def hot_salts(profile: KeyProfile, partitions: int) -> dict[object, int]:

@@ -10,6 +10,9 @@ from inkfold.plans.definition import MetadataDefinition
 
 PREFIX = "meta_"
 
+# Names of the zone in which a time reads the same as in UTC.
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 
 def metadata_columns(
     notes: DataFrame, definition: MetadataDefinition, missing_text: str | None = None
@@ -33,9 +36,10 @@ def metadata_columns(
     values = [compiled(field.expr) for field in definition]
     # Resolving the expressions tells their types; nothing runs.
     types = [field.dataType for field in notes.select(*values).schema]
+    utc = notes.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_NAMES
     columns = []
     for field, value, dtype in zip(definition, values, types):
-        column = typed_value(value, dtype, field.type)
+        column = typed_value(value, dtype, field.type, utc)
         if missing_text is not None and field.type == "string" and is_item(field.expr):
             column = F.coalesce(column, F.lit(missing_text))
         columns.append(column.alias(PREFIX + field.name))

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from inkfold.operators.attachments import ATT_POS
-from inkfold.operators.documents import Parser, attachment_documents, field_documents
+from inkfold.operators.attachments import ATT_POS, ATTACHMENT
+from inkfold.operators.documents import Parser, extract_attachments, extract_fields
 from inkfold.operators.keyed import BROADCAST_BYTES
-from inkfold.operators.lookup import append, fetch, fetch_entries
+from inkfold.operators.lookup import append, fetch
 from inkfold.plans.definition import MetadataDefinition
-from inkfold.sources.tables import BATCH, NOTE_ID, POS, UNID, open_path, open_table
+from inkfold.sources.tables import BATCH, NOTE_ID, POS, UNID, key_frame, open_path, open_table
 
 Keys = DataFrame | tuple
 
@@ -43,6 +45,7 @@ class DocumentReader:
     format: str = "parquet"
     session: SparkSession | None = None
     broadcast_bytes: int = BROADCAST_BYTES
+    counters: tuple[Observation, Observation] | None = None
 
     def __post_init__(self):
         if not isinstance(self.definition, MetadataDefinition):
@@ -71,6 +74,13 @@ class DocumentReader:
         """Carry columns of the notes along unchanged."""
         return replace(self, kept=(*self.kept, *columns))
 
+    def count_into(self, read: Observation, kept: Observation) -> DocumentReader:
+        """Count notes or attachments read and documents kept while the result is computed, as ``rows``.
+
+        The difference is the number of blank documents dropped.
+        """
+        return replace(self, counters=(read, kept))
+
     # Which notes to read
 
     def notes(self, *frames: DataFrame) -> DocumentReader:
@@ -105,17 +115,18 @@ class DocumentReader:
         notes = self._picked()
         keep = [c for c in (BATCH, POS, UNID) if c in notes.columns]
         keep += [c for c in self.kept if c not in keep]
-        if not self.with_attachments:
-            return field_documents(notes, self.definition, self.field_names, keep, self.document_parser)
-        return attachment_documents(
-            notes,
-            self.definition,
-            self.attachment_table,
-            self.file_pattern,
-            keep,
-            self.document_parser,
-            self.broadcast_bytes,
-        )
+        if self.with_attachments:
+            found = extract_attachments(
+                notes, self.definition, self.attachment_table, self.file_pattern, keep, self.broadcast_bytes
+            )
+            keep += [ATT_POS, ATTACHMENT]
+        else:
+            found = extract_fields(notes, self.definition, self.field_names)
+        if self.counters is None:
+            return found.documents(keep, self.document_parser)
+        read, kept = self.counters
+        documents = found.observed(read).documents(keep, self.document_parser)
+        return documents.observe(kept, F.count(F.lit(1)).alias("rows"))
 
     def load_ordered(self) -> DataFrame:
         """``load()`` in source order, at the price of a range shuffle of the result."""
@@ -126,19 +137,30 @@ class DocumentReader:
         if self.note_frames:
             return append(self.note_frames)
         if self.entry_frames:
-            limit = self.broadcast_bytes
-            # Entries know their table; only those without one need the reader's.
-            return append(
-                fetch_entries(self._notes_table() if of is None else of, entries, limit)
-                for entries, of in self.entry_frames
-            )
-        notes = self._notes_table()
+            return self._fetched(UNID, [frame for frame, _ in self.entry_frames], [of for _, of in self.entry_frames])
+        # Without entries to bring their table along, ids need the reader's.
+        self._notes_table()
         for key, lists in ((UNID, self.unid_keys), (NOTE_ID, self.note_id_keys)):
             given = [keys for keys in lists if isinstance(keys, DataFrame) or keys]
             if given:
-                return append(fetch(notes, keys, key, self.broadcast_bytes) for keys in given)
+                return self._fetched(key, given, [None] * len(given))
         raise ValueError("name the notes to read: notes, view entries, UNIDs or note ids")
 
+    def _fetched(self, key: str, lists: list[Keys], tables: list[DataFrame | None]) -> DataFrame:
+        """Notes of several key lists, numbered by list. Lists for the same table share one scan of it."""
+        by_table: dict[int, tuple[DataFrame, list[DataFrame]]] = {}
+        for number, (keys, table) in enumerate(zip(lists, tables)):
+            notes = self._notes_table() if table is None else table
+            frame = keys if isinstance(keys, DataFrame) else key_frame(notes.sparkSession, keys, key)
+            columns = [c for c in (POS, key) if c in frame.columns]
+            numbered = frame.select(*columns, F.lit(number).alias(BATCH))
+            by_table.setdefault(id(table), (notes, []))[1].append(numbered)
+        fetched = [
+            fetch(notes, reduce(DataFrame.unionByName, frames), key, self.broadcast_bytes)
+            for notes, frames in by_table.values()
+        ]
+        return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), fetched)
+
     def _notes_table(self) -> DataFrame:
         """The table named by handle, else by path."""
         if isinstance(self.table_handle, DataFrame):

@@ -9,13 +9,18 @@ os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from inkfold import build_session
 
     session = build_session(
         "tests",
         "local[8]",
-        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
+        {
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from inkfold import DEFAULT, EMPTY, BlankDocument, DocumentReader, attachment_source, load_documents
@@ -136,6 +137,22 @@ def test_parser_is_pluggable_for_attachments_and_fields(notes, files):
     assert blanks.count() == 0
 
 
+def test_parsers_get_the_bytes_as_they_are(spark):
+    files = spark.createDataFrame([("U0", 0, "a.bin", b"\xff\x00\xfe")], "unid STRING, att_pos INT, name STRING, content BINARY")
+    notes = spark.createDataFrame([("U0",)], "unid STRING")
+    made = reader(EMPTY).notes(notes).attachments(files).parser(lambda data: data.hex()).load()
+    assert made.first().text == "ff00fe"
+
+
+@pytest.mark.parametrize("parser", [None, lambda data: data.decode()])
+def test_blank_documents_are_counted(notes, files, parser):
+    for source, counts in ((reader(EMPTY).notes(notes).attachments(files), (7, 6)), (reader(EMPTY).notes(notes).fields("title"), (3, 3))):
+        read, kept = Observation(), Observation()
+        made = source.count_into(read, kept)
+        (made.parser(parser) if parser else made).load().collect()
+        assert (read.get["rows"], kept.get["rows"]) == counts
+
+
 def test_errors_of_a_parser_fail_the_query(notes):
     def bad(data):
         raise RuntimeError("cannot read this")

@@ -26,6 +26,8 @@ def is_empty_array(col: Column) -> Column:
 
 def first_value(col: Column, dtype: T.DataType) -> tuple[Column, T.DataType]:
     """The first element of a multi-value (NULL when it has none) and its type."""
+    if isinstance(dtype, T.StructType) and "vals" in dtype.names:
+        col, dtype = col["vals"], dtype["vals"].dataType
     if isinstance(dtype, T.ArrayType):
         return F.get(col, F.lit(0)), dtype.elementType
     return col, dtype

@@ -10,15 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.functions.names import matches_glob
-from inkfold.operators.keyed import (
-    BROADCAST_BYTES,
-    BROADCAST_ROWS,
-    HOT_KEYS,
-    measured_bytes,
-    narrowed,
-    profile_keys,
-    spread_join,
-)
+from inkfold.operators.keyed import BROADCAST_BYTES, fits, measured, narrowed, pinned, profile_keys, spread_join
 from inkfold.sources.tables import UNID
 
 ATT_POS, NAME, CONTENT, ATTACHMENT = "att_pos", "name", "content", "attachment_name"
@@ -34,9 +26,11 @@ def join_attachments(notes: DataFrame, attachments: DataFrame, limit: int = BROA
     """Each attachment with the columns of its note. Contents are shuffled only when the notes'
     columns are too large to broadcast."""
     _refuse_shared_columns(notes, attachments)
-    keys = profile_keys(notes.select(UNID), UNID)
-    attachments = narrowed(attachments, UNID, keys)
-    if keys.rows <= BROADCAST_ROWS and measured_bytes(notes) <= limit:
+    size = measured(notes)
+    few = pinned(notes, *size)
+    if few is not None:
+        return narrowed(attachments, UNID, few).join(F.broadcast(few), UNID)
+    if fits(size, limit):
         return attachments.join(F.broadcast(notes), UNID)
     narrow = attachments.select(UNID, ATT_POS, NAME)
     return spread_join(attachments, notes, UNID, [ATT_POS, NAME], profile_keys(narrow, UNID))
@@ -73,11 +67,13 @@ def named_attachment(
         raise ValueError("an attachment name must not be empty")
     _refuse_shared_columns(notes, attachments)
     picked = attachments.where(F.col(NAME) == name).withColumn("__found", F.lit(True))
-    keys = profile_keys(notes.select(UNID), UNID)
-    picked = narrowed(picked, UNID, keys)
-    if HOT_KEYS < keys.rows and keys.bytes <= limit:
+    few = pinned(notes, *measured(notes))
+    keys = notes.select(UNID)
+    if few is not None:
+        notes, picked = few, narrowed(picked, UNID, few)
+    elif fits(measured(keys), limit):
         # An outer join cannot broadcast the notes, but their keys leave little of the other side.
-        picked = picked.join(F.broadcast(notes.select(UNID)), UNID, "left_semi")
+        picked = picked.join(F.broadcast(keys), UNID, "left_semi")
     missing = F.raise_error(F.lit(f"attachment not found: {name}")).cast("boolean")
     joined = notes.join(picked, UNID, "left")
     return joined.where(F.col("__found") | missing).drop("__found")

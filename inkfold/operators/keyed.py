@@ -20,10 +20,15 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows beyond which a side is not even measured for broadcasting.
 BROADCAST_ROWS = 2_000_000
 
+UNBOUNDED = 2**63 - 1
+
 # The sketch tracks this many candidate keys and reports up to HOT_KEYS of them. A key it misses is
 # not lost, only not spread.
 HOT_KEYS, HOT_CANDIDATES = 256, 16384
 
+# Sides up to this size are fetched once, so that their keys can be part of the query.
+PINNED_ROWS, PINNED_BYTES = 256, 1024 * 1024
+
 _SALT, _SALTS = "__salt", "__salts"
 
 
@@ -58,33 +63,44 @@ def profile_keys(side: DataFrame, key: str) -> KeyProfile:
     unbounded = size is None and found["rows"] > 0
     return KeyProfile(
         found["rows"],
-        2**63 - 1 if unbounded else (found["bytes"] or 0),
+        UNBOUNDED if unbounded else (found["bytes"] or 0),
         tuple((item["item"], item["count"]) for item in found["top"] or ()),
     )
 
 
-def fits_broadcast(side: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``side`` is proven small. Its rows are counted first, which reads next to nothing, and its
-    values measured only when the rows are few."""
-    size = _value_bytes(side)
-    if size is None or side.count() > BROADCAST_ROWS:
-        return False
-    return measured_bytes(side) <= limit
+def measured(side: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a side. Rows are counted first, which reads next to nothing; values are measured
+    only when there are few rows, and count as unbounded otherwise."""
+    rows, size = side.count(), _value_bytes(side)
+    if size is None or rows > BROADCAST_ROWS:
+        return rows, UNBOUNDED
+    return rows, side.agg(F.sum(size)).first()[0] or 0
 
 
-def measured_bytes(side: DataFrame) -> int:
-    return side.agg(F.sum(_value_bytes(side))).first()[0] or 0
+def fits(size: tuple[int, int], limit: int) -> bool:
+    """Whether a measured side may be broadcast."""
+    rows, size_bytes = size
+    return rows <= BROADCAST_ROWS and size_bytes <= limit
 
 
-def narrowed(side: DataFrame, key: str, other: KeyProfile) -> DataFrame:
-    """Rows of ``side`` that can match few known keys, as a condition that reaches its scan.
+def pinned(side: DataFrame, rows: int, size: int) -> DataFrame | None:
+    """A side of few rows and bytes as a local relation; ``None`` for any other.
 
-    A file or row group without any of the keys is then not read at all.
+    The rows are then the same wherever the plan uses them, and Spark knows their exact size.
     """
-    if other.rows > HOT_KEYS:
-        return side
-    # So few rows are all in the sketch, exactly.
-    return side.where(F.col(f"`{key}`").isin([item for item, _ in other.top if item is not None]))
+    if rows > PINNED_ROWS or size > PINNED_BYTES:
+        return None
+    table = side.limit(PINNED_ROWS + 1).toArrow()
+    if table.num_rows > PINNED_ROWS:
+        return None
+    return side.sparkSession.createDataFrame(table, side.schema)
+
+
+def narrowed(side: DataFrame, key: str, few: DataFrame) -> DataFrame:
+    """Rows of ``side`` that can match a pinned one, as a condition that reaches the scan: a file or row group
+    without any of the keys is not read at all."""
+    values = {row[0] for row in few.select(key).collect()}
+    return side.where(F.col(f"`{key}`").isin(sorted(v for v in values if v is not None)))
 
 
 def hot_salts(profile: KeyProfile, partitions: int) -> dict[object, int]:

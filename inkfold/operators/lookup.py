@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.operators.keyed import BROADCAST_BYTES, fits_broadcast, narrowed, profile_keys, spread_join
+from inkfold.operators.keyed import BROADCAST_BYTES, fits, measured, narrowed, pinned, profile_keys, spread_join
 from inkfold.sources.tables import BATCH, NOTE_ID, POS, UNID, key_frame, open_path, open_table
 
 
@@ -23,11 +23,13 @@ def fetch(notes: DataFrame, keys: DataFrame | Iterable, key: str = UNID, limit:
     keys = keys.where(F.col(key).isNotNull())
     notes = notes.drop(*[c for c in keys.columns if c != key and c in notes.columns])
     profile = profile_keys(keys, key)
-    notes = narrowed(notes, key, profile)
+    few = pinned(keys, profile.rows, profile.bytes)
+    if few is not None:
+        return narrowed(notes, key, few).join(F.broadcast(few), key)
     if profile.bytes <= limit:
         # The notes, usually the large side, stay where they are.
         return notes.join(F.broadcast(keys), key)
-    if fits_broadcast(notes, limit):
+    if fits(measured(notes), limit):
         return keys.join(F.broadcast(notes), key)
     return spread_join(keys, notes, key, keys.columns, profile)
 

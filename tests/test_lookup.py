@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkfold import append, fetch, fetch_entries, lookup_note
-from inkfold.operators.keyed import KeyProfile, fits_broadcast, hot_salts, profile_keys, salted_join
+from inkfold.operators.keyed import KeyProfile, fits, hot_salts, measured, pinned, profile_keys, salted_join
 from inkfold.sources.tables import key_frame, open_table
 
 
@@ -67,8 +67,21 @@ def test_profile_and_broadcast_check(spark, notes):
     assert (profile.rows, profile.bytes) == (3, 3 + 3 * 16) and dict(profile.top) == {"a": 2, "b": 1}
     assert profile_keys(notes.where("false"), "unid") == KeyProfile(0, 0, ())
     assert hot_salts(KeyProfile(0, 0, ()), 8) == {}
-    assert fits_broadcast(notes, 10**6) and not fits_broadcast(notes, 100)
-    assert not fits_broadcast(notes.withColumn("tags", F.array("title")), 10**6)
+    assert measured(notes) == (40, sum(8 * 3 + len(f"U{n}") + len(f"title {n}") for n in range(40)))
+    assert fits(measured(notes), 10**6) and not fits(measured(notes), 100)
+    wide = notes.withColumn("tags", F.array("title"))
+    assert not fits(measured(wide), 10**6) and pinned(wide, *measured(wide)) is None
+
+
+def test_pinned_rows_are_those_of_the_side(spark, notes, plan_of):
+    side = spark.sql(
+        "SELECT 'U1' unid, 3 n, 1.5D d, timestamp'2024-01-01 10:00:00' t, timestamp_ntz'2024-01-01 10:00:00' z, "
+        "CAST(NULL AS STRING) s, date'2024-01-01' day, 7L l, X'00FF' b"
+    )
+    few = pinned(side, *measured(side))
+    assert few.schema == side.schema and few.collect() == side.collect() and "LocalTableScan" in plan_of(few, "simple")
+    assert pinned(notes, 257, 1) is None and pinned(notes, 1, 2**30) is None
+    assert pinned(spark.range(300), 10, 10) is None
 
 
 def test_entries(spark, notes):

@@ -112,9 +112,8 @@ def test_all_ways_to_attachments_agree(spark, limit):
     )
     notes = spark.createDataFrame([(f"U{i}", f"note {i}") for i in range(5)] + [("U0", "again")], "unid STRING, title STRING")
     definition = EMPTY.with_string("title")
-    expected = sorted(
-        (unid, pos, text, title) for unid, pos, _, text in rows for u, title in notes.collect() if u == unid
-    )
+    titles = notes.collect()
+    expected = sorted((unid, pos, text, title) for unid, pos, _, text in rows for u, title in titles if u == unid)
     found = DocumentReader(definition, broadcast_bytes=limit).notes(notes).attachments(long).load()
     assert sorted((r.unid, r.att_pos, r.text, r.meta_title) for r in found.collect()) == expected
     held = long.orderBy("att_pos").groupBy("unid").agg(F.array_sort(F.collect_list(F.struct("att_pos", "name", "content"))).alias("a"))

@@ -102,6 +102,33 @@ def page_notes(spark, sf_dir) -> DataFrame:
     return pages.select(unid("page_id"), "page_id", "url", F.struct(plain.alias("plain"), "html").alias("body"))
 
 
+def long_items(spark, sf_dir) -> DataFrame:
+    """Items of documents and pages one row each. A page belongs to the note of the same number."""
+
+    def item(pos, name, kind, vals=None, plain=None, html=None):
+        return F.struct(
+            F.lit(pos).alias("item_pos"),
+            F.lit(name).alias("name"),
+            F.lit(kind).alias("kind"),
+            (F.lit(None).cast("array<string>") if vals is None else vals).alias("vals"),
+            F.lit(None).cast("array<struct<kind:string,text:string>>").alias("runs"),
+            (F.lit(None).cast("string") if plain is None else plain).alias("plain"),
+            (F.lit(None).cast("string") if html is None else html).alias("html"),
+        )
+
+    documents = document_notes(spark, sf_dir)
+    texts = F.array(
+        item(0, "Source", "text", F.array("source")),
+        item(1, "Lang", "text", F.array("lang")),
+        item(2, "Body", "text", F.col("lines")),
+        # A second item of the name, which is not read.
+        item(3, "SOURCE", "text", F.array("lang")),
+    )
+    pages = page_notes(spark, sf_dir)
+    bodies = F.array(item(4, "Page", "mime", plain=F.col("body.plain"), html=F.col("body.html")))
+    return documents.select("unid", F.inline(texts)).unionByName(pages.select("unid", F.inline(bodies)))
+
+
 def page_attachments(spark, sf_dir) -> DataFrame:
     """The HTML source of each page as a file named after its URL, upper-cased for secure URLs."""
     pages = table(spark, sf_dir, "pages")

@@ -90,6 +90,10 @@ ORACLE = {
     "load_nested_attachments": f"""SELECT {_unid('page_id')} AS unid, 0 AS att_pos, {FILE} AS attachment_name,
           html AS text, url AS meta_url FROM pages WHERE {FILE} LIKE '%.%'
         UNION ALL SELECT {_unid('page_id')}, 1, 'link.url', url, url FROM pages""",
+    "load_long_items": f"""SELECT coalesce(d.unid, p.unid) AS unid,
+          concat_ws(chr(10), source, nullif(page, ''), nullif(replace(text, chr(10), ' '), '')) AS text, lang AS meta_lang
+        FROM ({DOCUMENTS}) d FULL JOIN (SELECT {_unid('page_id')} AS unid,
+          CASE WHEN {FILE} <> '' THEN {FILE} ELSE {_html('html')} END AS page FROM pages) p ON d.unid = p.unid""",
     "parser_udf": f"""SELECT {_unid('doc_id')} AS unid,
         translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS text, lang AS meta_lang FROM documents""",
     "parser_attachments": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, string_split(t.text, chr(10))[1] AS text

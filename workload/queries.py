@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from inkfold import EMPTY, DocumentReader, MetadataDefinition, append, based_on, fetch, fetch_entries, lookup_note
+from inkfold import EMPTY, DocumentReader, MetadataDefinition, append, based_on, fetch, fetch_entries, lookup_note, wide_notes
 from inkfold.functions.html import html_text
 from inkfold.functions.names import matches_glob
 from inkfold.functions.text import (
@@ -27,6 +27,7 @@ from workload.notes import (
     customer_notes,
     document_notes,
     entries,
+    long_items,
     note_id_keys,
     order_notes,
     page_attachments,
@@ -93,6 +94,12 @@ def load_nested_attachments(spark, d):
     return DocumentReader(EMPTY.with_string("url")).notes(notes).attachments().load().drop("batch")
 
 
+def load_long_items(spark, d):
+    """Notes whose items are rows of a table of their own."""
+    notes = wide_notes(long_items(spark, d), ["source", "lang", "body", "page"])
+    return DocumentReader(EMPTY.with_string("lang")).notes(notes).fields("Source", "Page", "Body").load().drop("batch")
+
+
 def parser_udf(spark, d):
     def shout(data: bytes) -> str:
         # Upper-cases ASCII letters and leaves all other bytes alone.
@@ -397,6 +404,7 @@ QUERIES = {
     "load_attachment_pattern": load_attachment_pattern,
     "load_entry_attachments": load_entry_attachments,
     "load_nested_attachments": load_nested_attachments,
+    "load_long_items": load_long_items,
     "parser_udf": parser_udf,
     "parser_attachments": parser_attachments,
     "open_table": open_table,

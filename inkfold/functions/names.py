@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the glob when none is given. It leaves out names without a dot.
 DEFAULT_GLOB = "*.*"
 
 _REGEX_SPECIALS = set(r"\.^$|?*+()[]{}-&~#")

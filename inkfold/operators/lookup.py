@@ -16,7 +16,8 @@ def fetch(notes: DataFrame, keys: DataFrame | Iterable, key: str = UNID, limit:
     """The note behind each key with the key's columns (``pos``). Repeats are kept, misses dropped.
 
     ``keys`` is a driver-side list or a DataFrame with ``key`` and any columns that tell its rows
-    apart. Rows come in no particular order; sort by ``pos`` where the order matters.
+    apart; these replace columns of the notes with the same name. Rows come in no particular order; sort by
+    ``pos`` where the order matters.
     """
     if not isinstance(keys, DataFrame):
         keys = key_frame(notes.sparkSession, keys, key)

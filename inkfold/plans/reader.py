@@ -129,9 +129,16 @@ class DocumentReader:
         return documents.observe(kept, F.count(F.lit(1)).alias("rows"))
 
     def load_ordered(self) -> DataFrame:
-        """``load()`` in source order, at the price of a range shuffle of the result."""
+        """``load()`` in source order, at the price of a range shuffle of the result.
+
+        Rows go by ``batch`` and ``pos``. Notes given without a ``pos`` have no order of their own and go by
+        ``unid``; ``batch`` alone would send everything to one task.
+        """
         documents = self.load()
-        return documents.orderBy(*[c for c in (BATCH, POS, ATT_POS) if c in documents.columns])
+        place = next((c for c in (POS, UNID) if c in documents.columns), None)
+        if place is None:
+            raise ValueError("notes need a pos or unid column to be put in order")
+        return documents.orderBy(*[c for c in (BATCH, place, ATT_POS) if c in documents.columns])
 
     def _picked(self) -> DataFrame:
         if self.note_frames:

@@ -72,6 +72,14 @@ def test_fields_of_one_and_many_notes(notes):
     assert many[0].meta_form == "Memo" and many[0].meta_created == "2024-01-01T00:00:00Z" and many[0].meta_size == 100
 
 
+def test_order_of_notes_with_and_without_a_position(spark, notes):
+    placed = notes.withColumn("pos", 10 - F.substring("unid", 2, 1).cast("int"))
+    made = reader(EMPTY).notes(placed).notes(placed.limit(1)).fields("title").load_ordered()
+    assert [(r.batch, r.pos, r.unid) for r in made.collect()] == [(0, 8, "U2"), (0, 9, "U1"), (0, 10, "U0"), (1, 10, "U0")]
+    with pytest.raises(ValueError):
+        reader(EMPTY).notes(spark.sql("SELECT 'x' AS title")).fields("title").load_ordered()
+
+
 def test_columns(notes, files):
     fields = reader(EMPTY.with_string("t", "title")).notes(notes).fields("content").keep("note_id").load()
     assert fields.columns == ["batch", "unid", "note_id", "text", "meta_t"]

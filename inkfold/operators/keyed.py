@@ -25,6 +25,8 @@ UNBOUNDED = 2**63 - 1
 # The sketch tracks this many candidate keys and reports up to HOT_KEYS of them. A key it misses is
 # not lost, only not spread.
 HOT_KEYS, HOT_CANDIDATES = 256, 16384
+# A key is hot when it has more rows than this many tasks would share evenly.
+HOT_SHARES = 2
 
 # Sides up to this size are fetched once, so that their keys can be part of the query.
 PINNED_ROWS, PINNED_BYTES = 256, 1024 * 1024
@@ -104,11 +106,15 @@ def narrowed(side: DataFrame, key: str, few: DataFrame) -> DataFrame:
 
 
 def hot_salts(profile: KeyProfile, partitions: int) -> dict[object, int]:
-    """Tasks to spread each hot key over, so that no task gets more than about an even share."""
-    if profile.rows == 0:
-        return {}
-    salts = {key: -(-count * partitions // profile.rows) for key, count in profile.top if key is not None}
-    return {key: n for key, n in salts.items() if n > 1}
+    """Tasks to spread each hot key over, so that none of them gets more than an even share.
+
+    Together these are at most ``partitions`` and one per hot key, which bounds the repeated notes.
+    """
+    return {
+        key: -(-count * partitions // profile.rows)
+        for key, count in profile.top
+        if key is not None and count * partitions > HOT_SHARES * profile.rows
+    }
 
 
 def _salt_frame(many: DataFrame, key: str, salts: dict[object, int]) -> DataFrame:

@@ -32,8 +32,9 @@ def join_attachments(notes: DataFrame, attachments: DataFrame, limit: int = BROA
         return narrowed(attachments, UNID, few).join(F.broadcast(few), UNID)
     if fits(size, limit):
         return attachments.join(F.broadcast(notes), UNID)
-    narrow = attachments.select(UNID, ATT_POS, NAME)
-    return spread_join(attachments, notes, UNID, [ATT_POS, NAME], profile_keys(narrow, UNID))
+    # A note can have very many attachments, and a key list can name one note very often.
+    profiles = [profile_keys(side.select(UNID), UNID) for side in (attachments, notes)]
+    return spread_join(attachments, notes, UNID, *profiles)
 
 
 def unnest_attachments(notes: DataFrame, column: str = "attachments") -> DataFrame:

@@ -7,7 +7,6 @@ byte limit. Past it both sides are shuffled, and the rows of hot keys are spread
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -31,7 +30,7 @@ HOT_SHARES = 2
 # Sides up to this size are fetched once, so that their keys can be part of the query.
 PINNED_ROWS, PINNED_BYTES = 256, 1024 * 1024
 
-_SALT, _SALTS = "__salt", "__salts"
+_PARTS = "__parts"
 
 
 @dataclass(frozen=True)
@@ -117,39 +116,68 @@ def hot_salts(profile: KeyProfile, partitions: int) -> dict[object, int]:
     }
 
 
-def _salt_frame(many: DataFrame, key: str, salts: dict[object, int]) -> DataFrame:
-    table = pa.table({key: pa.array(list(salts)), _SALTS: pa.array(list(salts.values()), pa.int32())})
-    frame = many.sparkSession.createDataFrame(table)
-    return frame.withColumn(key, F.col(f"`{key}`").cast(many.schema[key].dataType))
+def _salt_frame(side: DataFrame, key: str, salts: dict[object, int]) -> DataFrame:
+    """The hot keys and their number of parts, a frame of at most HOT_KEYS rows."""
+    table = pa.table({key: pa.array(list(salts)), _PARTS: pa.array(list(salts.values()), pa.int32())})
+    frame = side.sparkSession.createDataFrame(table)
+    return F.broadcast(frame.withColumn(key, F.col(f"`{key}`").cast(side.schema[key].dataType)))
+
+
+def _spread_columns(side: DataFrame) -> list[str]:
+    """Columns that tell the rows of a side apart. Contents are left out: hashing them costs and adds nothing."""
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
+    return [field.name for field in side.schema if not isinstance(field.dataType, nested)]
+
+
+def _in_one_part(side: DataFrame, key: str, hot: DataFrame, salt: str, spread_by: list[str]) -> DataFrame:
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in spread_by])
+    part = F.pmod(row_hash, F.coalesce(F.col(_PARTS), F.lit(1))).cast("int")
+    return side.join(hot, key, "left").withColumn(salt, part).drop(_PARTS)
+
+
+def _in_all_parts(side: DataFrame, key: str, hot: DataFrame, salt: str) -> DataFrame:
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
+    return side.join(hot, key, "left").withColumn(salt, parts).drop(_PARTS)
 
 
 def salted_join(
-    many: DataFrame, one: DataFrame, key: str, salts: dict[object, int], spread_by: Iterable[str]
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_salts: dict[object, int],
+    right_salts: dict[object, int] | None = None,
 ) -> DataFrame:
-    """Inner join in which the rows of hot keys of ``many`` are split by a hash of ``spread_by``.
+    """Inner join in which the rows of hot keys are split into parts by a hash of the row.
 
-    The few matching rows of ``one`` are repeated once per part. The hash depends on the row alone, so
-    a task that is run again after an executor is lost sends every row to the same part.
+    The matching rows of the other side are repeated once per part, so that every pair of rows meets exactly
+    once, also where both sides are hot. The hash depends on the row alone: a task that is run again after
+    an executor is lost sends every row to the same part.
     """
-    hot = F.broadcast(_salt_frame(many, key, salts))  # at most HOT_KEYS rows
-    salts_of_row = F.coalesce(F.col(_SALTS), F.lit(1))
-    left = many.join(hot, key, "left").withColumn(
-        _SALT, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread_by]), salts_of_row).cast("int")
-    )
-    right = one.join(hot, key, "left").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), salts_of_row - 1))
-    )
-    return left.drop(_SALTS).join(right.drop(_SALTS), [key, _SALT]).drop(_SALT)
-
-
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    on = [key]
+    spread_left, spread_right = _spread_columns(left), _spread_columns(right)
+    if left_salts:
+        hot = _salt_frame(left, key, left_salts)
+        left = _in_one_part(left, key, hot, "__left_part", spread_left)
+        right = _in_all_parts(right, key, hot, "__left_part")
+        on.append("__left_part")
+    if right_salts:
+        hot = _salt_frame(right, key, right_salts)
+        left = _in_all_parts(left, key, hot, "__right_part")
+        right = _in_one_part(right, key, hot, "__right_part", spread_right)
+        on.append("__right_part")
+    return left.join(right, on).drop(*on[1:])
 
 
 def spread_join(
-    many: DataFrame, one: DataFrame, key: str, spread_by: Iterable[str], profile: KeyProfile
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_profile: KeyProfile,
+    right_profile: KeyProfile | None = None,
 ) -> DataFrame:
-    """Shuffled inner join; salted only when ``many`` has hot keys, so that bucketed tables whose keys
-    are even still join without a shuffle."""
-    salts = hot_salts(profile, shuffle_partitions(many))
-    return salted_join(many, one, key, salts, spread_by) if salts else many.join(one, key)
+    """Shuffled inner join; salted only where a side has hot keys, so that bucketed tables whose keys are even
+    still join without a shuffle. A side without a profile has unique keys."""
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left_salts = hot_salts(left_profile, partitions)
+    right_salts = hot_salts(right_profile, partitions) if right_profile else {}
+    return salted_join(left, right, key, left_salts, right_salts)

@@ -32,7 +32,7 @@ def fetch(notes: DataFrame, keys: DataFrame | Iterable, key: str = UNID, limit:
         return notes.join(F.broadcast(keys), key)
     if fits(measured(notes), limit):
         return keys.join(F.broadcast(notes), key)
-    return spread_join(keys, notes, key, keys.columns, profile)
+    return spread_join(keys, notes, key, profile)
 
 
 def fetch_entries(notes: DataFrame, entries: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -47,7 +47,7 @@ def test_hot_keys_are_spread_over_tasks(spark, notes):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = salted_join(keys, notes, "unid", salts, ["pos"])
+        joined = salted_join(keys, notes, "unid", salts)
         per_task = joined.where("unid = 'U7'").groupBy(F.spark_partition_id()).count().collect()
         assert joined.count() == 9000
     finally:
@@ -58,10 +58,19 @@ def test_hot_keys_are_spread_over_tasks(spark, notes):
 
 def test_salted_integer_keys(spark, notes):
     keys = spark.range(1000).select(F.col("id").alias("pos"), F.lit(5).alias("note_id"))
-    found = salted_join(keys, notes, "note_id", {5: 4}, ["pos"])
+    found = salted_join(keys, notes, "note_id", {5: 4})
     assert found.count() == 1000 and dict(found.dtypes)["note_id"] == "int"
 
 
+def test_keys_hot_on_both_sides_meet_once(spark):
+    left = spark.range(60).select(F.when(F.col("id") < 40, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("unid"), F.col("id").alias("l"))
+    right = spark.range(50).select(F.when(F.col("id") < 30, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("unid"), F.col("id").alias("r"))
+    plain = sorted(left.join(right, "unid").select("unid", "l", "r").collect())
+    assert len(plain) == 40 * 30 + 10
+    for salts in (({"hot": 5}, {"hot": 3}), ({"hot": 5}, {}), ({}, {"hot": 3}), ({"k45": 2}, {"hot": 3, "k41": 2}), ({}, {})):
+        assert sorted(salted_join(left, right, "unid", *salts).select("unid", "l", "r").collect()) == plain
+
+
 def test_profile_and_broadcast_check(spark, notes):
     profile = profile_keys(spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'a'), (3L, 'b') AS t(pos, unid)"), "unid")
     assert (profile.rows, profile.bytes) == (3, 3 + 3 * 16) and dict(profile.top) == {"a": 2, "b": 1}

@@ -71,9 +71,9 @@ def test_many_keys_are_broadcast_only_within_the_limit(spark, tables, plan_of):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(fetch(notes, keys, limit=1000))
-        assert "BroadcastHashJoin" not in plan and "hashpartitioning(unid" in plan and "__salt" not in plan
+        assert "BroadcastHashJoin" not in plan and "hashpartitioning(unid" in plan and "__left_part" not in plan
         hot = keys.withColumn("unid", F.when(F.col("pos") % 3 == 0, F.lit("0" * 31 + "1")).otherwise(F.col("unid")))
-        assert "__salt" in plan_of(fetch(notes, hot, limit=1000))
+        assert "__left_part" in plan_of(fetch(notes, hot, limit=1000))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 

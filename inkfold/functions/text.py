@@ -14,6 +14,10 @@ from inkfold.functions.html import html_text
 TRIMMED = "".join(map(chr, range(0x21)))
 
 
+# The parts of an item that carries its kind.
+ITEM_PARTS = ("kind", "vals", "runs", "plain", "html")
+
+
 def not_blank(text: Column) -> Column:
     """Has a character other than control characters and spaces; NULL for NULL."""
     # Trimming stops at the first character kept; a regex would decode the whole text first.
@@ -40,13 +44,18 @@ def mime_text(plain: Column, html: Column) -> Column:
     return F.coalesce(F.nullif(plain, F.lit("")), html_text(html), F.lit(""))
 
 
-def tagged_item_text(item: Column) -> Column:
-    """Text of an item that says itself what it is in ``kind``; NULL for a missing item."""
-    return (
-        F.when(item["kind"] == "richtext", richtext_text(item["runs"]))
-        .when(item["kind"] == "mime", mime_text(item["plain"], item["html"]))
-        .when(item.isNotNull(), multivalue_text(item["vals"]))
-    )
+def tagged_item_text(item: Column, parts: Iterable[str] = ITEM_PARTS) -> Column:
+    """Text of an item that says itself what it is in ``kind``; NULL for a missing item.
+
+    ``parts`` are the fields the item has. A part it lacks is missing in all items.
+    """
+    part = {name: item[name] if name in parts else F.lit(None) for name in ITEM_PARTS}
+    text = F.when(item.isNull(), F.lit(None).cast("string"))
+    if "runs" in parts:
+        text = text.when(part["kind"] == "richtext", richtext_text(part["runs"]))
+    if "plain" in parts or "html" in parts:
+        text = text.when(part["kind"] == "mime", mime_text(part["plain"], part["html"]))
+    return text.otherwise(multivalue_text(part["vals"]))
 
 
 def item_text(item: Column, dtype: T.DataType) -> Column:
@@ -54,7 +63,7 @@ def item_text(item: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StructType):
         parts = {name.lower() for name in dtype.names}
         if {"kind", "vals"} <= parts:
-            return tagged_item_text(item)
+            return tagged_item_text(item, parts)
         if {"plain", "html"} <= parts:
             return F.when(item.isNotNull(), mime_text(item["plain"], item["html"]))
     if isinstance(dtype, T.ArrayType):

@@ -7,11 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkfold.functions.text import ITEM_PARTS
 from inkfold.sources.tables import UNID
 
-ITEM_PARTS = ("kind", "vals", "runs", "plain", "html")
-
-
 def wide_notes(items: DataFrame, names: Iterable[str], key: str = UNID) -> DataFrame:
     """One row per note with a column for each named item, from ``(unid, item_pos, name, kind, vals, ...)``.
 

@@ -13,7 +13,6 @@ from inkfold.functions.html import html_text
 # What trimming removes, the characters up to and including the space.
 TRIMMED = "".join(map(chr, range(0x21)))
 
-
 # The parts of an item that carries its kind.
 ITEM_PARTS = ("kind", "vals", "runs", "plain", "html")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from inkfold.plans.definition import MetadataDefinition
 
 PREFIX = "meta_"
 
+# A name alone, such as title or $revisions.
+ITEM_NAME = re.compile(r"(?!\d)[\w$]+")
+
 # Names of the zone in which a time reads the same as in UTC.
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
@@ -19,14 +24,14 @@ def metadata_columns(
 ) -> list[Column]:
     """One ``meta_<name>`` column per field; NULL stands for an absent key.
 
-    A field that just names a column no note has is missing everywhere. An expression that can fail on
-    a row must use Spark's ``try_*`` functions, which turn the failure into NULL. ``missing_text``
-    replaces NULL in string fields that just name a column.
+    A field that just names a column no note has is missing everywhere; functions are told apart by their
+    parentheses. An expression that can fail on a row must use Spark's ``try_*`` functions, which turn the
+    failure into NULL. ``missing_text`` replaces NULL in string fields that just name a column.
     """
     present = {name.lower() for name in notes.columns}
 
     def is_item(expr: str) -> bool:
-        return expr.isidentifier()
+        return expr.lower() in present or ITEM_NAME.fullmatch(expr) is not None
 
     def compiled(expr: str) -> Column:
         if is_item(expr):

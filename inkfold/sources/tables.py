@@ -16,7 +16,7 @@ def open_path(spark: SparkSession, path: str, base: str | None = None, format: s
     """The table stored at ``path``, below ``base`` (a file system or folder) when one is given."""
     if not path:
         raise ValueError("a path is needed to open a table")
-    return spark.read.format(format).load(f"{base.rstrip('/')}/{path.lstrip('/')}" if base else path)
+    return spark.read.format(format).load(f"{str(base).rstrip('/')}/{path.lstrip('/')}" if base else path)
 
 
 def open_table(

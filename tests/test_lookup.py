@@ -40,7 +40,8 @@ def test_skewed_keys_give_the_same_rows_on_every_path(spark, notes, limit):
 
 
 def test_hot_keys_are_spread_over_tasks(spark, notes):
-    keys = spark.range(9000).select(F.col("id").alias("pos"), F.when(F.col("id") % 3 == 0, "U7").otherwise(F.concat(F.lit("U"), F.col("id") % 40)).alias("unid"))
+    unid = F.when(F.col("id") % 3 == 0, "U7").otherwise(F.concat(F.lit("U"), F.col("id") % 40))
+    keys = spark.range(9000).select(F.col("id").alias("pos"), unid.alias("unid"))
     salts = hot_salts(profile_keys(keys, "unid"), 16)
     assert salts["U7"] >= 5 and all(n > 1 for n in salts.values())
     before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -63,8 +64,11 @@ def test_salted_integer_keys(spark, notes):
 
 
 def test_keys_hot_on_both_sides_meet_once(spark):
-    left = spark.range(60).select(F.when(F.col("id") < 40, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("unid"), F.col("id").alias("l"))
-    right = spark.range(50).select(F.when(F.col("id") < 30, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("unid"), F.col("id").alias("r"))
+    def side(rows, hot, name):
+        unid = F.when(F.col("id") < hot, "hot").otherwise(F.concat(F.lit("k"), F.col("id")))
+        return spark.range(rows).select(unid.alias("unid"), F.col("id").alias(name))
+
+    left, right = side(60, 40, "l"), side(50, 30, "r")
     plain = sorted(left.join(right, "unid").select("unid", "l", "r").collect())
     assert len(plain) == 40 * 30 + 10
     for salts in (({"hot": 5}, {"hot": 3}), ({"hot": 5}, {}), ({}, {"hot": 3}), ({"k45": 2}, {"hot": 3, "k41": 2}), ({}, {})):
@@ -94,7 +98,8 @@ def test_pinned_rows_are_those_of_the_side(spark, notes, plan_of):
 
 
 def test_entries(spark, notes):
-    entries = spark.createDataFrame([(3, "U1", "x"), (1, "U9", "y"), (2, "none", "z"), (7, "U1", "w")], "pos BIGINT, unid STRING, title STRING")
+    rows = [(3, "U1", "x"), (1, "U9", "y"), (2, "none", "z"), (7, "U1", "w")]
+    entries = spark.createDataFrame(rows, "pos BIGINT, unid STRING, title STRING")
     found = fetch_entries(notes, entries).orderBy("pos").select("pos", "unid", "title").collect()
     assert [tuple(r) for r in found] == [(1, "U9", "title 9"), (3, "U1", "title 1"), (7, "U1", "title 1")]
 

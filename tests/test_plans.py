@@ -16,7 +16,8 @@ def tables(spark, tmp_path_factory):
     """Notes and attachments as parquet tables sorted by UNID."""
     base = tmp_path_factory.mktemp("tables")
     ids = spark.range(2000).select(F.lpad(F.hex("id"), 32, "0").alias("unid"), F.col("id").cast("int").alias("note_id"))
-    notes = ids.select("*", F.concat(F.lit("title "), "note_id").alias("title"), F.lit("<p>x</p>").alias("html"), F.array("unid").alias("tags"))
+    title, html = F.concat(F.lit("title "), "note_id").alias("title"), F.lit("<p>x</p>").alias("html")
+    notes = ids.select("*", title, html, F.array("unid").alias("tags"))
     notes.repartitionByRange(4, "unid").write.parquet(f"{base}/notes")
     files = ids.select("unid", F.lit(0).alias("att_pos"), F.lit("a.txt").alias("name"), F.lit(b"text").alias("content"))
     files.write.parquet(f"{base}/files")
@@ -107,7 +108,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tables, plan_of):
     try:
         for frame, name in zip(tables, ("bucketed_notes", "bucketed_files")):
             frame.write.bucketBy(8, "unid").sortBy("unid").saveAsTable(name)
-        made = DocumentReader(EMPTY.with_string("title"), broadcast_bytes=0).table("bucketed_notes").notes(spark.table("bucketed_notes"))
+        made = DocumentReader(EMPTY.with_string("title"), broadcast_bytes=0).notes(spark.table("bucketed_notes"))
         documents = made.attachments(spark.table("bucketed_files")).load()
         assert "Exchange" not in plan_of(documents) and documents.count() == 2000
     finally:

@@ -124,8 +124,9 @@ def test_all_ways_to_attachments_agree(spark, limit):
     expected = sorted((unid, pos, text, title) for unid, pos, _, text in rows for u, title in titles if u == unid)
     found = DocumentReader(definition, broadcast_bytes=limit).notes(notes).attachments(long).load()
     assert sorted((r.unid, r.att_pos, r.text, r.meta_title) for r in found.collect()) == expected
-    held = long.orderBy("att_pos").groupBy("unid").agg(F.array_sort(F.collect_list(F.struct("att_pos", "name", "content"))).alias("a"))
-    arrays = notes.join(held, "unid").withColumn("attachments", F.transform("a", lambda a: F.struct(a["name"].alias("name"), a["content"].alias("content"))))
+    held = long.groupBy("unid").agg(F.array_sort(F.collect_list(F.struct("att_pos", "name", "content"))).alias("a"))
+    files = F.transform("a", lambda a: F.struct(a["name"].alias("name"), a["content"].alias("content")))
+    arrays = notes.join(held, "unid").withColumn("attachments", files)
     nested = DocumentReader(definition).notes(arrays).attachments().load()
     assert sorted((r.unid, r.text, r.meta_title) for r in nested.collect()) == sorted((u, x, t) for u, _, x, t in expected)
 
@@ -145,7 +146,8 @@ def test_parser_is_pluggable_for_attachments_and_fields(notes, files):
 
 
 def test_parsers_get_the_bytes_as_they_are(spark):
-    files = spark.createDataFrame([("U0", 0, "a.bin", b"\xff\x00\xfe")], "unid STRING, att_pos INT, name STRING, content BINARY")
+    columns = "unid STRING, att_pos INT, name STRING, content BINARY"
+    files = spark.createDataFrame([("U0", 0, "a.bin", b"\xff\x00\xfe")], columns)
     notes = spark.createDataFrame([("U0",)], "unid STRING")
     made = reader(EMPTY).notes(notes).attachments(files).parser(lambda data: data.hex()).load()
     assert made.first().text == "ff00fe"
@@ -153,7 +155,8 @@ def test_parsers_get_the_bytes_as_they_are(spark):
 
 @pytest.mark.parametrize("parser", [None, lambda data: data.decode()])
 def test_blank_documents_are_counted(notes, files, parser):
-    for source, counts in ((reader(EMPTY).notes(notes).attachments(files), (7, 6)), (reader(EMPTY).notes(notes).fields("title"), (3, 3))):
+    base = reader(EMPTY).notes(notes)
+    for source, counts in ((base.attachments(files), (7, 6)), (base.fields("title"), (3, 3))):
         read, kept = Observation(), Observation()
         made = source.count_into(read, kept)
         (made.parser(parser) if parser else made).load().collect()

@@ -140,6 +140,12 @@ def test_missing_item_is_absent_or_the_given_text(spark):
     assert tuple(metadata(frame, definition, missing_text="").first()) == ("x", "", "", None)
 
 
+def test_items_with_unusual_names(spark):
+    frame = spark.sql("SELECT 'a' AS `$Title`, 'b' AS `two words`, 3 AS `4th`")
+    definition = EMPTY.with_string("$title").with_string("two words").with_integer("4th").with_string("$none").with_long("7")
+    assert tuple(metadata(frame, definition).first()) == ("a", "b", 3, None, 7)
+
+
 def test_failing_expressions_leave_the_document_alone(spark):
     frame = spark.sql("SELECT * FROM VALUES ('7', 0), ('x', 2) AS t(s, n)")
     definition = EMPTY.with_integer("number", "try_cast(s AS INT)").with_double("share", "try_divide(1, n)")

@@ -99,6 +99,11 @@ ORACLE = {
     "parser_attachments": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, string_split(t.text, chr(10))[1] AS text
         FROM ({TURN}) t JOIN ({DOCUMENTS}) d ON t.unid = d.unid
         WHERE regexp_matches(string_split(t.text, chr(10))[1], '[^\\x00-\\x20]')""",
+    "field_source": f"""SELECT array_to_string(regexp_extract_all(text, '{EMAIL}'), ' ') AS text,
+        {_unid('doc_id')} AS meta_unid, lang AS meta_lang FROM documents""",
+    "attachment_source": f"""SELECT text AS content, {_unid('conv_id')} AS meta_unid,
+        CAST((SELECT count(*) FROM conversations n WHERE n.conv_id = c.conv_id) AS INTEGER) AS meta_turns
+        FROM conversations c WHERE turn = 0""",
     "open_table": "SELECT * FROM orders",
     "fetch_by_unid": f"""SELECT k.pos, k.unid, source, lang, n_chars
         FROM ({UNID_KEYS}) k JOIN ({DOCUMENTS}) d ON k.unid = d.unid""",
@@ -167,7 +172,8 @@ ORACLE = {
     "glob_match": """SELECT page_id, regexp_matches(lower(url), '^https:.*/[^/][^/]/[^/]*$') AS secure_language,
         regexp_matches(lower(url), '^[^/]*example[^/]*$') AS one_segment,
         regexp_matches(lower(url), '^.*\\.(com|net)/.*[?].*$') AS with_query FROM pages""",
-    "blank_filter": f"""SELECT doc_id, chr(9) || chr(31) || ' ' || regexp_extract(text, '{EMAIL}') || chr(10) AS text FROM documents
+    "blank_filter": f"""SELECT doc_id, chr(9) || chr(31) || ' ' || regexp_extract(text, '{EMAIL}') || chr(10) AS text
+        FROM documents
         WHERE regexp_matches(text, '{EMAIL}')""",
     "is_empty_string": f"""SELECT doc_id, regexp_extract(text, '{EMAIL}') = '' AS no_address,
         regexp_extract(text, '{EMAIL}') = '' AS null_address, false AS space, text <> '' AS has_text,

@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from inkfold import EMPTY, DocumentReader, MetadataDefinition, append, based_on, fetch, fetch_entries, lookup_note, wide_notes
+from inkfold import (
+    DEFAULT,
+    EMPTY,
+    DocumentReader,
+    MetadataDefinition,
+    append,
+    attachment_source,
+    based_on,
+    fetch,
+    fetch_entries,
+    field_source,
+    lookup_note,
+    wide_notes,
+)
 from inkfold.functions.html import html_text
 from inkfold.functions.names import matches_glob
 from inkfold.functions.text import (
@@ -20,7 +33,6 @@ from inkfold.functions.values import is_empty_array, is_empty_string
 from inkfold.operators.attachments import list_attachments, matching, named_attachment, unnest_attachments
 from inkfold.operators.documents import select_nonblank
 from inkfold.operators.metadata import metadata_columns
-from inkfold.plans.definition import DEFAULT
 from inkfold.sources.tables import open_table as open_notes
 from workload.notes import (
     address,
@@ -82,7 +94,8 @@ def load_entry_attachments(spark, d):
     reader = DocumentReader(EMPTY.with_string("owner", "c_name")).table(notes)
     documents = reader.entries(entries(spark, d)).attachments(files).load()
     # The text repeats for every entry of a note; its length tells as much.
-    return documents.select("pos", "unid", "att_pos", "attachment_name", F.length("text").cast("bigint").alias("n_text"), "meta_owner")
+    n_text = F.length("text").cast("bigint").alias("n_text")
+    return documents.select("pos", "unid", "att_pos", "attachment_name", n_text, "meta_owner")
 
 
 def load_nested_attachments(spark, d):
@@ -117,6 +130,20 @@ def parser_attachments(spark, d):
     return DocumentReader(EMPTY).notes(notes).attachments(files).parser(first_line).load().drop("batch")
 
 
+def text_of_notes(spark, d):
+    """Text and metadata of every note, blank texts included."""
+    return field_source(document_notes(spark, d), ["contacts"], EMPTY.with_string("unid").with_string("lang"))
+
+
+def attachment_of_notes(spark, d):
+    """The bytes of one attachment of every note beside the note's metadata."""
+    notes = table(spark, d, "conversations").groupBy(unid("conv_id")).agg(F.count(F.lit(1)).alias("turns"))
+    files = turn_attachments(spark, d).withColumn("name", F.format_string("turn%d.txt", "att_pos"))
+    definition = EMPTY.with_string("unid").with_integer("turns")
+    found = attachment_source(notes, files, "turn0.txt", definition)
+    return found.withColumn("content", F.decode("content", "UTF-8"))
+
+
 # Sources
 
 
@@ -407,6 +434,8 @@ QUERIES = {
     "load_long_items": load_long_items,
     "parser_udf": parser_udf,
     "parser_attachments": parser_attachments,
+    "field_source": text_of_notes,
+    "attachment_source": attachment_of_notes,
     "open_table": open_table,
     "fetch_by_unid": fetch_by_unid,
     "fetch_by_noteid": fetch_by_noteid,

@@ -1,13 +1,13 @@
 """Inner joins on a note key that hold up at any size and under any skew.
 
-Two sizes are known before the join is planned, from one pass over the narrow key columns: how many rows
-and bytes the side to broadcast has, and which keys are hot. A side is broadcast only within a fixed
-byte limit. Past it both sides are shuffled, and the rows of hot keys are spread over several tasks.
+A side is broadcast only when its rows and bytes have been measured to be within a fixed limit. Past it both
+sides are shuffled; one pass over the key columns finds hot keys, whose rows are spread over several tasks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,52 +30,24 @@ HOT_SHARES = 2
 # Sides up to this size are fetched once, so that their keys can be part of the query.
 PINNED_ROWS, PINNED_BYTES = 256, 1024 * 1024
 
-_PARTS = "__parts"
-
-
-@dataclass(frozen=True)
-class KeyProfile:
-    """Size of a keyed side and its most frequent keys with their row counts."""
-
-    rows: int
-    bytes: int
-    top: tuple[tuple[object, int], ...]
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+_VARYING = (T.StringType, T.BinaryType)
 
-
-def _value_bytes(df: DataFrame) -> Column | None:
-    """Bytes of the values of one row, or ``None`` when the columns do not bound them."""
-    total = F.lit(8 * len(df.columns)).cast("bigint")
-    for field in df.schema:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            total = total + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            return None
-    return total
-
-
-def profile_keys(side: DataFrame, key: str) -> KeyProfile:
-    """Rows, bytes and frequent keys in a single aggregation without a shuffle of the rows."""
-    size = _value_bytes(side)
-    found = side.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(size if size is not None else F.lit(0)).alias("bytes"),
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_CANDIDATES})").alias("top"),
-    ).first()
-    unbounded = size is None and found["rows"] > 0
-    return KeyProfile(
-        found["rows"],
-        UNBOUNDED if unbounded else (found["bytes"] or 0),
-        tuple((item["item"], item["count"]) for item in found["top"] or ()),
-    )
+_PARTS = "__parts"
 
 
 def measured(side: DataFrame) -> tuple[int, int]:
     """Rows and bytes of a side. Rows are counted first, which reads next to nothing; values are measured
-    only when there are few rows, and count as unbounded otherwise."""
-    rows, size = side.count(), _value_bytes(side)
-    if size is None or rows > BROADCAST_ROWS:
+    only when there are few rows, and count as unbounded otherwise or where their type does not bound them."""
+    rows = side.count()
+    types = [field.dataType for field in side.schema]
+    if rows > BROADCAST_ROWS or any(isinstance(dtype, _NESTED) for dtype in types):
         return rows, UNBOUNDED
-    return rows, side.agg(F.sum(size)).first()[0] or 0
+    varying = [F.octet_length(side[f"`{f.name}`"]) for f in side.schema if isinstance(f.dataType, _VARYING)]
+    if rows and varying:
+        lengths = reduce(Column.__add__, [F.coalesce(length, F.lit(0)).cast("bigint") for length in varying])
+        return rows, rows * 8 * len(types) + (side.agg(F.sum(lengths)).first()[0] or 0)
+    return rows, rows * 8 * len(types)
 
 
 def fits(size: tuple[int, int], limit: int) -> bool:
@@ -104,6 +76,23 @@ def narrowed(side: DataFrame, key: str, few: DataFrame) -> DataFrame:
     return side.where(F.col(f"`{key}`").isin(sorted(v for v in values if v is not None)))
 
 
+@dataclass(frozen=True)
+class KeyProfile:
+    """Rows of a side and its most frequent keys with their row counts."""
+
+    rows: int
+    top: tuple[tuple[object, int], ...]
+
+
+def profile_keys(side: DataFrame, key: str) -> KeyProfile:
+    """Rows and frequent keys in a single aggregation over the key column, without a shuffle of the rows."""
+    found = side.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_CANDIDATES})").alias("top"),
+    ).first()
+    return KeyProfile(found["rows"], tuple((item["item"], item["count"]) for item in found["top"] or ()))
+
+
 def hot_salts(profile: KeyProfile, partitions: int) -> dict[object, int]:
     """Tasks to spread each hot key over, so that none of them gets more than an even share.
 
@@ -125,8 +114,7 @@ def _salt_frame(side: DataFrame, key: str, salts: dict[object, int]) -> DataFram
 
 def _spread_columns(side: DataFrame) -> list[str]:
     """Columns that tell the rows of a side apart. Contents are left out: hashing them costs and adds nothing."""
-    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
-    return [field.name for field in side.schema if not isinstance(field.dataType, nested)]
+    return [f.name for f in side.schema if not isinstance(f.dataType, (*_NESTED, T.BinaryType))]
 
 
 def _in_one_part(side: DataFrame, key: str, hot: DataFrame, salt: str, spread_by: list[str]) -> DataFrame:

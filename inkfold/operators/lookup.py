@@ -23,16 +23,16 @@ def fetch(notes: DataFrame, keys: DataFrame | Iterable, key: str = UNID, limit:
         keys = key_frame(notes.sparkSession, keys, key)
     keys = keys.where(F.col(key).isNotNull())
     notes = notes.drop(*[c for c in keys.columns if c != key and c in notes.columns])
-    profile = profile_keys(keys, key)
-    few = pinned(keys, profile.rows, profile.bytes)
+    size = measured(keys)
+    few = pinned(keys, *size)
     if few is not None:
         return narrowed(notes, key, few).join(F.broadcast(few), key)
-    if profile.bytes <= limit:
+    if fits(size, limit):
         # The notes, usually the large side, stay where they are.
         return notes.join(F.broadcast(keys), key)
     if fits(measured(notes), limit):
         return keys.join(F.broadcast(notes), key)
-    return spread_join(keys, notes, key, profile)
+    return spread_join(keys, notes, key, profile_keys(keys.select(key), key))
 
 
 def fetch_entries(notes: DataFrame, entries: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -77,9 +77,12 @@ def test_keys_hot_on_both_sides_meet_once(spark):
 
 def test_profile_and_broadcast_check(spark, notes):
     profile = profile_keys(spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'a'), (3L, 'b') AS t(pos, unid)"), "unid")
-    assert (profile.rows, profile.bytes) == (3, 3 + 3 * 16) and dict(profile.top) == {"a": 2, "b": 1}
-    assert profile_keys(notes.where("false"), "unid") == KeyProfile(0, 0, ())
-    assert hot_salts(KeyProfile(0, 0, ()), 8) == {}
+    assert profile.rows == 3 and dict(profile.top) == {"a": 2, "b": 1}
+    assert profile_keys(notes.where("false"), "unid") == KeyProfile(0, ())
+    assert hot_salts(KeyProfile(0, ()), 8) == {}
+    assert measured(spark.range(7)) == (7, 56) and measured(notes.where("false")) == (0, 0)
+    nulls = spark.sql("SELECT CAST(NULL AS STRING) a, X'0102' b")
+    assert measured(nulls) == (1, 18)
     assert measured(notes) == (40, sum(8 * 3 + len(f"U{n}") + len(f"title {n}") for n in range(40)))
     assert fits(measured(notes), 10**6) and not fits(measured(notes), 100)
     wide = notes.withColumn("tags", F.array("title"))

@@ -56,6 +56,18 @@ def map_batches(df: DataFrame, batch: Callable[[pa.RecordBatch], pa.RecordBatch]
     return df.mapInArrow(run, schema)
 
 
+def filter_batches(df: DataFrame, column: str, keep: Callable[[pa.Array], Sequence[bool]]) -> DataFrame:
+    """The rows of df, all columns as they are, for which keep, given a batch's values of one column, says True."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one in batches:
+            if one.num_rows:
+                yield one.filter(pa.array(keep(one.column(at)), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def hot_keys(counted: DataFrame, key: str, n: str = "n", shares: int = HOT_SHARES) -> list:
     """The keys with more than 1 in shares of all rows, from one row (key, n) per key. At most shares keys come back."""
     total = counted.agg(F.sum(n)).first()[0] or 0

@@ -12,10 +12,11 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import map_batches
+from inkfold.llm.common import filter_batches, map_batches
 
 WINDOW = 13
 #: Words of benchmark text in one automaton. A larger benchmark is cut into several, which the documents pass in turn, so
@@ -188,6 +189,21 @@ def _merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[in
     return spans
 
 
+def _shared_automata(docs: DataFrame, benchmark: DataFrame, item: str, text: str, window: int, most: int) -> list[Broadcast]:
+    listed = benchmark.where(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
+    items = [(r["item"], r["text"]) for r in listed.orderBy("item", "text").toLocalIterator()]
+    return [docs.sparkSession.sparkContext.broadcast(one) for one in build_automata(items, window, most)]
+
+
+def _search(words: list[bytes], shards: list[Broadcast]) -> tuple[list[tuple[int, int]], set[str]]:
+    hit, found = [], set()
+    for shard in shards:
+        more, names = shard.value.search(words)
+        hit = _merged(hit, more) if hit else more
+        found |= names
+    return hit, found
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -204,26 +220,17 @@ def contamination(
     repeated counts once; a null item id is left out. Repeated documents stay repeated. Other columns are not read. The
     benchmark is fetched in shards of at most automaton_words words; each is searched by one pass in the same tasks.
     """
-    session = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_words long, spans {SPANS}, items array<string>"
-    listed = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
-    shards = [
-        session.sparkContext.broadcast(one)
-        for one in build_automata([(r[0], r[1]) for r in listed.orderBy("item", "text").toLocalIterator()], window, automaton_words)
-    ]
+    shards = _shared_automata(docs, benchmark, item_col, item_text_col, window, automaton_words)
     types = [pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.string())]
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         counts, spans, items = [], [], []
         for text in rows.column(1):
             words = clean_words(text.as_py())
-            hit, found = [], set()
-            for shard in shards:
-                more, names = shard.value.search(words)
-                hit = _merged(hit, more) if hit else more
-                found |= names
+            hit, found = _search(words, shards)
             counts.append(len(words))
             spans.append([{"start": a, "end": b} for a, b in hit])
             items.append(sorted(found))
@@ -243,6 +250,27 @@ def is_contaminated(percent: int = 5) -> F.Column:
     return (hit_words() > 0) & (100 * hit_words() >= percent * F.col("n_words"))
 
 
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    percent: int = 5,
+    automaton_words: int = AUTOMATON_WORDS,
+) -> DataFrame:
+    """The rows of docs, all columns as they are, that is_contaminated() would not find so."""
+    shards = _shared_automata(docs, benchmark, item_col, item_text_col, window, automaton_words)
+
+    def clean(text: str | None) -> bool:
+        words = clean_words(text)
+        n = sum(end - start for start, end in _search(words, shards)[0])
+        return not n or 100 * n < percent * len(words)
+
+    return filter_batches(docs, text_col, lambda texts: [clean(t.as_py()) for t in texts])
+
+
 def remove_spans(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the spans of contamination() cut out of the text; whole words and what stands between them go.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, decontaminate, simhash, urlfilter
+from inkfold.llm import bpe, decontaminate, simhash, toxicity, urlfilter
 from inkfold.llm.common import table
 
 #: What a host of listed pages has in its name. Fixed values.
@@ -33,6 +33,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, machine).select(
+        F.col("id").alias("doc_id"),
+        toxicity.held_out(F.col("id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -67,6 +78,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_bpe": op10_bpe,

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, decontaminate, simhash, toxicity, urlfilter
-from inkfold.llm.common import table
+from inkfold.llm import bpe, decontaminate, simhash, toxicity, urlfilter, warc
+from inkfold.llm.common import fresh_path, table
 
 #: What a host of listed pages has in its name. Fixed values.
 LISTED_HOSTS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
@@ -56,6 +56,19 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.captures(warc.read_archives(spark, path, with_payload=False))
+    return found.select(
+        "page_id",
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        "refers_to",
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed: the canonical URLs of all pages on hosts named in LISTED_HOSTS."""
     pages = table(spark, sf_dir, "pages")
@@ -80,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op6_decontaminate": op6_decontaminate,
+    "op7_warc": op7_warc,
     "op9_url_filter": op9_url_filter,
     "op10_bpe": op10_bpe,
 }
@@ -88,6 +102,17 @@ _HOST = r"translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1
 _PATH = r"regexp_extract(coalesce(url, ''), '(?s)\A.*?://[^/?#]*([^?#]*)', 1)"
 
 ORACLE: dict[str, str] = {
+    "op7_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(encode(coalesce(html, ''))) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+""",
     "op9_url_filter": f"""
 WITH parsed AS (
   SELECT page_id, {_HOST} AS host, {_PATH} AS path FROM pages

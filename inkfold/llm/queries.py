@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import bpe, decontaminate, simhash, toxicity, urlfilter, warc
+from inkfold.llm import bpe, decontaminate, simhash, tokenbin, toxicity, urlfilter, warc
 from inkfold.llm.common import fresh_path, table
 
 #: What a host of listed pages has in its name. Fixed values.
@@ -69,6 +69,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-ids")
+    tokenbin.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), path)
+    found = tokenbin.read_tokens(spark, path, with_ids=False)
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed: the canonical URLs of all pages on hosts named in LISTED_HOSTS."""
     pages = table(spark, sf_dir, "pages")
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_warc": op7_warc,
+    "op8_token_ids": op8_token_ids,
     "op9_url_filter": op9_url_filter,
     "op10_bpe": op10_bpe,
 }

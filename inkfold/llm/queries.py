@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import ann, bpe, decontaminate, simhash, tokenbin, toxicity, urlfilter, warc
+from inkfold.llm import ann, bpe, decontaminate, extract, simhash, tokenbin, toxicity, urlfilter, warc
 from inkfold.llm.common import fresh_path, table
 
 #: What a host of listed pages has in its name. Fixed values.
@@ -31,6 +31,10 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -102,6 +106,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
+    "op2_html": op2_html,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op6_decontaminate": op6_decontaminate,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: A key is hot if it holds more than one in so many of the rows; so there are at most this many hot keys.
 HOT_SHARES = 200
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Sets the session's limit on the rows of an Arrow batch, if it is higher: texts are long, and tasks hold whole batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 def map_batches(df: DataFrame, batch: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """df through a function from Arrow batch to Arrow batch, in tasks."""
 

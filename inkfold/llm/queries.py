@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import ann, bpe, decontaminate, extract, simhash, tokenbin, toxicity, urlfilter, warc
-from inkfold.llm.common import fresh_path, table
+from inkfold.llm import ann, bpe, decontaminate, extract, lm, simhash, tokenbin, toxicity, urlfilter, warc
+from inkfold.llm.common import bound_batches, fresh_path, table
 
 #: What a host of listed pages has in its name. Fixed values.
 LISTED_HOSTS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
@@ -28,10 +28,12 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return extract.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
@@ -52,6 +54,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    scored = lm.score(docs, docs.where(~lm.held_out(F.col("doc_id"))))
+    return scored.withColumnRenamed("id", "doc_id").withColumn("held_out", lm.held_out(F.col("doc_id")))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -78,6 +87,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     path = fresh_path(spark, "token-ids")
     tokenbin.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), path)
     found = tokenbin.read_tokens(spark, path, with_ids=False)
@@ -109,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html": op2_html,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
+    "op5_language_model": op5_language_model,
     "op6_decontaminate": op6_decontaminate,
     "op7_warc": op7_warc,
     "op8_token_ids": op8_token_ids,

@@ -27,25 +27,36 @@ def _one_of(names: list[str]) -> str:
 
 # Every pattern starts with the one character '<', which lets the matcher skip text quickly. Quoted attribute
 # values may hold '>'. The possessive quantifiers keep a tag that is never closed from costing more than one
-# pass over it.
-_ATTRIBUTES = r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
-_TAG_REST = rf"(?:[\s/]{_ATTRIBUTES})?>"
+# pass over it. A tag, comment or value that is never closed runs to the end of the text.
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))?+)*+"""
+_TAG_END = r"(?:>|\z)"
+_TAG_REST = rf"(?:[\s/]{_ATTRIBUTES})?{_TAG_END}"
 
 # Comments, declarations and the contents of script and style go; the closing tags of the latter two stay
-# for the block pass. What is never closed runs to the end of the text.
+# for the block pass.
 _HIDDEN = (
-    r"(?is)<(?:!--.*?(?:-->|\z)|[!?][^>]*+>"
+    rf"(?is)<(?:!--.*?(?:-->|\z)|[!?][^>]*+{_TAG_END}"
     rf"|script{_TAG_REST}.*?(</script\s*>|\z)"
     rf"|style{_TAG_REST}.*?(</style\s*>|\z))"
 )
 _BLOCK = rf"(?i)</?(?:{_one_of(BLOCK_TAGS)}){_TAG_REST}"
-_INLINE = rf"<(?:/?[A-Za-z]{_ATTRIBUTES}>|/[^>]*+>)"
+_INLINE = rf"<(?:/?[A-Za-z]{_ATTRIBUTES}{_TAG_END}|/[^>]*+{_TAG_END})"
+# Elements that hold text, in which nothing is a tag: 1 = start tag, 3 = text, 4 = the rest.
+_TEXT_ONLY_AHEAD = r"(?i)(?=<(?:textarea|title)[\s/>])"
+_TEXT_ONLY = rf"(?is)\A(<(textarea|title)(?:[\s/]{_ATTRIBUTES})?>)(.*?)(</\2(?=[\s/>]).*+|\z)"
 # Characters that take no room, the zero-width space and the soft hyphen.
 _INVISIBLE = ("\u200B", "\u00AD")
 _SPACES = r"[ \t\n\f\r\u00A0]+"
 
 # What follows the ampersand of a character reference: 1 = decimal, 2 = hexadecimal, 3 = name.
-_REFERENCE = r"\A(?:#([0-9]{1,7});?|#[xX]([0-9A-Fa-f]{1,6});?|([A-Za-z][A-Za-z0-9]*;?))"
+_REFERENCE = r"\A(?:#([0-9]++);?|#[xX]([0-9A-Fa-f]++);?|([A-Za-z][A-Za-z0-9]*;?))"
+# The longest name that needs no ';' at the start of a run of letters.
+_BARE_NAMES = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+_BARE = rf"\A({'|'.join(_BARE_NAMES)})"
+# The characters that the numbers 128 to 159 stand for, by Windows-1252.
+_WINDOWS = {
+    n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+}
 
 # Name to text, as JSON so that it folds into one map literal. Names without ';' are those that
 # HTML allows to leave it out. A lookup goes through them in order: common characters first.
@@ -59,7 +70,18 @@ def _code_point(number: Column) -> Column:
     """The character of a code point; U+FFFD for what is not one."""
     valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
     char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.when(valid, char).otherwise(F.lit("\uFFFD"))
+    windows = F.create_map(*[F.lit(x) for pair in _WINDOWS.items() for x in pair])
+    return (
+        F.when(number.between(128, 159), F.coalesce(F.try_element_at(windows, number.cast("int")), char))
+        .when(valid, char)
+        .otherwise(F.lit("\uFFFD"))
+    )
+
+
+def _number(digits: Column, base: int) -> Column:
+    """The number that all of the digits make; 0 for one too large for any character."""
+    plain = F.ltrim(digits, F.lit("0"))
+    return F.when(F.length(plain) > 7, F.lit(0)).otherwise(F.coalesce(F.conv(plain, base, 10).try_cast("bigint"), F.lit(0)))
 
 
 def _decode_reference(rest: Column) -> Column:
@@ -68,11 +90,13 @@ def _decode_reference(rest: Column) -> Column:
     decimal = F.regexp_extract(rest, _REFERENCE, 1)
     hexadecimal = F.regexp_extract(rest, _REFERENCE, 2)
     char = (
-        F.when(decimal != "", _code_point(decimal.try_cast("bigint")))
-        .when(hexadecimal != "", _code_point(F.conv(hexadecimal, 16, 10).try_cast("bigint")))
+        F.when(decimal != "", _code_point(_number(decimal, 10)))
+        .when(hexadecimal != "", _code_point(_number(hexadecimal, 16)))
         .otherwise(F.try_element_at(named, F.regexp_extract(rest, _REFERENCE, 3)))
     )
-    decoded = F.concat(char, F.regexp_replace(rest, _REFERENCE, ""))
+    bare = F.regexp_extract(rest, _BARE, 1)
+    cut = F.concat(F.try_element_at(named, bare), F.substr(rest, F.length(bare) + 1))
+    decoded = F.coalesce(F.concat(char, F.regexp_replace(rest, _REFERENCE, "")), F.when(bare != "", cut))
     result = F
     for name, text in _FREQUENT.items():
         result = result.when(rest.startswith(name), F.concat(F.lit(text), F.substr(rest, F.lit(len(name) + 1))))
@@ -87,9 +111,19 @@ def decode_entities(text: Column) -> Column:
     return F.array_join(decoded, "")
 
 
+def _plain_contents(fragment: Column) -> Column:
+    """What looks like a tag within elements that hold only text is written as references."""
+
+    def escaped(piece: Column) -> Column:
+        part = [F.regexp_extract(piece, _TEXT_ONLY, i) for i in (1, 3, 4)]
+        return F.when(part[0] == "", piece).otherwise(F.concat(part[0], F.replace(part[1], F.lit("<"), F.lit("&lt;")), part[2]))
+
+    return F.array_join(F.transform(F.split(fragment, _TEXT_ONLY_AHEAD), escaped), "")
+
+
 def html_text(fragment: Column) -> Column:
     """Visible text of an HTML fragment with runs of white space as one space."""
-    text = F.regexp_replace(fragment, _HIDDEN, "$1$2")
+    text = F.regexp_replace(_plain_contents(fragment), _HIDDEN, "$1$2")
     text = F.regexp_replace(text, _BLOCK, " ")
     text = F.regexp_replace(text, _INLINE, "")
     text = decode_entities(text)

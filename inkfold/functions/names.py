@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,3 +94,14 @@ def matches_glob(name: Column, glob: str | None = None) -> Column:
     """Case-insensitive glob match on a file name; the pattern defaults to ``*.*``."""
     # Both sides are lower-cased, the pattern's character classes included.
     return F.lower(name).rlike(glob_to_regex((glob or DEFAULT_GLOB).lower()))
+
+
+_EXTENSION = re.compile(r".*\*\.([\w-]+)", re.S)
+
+
+def glob_extension(glob: str | None) -> str | None:
+    """The extension that every matching name has, in lower case, where the glob ends in ``*.`` and plain letters."""
+    if not glob or any(c in glob for c in "{}[]\\"):
+        return None
+    found = _EXTENSION.fullmatch(glob)
+    return found.group(1).lower() if found else None

@@ -14,7 +14,8 @@ from inkfold.functions.html import html_text
 TRIMMED = "".join(map(chr, range(0x21)))
 
 # The parts of an item that carries its kind.
-ITEM_PARTS = ("kind", "vals", "runs", "plain", "html")
+ITEM_PARTS = ("kind", "vals", "numbers", "times", "runs", "plain", "html")
+STRING_PARTS = ("kind", "vals", "runs", "plain", "html")
 
 
 def not_blank(text: Column) -> Column:
@@ -43,7 +44,7 @@ def mime_text(plain: Column, html: Column) -> Column:
     return F.coalesce(F.nullif(plain, F.lit("")), html_text(html), F.lit(""))
 
 
-def tagged_item_text(item: Column, parts: Iterable[str] = ITEM_PARTS) -> Column:
+def tagged_item_text(item: Column, parts: Iterable[str] = STRING_PARTS) -> Column:
     """Text of an item that says itself what it is in ``kind``; NULL for a missing item.
 
     ``parts`` are the fields the item has. A part it lacks is missing in all items.
@@ -54,7 +55,9 @@ def tagged_item_text(item: Column, parts: Iterable[str] = ITEM_PARTS) -> Column:
         text = text.when(part["kind"] == "richtext", richtext_text(part["runs"]))
     if "plain" in parts or "html" in parts:
         text = text.when(part["kind"] == "mime", mime_text(part["plain"], part["html"]))
-    return text.otherwise(multivalue_text(part["vals"]))
+    # Values of one type are set; those of the others are NULL or empty.
+    values = [multivalue_text(part[name]) for name in ("vals", "numbers", "times") if name in parts]
+    return text.otherwise(F.coalesce(*[F.nullif(value, F.lit("")) for value in values], F.lit("")))
 
 
 def item_text(item: Column, dtype: T.DataType) -> Column:

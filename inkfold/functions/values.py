@@ -24,15 +24,37 @@ def is_empty_array(col: Column) -> Column:
     return F.coalesce(F.size(col), F.lit(0)) <= 0
 
 
-def first_value(col: Column, dtype: T.DataType) -> tuple[Column, T.DataType]:
-    """The first element of a multi-value (NULL when it has none) and its type."""
-    if isinstance(dtype, T.StructType) and "vals" in dtype.names:
-        col, dtype = col["vals"], dtype["vals"].dataType
+# The part of an item that holds the values of each type of metadata field.
+_VALUE_PARTS = {"integer": "numbers", "long": "numbers", "double": "numbers", "temporal": "times"}
+
+
+def first_value(col: Column, dtype: T.DataType, field_type: str = "string") -> tuple[Column, T.DataType]:
+    """The first element of a multi-value (NULL when it has none) and its type.
+
+    An item with values of several types gives those that the field can have.
+    """
+    if isinstance(dtype, T.StructType):
+        parts = {name.lower(): name for name in dtype.names}
+        if "vals" in parts:
+            wanted = parts.get(_VALUE_PARTS.get(field_type, "vals"), parts["vals"])
+            return first_value(col[wanted], dtype[wanted].dataType)
     if isinstance(dtype, T.ArrayType):
         return F.get(col, F.lit(0)), dtype.elementType
     return col, dtype
 
 
+def item_first_text(col: Column, dtype: T.StructType) -> Column:
+    """The first value of an item as text, whatever its type."""
+    parts = {name.lower(): name for name in dtype.names}
+    texts = [F.get(col[parts["vals"]], F.lit(0)).cast("string")]
+    for part in ("numbers", "times"):
+        if part in parts:
+            inner = dtype[parts[part]].dataType.elementType
+            value = F.get(col[parts[part]], F.lit(0))
+            texts.append(to_iso(value, inner) if part == "times" else value.cast("string"))
+    return F.coalesce(*texts)
+
+
 def _nothing(dtype: T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
@@ -116,7 +138,9 @@ def typed_value(col: Column, dtype: T.DataType, field_type: str, utc_session: bo
     The static column type decides, values are never parsed: a string is not an integer. In a session
     whose time zone is UTC times are formatted faster.
     """
-    value, value_type = first_value(col, dtype)
+    if field_type == "string" and isinstance(dtype, T.StructType) and "vals" in {n.lower() for n in dtype.names}:
+        return item_first_text(col, dtype)
+    value, value_type = first_value(col, dtype, field_type)
     if field_type == "temporal":
         return to_iso(value, value_type, utc_session)
     return CONVERTERS[field_type](value, value_type)

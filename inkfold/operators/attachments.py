@@ -9,32 +9,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.functions.names import matches_glob
-from inkfold.operators.keyed import BROADCAST_BYTES, fits, measured, narrowed, pinned, profile_keys, spread_join
+from inkfold.functions.names import glob_extension, matches_glob
+from inkfold.operators.keyed import BROADCAST_BYTES, Profile, few_keys, fits, narrowed, profile, spread_join
+from inkfold.operators.lookup import shared_columns
 from inkfold.sources.tables import UNID
 
 ATT_POS, NAME, CONTENT, ATTACHMENT = "att_pos", "name", "content", "attachment_name"
 
+# A column that an attachments table may have: what follows the last dot of a name, in lower case, NULL without a dot.
+EXTENSION = "extension"
+
 
 def _refuse_shared_columns(notes: DataFrame, attachments: DataFrame):
-    shared = [c for c in attachments.columns if c != UNID and c in notes.columns]
-    if shared:
+    if shared := shared_columns(notes, attachments, UNID):
         raise ValueError(f"notes and attachments share the columns {shared}")
 
 
-def join_attachments(notes: DataFrame, attachments: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Each attachment with the columns of its note. Contents are shuffled only when the notes'
-    columns are too large to broadcast."""
+def join_attachments(
+    notes: DataFrame, attachments: DataFrame, limit: int = BROADCAST_BYTES, notes_profile: Profile | None = None
+) -> DataFrame:
+    """Each attachment with the columns of its note. Contents are shuffled only when the notes' columns are too
+    large to broadcast, and the notes only those that have an attachment. ``notes_profile`` saves measuring them."""
     _refuse_shared_columns(notes, attachments)
-    size = measured(notes)
-    few = pinned(notes, *size)
-    if few is not None:
-        return narrowed(attachments, UNID, few).join(F.broadcast(few), UNID)
-    if fits(size, limit):
-        return attachments.join(F.broadcast(notes), UNID)
+    of_notes = notes_profile or profile(notes, UNID)
+    if fits(of_notes, limit):
+        few = few_keys(of_notes)
+        held = attachments if few is None else narrowed(attachments, UNID, few)
+        return held.join(F.broadcast(notes), UNID)
     # A note can have very many attachments, and a key list can name one note very often.
-    profiles = [profile_keys(side.select(UNID), UNID) for side in (attachments, notes)]
-    return spread_join(attachments, notes, UNID, *profiles)
+    keys = attachments.select(UNID)
+    of_files = profile(keys, UNID)
+    few = few_keys(of_files)
+    if few is not None:
+        notes = narrowed(notes, UNID, few)
+    elif fits(of_files, limit):
+        notes = notes.join(F.broadcast(keys.distinct()), UNID, "left_semi")
+    return spread_join(attachments, notes, UNID, of_files, of_notes)
 
 
 def unnest_attachments(notes: DataFrame, column: str = "attachments") -> DataFrame:
@@ -56,25 +66,39 @@ def list_attachments(notes: DataFrame, attachments: DataFrame | None = None) ->
 
 
 def matching(attachments: DataFrame, pattern: str | None = None) -> DataFrame:
-    """Attachments whose name matches the glob, before anything touches their contents."""
-    return attachments.where(matches_glob(F.col(NAME), pattern))
+    """Attachments whose name matches the glob, before anything touches their contents.
+
+    Names are matched row by row, so the scan skips nothing by itself. A table with a column ``extension``, best as a
+    partition or sort column, is also filtered by that where the pattern ends in a literal extension.
+    """
+    found = attachments
+    ending = glob_extension(pattern)
+    if ending is not None and any(c.lower() == EXTENSION for c in attachments.columns):
+        found = found.where(F.col(EXTENSION) == ending)
+    return found.where(matches_glob(F.col(NAME), pattern))
 
 
 def named_attachment(
     notes: DataFrame, attachments: DataFrame, name: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """The attachment of exactly this name for every note. The query fails if a note has none."""
+    """The attachment of exactly this name for every note, of several the one with the lowest ``att_pos``. The query
+    fails if a note has none."""
     if not name:
         raise ValueError("an attachment name must not be empty")
     _refuse_shared_columns(notes, attachments)
-    picked = attachments.where(F.col(NAME) == name).withColumn("__found", F.lit(True))
-    few = pinned(notes, *measured(notes))
+    picked = attachments.where(F.col(NAME) == name)
     keys = notes.select(UNID)
+    of_keys = profile(keys, UNID)
+    few = few_keys(of_keys)
     if few is not None:
-        notes, picked = few, narrowed(picked, UNID, few)
-    elif fits(measured(keys), limit):
+        picked = narrowed(picked, UNID, few)
+    elif fits(of_keys, limit):
         # An outer join cannot broadcast the notes, but their keys leave little of the other side.
-        picked = picked.join(F.broadcast(keys), UNID, "left_semi")
+        picked = picked.join(F.broadcast(keys.distinct()), UNID, "left_semi")
+    others = [c for c in picked.columns if c.lower() != UNID]
+    place = [F.col(ATT_POS)] if any(c.lower() == ATT_POS for c in others) else []
+    whole = F.struct(*[F.col(f"`{c}`") for c in others])
+    first = picked.groupBy(UNID).agg(F.min_by(whole, place[0]).alias("__file") if place else F.first(whole).alias("__file"))
     missing = F.raise_error(F.lit(f"attachment not found: {name}")).cast("boolean")
-    joined = notes.join(picked, UNID, "left")
-    return joined.where(F.col("__found") | missing).drop("__found")
+    joined = spread_join(notes, first, UNID, of_keys, how="left").where(F.col("__file").isNotNull() | missing)
+    return joined.select(*[F.col(f"`{c}`") for c in notes.columns], *[F.col(f"__file.`{c}`").alias(c) for c in others])

@@ -20,8 +20,8 @@ from inkfold.operators.attachments import (
     named_attachment,
     unnest_attachments,
 )
-from inkfold.operators.keyed import BROADCAST_BYTES
-from inkfold.operators.metadata import PREFIX, metadata_columns
+from inkfold.operators.keyed import BROADCAST_BYTES, Profile
+from inkfold.operators.metadata import PREFIX, with_metadata
 from inkfold.plans.definition import DEFAULT, MetadataDefinition
 from inkfold.sources.tables import UNID
 
@@ -90,7 +90,8 @@ class Extract:
 
 def extract_fields(notes: DataFrame, definition: MetadataDefinition, fields: Iterable[str]) -> Extract:
     text = fields_text(notes, fields)
-    return Extract(notes, text, text.cast("binary"), metadata_columns(notes, definition))
+    notes, metadata = with_metadata(notes, definition)
+    return Extract(notes, text, text.cast("binary"), metadata)
 
 
 def extract_attachments(
@@ -100,18 +101,20 @@ def extract_attachments(
     pattern: str | None = None,
     keep: Iterable[str] = (UNID,),
     limit: int = BROADCAST_BYTES,
+    notes_profile: Profile | None = None,
 ) -> Extract:
     """Attachments with matching names beside their note's columns.
 
     ``attachments`` is a long table, or the name of an array column of the notes.
     """
     # Metadata is computed once per note, ahead of the attachments.
-    sides = [*_columns(keep), *metadata_columns(notes, definition)]
+    notes, metadata = with_metadata(notes, definition)
+    sides = [*_columns(keep), *metadata]
     if isinstance(attachments, str):
         rows = matching(unnest_attachments(notes.select(*sides, F.col(f"`{attachments}`")), attachments), pattern)
     else:
-        long = attachments.select(UNID, ATT_POS, NAME, CONTENT)
-        rows = join_attachments(notes.select(*sides), matching(long, pattern), limit)
+        long = matching(attachments, pattern).select(UNID, ATT_POS, NAME, CONTENT)
+        rows = join_attachments(notes.select(*sides), long, limit, notes_profile)
     rows = rows.withColumnRenamed(NAME, ATTACHMENT)
     metadata = _columns(PREFIX + field.name for field in definition)
     return Extract(rows, decode_utf8(F.col(CONTENT)), F.col(CONTENT), metadata)
@@ -148,7 +151,9 @@ def field_source(
     """Text and metadata of notes as they are, blank texts included."""
     names = [fields] if isinstance(fields, str) else list(fields)
     definition = DEFAULT if definition is None else definition
-    return note.select(fields_text(note, names).alias(TEXT), *metadata_columns(note, definition))
+    text = fields_text(note, names).alias(TEXT)
+    note, metadata = with_metadata(note, definition)
+    return note.select(text, *metadata)
 
 
 def attachment_source(
@@ -156,6 +161,8 @@ def attachment_source(
 ) -> DataFrame:
     """The bytes of one named attachment of each note, with the note's metadata."""
     definition = DEFAULT if definition is None else definition
-    sides = note.select(UNID, *metadata_columns(note, definition))
-    found = named_attachment(sides, attachments.select(UNID, NAME, CONTENT), name)
+    note, metadata = with_metadata(note, definition)
+    sides = note.select(UNID, *metadata)
+    place = [c for c in attachments.columns if c.lower() == ATT_POS]
+    found = named_attachment(sides, attachments.select(UNID, *place, NAME, CONTENT), name)
     return found.select(F.col(CONTENT), *_columns(c for c in sides.columns if c != UNID))

@@ -6,6 +6,8 @@ sides are shuffled; one pass over the key columns finds hot keys, whose rows are
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,19 +18,20 @@ from pyspark.sql import types as T
 
 # Largest side sent to every executor, as bytes of its values before row overhead.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Rows beyond which a side is not even measured for broadcasting.
+# Rows beyond which a side is not broadcast.
 BROADCAST_ROWS = 2_000_000
 
 UNBOUNDED = 2**63 - 1
 
-# The sketch tracks this many candidate keys and reports up to HOT_KEYS of them. A key it misses is
-# not lost, only not spread.
-HOT_KEYS, HOT_CANDIDATES = 256, 16384
 # A key is hot when it has more rows than this many tasks would share evenly.
 HOT_SHARES = 2
+# Candidates that the sketch of frequent keys tracks for each task, and at least. Limits of the sketch itself: it reports
+# TOP_LIMIT keys of TRACKED_LIMIT candidates, enough for all hot keys of 125,000 tasks. A key it misses is not lost, only not spread.
+TRACKED_PER_TASK, LEAST_TRACKED = 8, 16384
+TOP_LIMIT, TRACKED_LIMIT = 100_000, 1_000_000
 
-# Sides up to this size are fetched once, so that their keys can be part of the query.
-PINNED_ROWS, PINNED_BYTES = 256, 1024 * 1024
+# So many keys are named in the filter of the scan, in groups that Parquet compares one by one rather than as a range.
+FEW_KEYS, KEY_GROUP = 256, 10
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 _VARYING = (T.StringType, T.BinaryType)
@@ -36,77 +39,102 @@ _VARYING = (T.StringType, T.BinaryType)
 _PARTS = "__parts"
 
 
-def measured(side: DataFrame) -> tuple[int, int]:
-    """Rows and bytes of a side. Rows are counted first, which reads next to nothing; values are measured
-    only when there are few rows, and count as unbounded otherwise or where their type does not bound them."""
-    rows = side.count()
-    types = [field.dataType for field in side.schema]
-    if rows > BROADCAST_ROWS or any(isinstance(dtype, _NESTED) for dtype in types):
-        return rows, UNBOUNDED
-    varying = [F.octet_length(side[f"`{f.name}`"]) for f in side.schema if isinstance(f.dataType, _VARYING)]
-    if rows and varying:
-        lengths = reduce(Column.__add__, [F.coalesce(length, F.lit(0)).cast("bigint") for length in varying])
-        return rows, rows * 8 * len(types) + (side.agg(F.sum(lengths)).first()[0] or 0)
-    return rows, rows * 8 * len(types)
-
-
-def fits(size: tuple[int, int], limit: int) -> bool:
-    """Whether a measured side may be broadcast."""
-    rows, size_bytes = size
-    return rows <= BROADCAST_ROWS and size_bytes <= limit
+@dataclass(frozen=True)
+class Profile:
+    """Rows of a side, the bytes of its values, those of its widest row, and its most frequent keys with their row counts.
 
+    Bytes are unbounded where a type does not bound them. With up to ``FEW_KEYS`` rows the keys are all of them.
+    """
 
-def pinned(side: DataFrame, rows: int, size: int) -> DataFrame | None:
-    """A side of few rows and bytes as a local relation; ``None`` for any other.
+    rows: int
+    size: int
+    widest: int
+    top: tuple[tuple[object, int], ...] = ()
+
+    def times(self, other: Profile) -> Profile:
+        """Bounds for the rows of this side, each joined with those of its key in ``other``."""
+        repeats = max((n for _, n in other.top), default=1)
+        rows = self.rows * repeats
+        unbounded = UNBOUNDED in (self.size, other.size)
+        widest = UNBOUNDED if unbounded else self.widest + other.widest
+        return Profile(rows, UNBOUNDED if unbounded else rows * widest, widest, tuple((k, n * repeats) for k, n in self.top))
+
+    def plus(self, other: Profile) -> Profile:
+        """Bounds for the rows of both."""
+        top = Counter(dict(self.top)) + Counter(dict(other.top))
+        return Profile(
+            self.rows + other.rows,
+            min(self.size + other.size, UNBOUNDED),
+            max(self.widest, other.widest),
+            tuple(top.most_common()),
+        )
+
+
+def _partitions(side: DataFrame) -> int:
+    return int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def profile(side: DataFrame, key: str | None = None) -> Profile:
+    """Everything the choice of a join needs to know of a side, in one aggregation without a shuffle of its rows."""
+    types = [field.dataType for field in side.schema]
+    bounded = not any(isinstance(dtype, _NESTED) for dtype in types)
+    varying = [F.octet_length(side[f"`{f.name}`"]) for f in side.schema if isinstance(f.dataType, _VARYING)]
+    lengths = [F.coalesce(length, F.lit(0)).cast("bigint") for length in varying] if bounded else []
+    row = reduce(Column.__add__, lengths, F.lit(8 * len(types)).cast("bigint"))
+    values = [F.count(F.lit(1)), F.sum(row), F.max(row)]
+    if key is not None:
+        partitions = _partitions(side)
+        tracked = min(max(LEAST_TRACKED, TRACKED_PER_TASK * partitions), TRACKED_LIMIT)
+        top = min(max(FEW_KEYS, -(-partitions // HOT_SHARES)), TOP_LIMIT)
+        values.append(F.expr(f"approx_top_k(`{key}`, {top}, {tracked})"))
+    found = side.agg(*values).first()
+    rows, size, widest = found[0], found[1] or 0, found[2] or 0
+    if not bounded and rows:
+        size = widest = UNBOUNDED
+    items = (found[3] or ()) if key is not None else ()
+    return Profile(rows, size, widest, tuple((item["item"], item["count"]) for item in items))
 
-    The rows are then the same wherever the plan uses them, and Spark knows their exact size.
-    """
-    if rows > PINNED_ROWS or size > PINNED_BYTES:
-        return None
-    table = side.limit(PINNED_ROWS + 1).toArrow()
-    if table.num_rows > PINNED_ROWS:
-        return None
-    return side.sparkSession.createDataFrame(table, side.schema)
 
+def listed_profile(values: Iterable) -> Profile:
+    """The profile of a driver-side list of keys with their positions, without a job."""
+    counts = Counter(v for v in values if v is not None)
+    width = {v: 16 + (len(v.encode()) if isinstance(v, str) else 0) for v in counts}
+    rows, size = sum(counts.values()), sum(width[v] * n for v, n in counts.items())
+    return Profile(rows, size, max(width.values(), default=0), tuple(counts.most_common()))
 
-def narrowed(side: DataFrame, key: str, few: DataFrame) -> DataFrame:
-    """Rows of ``side`` that can match a pinned one, as a condition that reaches the scan: a file or row group
-    without any of the keys is not read at all."""
-    values = {row[0] for row in few.select(key).collect()}
-    return side.where(F.col(f"`{key}`").isin(sorted(v for v in values if v is not None)))
 
+def fits(side: Profile, limit: int) -> bool:
+    """Whether a side may be broadcast."""
+    return side.rows <= BROADCAST_ROWS and side.size <= limit
 
-@dataclass(frozen=True)
-class KeyProfile:
-    """Rows of a side and its most frequent keys with their row counts."""
 
-    rows: int
-    top: tuple[tuple[object, int], ...]
+def few_keys(side: Profile) -> list | None:
+    """All keys of a side of few rows; ``None`` for any other."""
+    return [key for key, _ in side.top if key is not None] if side.rows <= FEW_KEYS else None
 
 
-def profile_keys(side: DataFrame, key: str) -> KeyProfile:
-    """Rows and frequent keys in a single aggregation over the key column, without a shuffle of the rows."""
-    found = side.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_CANDIDATES})").alias("top"),
-    ).first()
-    return KeyProfile(found["rows"], tuple((item["item"], item["count"]) for item in found["top"] or ()))
+def narrowed(side: DataFrame, key: str, keys: Iterable) -> DataFrame:
+    """Rows of ``side`` with one of few keys, as a condition that reaches the scan: a file or row group without
+    any of the keys is not read at all."""
+    values = sorted(keys)
+    groups = [values[at : at + KEY_GROUP] for at in range(0, len(values), KEY_GROUP)]
+    return side.where(reduce(Column.__or__, [F.col(f"`{key}`").isin(group) for group in groups], F.lit(False)))
 
 
-def hot_salts(profile: KeyProfile, partitions: int) -> dict[object, int]:
+def hot_salts(side: Profile, partitions: int) -> dict[object, int]:
     """Tasks to spread each hot key over, so that none of them gets more than an even share.
 
     Together these are at most ``partitions`` and one per hot key, which bounds the repeated notes.
     """
     return {
-        key: -(-count * partitions // profile.rows)
-        for key, count in profile.top
-        if key is not None and count * partitions > HOT_SHARES * profile.rows
+        key: -(-count * partitions // side.rows)
+        for key, count in side.top
+        if key is not None and count * partitions > HOT_SHARES * side.rows
     }
 
 
 def _salt_frame(side: DataFrame, key: str, salts: dict[object, int]) -> DataFrame:
-    """The hot keys and their number of parts, a frame of at most HOT_KEYS rows."""
+    """The hot keys and their number of parts, a frame of at most one row for each two tasks."""
     table = pa.table({key: pa.array(list(salts)), _PARTS: pa.array(list(salts.values()), pa.int32())})
     frame = side.sparkSession.createDataFrame(table)
     return F.broadcast(frame.withColumn(key, F.col(f"`{key}`").cast(side.schema[key].dataType)))
@@ -134,8 +162,9 @@ def salted_join(
     key: str,
     left_salts: dict[object, int],
     right_salts: dict[object, int] | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join in which the rows of hot keys are split into parts by a hash of the row.
+    """Inner (or, with the left side salted alone, left) join in which the rows of hot keys are split into parts by a hash of the row.
 
     The matching rows of the other side are repeated once per part, so that every pair of rows meets exactly
     once, also where both sides are hot. The hash depends on the row alone: a task that is run again after
@@ -153,19 +182,15 @@ def salted_join(
         left = _in_all_parts(left, key, hot, "__right_part")
         right = _in_one_part(right, key, hot, "__right_part", spread_right)
         on.append("__right_part")
-    return left.join(right, on).drop(*on[1:])
+    return left.join(right, on, how).drop(*on[1:])
 
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    left_profile: KeyProfile,
-    right_profile: KeyProfile | None = None,
+    left: DataFrame, right: DataFrame, key: str, left_profile: Profile, right_profile: Profile | None = None, how: str = "inner"
 ) -> DataFrame:
-    """Shuffled inner join; salted only where a side has hot keys, so that bucketed tables whose keys are even
+    """Shuffled join; salted only where a side has hot keys, so that bucketed tables whose keys are even
     still join without a shuffle. A side without a profile has unique keys."""
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = _partitions(left)
     left_salts = hot_salts(left_profile, partitions)
     right_salts = hot_salts(right_profile, partitions) if right_profile else {}
-    return salted_join(left, right, key, left_salts, right_salts)
+    return salted_join(left, right, key, left_salts, right_salts, how)

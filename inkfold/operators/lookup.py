@@ -2,50 +2,86 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.operators.keyed import BROADCAST_BYTES, fits, measured, narrowed, pinned, profile_keys, spread_join
+from inkfold.operators.keyed import BROADCAST_BYTES, Profile, few_keys, fits, listed_profile, narrowed, profile, spread_join
 from inkfold.sources.tables import BATCH, NOTE_ID, POS, UNID, key_frame, open_path, open_table
 
 
+def shared_columns(left: DataFrame, right: DataFrame, *but: str) -> list[str]:
+    """Columns of ``right`` that ``left`` has too, names compared as Spark does."""
+    known, apart = {c.lower() for c in left.columns}, {c.lower() for c in but}
+    return [c for c in right.columns if c.lower() in known and c.lower() not in apart]
+
+
 def fetch(notes: DataFrame, keys: DataFrame | Iterable, key: str = UNID, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The note behind each key with the key's columns (``pos``). Repeats are kept, misses dropped.
 
-    ``keys`` is a driver-side list or a DataFrame with ``key`` and any columns that tell its rows
-    apart; these replace columns of the notes with the same name. Rows come in no particular order; sort by
-    ``pos`` where the order matters.
+    ``keys`` is a driver-side list or a DataFrame with ``key`` and any columns that tell its rows apart. Notes with a
+    column of the same name as one of these are refused: rename either. Rows come in no particular order; sort
+    by ``pos`` where the order matters.
+    """
+    return fetch_bounded(notes, keys, key, limit)[0]
+
+
+def fetch_bounded(
+    notes: DataFrame, keys: DataFrame | Iterable, key: str = UNID, limit: int = BROADCAST_BYTES, known: Profile | None = None
+) -> tuple[DataFrame, Callable[[], Profile]]:
+    """``fetch()``, and a profile of its result by ``key`` that follows from those of the two sides.
+
+    The keys are profiled once, the notes once where that is needed, and their join never.
     """
     if not isinstance(keys, DataFrame):
-        keys = key_frame(notes.sparkSession, keys, key)
+        keys = list(keys)
+        known, keys = listed_profile(keys), key_frame(notes.sparkSession, keys, key)
+    if shared := shared_columns(notes, keys, key):
+        raise ValueError(f"notes and keys share the columns {shared}")
     keys = keys.where(F.col(key).isNotNull())
-    notes = notes.drop(*[c for c in keys.columns if c != key and c in notes.columns])
-    size = measured(keys)
-    few = pinned(keys, *size)
-    if few is not None:
-        return narrowed(notes, key, few).join(F.broadcast(few), key)
-    if fits(size, limit):
+    of_keys = known or profile(keys, key)
+    measured: list[Profile] = []
+
+    def of_notes() -> Profile:
+        if not measured:
+            measured.append(profile(notes, key))
+        return measured[0]
+
+    def bound() -> Profile:
+        return of_keys.times(of_notes())
+
+    if fits(of_keys, limit) or few_keys(of_keys) is not None and of_keys.size < FEW_BYTES:
         # The notes, usually the large side, stay where they are.
-        return notes.join(F.broadcast(keys), key)
-    if fits(measured(notes), limit):
-        return keys.join(F.broadcast(notes), key)
-    return spread_join(keys, notes, key, profile_keys(keys.select(key), key))
+        few = few_keys(of_keys)
+        held = notes if few is None else narrowed(notes, key, few)
+        return held.join(F.broadcast(keys), key), bound
+    if fits(of_notes(), limit):
+        return keys.join(F.broadcast(notes), key), bound
+    return spread_join(keys, notes, key, of_keys, of_notes()), bound
+
 
+# A list of few keys is broadcast up to this size, whatever the limit.
+FEW_BYTES = 1024 * 1024
 
-def fetch_entries(notes: DataFrame, entries: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Open the note behind each view entry ``(pos, unid)``; entry positions are kept."""
-    return fetch(notes, entries.select(POS, UNID), UNID, limit)
 
+def fetch_entries(notes: DataFrame, entries: DataFrame, limit: int = BROADCAST_BYTES, pos: str = POS) -> DataFrame:
+    """Open the note behind each view entry ``(pos, unid)``; entry positions are kept, under the name ``pos``."""
+    return fetch(notes, entries.select(F.col(POS).alias(pos), UNID), UNID, limit)
 
-def append(frames: Iterable[DataFrame]) -> DataFrame:
-    """Frames one after the other, numbered in ``batch``. Nothing is deduplicated; a column one frame
-    lacks is NULL there."""
-    numbered = [frame.withColumn(BATCH, F.lit(number)) for number, frame in enumerate(frames)]
-    if not numbered:
+
+def append(frames: Iterable[DataFrame], number: str = BATCH) -> DataFrame:
+    """Frames one after the other, numbered in the column ``number``, which none of them may have already.
+
+    Nothing is deduplicated; a column one frame lacks is NULL there.
+    """
+    frames = list(frames)
+    if not frames:
         raise ValueError("at least one source is needed")
+    if any(c.lower() == number.lower() for frame in frames for c in frame.columns):
+        raise ValueError(f"a frame has a column {number} of its own")
+    numbered = [frame.withColumn(number, F.lit(n)) for n, frame in enumerate(frames)]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), numbered)
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+import threading
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.functions.values import typed_value
@@ -19,27 +22,59 @@ ITEM_NAME = re.compile(r"(?!\d)[\w$]+")
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
-def metadata_columns(
+# What Spark reads as a value or function where no column has the name.
+BARE_FUNCTIONS = frozenset(
+    "current_catalog current_database current_date current_schema current_time current_timestamp current_user false localtime "
+    "localtimestamp null session_user true user".split()
+)
+
+_LENIENT = threading.Lock()
+
+
+@contextmanager
+def lenient(spark: SparkSession) -> Iterator[None]:
+    """Expressions that are resolved meanwhile give NULL on a row where they fail. The session's setting comes back after."""
+    with _LENIENT:
+        before = {name: spark.conf.get(name) for name in ("spark.sql.ansi.enabled", "spark.sql.legacy.sizeOfNull")}
+        if before["spark.sql.ansi.enabled"] == "true":
+            # The size of NULL stays NULL, as it is in a strict session.
+            spark.conf.set("spark.sql.legacy.sizeOfNull", "false")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        try:
+            yield
+        finally:
+            for name, value in before.items():
+                spark.conf.set(name, value)
+
+
+def with_metadata(
     notes: DataFrame, definition: MetadataDefinition, missing_text: str | None = None
-) -> list[Column]:
-    """One ``meta_<name>`` column per field; NULL stands for an absent key.
+) -> tuple[DataFrame, list[Column]]:
+    """The notes with the values of the definition's expressions, and from them one ``meta_<name>`` column per field.
 
-    A field that just names a column no note has is missing everywhere; functions are told apart by their
-    parentheses. An expression that can fail on a row must use Spark's ``try_*`` functions, which turn the
-    failure into NULL. ``missing_text`` replaces NULL in string fields that just name a column.
+    NULL stands for an absent key. A field that just names a column no note has is missing everywhere, unless the
+    name is a function that needs no parentheses. An expression that fails on a row leaves the key out there: a cast, a
+    division by zero, an index out of range. Whole-number overflow wraps, and ``raise_error`` still ends the query.
+    ``missing_text`` replaces NULL in string fields that just name a column.
     """
     present = {name.lower() for name in notes.columns}
 
     def is_item(expr: str) -> bool:
-        return expr.lower() in present or ITEM_NAME.fullmatch(expr) is not None
-
-    def compiled(expr: str) -> Column:
-        if is_item(expr):
-            return F.col(f"`{expr}`") if expr.lower() in present else F.lit(None)
-        return F.expr(expr)
+        if expr.lower() in present:
+            return True
+        return ITEM_NAME.fullmatch(expr) is not None and expr.lower() not in BARE_FUNCTIONS
 
-    values = [compiled(field.expr) for field in definition]
-    # Resolving the expressions tells their types; nothing runs.
+    values, computed = [], []
+    for number, field in enumerate(definition):
+        if not is_item(field.expr):
+            computed.append(F.expr(field.expr).alias(f"__meta_{number}"))
+            values.append(F.col(f"__meta_{number}"))
+        else:
+            values.append(F.col(f"`{field.expr}`") if field.expr.lower() in present else F.lit(None))
+    if computed:
+        with lenient(notes.sparkSession):
+            notes = notes.select("*", *computed)
+    # Resolving the values tells their types; nothing runs.
     types = [field.dataType for field in notes.select(*values).schema]
     utc = notes.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_NAMES
     columns = []
@@ -48,4 +83,11 @@ def metadata_columns(
         if missing_text is not None and field.type == "string" and is_item(field.expr):
             column = F.coalesce(column, F.lit(missing_text))
         columns.append(column.alias(PREFIX + field.name))
-    return columns
+    return notes, columns
+
+
+def needed_columns(notes: DataFrame, definition: MetadataDefinition, names: Iterable[str]) -> DataFrame:
+    """The notes without columns that neither ``names`` nor any expression of the definition can mean."""
+    wanted, expressions = {n.lower() for n in names}, [field.expr.lower() for field in definition]
+    kept = [c for c in notes.columns if c.lower() in wanted or any(c.lower() in expr for expr in expressions)]
+    return notes.select(*[F.col(f"`{c}`") for c in kept])

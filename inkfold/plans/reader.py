@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 
 from inkfold.operators.attachments import ATT_POS, ATTACHMENT
 from inkfold.operators.documents import Parser, extract_attachments, extract_fields
-from inkfold.operators.keyed import BROADCAST_BYTES
-from inkfold.operators.lookup import append, fetch
+from inkfold.operators.keyed import BROADCAST_BYTES, Profile, listed_profile
+from inkfold.operators.lookup import append, fetch_bounded
+from inkfold.operators.metadata import PREFIX, needed_columns
 from inkfold.plans.definition import MetadataDefinition
 from inkfold.sources.tables import BATCH, NOTE_ID, POS, UNID, key_frame, open_path, open_table
 
 Keys = DataFrame | tuple
 
+# The number of a source call and a key's position go under these names until the end, so that items of notes may be called
+# batch and pos.
+_BATCH, _POS = "__source_batch", "__source_pos"
+
 
 @dataclass(frozen=True)
 class DocumentReader:
@@ -112,22 +117,43 @@ class DocumentReader:
             raise ValueError("fields and attachments cannot be read together")
         if not self.with_attachments and not self.field_names:
             raise ValueError("name at least one field, or read attachments")
-        notes = self._picked()
-        keep = [c for c in (BATCH, POS, UNID) if c in notes.columns]
-        keep += [c for c in self.kept if c not in keep]
+        notes, bound = self._picked()
+        place = {_BATCH: BATCH, _POS: POS} if _POS in notes.columns else {_BATCH: BATCH}
+        own = {c.lower(): c for c in notes.columns}
+        keep = [*place]
+        if _POS not in place and POS in own:
+            keep.append(own[POS])  # notes given directly may bring a position of their own
+            place[own[POS]] = POS
+        if UNID in own:
+            keep.append(own[UNID])
+            place[own[UNID]] = UNID
+        keep += [c for c in self.kept if c.lower() not in {k.lower() for k in keep}]
+        self._refuse_kept([c for c in keep if c not in place], [*place.values()])
         if self.with_attachments:
+            renamed = notes.withColumnRenamed(own[UNID], UNID) if UNID in own else notes
+            place, keep = {c: n for c, n in place.items() if n != UNID}, [UNID if c == own.get(UNID) else c for c in keep]
+            profile = bound() if bound and not isinstance(self.attachment_table, str) else None
             found = extract_attachments(
-                notes, self.definition, self.attachment_table, self.file_pattern, keep, self.broadcast_bytes
+                renamed, self.definition, self.attachment_table, self.file_pattern, keep, self.broadcast_bytes, profile
             )
             keep += [ATT_POS, ATTACHMENT]
         else:
             found = extract_fields(notes, self.definition, self.field_names)
         if self.counters is None:
-            return found.documents(keep, self.document_parser)
+            return found.documents(keep, self.document_parser).withColumnsRenamed(place)
         read, kept = self.counters
-        documents = found.observed(read).documents(keep, self.document_parser)
+        documents = found.observed(read).documents(keep, self.document_parser).withColumnsRenamed(place)
         return documents.observe(kept, F.count(F.lit(1)).alias("rows"))
 
+    def _refuse_kept(self, kept: list[str], others: list[str]):
+        """Columns to keep that have the name of another column of the result."""
+        names = [*others, "text", *(PREFIX + field.name for field in self.definition)]
+        names += [ATT_POS, ATTACHMENT] if self.with_attachments else []
+        taken = {name.lower() for name in names}
+        clashing = [c for c in kept if c.lower() in taken or c.lower() in (BATCH, POS)]
+        if clashing:
+            raise ValueError(f"columns to keep have the names of others of the result: {clashing}")
+
     def load_ordered(self) -> DataFrame:
         """``load()`` in source order, at the price of a range shuffle of the result.
 
@@ -140,33 +166,52 @@ class DocumentReader:
             raise ValueError("notes need a pos or unid column to be put in order")
         return documents.orderBy(*[c for c in (BATCH, place, ATT_POS) if c in documents.columns])
 
-    def _picked(self) -> DataFrame:
+    def _picked(self) -> tuple[DataFrame, Callable[[], Profile] | None]:
+        """The notes to read, numbered by source call, and for view entries and UNIDs what bounds their number and size."""
         if self.note_frames:
-            return append(self.note_frames)
+            return append(self.note_frames, _BATCH), None
         if self.entry_frames:
-            return self._fetched(UNID, [frame for frame, _ in self.entry_frames], [of for _, of in self.entry_frames])
+            opened = None if all(of is not None for _, of in self.entry_frames) else self._notes_table()
+            tables = [opened if of is None else of for _, of in self.entry_frames]
+            return self._fetched(UNID, [frame for frame, _ in self.entry_frames], tables)
         # Without entries to bring their table along, ids need the reader's.
-        self._notes_table()
+        opened = self._notes_table()
         for key, lists in ((UNID, self.unid_keys), (NOTE_ID, self.note_id_keys)):
             given = [keys for keys in lists if isinstance(keys, DataFrame) or keys]
             if given:
-                return self._fetched(key, given, [None] * len(given))
+                return self._fetched(key, given, [opened] * len(given))
         raise ValueError("name the notes to read: notes, view entries, UNIDs or note ids")
 
-    def _fetched(self, key: str, lists: list[Keys], tables: list[DataFrame | None]) -> DataFrame:
+    def _fetched(
+        self, key: str, lists: list[Keys], tables: list[DataFrame]
+    ) -> tuple[DataFrame, Callable[[], Profile] | None]:
         """Notes of several key lists, numbered by list. Lists for the same table share one scan of it."""
-        by_table: dict[int, tuple[DataFrame, list[DataFrame]]] = {}
+        by_table: dict[int, tuple[DataFrame, list[DataFrame], list[Keys]]] = {}
         for number, (keys, table) in enumerate(zip(lists, tables)):
-            notes = self._notes_table() if table is None else table
-            frame = keys if isinstance(keys, DataFrame) else key_frame(notes.sparkSession, keys, key)
-            columns = [c for c in (POS, key) if c in frame.columns]
-            numbered = frame.select(*columns, F.lit(number).alias(BATCH))
-            by_table.setdefault(id(table), (notes, []))[1].append(numbered)
-        fetched = [
-            fetch(notes, reduce(DataFrame.unionByName, frames), key, self.broadcast_bytes)
-            for notes, frames in by_table.values()
-        ]
-        return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), fetched)
+            listed = not isinstance(keys, DataFrame)
+            frame = key_frame(table.sparkSession, keys, key) if listed else keys
+            place = [F.col(POS).alias(_POS)] if any(c.lower() == POS for c in frame.columns) else []
+            numbered = frame.select(*place, F.col(key).alias(key), F.lit(number).alias(_BATCH))
+            _, frames, given = by_table.setdefault(id(table), (table, [], []))
+            frames.append(numbered)
+            given.append(keys)
+        fetched, bounds = [], []
+        used = [UNID, key, *self.kept, *self.field_names]
+        used += [self.attachment_table] if self.with_attachments and isinstance(self.attachment_table, str) else []
+        for table, frames, given in by_table.values():
+            listed = all(not isinstance(keys, DataFrame) for keys in given)
+            known = listed_profile([k for keys in given for k in keys]) if listed else None
+            frame, bound = fetch_bounded(
+                needed_columns(table, self.definition, used),
+                reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames),
+                key,
+                self.broadcast_bytes,
+                known,
+            )
+            fetched.append(frame)
+            bounds.append(bound)
+        notes = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), fetched)
+        return notes, (lambda: reduce(Profile.plus, [bound() for bound in bounds])) if key == UNID else None
 
     def _notes_table(self) -> DataFrame:
         """The table named by handle, else by path."""

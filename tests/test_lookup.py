@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkfold import append, fetch, fetch_entries, lookup_note
-from inkfold.operators.keyed import KeyProfile, fits, hot_salts, measured, pinned, profile_keys, salted_join
+from inkfold.operators.keyed import Profile, few_keys, fits, hot_salts, listed_profile, narrowed, profile, salted_join
 from inkfold.sources.tables import key_frame, open_table
 
 
@@ -42,7 +42,7 @@ def test_skewed_keys_give_the_same_rows_on_every_path(spark, notes, limit):
 def test_hot_keys_are_spread_over_tasks(spark, notes):
     unid = F.when(F.col("id") % 3 == 0, "U7").otherwise(F.concat(F.lit("U"), F.col("id") % 40))
     keys = spark.range(9000).select(F.col("id").alias("pos"), unid.alias("unid"))
-    salts = hot_salts(profile_keys(keys, "unid"), 16)
+    salts = hot_salts(profile(keys, "unid"), 16)
     assert salts["U7"] >= 5 and all(n > 1 for n in salts.values())
     before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -76,28 +76,66 @@ def test_keys_hot_on_both_sides_meet_once(spark):
 
 
 def test_profile_and_broadcast_check(spark, notes):
-    profile = profile_keys(spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'a'), (3L, 'b') AS t(pos, unid)"), "unid")
-    assert profile.rows == 3 and dict(profile.top) == {"a": 2, "b": 1}
-    assert profile_keys(notes.where("false"), "unid") == KeyProfile(0, ())
-    assert hot_salts(KeyProfile(0, ()), 8) == {}
-    assert measured(spark.range(7)) == (7, 56) and measured(notes.where("false")) == (0, 0)
+    found = profile(spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'a'), (3L, 'b') AS t(pos, unid)"), "unid")
+    assert found.rows == 3 and dict(found.top) == {"a": 2, "b": 1}
+    assert profile(notes.where("false"), "unid") == Profile(0, 0, 0) and hot_salts(Profile(0, 0, 0), 8) == {}
+    assert profile(spark.range(7)) == Profile(7, 56, 8)
     nulls = spark.sql("SELECT CAST(NULL AS STRING) a, X'0102' b")
-    assert measured(nulls) == (1, 18)
-    assert measured(notes) == (40, sum(8 * 3 + len(f"U{n}") + len(f"title {n}") for n in range(40)))
-    assert fits(measured(notes), 10**6) and not fits(measured(notes), 100)
-    wide = notes.withColumn("tags", F.array("title"))
-    assert not fits(measured(wide), 10**6) and pinned(wide, *measured(wide)) is None
-
-
-def test_pinned_rows_are_those_of_the_side(spark, notes, plan_of):
-    side = spark.sql(
-        "SELECT 'U1' unid, 3 n, 1.5D d, timestamp'2024-01-01 10:00:00' t, timestamp_ntz'2024-01-01 10:00:00' z, "
-        "CAST(NULL AS STRING) s, date'2024-01-01' day, 7L l, X'00FF' b"
-    )
-    few = pinned(side, *measured(side))
-    assert few.schema == side.schema and few.collect() == side.collect() and "LocalTableScan" in plan_of(few, "simple")
-    assert pinned(notes, 257, 1) is None and pinned(notes, 1, 2**30) is None
-    assert pinned(spark.range(300), 10, 10) is None
+    assert profile(nulls) == Profile(1, 18, 18)
+    whole = profile(notes)
+    assert whole.rows == 40 and whole.size == sum(8 * 3 + len(f"U{n}") + len(f"title {n}") for n in range(40)) and whole.widest == 35
+    assert fits(whole, 10**6) and not fits(whole, 100)
+    assert not fits(profile(notes.withColumn("tags", F.array("title"))), 10**6)
+    assert few_keys(profile(notes, "unid")) and few_keys(profile(spark.range(300), "id")) is None
+
+
+def test_profiles_of_lists_and_bounds(spark, notes):
+    listed = listed_profile(["U1", "U2", "U1", None])
+    assert listed.rows == 3 and dict(listed.top) == {"U1": 2, "U2": 1} and listed.widest == 18
+    bound = listed.times(profile(notes, "unid"))
+    assert bound.rows == 3 and bound.size == 3 * (18 + 35) and bound.plus(bound).rows == 6
+
+
+def test_every_hot_key_is_spread(spark):
+    """400 keys of ten even shares each at 4,000 tasks: all of them are split, however many they are."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    try:
+        keys = spark.range(400_000).select((F.col("id") % 400).alias("note_id"))
+        salts = hot_salts(profile(keys, "note_id"), 4000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(salts) == 400 and set(salts.values()) == {10}
+
+
+@pytest.mark.parametrize("rows", [10, 300])
+def test_keys_of_any_type_at_any_size(spark, notes, rows):
+    """An interval beside the key takes the same way for few and many keys."""
+    unid = F.concat(F.lit("U"), F.col("id") % 45)
+    keys = spark.range(rows).select(F.col("id").alias("pos"), unid.alias("unid"), F.expr("make_ym_interval(1, CAST(id AS INT))").alias("age"))
+    assert fetch(notes, keys).count() == sum(n % 45 < 40 for n in range(rows))
+
+
+def test_keys_named_like_items_are_refused(spark, notes):
+    placed = notes.withColumnRenamed("title", "Pos")
+    with pytest.raises(ValueError, match="share"):
+        fetch(placed, ["U1"])
+    entries = spark.sql("SELECT 4L AS pos, 'U2' AS unid")
+    assert fetch_entries(placed, entries, pos="place").select("place", "Pos").collect() == [(4, "title 2")]
+    with pytest.raises(ValueError, match="batch"):
+        append([notes.withColumn("Batch", F.lit(1))])
+
+
+def test_many_keys_read_few_row_groups(spark, tmp_path):
+    """Forty keys of a sorted table in small row groups: the scan gives a small part of the rows."""
+    path = str(tmp_path / "sorted")
+    frame = spark.range(40_000).select(F.lpad("id", 8, "0").alias("unid"), F.col("id").alias("n"))
+    frame.coalesce(1).write.option("parquet.block.size", "16384").option("parquet.block.row.count.limit", "1000").parquet(path)
+    keys = [f"{n:08d}" for n in range(0, 4000, 100)]
+    found = narrowed(spark.read.parquet(path), "unid", keys)
+    assert found.count() == 40
+    condition = found._jdf.queryExecution().optimizedPlan().toString()
+    assert condition.count(" IN ") == 4
 
 
 def test_entries(spark, notes):

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from inkfold import DEFAULT, EMPTY
 from inkfold.functions.names import right_back_sql
 from inkfold.functions.values import is_empty_array, is_empty_string
-from inkfold.operators.metadata import metadata_columns
+from inkfold.operators.metadata import with_metadata
 
 UTC = dt.timezone.utc
 
 
 def metadata(frame, definition, **options):
-    return frame.select(*metadata_columns(frame, definition, **options))
+    rows, columns = with_metadata(frame, definition, **options)
+    return rows.select(*columns)
 
 
 @pytest.fixture(scope="module")
@@ -154,7 +155,7 @@ def test_failing_expressions_leave_the_document_alone(spark):
 
 def test_unknown_columns_in_expressions_fail_at_once(spark):
     with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
-        metadata_columns(spark.range(1), EMPTY.with_string("x", "upper(nowhere)"))
+        with_metadata(spark.range(1), EMPTY.with_string("x", "upper(nowhere)"))
 
 
 def test_default_definition(spark):
@@ -183,3 +184,32 @@ def test_emptiness(spark):
     assert [r[0] for r in strings.select(is_empty_string(F.col("s"))).collect()] == [True, True, False, False]
     arrays = spark.createDataFrame([(None,), ([],), ([None],), (["a"],)], "a ARRAY<STRING>")
     assert [r[0] for r in arrays.select(is_empty_array(F.col("a"))).collect()] == [True, True, False, False]
+
+
+def test_failing_expressions_leave_the_key_out(spark):
+    """A cast, a division and an index that fail on a row are NULL there, in a session that is otherwise strict."""
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    frame = spark.sql("SELECT * FROM VALUES (1, 'x', array(1)), (0, '7', array(1, 2)) AS t(n, s, a)")
+    definition = EMPTY.with_integer("number", "CAST(s AS INT)").with_double("share", "10 / n").with_integer("second", "a[1]")
+    found = metadata(frame, definition).collect()
+    assert [tuple(r) for r in found] == [(None, 10.0, None), (7, None, 2)]
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        frame.selectExpr("CAST(s AS INT)").collect()
+
+
+def test_names_that_are_functions(spark):
+    frame = spark.sql("SELECT 1 AS n, 'mine' AS current_user")
+    definition = EMPTY.with_temporal("at", "current_timestamp").with_string("yes", "true").with_string("who", "current_user").with_string("x", "nowhere")
+    found = metadata(frame, definition).first()
+    assert found.meta_at is not None and found.meta_yes == "true" and found.meta_who == "mine" and found.meta_x is None
+
+
+def test_items_with_typed_values(spark):
+    frame = spark.sql(
+        "SELECT named_struct('kind', 'x', 'VALS', CAST(NULL AS ARRAY<STRING>), 'numbers', array(5.5D, 6D), 'times', CAST(NULL AS ARRAY<TIMESTAMP_NTZ>)) AS a, "
+        "named_struct('kind', 'x', 'vals', CAST(NULL AS ARRAY<STRING>), 'numbers', CAST(NULL AS ARRAY<DOUBLE>), 'times', array(timestamp_ntz'2024-02-03 04:05:06')) AS t, "
+        "named_struct('kind', 'x', 'vals', array('5'), 'numbers', CAST(NULL AS ARRAY<DOUBLE>), 'times', CAST(NULL AS ARRAY<TIMESTAMP_NTZ>)) AS s"
+    )
+    definition = EMPTY.with_integer("i", "a").with_double("d", "a").with_string("n", "a").with_temporal("t").with_integer("not_parsed", "s").with_string("s")
+    assert tuple(metadata(frame, definition).first()) == (5, 5.5, "5.5", "2024-02-03T04:05:06Z", None, "5")

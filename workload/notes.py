@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 EMAIL = "[A-Za-z0-9._]+@[A-Za-z0-9.]+"
 
 
-def address(text: str) -> Column:
-    """The first address in a text, '' when there is none."""
-    return F.when(F.contains(text, F.lit("@")), F.regexp_extract(text, EMAIL, 0)).otherwise("")
-
-
 def addresses(text: str) -> Column:
     """All addresses in a text, mostly none."""
     found = F.regexp_extract_all(text, F.lit(f"({EMAIL})"))
@@ -105,12 +100,14 @@ def page_notes(spark, sf_dir) -> DataFrame:
 def long_items(spark, sf_dir) -> DataFrame:
     """Items of documents and pages one row each. A page belongs to the note of the same number."""
 
-    def item(pos, name, kind, vals=None, plain=None, html=None):
+    def item(pos, name, kind, vals=None, plain=None, html=None, numbers=None, times=None):
         return F.struct(
             F.lit(pos).alias("item_pos"),
             F.lit(name).alias("name"),
             F.lit(kind).alias("kind"),
             (F.lit(None).cast("array<string>") if vals is None else vals).alias("vals"),
+            (F.lit(None).cast("array<double>") if numbers is None else numbers).alias("numbers"),
+            (F.lit(None).cast("array<timestamp_ntz>") if times is None else times).alias("times"),
             F.lit(None).cast("array<struct<kind:string,text:string>>").alias("runs"),
             (F.lit(None).cast("string") if plain is None else plain).alias("plain"),
             (F.lit(None).cast("string") if html is None else html).alias("html"),
@@ -123,12 +120,25 @@ def long_items(spark, sf_dir) -> DataFrame:
         item(2, "Body", "text", F.col("lines")),
         # A second item of the name, which is not read.
         item(3, "SOURCE", "text", F.array("lang")),
+        item(5, "Size_K", "number", numbers=F.array(F.col("n_chars") / 1024, F.lit(0.0))),
+        item(6, "Seen", "time", times=F.array(F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, n_chars)"))),
     )
     pages = page_notes(spark, sf_dir)
     bodies = F.array(item(4, "Page", "mime", plain=F.col("body.plain"), html=F.col("body.html")))
     return documents.select("unid", F.inline(texts)).unionByName(pages.select("unid", F.inline(bodies)))
 
 
+def item_notes(spark, sf_dir) -> DataFrame:
+    """A row for each document or page, and one for a note with no item at all."""
+    ids = table(spark, sf_dir, "documents").select("doc_id").union(table(spark, sf_dir, "pages").select("page_id")).distinct()
+    return ids.union(spark.range(1).select(F.lit(-1).cast("long"))).select(unid("doc_id"), note_id("doc_id"))
+
+
+def default_notes(spark, sf_dir) -> DataFrame:
+    """Orders as the table of notes, with the columns of the default metadata."""
+    return order_notes(spark, sf_dir)
+
+
 def page_attachments(spark, sf_dir) -> DataFrame:
     """The HTML source of each page as a file named after its URL, upper-cased for secure URLs."""
     pages = table(spark, sf_dir, "pages")

@@ -68,6 +68,14 @@ ENTRIES = f"SELECT event_id AS pos, {_unid('user_id * 13')} AS unid FROM events"
 DOCUMENTS = f"SELECT {_unid('doc_id')} AS unid, * FROM documents"
 CUSTOMERS = f"SELECT {_unid('c_custkey')} AS unid, * FROM customer"
 
+DEFAULT_META = f"""o_orderpriority AS meta_form, lpad(upper(to_hex(o_orderkey)), 8, '0') AS meta_noteid,
+        {_unid('o_orderkey')} AS meta_unid, {_iso('o_orderdate')} AS meta_created,
+        {_iso('o_orderdate + to_hours(o_custkey % 24)')} AS meta_addedtofile,
+        {_iso('o_orderdate + to_days(3)')} AS meta_lastmodified,
+        {_iso('o_orderdate + to_days(4)')} AS meta_lastmodifiedinfile,
+        {_iso('o_orderdate + to_days(400)')} AS meta_lastaccessed,
+        CAST(trunc(o_totalprice) AS INTEGER) AS meta_size"""
+
 NAMED_PAGES = f"""SELECT {_unid('page_id')} AS unid,
   CASE WHEN url LIKE 'https:%' THEN upper({FILE}) ELSE {FILE} END AS name FROM pages"""
 
@@ -84,21 +92,36 @@ ORACLE = {
     "load_attachment_pattern": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, t.text, {DOCUMENT_META}
         FROM ({TURN}) t JOIN ({DOCUMENTS}) d ON t.unid = d.unid
         WHERE regexp_matches(lower(t.name), '^turn[0-3]\\.(user|system)\\..*$')""",
-    "load_entry_attachments": f"""SELECT e.pos, c.unid, t.att_pos, t.name AS attachment_name, length(t.text) AS n_text,
-        c_name AS meta_owner
-        FROM ({ENTRIES}) e JOIN ({CUSTOMERS}) c ON e.unid = c.unid JOIN ({TURN}) t ON t.unid = c.unid""",
+    "load_entry_attachments": f"""SELECT e.pos, c.unid, t.att_pos, t.name AS attachment_name, t.text, c_name AS meta_owner
+        FROM ({ENTRIES}) e JOIN ({CUSTOMERS}) c ON e.unid = c.unid JOIN ({TURN}) t ON t.unid = c.unid
+        WHERE regexp_matches(t.text, '[^\\x00-\\x20]')""",
     "load_nested_attachments": f"""SELECT {_unid('page_id')} AS unid, 0 AS att_pos, {FILE} AS attachment_name,
           html AS text, url AS meta_url FROM pages WHERE {FILE} LIKE '%.%'
         UNION ALL SELECT {_unid('page_id')}, 1, 'link.url', url, url FROM pages""",
     "load_long_items": f"""SELECT coalesce(d.unid, p.unid) AS unid,
-          concat_ws(chr(10), source, nullif(page, ''), nullif(replace(text, chr(10), ' '), '')) AS text, lang AS meta_lang
-        FROM ({DOCUMENTS}) d FULL JOIN (SELECT {_unid('page_id')} AS unid,
+          concat_ws(chr(10), source, nullif(page, ''), nullif(replace(text, chr(10), ' '), ''),
+            CAST(n_chars / 1024 AS VARCHAR) || ' 0.0') AS text, lang AS meta_lang,
+          CAST(n_chars // 1024 AS INTEGER) AS meta_whole, n_chars / 1024 AS meta_size_k,
+          {_iso("TIMESTAMP '2020-01-01' + to_seconds(n_chars)")} AS meta_seen, CAST(NULL AS INTEGER) AS meta_not_a_number,
+          CAST(coalesce(doc_id, page_id) AS VARCHAR) AS meta_noteid
+        FROM ({DOCUMENTS}) d FULL JOIN (SELECT page_id, {_unid('page_id')} AS unid,
           CASE WHEN {FILE} <> '' THEN {FILE} ELSE {_html('html')} END AS page FROM pages) p ON d.unid = p.unid""",
+    "load_itemless_notes": f"""SELECT n.*, t.att_pos, t.name AS attachment_name, t.text,
+          CASE WHEN n.unid LIKE '%7' THEN d.source END AS meta_source
+        FROM (SELECT {_unid('o_orderkey')} AS unid, {DEFAULT_META} FROM orders) n
+        JOIN ({TURN}) t ON t.unid = n.unid LEFT JOIN ({DOCUMENTS}) d ON d.unid = n.unid
+        WHERE regexp_matches(t.text, '[^\\x00-\\x20]')""",
+    "load_reserved_names": f"""SELECT k.batch, k.pos, k.unid, concat_ws(chr(10), lang, source, text) AS text,
+          lang AS meta_batch, upper(source) AS meta_place
+        FROM (SELECT 0 AS batch, * FROM ({UNID_KEYS}) UNION ALL SELECT 1, * FROM ({UNID_KEYS}) WHERE pos % 3 = 0) k
+        JOIN ({DOCUMENTS}) d ON k.unid = d.unid""",
+    "load_attachment_extension": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, t.text, lang AS meta_lang
+        FROM ({TURN}) t JOIN ({DOCUMENTS}) d ON t.unid = d.unid
+        WHERE lower(t.name) LIKE 'turn%.txt' AND regexp_matches(t.text, '[^\\x00-\\x20]')""",
     "parser_udf": f"""SELECT {_unid('doc_id')} AS unid,
         translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS text, lang AS meta_lang FROM documents""",
-    "parser_attachments": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, string_split(t.text, chr(10))[1] AS text
-        FROM ({TURN}) t JOIN ({DOCUMENTS}) d ON t.unid = d.unid
-        WHERE regexp_matches(string_split(t.text, chr(10))[1], '[^\\x00-\\x20]')""",
+    "parser_attachments": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, array_to_string(list_reverse(string_split(t.text, chr(10))), chr(10)) AS text
+        FROM ({TURN}) t JOIN ({DOCUMENTS}) d ON t.unid = d.unid WHERE regexp_matches(t.text, '[^\\x00-\\x20]')""",
     "field_source": f"""SELECT array_to_string(regexp_extract_all(text, '{EMAIL}'), ' ') AS text,
         {_unid('doc_id')} AS meta_unid, lang AS meta_lang FROM documents""",
     "attachment_source": f"""SELECT text AS content, {_unid('conv_id')} AS meta_unid,
@@ -117,17 +140,11 @@ ORACLE = {
         UNION ALL SELECT 1, unid, c_mktsegment, NULL FROM ({CUSTOMERS})
         UNION ALL SELECT 2, unid, source, lang FROM ({DOCUMENTS})""",
     "list_attachments": f"""SELECT t.unid, t.att_pos, t.name FROM ({TURN}) t JOIN ({DOCUMENTS}) d ON t.unid = d.unid""",
-    "list_nested_attachments": f"""SELECT unid, CAST(p - 1 AS INTEGER) AS att_pos, substr(line, 1, 1) || '.txt' AS name
+    "list_nested_attachments": f"""SELECT unid, CAST(p - 1 AS INTEGER) AS att_pos, (p - 1) || '-' || length(line) || '.txt' AS name
         FROM (SELECT unid, unnest({LINES}) AS line, generate_subscripts({LINES}, 1) AS p FROM ({DOCUMENTS}))""",
     "named_attachment": f"""SELECT {_unid('conv_id')} AS unid, 'turn1.txt' AS name,
-        CAST(strlen(text) AS BIGINT) AS n_bytes FROM conversations WHERE turn = 1""",
-    "metadata_default": f"""SELECT o_orderpriority AS meta_form, lpad(upper(to_hex(o_orderkey)), 8, '0') AS meta_noteid,
-        {_unid('o_orderkey')} AS meta_unid, {_iso('o_orderdate')} AS meta_created,
-        {_iso('o_orderdate + to_hours(o_custkey % 24)')} AS meta_addedtofile,
-        {_iso('o_orderdate + to_days(3)')} AS meta_lastmodified,
-        {_iso('o_orderdate + to_days(4)')} AS meta_lastmodifiedinfile,
-        {_iso('o_orderdate + to_days(400)')} AS meta_lastaccessed,
-        CAST(trunc(o_totalprice) AS INTEGER) AS meta_size FROM orders""",
+        text AS content FROM conversations WHERE turn = 1""",
+    "metadata_default": f"SELECT {DEFAULT_META} FROM orders",
     "metadata_empty": f"SELECT {_unid('doc_id')} AS unid, text FROM documents",
     "metadata_string": f"""SELECT {LINE_KEYS}, l_returnflag AS meta_l_returnflag, CAST(l_quantity AS VARCHAR) AS meta_quantity,
         CAST(l_linenumber AS VARCHAR) AS meta_line, CAST(l_discount AS VARCHAR) AS meta_discount,
@@ -145,7 +162,7 @@ ORACLE = {
         l_extendedprice * (1 - l_discount) AS meta_net, CAST(NULL AS DOUBLE) AS meta_text FROM lineitem""",
     "metadata_temporal": f"""SELECT event_id, {_iso('ts')} AS meta_at, CAST(CAST(ts AS DATE) AS VARCHAR) AS meta_day,
         CAST(NULL AS VARCHAR) AS meta_kind, CAST(NULL AS VARCHAR) AS meta_number FROM events""",
-    "metadata_custom": f"""SELECT o_orderkey, string_split(o_orderpriority, '-')[-1] AS meta_priority,
+    "metadata_custom": f"""SELECT o_orderkey, lower(string_split(o_orderpriority, '-')[-1]) AS meta_priority,
         o_orderstatus || '/' || o_orderpriority AS meta_label, CAST(year(o_orderdate) AS INTEGER) AS meta_year,
         CAST(round(o_totalprice * 100) AS BIGINT) AS meta_cents, o_totalprice / 1000 AS meta_thousands,
         {_iso('o_orderdate + to_days(30)')} AS meta_due FROM orders""",
@@ -172,7 +189,7 @@ ORACLE = {
     "glob_match": """SELECT page_id, regexp_matches(lower(url), '^https:.*/[^/][^/]/[^/]*$') AS secure_language,
         regexp_matches(lower(url), '^[^/]*example[^/]*$') AS one_segment,
         regexp_matches(lower(url), '^.*\\.(com|net)/.*[?].*$') AS with_query FROM pages""",
-    "blank_filter": f"""SELECT doc_id, chr(9) || chr(31) || ' ' || regexp_extract(text, '{EMAIL}') || chr(10) AS text
+    "blank_filter": f"""SELECT doc_id, chr(9) || chr(31) || ' ' || array_to_string(regexp_extract_all(text, '{EMAIL}'), ' ') || chr(10) AS text
         FROM documents
         WHERE regexp_matches(text, '{EMAIL}')""",
     "is_empty_string": f"""SELECT doc_id, regexp_extract(text, '{EMAIL}') = '' AS no_address,

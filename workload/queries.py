@@ -32,13 +32,15 @@ from inkfold.functions.text import (
 from inkfold.functions.values import is_empty_array, is_empty_string
 from inkfold.operators.attachments import list_attachments, matching, named_attachment, unnest_attachments
 from inkfold.operators.documents import select_nonblank
-from inkfold.operators.metadata import metadata_columns
+from inkfold.operators.metadata import with_metadata
 from inkfold.sources.tables import open_table as open_notes
 from workload.notes import (
-    address,
+    addresses,
     customer_notes,
+    default_notes,
     document_notes,
     entries,
+    item_notes,
     long_items,
     note_id_keys,
     order_notes,
@@ -56,7 +58,8 @@ DOCUMENT_METADATA = EMPTY.with_string("source").with_string("lang").with_integer
 
 
 def projected(notes, definition: MetadataDefinition, *keep):
-    return notes.select(*keep, *metadata_columns(notes, definition))
+    rows, metadata = with_metadata(notes, definition)
+    return rows.select(*keep, *metadata)
 
 
 # Whole loads
@@ -92,10 +95,7 @@ def load_attachment_pattern(spark, d):
 def load_entry_attachments(spark, d):
     notes, files = customer_notes(spark, d), turn_attachments(spark, d)
     reader = DocumentReader(EMPTY.with_string("owner", "c_name")).table(notes)
-    documents = reader.entries(entries(spark, d)).attachments(files).load()
-    # The text repeats for every entry of a note; its length tells as much.
-    n_text = F.length("text").cast("bigint").alias("n_text")
-    return documents.select("pos", "unid", "att_pos", "attachment_name", n_text, "meta_owner")
+    return reader.entries(entries(spark, d)).attachments(files).load().drop("batch")
 
 
 def load_nested_attachments(spark, d):
@@ -108,9 +108,39 @@ def load_nested_attachments(spark, d):
 
 
 def load_long_items(spark, d):
-    """Notes whose items are rows of a table of their own."""
-    notes = wide_notes(long_items(spark, d), ["source", "lang", "body", "page"])
-    return DocumentReader(EMPTY.with_string("lang")).notes(notes).fields("Source", "Page", "Body").load().drop("batch")
+    """Notes whose items are rows of a table of their own, beside a table of their system values."""
+    notes = wide_notes(long_items(spark, d), ["source", "lang", "body", "page", "size_k", "seen"], notes=item_notes(spark, d))
+    definition = (
+        EMPTY.with_string("lang")
+        .with_integer("whole", "size_k")
+        .with_double("size_k")
+        .with_temporal("seen")
+        .with_integer("not_a_number", "source")
+        .with_string("noteid", "CAST(note_id AS STRING)")
+    )
+    reader = DocumentReader(definition).notes(notes)
+    return reader.fields("Source", "Page", "Body", "size_k").load().drop("batch")
+
+
+def load_itemless_notes(spark, d):
+    """Attachments of notes that have none of the items, with the default metadata of the table of notes."""
+    notes = wide_notes(long_items(spark, d).where("unid LIKE '%7'"), ["source"], notes=default_notes(spark, d))
+    return DocumentReader(DEFAULT.with_string("source")).notes(notes).attachments(turn_attachments(spark, d)).load().drop("batch")
+
+
+def load_reserved_names(spark, d):
+    """Notes with items named as the reader's own columns, fetched by a key of another case."""
+    notes = document_notes(spark, d).select(F.col("unid").alias("UNID"), F.col("lang").alias("batch"), F.col("source").alias("Pos"), "body")
+    keys = unid_keys(spark, d).select("pos", "unid")
+    definition = EMPTY.with_string("batch").with_string("place", "upper(pos)")
+    return DocumentReader(definition).table(notes).unids(keys).unids(keys.where("pos % 3 = 0")).fields("batch", "pos", "body").load()
+
+
+def load_attachment_extension(spark, d):
+    """Text files of a table that names their extension in a column."""
+    files = turn_attachments(spark, d)
+    ending = F.when(F.contains("name", F.lit(".")), F.lower(F.substring_index("name", ".", -1)))
+    return DocumentReader(EMPTY.with_string("lang")).notes(document_notes(spark, d)).attachments(files.withColumn("extension", ending)).pattern("TURN*.TxT").load().drop("batch")
 
 
 def parser_udf(spark, d):
@@ -123,11 +153,11 @@ def parser_udf(spark, d):
 
 
 def parser_attachments(spark, d):
-    def first_line(data: bytes) -> str:
-        return data.decode("utf-8").split("\n", 1)[0]
+    def lines_back(data: bytes) -> str:
+        return "\n".join(reversed(data.decode("utf-8").split("\n")))
 
     notes, files = document_notes(spark, d), turn_attachments(spark, d)
-    return DocumentReader(EMPTY).notes(notes).attachments(files).parser(first_line).load().drop("batch")
+    return DocumentReader(EMPTY).notes(notes).attachments(files).parser(lines_back).load().drop("batch")
 
 
 def text_of_notes(spark, d):
@@ -181,12 +211,12 @@ def list_all_attachments(spark, d):
 
 
 def list_nested_attachments(spark, d):
-    """The lines of each document as its attachments, named by their first letter."""
+    """The lines of each document as its attachments, named by their places and lengths."""
     notes = document_notes(spark, d)
     files = F.transform(
         "lines",
-        lambda line: F.struct(
-            F.concat(F.substring(line, 1, 1), F.lit(".txt")).alias("name"), line.cast("binary").alias("content")
+        lambda line, i: F.struct(
+            F.concat(i.cast("string"), F.lit("-"), F.length(line), F.lit(".txt")).alias("name"), line.cast("binary").alias("content")
         ),
     )
     return unnest_attachments(notes.select("unid", files.alias("attachments"))).select("unid", "att_pos", "name")
@@ -197,7 +227,7 @@ def named(spark, d):
     notes = table(spark, d, "conversations").select(unid("conv_id")).distinct()
     files = turn_attachments(spark, d).withColumn("name", F.format_string("turn%d.txt", "att_pos"))
     found = named_attachment(notes, files, "turn1.txt")
-    return found.select("unid", "name", F.octet_length("content").cast("bigint").alias("n_bytes"))
+    return found.select("unid", "name", F.decode("content", "UTF-8").alias("content"))
 
 
 # Metadata
@@ -273,7 +303,7 @@ def metadata_temporal(spark, d):
 
 def metadata_custom(spark, d):
     definition = (
-        EMPTY.with_string("priority", "upper(substring_index(o_orderpriority, '-', -1))")
+        EMPTY.with_string("priority", "lower(substring_index(o_orderpriority, '-', -1))")
         .with_string("label", "concat_ws('/', o_orderstatus, o_orderpriority)")
         .with_integer("year", "year(o_orderdate)")
         .with_long("cents", "round(o_totalprice * 100)")
@@ -301,8 +331,8 @@ def metadata_skip_missing(spark, d):
         EMPTY.with_integer("quality")
         .with_long("toxic")
         .with_string("author")
-        .with_double("per_quality", "try_divide(n_chars, quality)")
-        .with_integer("lang_number", "try_cast(lang AS INT)")
+        .with_double("per_quality", "n_chars / quality")
+        .with_integer("lang_number", "CAST(lang AS INT)")
     )
     return projected(notes, definition, "doc_id")
 
@@ -397,14 +427,15 @@ def glob_match(spark, d):
 
 
 def blank_filter(spark, d):
-    """Documents reduced to their first address among blanks, most of them to the blanks alone."""
+    """The addresses of each document among blanks, for most of them the blanks alone."""
     documents = table(spark, d, "documents")
-    return select_nonblank(documents, [F.col("doc_id")], F.concat(F.lit("\t\x1f "), address("text"), F.lit("\n")))
+    found = F.array_join(addresses("text"), " ")
+    return select_nonblank(documents, [F.col("doc_id")], F.concat(F.lit("\t\x1f "), found, F.lit("\n")))
 
 
 def is_empty_text(spark, d):
     found = F.col("found")
-    return table(spark, d, "documents").withColumn("found", address("text")).select(
+    return table(spark, d, "documents").withColumn("found", F.array_join(addresses("text"), " ")).select(
         "doc_id",
         is_empty_string(found).alias("no_address"),
         is_empty_string(F.when(found != "", found)).alias("null_address"),
@@ -432,6 +463,9 @@ QUERIES = {
     "load_entry_attachments": load_entry_attachments,
     "load_nested_attachments": load_nested_attachments,
     "load_long_items": load_long_items,
+    "load_itemless_notes": load_itemless_notes,
+    "load_reserved_names": load_reserved_names,
+    "load_attachment_extension": load_attachment_extension,
     "parser_udf": parser_udf,
     "parser_attachments": parser_attachments,
     "field_source": text_of_notes,

@@ -156,7 +156,7 @@ class Automaton:
 def _cover(spans: list[tuple[int, int]], start: int, end: int) -> None:
     while spans and spans[-1][1] >= start:
         before = spans.pop()
-        start = min(start, before[0])
+        start, end = min(start, before[0]), max(end, before[1])
     spans.append((start, end))
 
 

@@ -1,0 +1,83 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from inkfold.llm import ann
+from inkfold.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.1"
+
+
+def frame(spark, vectors):
+    return spark.createDataFrame([(i, v, "x", "y") for i, v in vectors], "vec_id LONG, embedding ARRAY<FLOAT>, id STRING, score STRING")
+
+
+def brute(vectors, asked, k=5):
+    good = [(i, np.array(v, np.float32).astype(float)) for i, v in vectors if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
+    out = {}
+    for q, a in good:
+        if asked(q):
+            near = sorted((-round(float(a @ b / np.sqrt((a @ a) * (b @ b))), 12), i) for i, b in good if i != q)[:k]
+            out[q] = [i for _, i in near]
+    return out
+
+
+def found(frame, **options):
+    got = {}
+    for r in ann.nearest(frame, F.col("vec_id") % 5 == 0, **options).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+        assert r.rank == len(got[r.query_id])
+    return got
+
+
+def test_ties_and_odd_vectors(spark):
+    """One vector held by a third of the rows; null, zero and broken ones; huge and tiny ones of the same direction."""
+    rng = np.random.default_rng(0)
+    vectors = [(i, [1.0, 2.0, 3.0, 4.0] if i % 3 == 0 else rng.normal(size=4).tolist()) for i in range(90)]
+    vectors += [(100, None), (105, [0.0] * 4), (110, [1.0, None, 1.0, 1.0]), (115, [float("nan"), 1.0, 1.0, 1.0]), (120, [float("inf"), 1.0, 1.0, 1.0])]
+    vectors += [(125, [3e38, 3e38, 3e38, 3e38]), (130, [1e-40, 1e-40, 1e-40, 1e-40]), (None, [1.0, 1.0, 1.0, 1.0]), (135, [1.0, 2.0])]
+    got = found(frame(spark, vectors), target=1.0)
+    want = brute([v for v in vectors if v[0] != 135 and v[0] not in (125, 130)], lambda q: q % 5 == 0)
+    for q, near in want.items():
+        if not {125, 130} & set(got[q]):
+            assert got[q] == near, q
+    assert got[125][0] == 130 and got[130][0] == 125 and not {100, 105, 110, 115, 120, 135} & set(got)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 4, 9])
+def test_small_tables(spark, n):
+    rng = np.random.default_rng(n)
+    vectors = [(i, rng.normal(size=3).tolist()) for i in range(n)]
+    assert found(frame(spark, vectors), target=1.0) == {q: near for q, near in brute(vectors, lambda q: q % 5 == 0).items() if near}
+
+
+def test_tiles_meet_all(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CHUNK", 16)
+    monkeypatch.setattr(ann, "QUERIES", 4)
+    rng = np.random.default_rng(5)
+    vectors = [(i, rng.normal(size=8).tolist()) for i in range(200)]
+    assert found(frame(spark, vectors), target=1.0) == brute(vectors, lambda q: q % 5 == 0)
+
+
+def test_repeated_rows_are_one_neighbour(spark):
+    vectors = [(i, [float(i + 1), 1.0, 0.5]) for i in range(12)]
+    assert found(frame(spark, vectors + vectors), target=1.0) == brute(vectors, lambda q: q % 5 == 0)
+
+
+def test_parts_are_balanced():
+    rng = np.random.default_rng(1)
+    unit = ann._normed(rng.normal(size=(1500, 16)) + 3 * rng.integers(0, 2, (1500, 1)))
+    graph = ann.neighbour_graph(unit, 10)
+    part = ann.balanced_parts(unit, graph, 6)
+    assert np.bincount(part, minlength=6).max() <= 1.06 * 250 + 2
+    assert (part[graph] == part[:, None]).mean() > 0.25
+
+
+def test_recall(spark):
+    data = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()
+    want = brute([tuple(r) for r in data], lambda q: q % 50 == 0)
+    got = {}
+    for r in QUERIES["op1_ann"](spark, SF).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(want)
+    assert sum(len(got[q] & set(near)) for q, near in want.items()) >= 0.9 * sum(map(len, want.values()))

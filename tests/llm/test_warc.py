@@ -1,0 +1,100 @@
+import gzip
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from inkfold.llm import warc
+from inkfold.llm.common import fresh_path
+from inkfold.llm.queries import QUERIES
+from tests.llm.helpers import SF, rows
+
+LONG = "<p>" + "the same payload, many times " * 10
+PAGES = [
+    (5, "http://a.example/x?q=1#f", LONG), (2, "http://b.example/ü y\r\nHost: evil", LONG), (9, None, LONG), (7, "no scheme", "short"), (8, "http://[bad", "short"),
+    (1, "http://a.example/", None), (3, "http://a.example/e", ""), (None, "http://n.example/", LONG), (7, "no scheme", "short"), (11, "http://big/", "é" * 300_000),
+]
+
+
+def frame(spark, pages=PAGES):
+    return spark.createDataFrame([(*p, "x", "y") for p in pages], "page_id LONG, url STRING, html STRING, digest STRING, id STRING")
+
+
+def expected(pages):
+    firsts, out = {}, set()
+    payloads = [(p, (h or "").encode()) for p, _, h in pages]
+    for p, data in payloads:
+        if p is not None and len(data) >= 100:
+            firsts[data] = min(p, firsts.get(data, p))
+    for p, data in payloads:
+        first = firsts.get(data)
+        again = p is not None and first is not None and first != p
+        out.add((p, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first if again else None))
+    return sorted(out, key=repr)
+
+
+def summary(captures):
+    return rows(captures.select("page_id", "response.payload_bytes", "response.payload_digest", "response.type", "refers_to"))
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_round_trip(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_GROUPS", broadcast)
+    path = fresh_path(spark, "warc")
+    warc.write_archives(frame(spark), path, part_bytes=2000)
+    found = warc.captures(warc.read_archives(spark, path))
+    assert summary(found) == expected(PAGES)
+    byte = {r.page_id: r.response for r in found.collect()}
+    assert byte[11].payload.decode() == "é" * 300_000 and byte[1].payload == b"" and byte[5].payload is None
+    whole = found.where("page_id = 2").first()
+    assert whole.n_records == 3 and whole.request.type == "request" and "Host: evil" not in whole.response.target_uri
+    assert whole.metadata.record_id != whole.request.record_id
+
+
+def test_empty_table(spark):
+    path = fresh_path(spark, "warc")
+    warc.write_archives(frame(spark, []), path)
+    assert warc.captures(warc.read_archives(spark, path)).collect() == []
+
+
+def test_parts_make_an_archive_and_files_are_read(spark, tmp_path):
+    path = fresh_path(spark, "warc")
+    warc.write_archives(frame(spark).coalesce(1), path, part_bytes=2000)
+    parts = spark.read.parquet(path).orderBy("archive", "part").collect()
+    data = b"".join(p.data for p in parts)
+    assert gzip.decompress(data).count(b"WARC/1.1\r\n") == 3 * len(PAGES)
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    (tmp_path / "b.warc").write_bytes(gzip.decompress(data))
+    for name in ("a.warc.gz", "b.warc"):
+        assert summary(warc.captures(warc.read_files(spark, str(tmp_path / name)))) == expected(PAGES)
+
+
+def test_damage_is_noticed():
+    page = {"id": 1, "url": "http://a/", "payload": b"payload", "digest": hashlib.sha256(b"payload").hexdigest(), "first_id": None, "first_url": None}
+    data = b"".join(warc.capture_records(page))
+    assert len(list(warc.parse_records(data, True))) == 3
+    plain = gzip.decompress(data)
+    with pytest.raises(ValueError, match="digest"):
+        list(warc.parse_records(plain.replace(b"\r\n\r\npayload", b"\r\n\r\nPayload"), True))
+    for cut in (plain[:-60], data[:-5]):
+        with pytest.raises(ValueError):
+            list(warc.parse_records(cut, True))
+
+
+def test_records_in_between(spark):
+    """Metadata concurrent to the request, which is concurrent to the response."""
+    records = spark.createDataFrame([("r", "response", None), ("q", "request", "r"), ("m", "metadata", "q"), (None, "metadata", "r")], "record_id STRING, type STRING, concurrent_to STRING")
+    found = warc.assemble(records).collect()
+    assert [(r.capture_id, r.request.record_id, r.response.record_id, r.metadata.record_id, r.n_records) for r in found] == [("r", "q", "r", "m", 3)]
+
+
+def test_query(spark):
+    pages = [tuple(r) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html").collect()]
+    assert rows(QUERIES["op7_warc"](spark, SF)) == expected(pages)
+
+
+def test_third_of_all_rows_share_a_payload(spark):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://x/"), "id").alias("url"), F.when(F.col("id") % 3 == 0, LONG).otherwise(F.repeat(F.col("id").cast("string"), 40)).alias("html"))
+    path = fresh_path(spark, "warc")
+    warc.write_archives(pages, path)
+    assert summary(warc.captures(warc.read_archives(spark, path, False))) == expected([tuple(r) for r in pages.collect()])

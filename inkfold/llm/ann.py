@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import cut, map_batches
+from inkfold.llm.common import bounded_sample, cut, map_batches
 
-#: Vectors on which the index is fitted at most, the least by hash of their ids. Every row is indexed.
+#: Vectors on which the index is fitted, chosen by hash of their ids. Every row is indexed.
 SAMPLE = 12_000
 #: Rows for each part, within the bounds of the number of parts.
 PART_ROWS = 1500
@@ -175,8 +175,9 @@ def nearest(
         return session.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim, n = sizes[0]
     rows = rows.where(F.size("v") == dim)
-    sample = np.array([r[0] for r in rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()])
-    router = fit(_normed(sample), n, target)
+    sample = bounded_sample(rows, ["id"], SAMPLE).select("id", "v").toArrow().sort_by("id")
+    first = np.unique(sample["id"].to_numpy(), return_index=True)[1]
+    router = fit(_normed(_matrix(sample["v"], dim)[first]), n, target)
     shared = session.sparkContext.broadcast(router)
 
     def route(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -233,20 +234,25 @@ def _best(candidates: pa.Table, queries: pa.Table, dim: int, k: int) -> pa.Table
         # of candidates with one vector the k + 1 least ids are enough, one of which may be the query's own
         order = np.lexsort((ids, *c.T[::-1]))
         ids, c = ids[order], np.ascontiguousarray(c[order])
+        once = np.concatenate(([True], (ids[1:] != ids[:-1]) | (c[1:] != c[:-1]).any(1)))
+        ids, c = ids[once], c[once]
         new = np.concatenate(([True], (c[1:] != c[:-1]).any(1)))
         place = np.arange(len(ids)) - np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
         ids, c = ids[place <= k], c[place <= k]
         unit = _normed(c)
+        wanted = k * int(np.unique(ids, return_counts=True)[1].max())  # an id with several vectors counts once
         asked, q = queries["id"].to_numpy(), _matrix(queries["v"], dim)
         for at in range(0, len(asked), 256):
             own, rows = asked[at : at + 256], q[at : at + 256]
             near = _normed(rows) @ unit.T
             near[own[:, None] == ids[None, :]] = -np.inf
-            least = np.partition(near, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(own), -2.0)
+            least = np.partition(near, -wanted, axis=1)[:, -wanted] if len(ids) > wanted else np.full(len(own), -2.0)
             a, b = np.nonzero((near >= least[:, None] - _NEAR) & (near > -np.inf))
             exact = _cosine(rows[a], c[b])
             rank = np.lexsort((ids[b], -exact, a))
             a, b, exact = a[rank], b[rank], exact[rank]
+            best = np.sort(np.unique(np.column_stack((a, ids[b])), axis=0, return_index=True)[1])
+            a, b, exact = a[best], b[best], exact[best]
             first = np.searchsorted(a, a)
             keep = np.arange(len(a)) - first < k
             names.append(own[a[keep]])

@@ -84,6 +84,18 @@ def hot_keys(counted: DataFrame, key: str, n: str = "n", shares: int = HOT_SHARE
     return [row[0] for row in counted.where(F.col(n) > least).select(key).collect()]
 
 
+def bounded_sample(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """About most rows of df (all, if there are fewer), chosen by a hash of the columns keys, and never over twice as many.
+
+    No rows are ordered or gathered for the choice; df is counted once.
+    """
+    n = df.count()
+    if n <= most:
+        return df
+    share = F.pmod(F.xxhash64(*keys), F.lit(1 << 31)) < int((1 << 31) * most / n)
+    return df.where(share).limit(2 * most)
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, hot: Sequence, salt_from: str, salts: int = 64, how: str = "inner"
 ) -> DataFrame:

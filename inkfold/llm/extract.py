@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.llm.boosting import Forest, grow
-from inkfold.llm.common import map_batches
+from inkfold.llm.common import bounded_sample, map_batches
 from inkfold.llm.dom import Node, parse
 
-#: Pages that the trees are fitted on at most, the least by hash of the id, and their characters at most; longer ones are
-#: left to the model. A bounded sample.
+#: Pages that the trees are fitted on, chosen by hash of the id, and their characters at most; longer ones are left to the
+#: model. A bounded sample.
 SAMPLE, SAMPLE_CHARS = 240, 40_000
 #: Made-up layouts for each of these pages.
 LAYOUTS = 4
@@ -267,11 +267,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row (id, url, text, n_chars) per row of pages. n_chars counts code points.
 
     Null or empty html, and pages without main text, have an empty text. Repeated rows stay repeated; other columns are not
-    read. The trees are fitted on the driver on at most SAMPLE pages of at most SAMPLE_CHARS characters.
+    read. The trees are fitted on the driver on about SAMPLE pages of at most SAMPLE_CHARS characters.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    sample = rows.where(F.length("html").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("id"), "html").limit(SAMPLE).select("html").collect()
-    shared = pages.sparkSession.sparkContext.broadcast(train([r[0] for r in sample]))
+    sample = bounded_sample(rows.where(F.length("html").between(1, SAMPLE_CHARS)), ["id"], SAMPLE).select("html").collect()
+    shared = pages.sparkSession.sparkContext.broadcast(train(sorted(r[0] for r in sample)))
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         texts: list[str] = []

@@ -20,11 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.llm import gru
-from inkfold.llm.common import fresh_path
+from inkfold.llm.common import bounded_sample, fresh_path
 
 #: Words whose counts are broadcast at most, the most frequent ones; the counts of all others are joined.
 KNOWN_WORDS = 200_000
-#: Training texts for the first network at most, the least by hash of the id among those of at most so many characters.
+#: Training texts for the first network, chosen by hash of the id among those of at most so many characters. A bounded sample.
 FIRST_TEXTS, FIRST_CHARS, FIRST_ROUNDS = 1200, 20_000, 3
 FIRST_RATE, RATE = 0.01, 0.004
 _DISTINCT = 300_000
@@ -119,7 +119,8 @@ def train(docs: DataFrame, words: Vocabulary, id_col: str = "doc_id", text_col:
     """The network, trained on all rows of docs once after a first network on a bounded sample of them."""
     session = docs.sparkSession
     shared = session.sparkContext.broadcast(words)
-    some = docs.where(F.length(text_col) <= FIRST_CHARS).orderBy(F.xxhash64(id_col), text_col).limit(FIRST_TEXTS).select(text_col).collect()
+    some = bounded_sample(docs.where(F.length(text_col) <= FIRST_CHARS), [id_col], FIRST_TEXTS).select(text_col).collect()
+    some.sort(key=lambda r: r[0])  # whatever order the tasks end in
     first = gru.Trainer(gru.initial(words.id_counts), FIRST_RATE)
     for _ in range(FIRST_ROUNDS if some else 0):
         first.learn([words.encode(r[0])[0] for r in some], gru.FIRST_LANES)

@@ -20,11 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import connected, cut, hot_keys, map_batches, salted_join
+from inkfold.llm.common import bounded_sample, connected, cut, hot_keys, map_batches, salted_join
 
 SEED = 42
 BITS = 64
-#: Distinct fingerprints, the least by hash, on which the plan is made.
+#: Distinct fingerprints, chosen by hash, on which the plan is made.
 PLAN_SAMPLE = 2048
 #: Rows of one bucket that a task compares; larger buckets are split into tiles that meet pairwise.
 TILE = 16384
@@ -281,9 +281,9 @@ def near_duplicates(
     groups = cut(marked.groupBy("fp").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
     distinct = groups.where("rep IS NOT NULL").select("fp", F.col("rep").alias("id"))
     n = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(PLAN_SAMPLE).select("fp").collect()
+    sample = sorted(r[0] for r in bounded_sample(distinct, ["fp"], PLAN_SAMPLE).select("fp").collect())
     if n > 1:
-        plan = make_plan(np.array([r[0] for r in sample], np.int64).view(np.uint64), n, tau)
+        plan = make_plan(np.array(sample, np.int64).view(np.uint64), n, tau)
         links = bucket_links(bucket_entries(distinct, plan), tau)
         parts = connected(links)
         named = groups.join(parts, groups.rep == parts.id, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))

@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import filter_batches, map_batches
+from inkfold.llm.common import bounded_sample, filter_batches, map_batches
 
 #: Terms are hashed to so many numbers, first and second occurrences each to half of them.
 HASH_BITS = 19
 #: Terms that the machine uses: those whose occurrence goes most with the label, by chi-square.
 TERMS = 1500
-#: Labelled documents that it is fitted on at most, the least by hash of the id. A bounded sample.
+#: Labelled documents that it is fitted on, chosen by hash of the id. A bounded sample.
 LABELLED = 20_000
 #: Documents that a term occurs in at least, among those.
 LEAST_DOCUMENTS = 4
@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     session = docs.sparkSession
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(LABELLED)
+    known = bounded_sample(known, ["id"], LABELLED)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sample = rows.join(F.broadcast(known), "id").select("text", "label")
 

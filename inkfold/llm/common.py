@@ -84,16 +84,16 @@ def hot_keys(counted: DataFrame, key: str, n: str = "n", shares: int = HOT_SHARE
     return [row[0] for row in counted.where(F.col(n) > least).select(key).collect()]
 
 
-def bounded_sample(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+def bounded_sample(df: DataFrame, keys: Sequence[str], most: int, rows: int | None = None) -> DataFrame:
     """About most rows of df (all, if there are fewer), chosen by a hash of the columns keys, and never over twice as many.
 
-    No rows are ordered or gathered for the choice; df is counted once.
+    No rows are ordered or gathered for the choice. df is counted once, unless its number of rows, with distinct keys, is given.
     """
-    n = df.count()
+    n = df.count() if rows is None else rows
     if n <= most:
         return df
-    share = F.pmod(F.xxhash64(*keys), F.lit(1 << 31)) < int((1 << 31) * most / n)
-    return df.where(share).limit(2 * most)
+    share = df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 31)) < int((1 << 31) * most / n))
+    return share.limit(2 * most) if rows is None else share
 
 
 def salted_join(
@@ -119,7 +119,8 @@ def connected(edges: DataFrame, most: int = 60) -> DataFrame:
     """The components of an undirected graph: one row (id, component) for each id in edges (a, b), longs.
 
     Large-star and small-star rounds: each id takes over the least id it knows of, until nothing changes. A hub's edges
-    are reduced to their least id before the shuffle and found again by a salted join. Rows with a = b are allowed.
+    are reduced to their least id before the shuffle; the join that finds them again is one that adaptive execution splits
+    where a hub makes it uneven, since what comes after it is shuffled by both ids. Rows with a = b are allowed.
     """
     edges = edges.where("a IS NOT NULL AND b IS NOT NULL")
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -127,7 +128,7 @@ def connected(edges: DataFrame, most: int = 60) -> DataFrame:
     edges = edges.where("a > b")
     mark = None
     for _ in range(most):
-        edges = cut(_small_star(_large_star(edges)))
+        edges = cut(_small_star(cut(_large_star(edges))))
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == now:
             break
@@ -142,17 +143,12 @@ def connected(edges: DataFrame, most: int = 60) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(least, "a")
-    larger = both.where("b > a")
-    joined = salted_join(larger, least.select("a", "m"), "a", hot, "b")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    joined = both.where("b > a").join(least, "a")
     return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(least, "a")
-    joined = salted_join(down, least.select("a", "m"), "a", hot, "b")
-    kept = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    kept = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return kept.union(least.select("a", F.col("m").alias("b"))).distinct()

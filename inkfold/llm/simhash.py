@@ -228,7 +228,7 @@ def bucket_links(entries: DataFrame, tau: int, tile: int = TILE) -> DataFrame:
     counted = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     large = cut(counted.where(F.col("n") > tile))
     tiled = entries.withColumn("tile", F.lit(0))
-    if not large.isEmpty():
+    if large.count():
         k = F.ceil(F.coalesce(F.col("n"), F.lit(0)) / tile).cast("int")
         own = F.pmod(F.xxhash64("fp"), F.greatest(F.col("k"), F.lit(1))).cast("int")
         other = F.explode(F.when(F.col("k") < 2, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("k") - 1)))
@@ -281,7 +281,7 @@ def near_duplicates(
     groups = cut(marked.groupBy("fp").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
     distinct = groups.where("rep IS NOT NULL").select("fp", F.col("rep").alias("id"))
     n = distinct.count()
-    sample = sorted(r[0] for r in bounded_sample(distinct, ["fp"], PLAN_SAMPLE).select("fp").collect())
+    sample = sorted(r[0] for r in bounded_sample(distinct, ["fp"], PLAN_SAMPLE, n).select("fp").collect())
     if n > 1:
         plan = make_plan(np.array(sample, np.int64).view(np.uint64), n, tau)
         links = bucket_links(bucket_entries(distinct, plan), tau)

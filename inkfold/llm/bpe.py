@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,16 @@ from inkfold.llm.common import map_batches
 #: Words up to so many parts are merged in the rank array.
 SHORT_WORD = 96
 #: Words whose ids a task keeps; past that it forgets them all and starts again.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 NO_RANK = 1 << 60
 
+#: How the vocabulary's file cuts words, and the same for texts of near characters in Python's own, quicker matcher. Fixed values.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NEAR_LETTERS = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_NEAR_WORDS = rf"[{NEAR_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\s\w]|_)+"
+#: What is not near: control characters that only Python takes for white space, digits past ASCII, other scripts.
+_NOT_NEAR = re.compile(r"[^\t-\r -\xb1\xb4-\xb8\xba\xbb\xbf-\u017f\u2010-\u2027]")
+
 
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte: itself where printable, else from U+0100 on, in byte order."""
@@ -41,6 +50,18 @@ def _text_of(settings: dict | None, kind: str) -> list[dict]:
     return settings.get(kind, [settings]) if settings["type"] == "Sequence" else [settings]
 
 
+class Kept(dict):
+    """Values by key, made where they are asked for first."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordBpe:
     """Encoder and decoder for one tokenizer file of the kind with word ends (its path is a parameter)."""
 
@@ -60,13 +81,16 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.at_special = regex.compile("|".join(map(regex.escape, longest_first))) if self.special else None
-        self.words = regex.compile(cuts[0]["pattern"]["Regex"], regex.V0)
+        pattern = cuts[0]["pattern"]["Regex"]
+        self.words = regex.compile(pattern, regex.V0)
+        self.near_words = re.compile(_NEAR_WORDS) if pattern == _WORDS else None
         self.space = regex.compile(steps[1]["pattern"]["Regex"])
         self.blank = steps[1]["content"]
         names = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
+        self.gaps = "" in self.names
         self.characters = byte_characters()
-        self.kept: dict[str, bytes] = {}
+        self.kept = Kept(self._word_ids)
 
     def parts(self, word: str) -> list[str]:
         """A word's parts after all merges."""
@@ -118,10 +142,7 @@ class WordBpe:
 
     def _word_ids(self, word: str) -> bytes:
         """The ids of a word as int32 bytes."""
-        if len(self.kept) >= KEPT_WORDS:
-            self.kept.clear()
-        ids = self.kept[word] = np.array([self.ids[p] for p in self.parts(word) if p in self.ids], np.int32).tobytes()
-        return ids
+        return array("i", [self.ids[p] for p in self.parts(word) if p in self.ids]).tobytes()
 
     def normalized(self, text: str) -> str:
         """Composed, white space runs as one blank, lower case letter by letter (a final sigma is an ordinary one)."""
@@ -132,16 +153,22 @@ class WordBpe:
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text, without tokens of the model's own; names of special tokens in the text become their ids."""
-        pieces, made = self._pieces(text or ""), []
-        get, new = self.kept.get, self._word_ids
+        pieces, made, ids_of = self._pieces(text or ""), [], self.kept.__getitem__
+        if len(self.kept) > KEPT_WORDS:
+            self.kept.clear()
         for piece in pieces:
             if isinstance(piece, int):
                 made.append(np.int32(piece).tobytes())
             else:
-                words = self.words.findall(self.normalized(piece))
-                made += [get(w) or new(w) for w in words]
+                made += map(ids_of, self._words(piece))
         return np.frombuffer(b"".join(made), np.int32)
 
+    def _words(self, text: str) -> list[str]:
+        """The words of a text after normalization. White space never counts, so near texts need not have it replaced."""
+        if self.near_words is None or _NOT_NEAR.search(text):
+            return self.words.findall(self.normalized(text))
+        return self.near_words.findall((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
+
     def _pieces(self, text: str) -> Iterator[str | int]:
         start = 0
         for found in self.at_special.finditer(text) if self.at_special and "<" in text else ():
@@ -154,9 +181,10 @@ class WordBpe:
 
     def decode(self, ids: np.ndarray) -> str:
         """The tokens of the ids with one blank between; ids that the vocabulary lacks give nothing."""
-        names, n = self.names, len(self.names)
-        found = [names[i] for i in ids.tolist() if 0 <= i < n]
-        return " ".join([t for t in found if t]) if "" in found else " ".join(found)
+        if len(ids) and (int(ids.min()) < 0 or int(ids.max()) >= len(self.names)):
+            ids = ids[(ids >= 0) & (ids < len(self.names))]
+        found = map(self.names.__getitem__, ids.tolist())
+        return " ".join(filter(None, found) if self.gaps else found)
 
 
 _LOADED: dict[str, WordBpe] = {}

@@ -20,12 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import cut, hot_keys, salted_join
+from inkfold.llm.common import cut, fresh_path, hot_keys, salted_join
 
 #: Payloads of fewer bytes are always written in full.
 LEAST_REVISIT = 100
 #: Bytes after which a task begins a new part.
 PART_BYTES = 4 << 20
+#: Repeated payloads up to which the first page of each (a digest, an id, a URL) is broadcast, so that payloads need no shuffle.
+BROADCAST_GROUPS = 50_000
 _FEED = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -86,8 +88,12 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.encode(F.coalesce(html_col, F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     named = rows.where((F.octet_length("payload") >= least) & F.col("id").isNotNull())
-    groups = named.groupBy("digest").agg(F.min(F.struct("id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    joined = salted_join(rows, groups.select("digest", "first"), "digest", hot_keys(groups, "digest"), "id", how="left")
+    groups = cut(named.groupBy("digest").agg(F.min(F.struct("id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    firsts = groups.select("digest", "first")
+    if groups.count() <= BROADCAST_GROUPS:
+        joined = rows.join(F.broadcast(firsts), "digest", "left")
+    else:
+        joined = salted_join(rows, firsts, "digest", hot_keys(groups, "digest"), "id", how="left")
     again = F.col("first").isNotNull() & (F.col("first.id") != F.col("id"))
     return joined.select(
         "id", "url", "payload", "digest", F.when(again, F.col("first.id")).alias("first_id"), F.when(again, F.col("first.url")).alias("first_url")
@@ -248,9 +254,11 @@ def captures(records: DataFrame) -> DataFrame:
 
     Rows that were written more than once exactly alike are one capture.
     """
-    page = F.get_json_object("metadata.fields", "$.page-id").cast("long")
-    rows = assemble(records).withColumn("page_id", page)
-    heads = cut(rows.select("page_id", "response.type", "response.refers_to", "response.record_id"))
+    page = F.get_json_object("metadata.fields", "$.page-id").try_cast("long")
+    path = fresh_path(records.sparkSession, "captures")
+    assemble(records).withColumn("page_id", page).write.parquet(path)  # else archives would be read once for each use
+    rows = records.sparkSession.read.parquet(path)
+    heads = rows.select("page_id", "response.type", "response.refers_to", "response.record_id")
     again = heads.where("type = 'revisit'").groupBy(F.col("refers_to").alias("to_id")).agg(F.count(F.lit(1)).alias("n"))
     named = heads.where("type <> 'revisit'").groupBy(F.col("record_id").alias("to_id")).agg(F.min("page_id").alias("refers_to"))
     wanted = named.join(again, "to_id", "left_semi")

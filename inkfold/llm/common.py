@@ -40,12 +40,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes a folder made by fresh_path() through Spark's file systems."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Sets the session's limit on the rows of an Arrow batch, if it is higher: texts are long, and tasks hold whole batches."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

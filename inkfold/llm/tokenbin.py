@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkfold.llm.bpe import byte_characters
+from inkfold.llm.bpe import NEAR_LETTERS, Kept, byte_characters
 
 #: Ids after which a block ends, at the end of a document; documents are never cut.
 BLOCK_IDS = 1 << 21
@@ -41,38 +42,45 @@ _TOP = np.uint64(1 << 48)
 _BOTTOM = np.uint64(1 << 32)
 _WORD = np.uint64(16)
 _SLOTS = 18
-_SURE = 15
+_SURE_BITS, _SURE = 4, 15
+_CASES = 2 * (_SURE + 1) ** 2
 
 
 class _Model:
     """Order-0 to order-2 predictions, learned step by step. vocabulary: one more than the largest id."""
 
-    def __init__(self, lanes: int, vocabulary: int):
+    def __init__(self, lanes: int, vocabulary: int, decoding: bool):
         self.counts = np.zeros(vocabulary, np.int64)
+        self.new: list[np.ndarray] = []
         self.seen = self.fresh = 0
-        self.guess1, self.sure1 = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
-        self.guess2, self.sure2 = np.zeros(1 << _SLOTS, np.int64), np.zeros(1 << _SLOTS, np.int64)
+        self.decoding = decoding
+        # a guess and, in the lowest bits, how sure it is: of the last id, and of a hash of the last two
+        self.table1, self.table2 = np.zeros(vocabulary, np.int32), np.zeros(1 << _SLOTS, np.int32)
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         # outcomes by the confidences and whether the guesses agree: order 2 right, only order 1 right, neither
-        self.outcomes = np.ones((3, 2 * (_SURE + 1) ** 2), np.int64)
+        self.outcomes = np.ones((3, _CASES), np.int64)
         self.outcomes[2] += 1
         self._spread()
         self._weigh()
 
     def _spread(self) -> None:
         """Counts as frequencies of at least 1 that add up to the order-0 total."""
+        if self.new:
+            self.counts += np.bincount(np.concatenate(self.new), minlength=len(self.counts))
+            self.new = []
         room = (1 << _ORDER0_BITS) - len(self.counts)
         shares = self.counts * room // max(self.seen, 1) + 1
         shares[int(self.counts.argmax())] += (1 << _ORDER0_BITS) - int(shares.sum())
         self.frequency = shares
         self.below = np.concatenate(([0], np.cumsum(shares)))
+        if self.decoding:
+            self.id_at = np.repeat(np.arange(len(shares), dtype=np.int32), shares)
         self.fresh = 0
 
     def _weigh(self) -> None:
         """For each case the shares of order 0 (in 64ths of the total) and the masses of the two guesses."""
         two, one, none = self.outcomes
-        total = two + one + none
-        self.zero = np.clip(none * _SHARES // total, 1, _SHARES - 1)
+        self.zero = np.clip(none * _SHARES // (two + one + none), 1, _SHARES - 1)
         rest = (_SHARES - self.zero) << _ORDER0_BITS
         self.mass2 = rest * two // (two + one)
         self.mass1 = rest - self.mass2
@@ -80,26 +88,27 @@ class _Model:
     def predict(self) -> tuple[np.ndarray, ...]:
         """Guesses of order 2 and 1, their masses, the share of order 0."""
         self.slot = ((self.before * 0x9E3779B1 + self.last * 0x85EBCA6B) >> 7) & ((1 << _SLOTS) - 1)
-        g2, g1 = self.guess2[self.slot], self.guess1[self.last]
-        self.g2, self.g1 = g2, g1
-        self.s2, self.s1 = self.sure2[self.slot], self.sure1[self.last]
-        self.case = (self.s2 * (_SURE + 1) + self.s1) * 2 + (g1 == g2)
-        return g2, g1, self.mass2[self.case], self.mass1[self.case], self.zero[self.case]
+        held2, held1 = self.table2.take(self.slot), self.table1.take(self.last)
+        self.s2, self.s1 = held2 & _SURE, held1 & _SURE
+        g2, g1 = self.g2, self.g1 = held2 >> _SURE_BITS, held1 >> _SURE_BITS
+        self.case = (((self.s2 << _SURE_BITS) | self.s1) << 1) | (g1 == g2)
+        return g2, g1, self.mass2.take(self.case), self.mass1.take(self.case), self.zero.take(self.case)
 
     def learn(self, ids: np.ndarray) -> None:
         right2, right1 = self.g2 == ids, self.g1 == ids
-        outcome = np.where(right2, 0, np.where(right1, 1, 2))
-        np.add.at(self.outcomes, (outcome, self.case), 1)
-        if self.outcomes.max() > 1 << 20:
+        outcome = np.where(right2, 0, np.where(right1, _CASES, 2 * _CASES))
+        self.outcomes += np.bincount(outcome + self.case, minlength=3 * _CASES).reshape(3, _CASES)
+        if self.seen >> 20 != (self.seen + len(ids)) >> 20:
             self.outcomes = (self.outcomes >> 1) + 1
         self._weigh()
-        for guess, sure, at, right, s in ((self.guess2, self.sure2, self.slot, right2, self.s2), (self.guess1, self.sure1, self.last, right1, self.s1)):
-            guess[at] = np.where(right | (s > 0), guess[at], ids)
-            sure[at] = np.where(right, np.minimum(s + 1, _SURE), s >> 1)
-        self.counts += np.bincount(ids, minlength=len(self.counts))
+        new = (ids << _SURE_BITS).astype(np.int32)
+        for table, at, guess, right, sure in ((self.table2, self.slot, self.g2, right2, self.s2), (self.table1, self.last, self.g1, right1, self.s1)):
+            kept = (guess << _SURE_BITS) | np.where(right, np.minimum(sure + 1, _SURE), sure >> 1)
+            table[at] = np.where(right | (sure > 0), kept, new)
+        self.new.append(ids)
         self.seen += len(ids)
         self.fresh += len(ids)
-        if self.fresh * 16 >= self.seen or self.fresh >= 1 << 15:
+        if self.fresh * 16 >= self.seen or self.fresh >= 1 << 16:
             self._spread()
         self.before, self.last = self.last, ids
 
@@ -118,7 +127,7 @@ def pack_ids(ids: np.ndarray) -> tuple[int, int, bytes]:
     padded = np.zeros(lanes * steps, np.int64)
     padded[: len(ids)] = ids
     table = padded.reshape(lanes, steps)
-    model = _Model(lanes, vocabulary)
+    model = _Model(lanes, vocabulary, False)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     whose: list[np.ndarray] = []
     words: list[np.ndarray] = []
@@ -126,8 +135,8 @@ def pack_ids(ids: np.ndarray) -> tuple[int, int, bytes]:
     for t in range(steps):
         s = np.ascontiguousarray(table[:, t])
         g2, g1, m2, m1, zero = model.predict()
-        start = zero * model.below[s] + m2 * (g2 < s) + m1 * (g1 < s)
-        size = zero * model.frequency[s] + m2 * (g2 == s) + m1 * (g1 == s)
+        start = zero * model.below.take(s) + m2 * (g2 < s) + m1 * (g1 < s)
+        size = zero * model.frequency.take(s) + m2 * (g2 == s) + m1 * (g1 == s)
         width >>= np.uint64(_TOTAL_BITS)
         low += start.astype(np.uint64) * width
         width *= size.astype(np.uint64)
@@ -159,7 +168,7 @@ def unpack_ids(n: int, lanes: int, vocabulary: int, data: bytes) -> np.ndarray:
     sizes = np.frombuffer(data, "<u4", lanes).astype(np.int64)
     words = np.concatenate((np.frombuffer(data, "<u2", offset=4 * lanes).astype(np.uint64), np.zeros(4, np.uint64)))
     at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    model = _Model(lanes, vocabulary)
+    model = _Model(lanes, vocabulary, True)
     low, width, code = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64), np.zeros(lanes, np.uint64)
     for _ in range(4):
         code = (code << _WORD) | words[at]
@@ -170,15 +179,18 @@ def unpack_ids(n: int, lanes: int, vocabulary: int, data: bytes) -> np.ndarray:
         width >>= np.uint64(_TOTAL_BITS)
         target = np.minimum((code - low) // width, np.uint64((1 << _TOTAL_BITS) - 1)).astype(np.int64)
         # the guesses' masses lie in the order-0 line where their ids are
-        start2 = zero * model.below[g2] + m1 * (g1 < g2)
-        start1 = zero * model.below[g1] + m2 * (g2 < g1)
-        past2, past1 = zero * (model.below[g2 + 1]) + m1 * (g1 <= g2) + m2, zero * (model.below[g1 + 1]) + m2 * (g2 <= g1) + m1
+        apart = g1 != g2
+        start2 = zero * model.below.take(g2) + m1 * (g1 < g2)
+        start1 = zero * model.below.take(g1) + m2 * (g2 < g1)
+        past2 = start2 + zero * model.frequency.take(g2) + m2 + m1 * ~apart
+        past1 = start1 + zero * model.frequency.take(g1) + m1 + m2 * ~apart
+        rest = target - m2 * (target >= past2) - m1 * (target >= past1)
         s = np.where((target >= start2) & (target < past2), g2, np.where((target >= start1) & (target < past1), g1, -1))
         other = np.flatnonzero(s < 0)
-        rest = target[other] - m2[other] * (target[other] >= past2[other]) - m1[other] * (target[other] >= past1[other])
-        s[other] = np.searchsorted(model.below, rest // zero[other], "right") - 1
-        start = zero * model.below[s] + m2 * (g2 < s) + m1 * (g1 < s)
-        size = zero * model.frequency[s] + m2 * (g2 == s) + m1 * (g1 == s)
+        s[other] = model.id_at.take(rest.take(other) // zero.take(other))
+        s = s.astype(np.int64)
+        start = zero * model.below.take(s) + m2 * (g2 < s) + m1 * (g1 < s)
+        size = zero * model.frequency.take(s) + m2 * (g2 == s) + m1 * (g1 == s)
         low += start.astype(np.uint64) * width
         width *= size.astype(np.uint64)
         while True:
@@ -229,9 +241,9 @@ def unpack_block(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
 
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: The same for texts of near characters, for Python's quicker matcher, which knows no \p{L} and \p{N}.
-_NEAR_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_NEAR_PIECES = re.compile(rf" ?[{NEAR_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: What is not near: control characters that only Python takes for white space, digits past ASCII, other scripts.
-_NOT_NEAR = re.compile(r"[^\t-\r -\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027]")
+_NOT_NEAR = re.compile(r"[^\t-\r -\xb1\xb4-\xb8\xba\xbb\xbf-\u017f\u2010-\u2027]")
 #: Characters of scripts on which the libraries' tables of letters might differ.
 _FAR = re.compile(r"[^\x00-\u036f\u0400-\u052f\u2010-\u2027]")
 _KEPT_PIECES = 500_000
@@ -250,7 +262,7 @@ class Encoder:
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.characters = dict(enumerate(byte_characters()))
-        self.kept: dict[str, bytes] = {}
+        self.kept = Kept(self._piece_ids)
         cut = self.library.pre_tokenizer
         self.by_piece = cut is not None and "ByteLevel" in repr(cut) and self.library.normalizer is None
 
@@ -262,9 +274,13 @@ class Encoder:
             return _NEAR_PIECES.findall(text)
         return None if _FAR.search(text) else _PIECES.findall(text)
 
+    def _piece_ids(self, piece: str) -> bytes:
+        made = self.model.tokenize(piece.encode("utf-8", "replace").decode("latin-1").translate(self.characters))
+        return array("I", [t.id for t in made]).tobytes()
+
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         """The ids of each text with the id end after them."""
-        kept, cut, tail, out = self.kept, self.model.tokenize, np.array([end], np.uint32).tobytes(), []
+        kept, tail, out = self.kept, np.array([end], np.uint32).tobytes(), []
         if len(kept) > _KEPT_PIECES:
             kept.clear()
         for text in texts:
@@ -272,10 +288,7 @@ class Encoder:
             if own is None:
                 out.append(np.array([*self.library.encode(text, add_special_tokens=False).ids, end], np.uint32))
                 continue
-            for piece in set(own).difference(kept):
-                made = cut(piece.encode("utf-8", "replace").decode("latin-1").translate(self.characters))
-                kept[piece] = np.array([t.id for t in made], np.uint32).tobytes()
-            out.append(np.frombuffer(b"".join([kept[p] for p in own]) + tail, np.uint32))
+            out.append(np.frombuffer(b"".join(map(kept.__getitem__, own)) + tail, np.uint32))
         return out
 
 

@@ -15,12 +15,6 @@ from inkfold.llm.common import bound_batches, fresh_path, table
 from inkfold.llm.queries import tokenizer_path
 
 
-def _keep(docs: DataFrame, ids: DataFrame, once: bool = False) -> DataFrame:
-    """The rows of docs whose doc_id is in ids (distinct, not null), in docs' columns; of a repeated doc_id one row if once."""
-    kept = docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"]) if once else kept
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine, fitted on the labels that are not held out, does not find toxic.
 
@@ -32,11 +26,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the least doc_id, once. Rows without doc_id are not kept."""
+    """Of each group of linked fingerprints one row, that with the least doc_id. Rows of one doc_id, or without any, are judged by their texts."""
     bound_batches(spark)
-    found = simhash.near_duplicates(docs)
-    heads = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    return _keep(docs, heads, once=True)
+    return simhash.drop_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

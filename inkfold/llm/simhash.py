@@ -69,20 +69,24 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _fingerprints(texts: pa.Array, words: int) -> np.ndarray:
+    made, sizes, hashes = [], [], []
+    for text in texts:
+        own = text_hashes(text.as_py(), words)
+        sizes.append(len(own))
+        hashes += own
+        if len(hashes) > _HASHES:
+            made.append(majority(np.array(hashes, np.uint64), np.array(sizes)))
+            sizes, hashes = [], []
+    made.append(majority(np.array(hashes, np.uint64), np.array(sizes, np.int64)))
+    return np.concatenate(made).view(np.int64)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
     """One row (id, fp) per row of docs; fp is the 64-bit fingerprint as a long. A null or blank text has fingerprint 0."""
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        made, sizes, hashes = [], [], []
-        for text in rows.column(1):
-            own = text_hashes(text.as_py(), words)
-            sizes.append(len(own))
-            hashes += own
-            if len(hashes) > _HASHES:
-                made.append(majority(np.array(hashes, np.uint64), np.array(sizes)))
-                sizes, hashes = [], []
-        made.append(majority(np.array(hashes, np.uint64), np.array(sizes, np.int64)))
-        return pa.record_batch([rows.column(0), pa.array(np.concatenate(made).view(np.int64))], ["id", "fp"])
+        return pa.record_batch([rows.column(0), pa.array(_fingerprints(rows.column(1), words))], ["id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return map_batches(rows, batch, "id long, fp long")
@@ -279,16 +283,44 @@ def near_duplicates(
     """
     marked = cut(fingerprints(docs, id_col, text_col, words))
     groups = cut(marked.groupBy("fp").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
-    distinct = groups.where("rep IS NOT NULL").select("fp", F.col("rep").alias("id"))
-    n = distinct.count()
-    sample = sorted(r[0] for r in bounded_sample(distinct, ["fp"], PLAN_SAMPLE, n).select("fp").collect())
-    if n > 1:
-        plan = make_plan(np.array(sample, np.int64).view(np.uint64), n, tau)
-        links = bucket_links(bucket_entries(distinct, plan), tau)
-        parts = connected(links)
-        named = groups.join(parts, groups.rep == parts.id, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    else:
-        named = groups.select("fp", F.col("rep").alias("component_id"))
+    parts = _components(groups.where("rep IS NOT NULL").select("fp", F.col("rep").alias("id")), tau)
+    named = groups.join(parts, groups.rep == parts.id, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     hot = hot_keys(groups.select("fp", "n"), "fp")
     found = salted_join(marked, named, "fp", hot, "id")
     return found.select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def _components(distinct: DataFrame, tau: int) -> DataFrame:
+    """One row (id, component) for each id of distinct (fp, id) that is linked to another one."""
+    n = distinct.count()
+    if n < 2:
+        return distinct.select("id", F.col("id").alias("component"))
+    sample = sorted(r[0] for r in bounded_sample(distinct, ["fp"], PLAN_SAMPLE, n).select("fp").collect())
+    plan = make_plan(np.array(sample, np.int64).view(np.uint64), n, tau)
+    return connected(bucket_links(bucket_entries(distinct, plan), tau))
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, tau: int = 4
+) -> DataFrame:
+    """Of each group of linked fingerprints one row of docs, all columns as they are: the one with the least id.
+
+    Links are between fingerprints, so that rows of one id, or without an id, are copies only if their texts are. A null id
+    comes after all others; ties go by fingerprint, hash of the text and hash of the row, so that a task run again
+    chooses alike.
+    """
+    value = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]  # xxhash64 passes over nulls
+    keyed = docs.select("*", F.xxhash64(F.col(text_col)).alias("_mark"), F.xxhash64(*value).alias("_row"))
+
+    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.record_batch([*rows.columns[:3], pa.array(_fingerprints(rows.column(3), words))], ["id", "mark", "row", "fp"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    texts = keyed.select(F.col(id_col).alias("id"), F.col("_mark").alias("mark"), F.col("_row").alias("row"), F.col(text_col).cast("string"))
+    marked = map_batches(texts, batch, f"id {kind}, mark long, row long, fp long")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "fp", "mark", "row")
+    groups = cut(marked.groupBy("fp").agg(F.min(order).alias("least")))
+    parts = _components(groups.select("fp", F.col("fp").alias("id")), tau)
+    named = groups.join(parts, groups.fp == parts.id, "left").groupBy(F.coalesce("component", "fp")).agg(F.min("least").alias("least"))
+    kept = named.select(F.col("least.mark").alias("_mark"), F.col("least.row").alias("_row"))
+    return keyed.dropDuplicates(["_mark", "_row"]).join(kept, ["_mark", "_row"], "left_semi").select(*(f"`{c}`" for c in docs.columns))

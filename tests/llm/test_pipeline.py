@@ -42,3 +42,18 @@ def test_odd_rows(spark):
         assert stage(spark, docs.where("false"), SF).collect() == []
     assert corpus_pipeline.drop_near_copies(spark, docs, SF).where("doc_id = 3").count() == 1
     assert empty(spark).count() == 0
+
+
+def test_near_copies_are_rows_not_ids(spark):
+    """Clean rows stay whatever their id: null, repeated, or shared with a copy."""
+    a, b, c, d, e = ("".join(f"{word}{i} " for i in range(40)) for word in ("ant", "bee", "cat", "dog", "elk"))
+    texts = [(3, a), (7, a), (7, b), (5, c), (5, d), (None, e), (None, e), (None, a), (3, a)]
+    docs = spark.createDataFrame([(*r, k) for r, k in zip(texts, "xyxyxyyyx", strict=True)], "doc_id LONG, text STRING, lang STRING")
+    want = sorted([(3, a, "x"), (7, b, "x"), (5, c, "y"), (5, d, "x")], key=repr)
+    for parts in (1, 7):
+        kept = rows(corpus_pipeline.drop_near_copies(spark, docs.repartition(parts), SF))
+        assert [r for r in kept if r[0] is not None] == want
+        alone = [r for r in kept if r[0] is None]
+        assert len(alone) == 1 and alone[0][1] == e
+        assert alone == rows(corpus_pipeline.drop_near_copies(spark, docs.orderBy("lang", "text"), SF).where("doc_id IS NULL"))
+    assert "no id" in {r.text for r in corpus_pipeline.drop_near_copies(spark, documents(spark), SF).collect()}

@@ -1,31 +1,36 @@
 """Benchmark decontamination with a generalised suffix automaton over words.
 
-The automaton of all benchmark items is built once and broadcast. A task streams the words of each document
-through it and keeps the length of the longest match that ends at each word. A match of at least `window` words means
+The benchmark is cut into shards of bounded size. The items of one shard at a time are broadcast, and each Python worker
+builds their automaton. A task streams the words of each document through it and keeps the length of the longest match that
+ends at each word. A match of at least `window` words means
 that the window ending there occurs in an item; the state on the suffix path that holds the string of exactly that
 length names the items. An item shorter than a window counts as one window of its own length.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.llm.common import filter_batches, map_batches
+from inkfold.llm.common import cut, filter_batches, fresh_path, hot_keys, map_batches, salted_join
 
 WINDOW = 13
-#: Words of benchmark text in one automaton. A larger benchmark is cut into several, which the documents pass in turn, so
-#: that what is broadcast at once is bounded.
+#: Words of benchmark text in one automaton. A larger benchmark is cut into several shards. The documents are read once for
+#: each, and only one shard is broadcast or held by a worker at a time.
 AUTOMATON_WORDS = 200_000
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 SPANS = "array<struct<start:int,end:int>>"
+_ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -160,48 +165,137 @@ def _cover(spans: list[tuple[int, int]], start: int, end: int) -> None:
     spans.append((start, end))
 
 
-def build_automata(items: list[tuple[str, str | None]], window: int = WINDOW, most: int = AUTOMATON_WORDS) -> list[Automaton]:
-    """Automata over the items (id, text), each of at most `most` words unless one item alone has more."""
-    shards: list[list[tuple[str, list[bytes]]]] = [[]]
-    room = most
-    for item, text in items:
-        words = clean_words(text)
-        if words and len(words) > room and shards[-1]:
-            shards.append([])
-            room = most
-        if words:
-            shards[-1].append((item, words))
-            room -= len(words)
-    built = []
-    for shard in shards:
-        one = Automaton(window)
-        for _, words in shard:
-            one.add(words)
-        one.name(shard)
-        built.append(one)
+def build_automaton(items: list[tuple[str, str | None]], window: int = WINDOW) -> Automaton:
+    """The automaton of the items (id, text)."""
+    split = [(item, words) for item, text in items if (words := clean_words(text))]
+    built = Automaton(window)
+    for _, words in split:
+        built.add(words)
+    built.name(split)
     return built
 
 
-def _merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _merged(all_spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     spans: list[tuple[int, int]] = []
-    for start, end in sorted([*a, *b]):
+    for start, end in sorted(all_spans):
         _cover(spans, start, end)
     return spans
 
 
-def _shared_automata(docs: DataFrame, benchmark: DataFrame, item: str, text: str, window: int, most: int) -> list[Broadcast]:
-    listed = benchmark.where(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    items = [(r["item"], r["text"]) for r in listed.orderBy("item", "text").toLocalIterator()]
-    return [docs.sparkSession.sparkContext.broadcast(one) for one in build_automata(items, window, most)]
+def _pieces(words: list[bytes], most: int, window: int) -> Iterator[list[bytes]]:
+    """The words in pieces of at most `most`, each beginning with the last window - 1 words of the one before."""
+    at = 0
+    while True:
+        yield words[at : at + most]
+        if at + most >= len(words):
+            break
+        at += most - window + 1
+
 
+def _shards(benchmark: DataFrame, item: str, text: str, window: int, most: int) -> list[DataFrame]:
+    """The items in frames (item, text), each of at most `most` words; of so many that a piece can be cut, if that is more.
 
-def _search(words: list[bytes], shards: list[Broadcast]) -> tuple[list[tuple[int, int]], set[str]]:
-    hit, found = [], set()
-    for shard in shards:
-        more, names = shard.value.search(words)
-        hit = _merged(hit, more) if hit else more
-        found |= names
-    return hit, found
+    A running count of words numbers the shards: by row within a task, and by the sums of the tasks before it. Only these
+    sums come to the driver.
+    """
+    session = benchmark.sparkSession
+    longest = max(most // 10, 2 * window)
+    width = max(most - longest, 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            made = []
+            for name, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if words := clean_words(whole.as_py()):
+                    for piece in _pieces(words, longest, window):
+                        made.append((part, before, len(piece), name, b" ".join(piece).decode("utf-8")))
+                        before += len(piece)
+            if made:
+                columns = zip(*made, strict=True)
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, [*[pa.int64()] * 3, *[pa.string()] * 2], strict=True)], names)
+
+    names = ["part", "before", "n", "item", "text"]
+    listed = benchmark.where(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
+    path = fresh_path(session, "benchmark")
+    listed.mapInArrow(run, "part long, before long, n long, item string, text string").write.parquet(path)
+    pieces = session.read.parquet(path)
+    sums = sorted(map(tuple, pieces.groupBy("part").agg(F.sum("n")).collect()))
+    ends = list(accumulate((n for _, n in sums), initial=0))
+    if ends[-1] <= most:
+        return [pieces.select("item", "text")]
+    starts = [(part, start) for (part, _), start in zip(sums, ends[:-1], strict=True)]
+    shard = F.floor((F.col("start") + F.col("before")) / width).cast("int").alias("shard")
+    numbered = pieces.join(F.broadcast(session.createDataFrame(starts, "part long, start long")), "part").select(shard, "item", "text")
+    path = fresh_path(session, "shards")
+    numbered.write.partitionBy("shard").parquet(path)
+    numbers = [r[0] for r in session.read.parquet(path).select("shard").distinct().orderBy("shard").collect()]
+    return [session.read.schema("item string, text string").parquet(f"{path}/shard={k}") for k in numbers]
+
+
+#: The last automaton that this worker built, by what it was built from.
+_built: dict[tuple[str, int], Automaton] = {}
+
+
+def _automaton(shared: Broadcast, window: int) -> Automaton:
+    key, items = shared.value
+    if (key, window) not in _built:
+        _built.clear()
+        _built[key, window] = build_automaton(items, window)
+    return _built[key, window]
+
+
+def _share(shard: DataFrame) -> Broadcast:
+    """The items of a shard under a name of their own."""
+    items = sorted((r["item"], r["text"]) for r in shard.toLocalIterator())
+    return shard.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, items))
+
+
+def _found_by_text(texts: DataFrame, shards: list[DataFrame], window: int) -> DataFrame:
+    """One row (mark, n words, spans, items) for each text of texts (mark, text) that some shard hits. Each shard is a pass over texts."""
+    session, schema = texts.sparkSession, f"mark string, n long, spans {SPANS}, items array<string>"
+    path = fresh_path(session, "spans")
+    for k, shard in enumerate(shards):
+        shared = _share(shard)
+
+        def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                marks, counts, spans, items = [], [], [], []
+                for mark, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    words = clean_words(text.as_py())
+                    hit, found = _automaton(shared, window).search(words)
+                    if hit:
+                        marks.append(mark)
+                        counts.append(len(words))
+                        spans.append([{"start": a, "end": b} for a, b in hit])
+                        items.append(sorted(found))
+                if marks:
+                    made = [pa.array(marks), pa.array(counts, pa.int64()), pa.array(spans, _ARROW_SPANS), pa.array(items, pa.list_(pa.string()))]
+                    yield pa.record_batch(made, ["mark", "n", "spans", "items"])
+
+        hits = texts.mapInArrow(run, schema)
+        hits.dropDuplicates(["mark"]).write.parquet(f"{path}/shard={k}")
+        shared.destroy()
+
+    def merge(rows: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [[{"start": a, "end": b} for a, b in _merged([(x["start"], x["end"]) for x in s])] for s in rows.column(2).to_pylist()]
+        return pa.record_batch([rows.column(0), rows.column(1), pa.array(spans, _ARROW_SPANS), rows.column(3)], ["mark", "n", "spans", "items"])
+
+    every = session.read.schema(f"{schema}, shard int").parquet(path)
+    joined = every.groupBy("mark").agg(
+        F.max("n").alias("n"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    return cut(map_batches(joined, merge, schema))
+
+
+def _mark(text: str) -> Column:
+    return F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_mark")
+
+
+def _hot_marks(marked: DataFrame) -> list:
+    return hot_keys(marked.groupBy("_mark").agg(F.count(F.lit(1)).alias("n")), "_mark")
 
 
 def contamination(
@@ -217,27 +311,40 @@ def contamination(
     """One row per row of docs: id, n_words, spans of hit words [start, end), items whose windows occur, sorted as strings.
 
     Null or blank texts have no words, no spans and no items. Items without words have no window; an item id that is
-    repeated counts once; a null item id is left out. Repeated documents stay repeated. Other columns are not read. The
-    benchmark is fetched in shards of at most automaton_words words; each is searched by one pass in the same tasks.
+    repeated counts once; a null item id is left out. Repeated documents stay repeated. Other columns are not read. A
+    benchmark of over automaton_words words is cut into shards, each of which is searched by a pass of its own while the frame is built.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_words long, spans {SPANS}, items array<string>"
-    shards = _shared_automata(docs, benchmark, item_col, item_text_col, window, automaton_words)
-    types = [pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.string())]
+    shards = _shards(benchmark, item_col, item_text_col, window, automaton_words)
+    if len(shards) > 1:
+        marked = rows.select("*", _mark("text"))
+        found = _found_by_text(marked.select("_mark", "text"), shards, window).select(F.col("mark").alias("_mark"), "spans", "items")
+
+        def count(rows: pa.RecordBatch) -> pa.RecordBatch:
+            n = [len(clean_words(t.as_py())) for t in rows.column(2)]
+            return pa.record_batch([rows.column(0), rows.column(1), pa.array(n, pa.int64())], ["id", "_mark", "n_words"])
+
+        counted = map_batches(marked.select("id", "_mark", "text"), count, f"id {kind}, _mark string, n_words long")
+        joined = salted_join(counted, found, "_mark", _hot_marks(marked), "id", how="left")
+        return joined.select(
+            "id", "n_words", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+        )
+    shared = _share(shards[0])
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         counts, spans, items = [], [], []
         for text in rows.column(1):
             words = clean_words(text.as_py())
-            hit, found = _search(words, shards)
+            hit, found = _automaton(shared, window).search(words)
             counts.append(len(words))
             spans.append([{"start": a, "end": b} for a, b in hit])
             items.append(sorted(found))
+        types = [pa.int64(), _ARROW_SPANS, pa.list_(pa.string())]
         made = [pa.array(x, t) for x, t in zip((counts, spans, items), types, strict=True)]
         return pa.record_batch([rows.column(0), *made], ["id", "n_words", "spans", "items"])
 
-    return map_batches(rows, batch, schema)
+    return map_batches(rows, batch, f"id {kind}, n_words long, spans {SPANS}, items array<string>")
 
 
 def hit_words() -> F.Column:
@@ -260,12 +367,23 @@ def keep_clean(
     percent: int = 5,
     automaton_words: int = AUTOMATON_WORDS,
 ) -> DataFrame:
-    """The rows of docs, all columns as they are, that is_contaminated() would not find so."""
-    shards = _shared_automata(docs, benchmark, item_col, item_text_col, window, automaton_words)
+    """The rows of docs, all columns as they are, that is_contaminated() would not find so.
+
+    Of a benchmark of several shards, as in contamination(), the marks of contaminated texts are joined.
+    """
+    shards = _shards(benchmark, item_col, item_text_col, window, automaton_words)
+    if len(shards) > 1:
+        value = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+        marked = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_doc"), _mark(text_col), F.xxhash64(*value).alias("_deal"))
+        texts = docs.select(_mark(text_col), F.col(text_col).cast("string").alias("text"))
+        found = _found_by_text(texts, shards, window)
+        dirty = found.where((hit_words() > 0) & (100 * hit_words() >= percent * F.col("n"))).select(F.col("mark").alias("_mark"))
+        return salted_join(marked, dirty, "_mark", _hot_marks(texts), "_deal", how="left_anti").select("_doc.*")
+    shared = _share(shards[0])
 
     def clean(text: str | None) -> bool:
         words = clean_words(text)
-        n = sum(end - start for start, end in _search(words, shards)[0])
+        n = sum(end - start for start, end in _automaton(shared, window).search(words)[0])
         return not n or 100 * n < percent * len(words)
 
     return filter_batches(docs, text_col, lambda texts: [clean(t.as_py()) for t in texts])

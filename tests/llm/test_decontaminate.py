@@ -75,3 +75,35 @@ def test_query(spark):
         n, hit, names = brute(r.text, items)
         digest = hashlib.sha256(",".join(names).encode()).hexdigest()
         assert got[r.doc_id] == (r.doc_id, n, hit, len(names), digest, hit > 0 and 20 * hit >= n)
+
+
+def test_large_benchmark_in_bounded_shards(spark, monkeypatch):
+    """No more than one shard of bounded size is broadcast at a time; long items are cut, results are whole."""
+    rng = random.Random(2)
+    text = lambda n: " ".join(rng.choice("abcdefgh") for _ in range(n))
+    items = [(i, text(rng.randint(1, 60))) for i in range(40)] + [(99, text(700))]
+    long = items[-1][1].split()
+    docs = [(i, text(rng.randint(0, 300))) for i in range(40)] + [(50, " ".join(long[80:120])), (51, items[-1][1]), (51, items[-1][1]), (None, items[3][1]), (52, None)]
+    docs += [(100 + i, items[5][1]) for i in range(30)]
+    bench, frame = spark.createDataFrame(items, "item_id LONG, text STRING"), spark.createDataFrame(docs, "doc_id LONG, text STRING")
+    held, most, send = {}, [], type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        sent = send(self, value)
+        held[id(sent)] = sum(len(words(t)) for _, t in value[1])
+        most.append(sum(held.values()))
+        destroy = sent.destroy
+        sent.destroy = lambda *a, **k: (held.pop(id(sent)), destroy(*a, **k))
+        return sent
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    found = d.contamination(frame, bench, window=6, automaton_words=300).collect()
+    got = sorted(((r.id, r.n_words, sum(s.end - s.start for s in r.spans), list(r["items"])) for r in found), key=repr)
+    counts = [(i, t, *brute(t, items, 6)) for i, t in docs]
+    assert got == sorted(((i, *n) for i, _, *n in counts), key=repr)
+    other = frame.selectExpr("*", "'mine' AS _salt", "'mine' AS _mark", "'mine' AS text2")
+    kept = d.keep_clean(other, bench, window=6, automaton_words=300, percent=30)
+    assert kept.schema == other.schema
+    want = [(i, t, "mine", "mine", "mine") for i, t, n, hit, _ in counts if not hit or 100 * hit < 30 * n]
+    assert rows(kept) == sorted(want, key=repr) and 0 < len(want) < len(docs)
+    assert len(most) > 10 and max(most) <= 300 and not held

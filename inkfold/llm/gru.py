@@ -61,12 +61,28 @@ def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
 
 @dataclass
 class Lanes:
-    """Texts in lanes: by step, the inputs and targets of the lanes that still run (a prefix), and where a text starts."""
+    """Texts in lanes, one lane after the other in flat arrays: begin and size of each lane, longest first.
+
+    inputs, targets and owner hold a value for each token, so that a long text beside short ones takes no more than its own tokens.
+    """
 
     inputs: np.ndarray
     targets: np.ndarray
     owner: np.ndarray
-    running: np.ndarray
+    begin: np.ndarray
+    size: np.ndarray
+
+    @property
+    def steps(self) -> int:
+        return int(self.size[0])
+
+    def window(self, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By step from t on and lane that still runs at t: inputs, targets and owners, and whether the lane still runs."""
+        step = np.arange(t, min(t + WINDOW, self.steps))
+        n = len(self.size) - np.searchsorted(self.size[::-1], t, "right")
+        live = step[:, None] < self.size[:n]
+        at = np.where(live, self.begin[:n] + step[:, None], 0)
+        return np.where(live, self.inputs[at], np.int16(START)), np.where(live, self.targets[at], np.int16(0)), np.where(live, self.owner[at], np.int32(0)), live
 
 
 def lay_out(texts: list[np.ndarray], most: int = LANES) -> Lanes:
@@ -83,18 +99,13 @@ def lay_out(texts: list[np.ndarray], most: int = LANES) -> Lanes:
     for own in lanes:  # else long texts would all come first
         own.sort(key=order.__getitem__)
     sizes = np.array([sum(len(texts[i]) for i in own) for own in lanes])
-    steps = int(sizes.max()) if len(texts) else 0
-    inputs, targets, owner = np.full((n, steps), START, np.int16), np.zeros((n, steps), np.int16), np.zeros((n, steps), np.int32)
-    for k, own in enumerate(lanes):
-        at = 0
-        for i in own:
-            m = len(texts[i])
-            targets[k, at : at + m] = texts[i]
-            inputs[k, at + 1 : at + m] = texts[i][:-1]
-            owner[k, at : at + m] = i
-            at += m
-    running = n - np.searchsorted(sizes[::-1], np.arange(steps), "right")
-    return Lanes(np.ascontiguousarray(inputs.T), np.ascontiguousarray(targets.T), np.ascontiguousarray(owner.T), running)
+    row = np.array([i for own in lanes for i in own], np.int32)
+    lengths = np.array([len(texts[i]) for i in row], np.int64)
+    targets = np.concatenate([*(texts[i] for i in row), np.empty(0, np.int16)]).astype(np.int16, copy=False)
+    inputs = np.empty_like(targets)
+    inputs[1:] = targets[:-1]
+    inputs[(np.cumsum(lengths) - lengths)[lengths > 0]] = START
+    return Lanes(inputs, targets, np.repeat(row, lengths), np.cumsum(sizes) - sizes, sizes)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -152,13 +163,11 @@ def log_probabilities(weights: dict[str, np.ndarray], texts: list[np.ndarray]) -
 
 def _score(weights: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     lanes = lay_out(texts)
-    total, state = np.zeros(len(texts)), np.zeros((lanes.inputs.shape[1], HIDDEN), np.float32)
-    for t in range(0, len(lanes.inputs), WINDOW):
-        n = lanes.running[t]
-        x, y = lanes.inputs[t : t + WINDOW, :n], lanes.targets[t : t + WINDOW, :n].ravel().astype(np.int64)
-        states, state, _ = _steps(weights, state[:n], x, keep=False)
-        live = (np.arange(n) < lanes.running[t : t + WINDOW, None]).ravel()
-        h, y, who = states.reshape(-1, HIDDEN)[live], y[live], lanes.owner[t : t + WINDOW, :n].ravel()[live]
+    total, state = np.zeros(len(texts)), np.zeros((len(lanes.size), HIDDEN), np.float32)
+    for t in range(0, lanes.steps, WINDOW):
+        x, y, who, live = lanes.window(t)
+        states, state, _ = _steps(weights, state[: x.shape[1]], x, keep=False)
+        h, y, who = states.reshape(-1, HIDDEN)[live.ravel()], y[live].astype(np.int64), who[live]
         own = _classes_of(y)
         out, p = _exps(weights["classes"], weights["class_bias"], h)
         value = out[own, np.arange(len(y))] - np.log(p.sum(0))
@@ -184,21 +193,19 @@ class Trainer:
 
     def learn(self, texts: list[np.ndarray], most: int = TRAINING_LANES) -> None:
         lanes = lay_out(texts, most)
-        state = np.zeros((lanes.inputs.shape[1], HIDDEN), np.float32)
-        for t in range(0, len(lanes.inputs), WINDOW):
-            n = lanes.running[t]
-            state = self._window(lanes, t, n, state[:n])
+        state = np.zeros((len(lanes.size), HIDDEN), np.float32)
+        for t in range(0, lanes.steps, WINDOW):
+            state = self._window(lanes, t, state)
         self.tokens += sum(map(len, texts))
 
-    def _window(self, lanes: Lanes, t: int, n: int, state: np.ndarray) -> np.ndarray:
+    def _window(self, lanes: Lanes, t: int, state: np.ndarray) -> np.ndarray:
         w = self.weights
-        x = lanes.inputs[t : t + WINDOW, :n]
-        y = lanes.targets[t : t + WINDOW, :n].ravel().astype(np.int64)
-        live = (np.arange(n) < lanes.running[t : t + WINDOW, None]).ravel()
-        states, last, tape = _steps(w, state, x, keep=True)
+        x, y, _, live = lanes.window(t)
+        n, y, live = x.shape[1], y.ravel().astype(np.int64), live.ravel()
+        states, last, tape = _steps(w, state[:n], x, keep=True)
         h, own = states.reshape(-1, HIDDEN), _classes_of(y)
         # a window in which few lanes still run moves the network by as much less
-        full, some = min(WINDOW, len(lanes.inputs)) * lanes.inputs.shape[1], max(int(live.sum()), 1)
+        full, some = min(WINDOW, lanes.steps) * len(lanes.size), max(int(live.sum()), 1)
         share = np.float32(1 / some)
         g = {}
         _, p = _exps(w["classes"], w["class_bias"], h)

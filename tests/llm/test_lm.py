@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -96,3 +97,19 @@ def test_counts_follow_the_corpus(spark):
     once = {r.word: r.n for r in lm.word_counts(docs).collect()}
     assert {r.word: r.n for r in lm.word_counts(twice).collect()} == {w: 2 * n for w, n in once.items()}
     assert lm.word_counts(docs).agg(F.sum("n")).first()[0] == sum(len(words(r.text)) for r in docs.collect())
+
+
+def test_long_text_beside_short_ones():
+    """Lanes take memory by tokens, not by lanes times the longest text; scores and training stay whole."""
+    random = np.random.default_rng(3)
+    texts = [random.integers(0, gru.START, n).astype(np.int16) for n in (40_000, *[7] * 511)]
+    weights = gru.initial()
+    tracemalloc.start()
+    scores = gru.log_probabilities(weights, texts)
+    trainer = gru.Trainer(weights, 0.004)
+    trainer.learn(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100_000_000 and trainer.tokens == sum(map(len, texts))
+    alone = [gru.log_probabilities(weights, [t])[0] for t in (texts[0], texts[1], texts[-1])]
+    assert np.allclose(alone, [scores[0], scores[1], scores[-1]], rtol=1e-5)

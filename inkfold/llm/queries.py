@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import ann, bpe, decontaminate, extract, lm, simhash, tokenbin, toxicity, urlfilter, warc
+from inkfold.llm import ann, bpe, decontaminate, extract, lm, simhash, tokenbin, toxicity, urlfilter, warc, whitening
 from inkfold.llm.common import bound_batches, fresh_path, table
 
 #: What a host of listed pages has in its name. Fixed values.
@@ -119,6 +119,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """deviation is NULL where it lies beyond the longs."""
+    bound_batches(spark)
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), 4)
+    deviation = F.col("deviation").try_cast("long").alias("deviation")
+    return found.select(F.col("id").alias("vec_id"), "component", "n", deviation, "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_html": op2_html,
@@ -130,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_ids": op8_token_ids,
     "op9_url_filter": op9_url_filter,
     "op10_bpe": op10_bpe,
+    "op11_whitening": op11_whitening,
 }
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

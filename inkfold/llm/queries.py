@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import ann, bpe, decontaminate, extract, lm, simhash, tokenbin, toxicity, urlfilter, warc, whitening
+from inkfold.llm import ann, bpe, decontaminate, extract, lm, mixing, simhash, tokenbin, toxicity, urlfilter, warc, whitening
 from inkfold.llm.common import bound_batches, fresh_path, table
 
 #: What a host of listed pages has in its name. Fixed values.
@@ -127,6 +127,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "component", "n", deviation, "whitened", "explained", "identity_error")
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_html": op2_html,
@@ -139,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_bpe": op10_bpe,
     "op11_whitening": op11_whitening,
+    "op12_mixing": op12_mixing,
 }
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -176,5 +182,35 @@ SELECT page_id, host, path, rule, listed,
        WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
        WHEN listed THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
+""",
+    "op12_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(concat_ws(':', '0', CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 15) AS BIGINT) AS key
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight
+  FROM d GROUP BY source
+), r AS (
+  SELECT *, 2.0 * CAST(source_size AS DOUBLE) AS most, 2.0 * CAST(source_size AS DOUBLE) / weight AS ratio FROM s
+), t AS (
+  SELECT CAST(1.5 AS DOUBLE) * CAST(sum(source_size) AS DOUBLE) AS budget, CAST(sum(weight) AS BIGINT) AS weigh FROM s
+), o AS (
+  SELECT r.*, budget, weigh,
+    coalesce(sum(most) OVER w, 0) + ratio * (weigh - coalesce(CAST(sum(weight) OVER w AS BIGINT), 0)) <= budget AS stops
+  FROM r CROSS JOIN t WINDOW w AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), l AS (
+  SELECT (max(budget) - coalesce(sum(most) FILTER (stops), 0)) / CAST(sum(weight) FILTER (NOT stops) AS DOUBLE) AS level FROM o
+), g AS (
+  SELECT source, source_size, CASE WHEN stops THEN most ELSE level * weight END AS target FROM o CROSS JOIN l
+), p AS (
+  SELECT d.*, source_size, target, CAST(floor(target) AS BIGINT) AS wanted,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+  (wanted // source_size) * size + greatest(0, least(size, wanted % source_size - before)) END AS BIGINT) AS taken
+FROM p
 """,
 }

@@ -1,8 +1,8 @@
 """Whitening of embeddings by the principal axes of their covariance.
 
 Entries are turned into whole numbers, so that equal vectors are equal and sums are exact. Spark finds the distinct vectors and
-sums them; tasks multiply centred rows into scatter matrices, which Spark adds up entry by entry. Only dim * (dim + 1) / 2 sums
-reach the driver, which factors them: a Cholesky factor with pivots, then one-sided Jacobi rotations of the factor's
+sums them; tasks multiply centred rows into scatter matrices, which further tasks add up. Only one, of dim * (dim + 1) / 2 sums,
+reaches the driver, which factors it: a Cholesky factor with pivots, then one-sided Jacobi rotations of the factor's
 columns. The squared norms of the rotated columns are the eigenvalues, the columns themselves, normed, the components.
 """
 
@@ -22,6 +22,8 @@ from inkfold.llm.common import cut
 SCALE = 256
 #: A component whose eigenvalue is under so much of the largest one is not told from rounding and not returned.
 RANK = 1e-13
+#: Tasks' sums that one task adds up.
+FAN = 64
 #: Rows whose products are formed at once.
 _BLOCK = 4096
 
@@ -160,21 +162,39 @@ def _exact_sums(distinct: DataFrame, dim: int) -> tuple[int, list[int]]:
 
 
 def _totals(distinct: DataFrame, dim: int, block, width: int) -> np.ndarray:
-    """The sum over blocks of rows of block(rows), which gives width doubles. A task adds up its own, Spark those of the tasks."""
+    """The sum over blocks of rows of block(rows), which gives width doubles.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, any_row = np.zeros(width), False
+    A task adds up its own rows, then tasks the sums of FAN others, until one is left: no task holds more than two sums at once,
+    and their number does not grow with that of the tasks.
+    """
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
             x = _matrix(batch.column(0), dim)
             for at in range(0, len(x), _BLOCK):
-                total += block(x[at : at + _BLOCK].astype(float))
-                any_row = True
-        if any_row:
-            yield pa.record_batch([pa.array([total], pa.list_(pa.float64()))], ["totals"])
-
-    entries = distinct.mapInArrow(run, "totals array<double>").select(F.posexplode("totals").alias("pos", "total"))
-    found = entries.groupBy("pos").agg(F.sum("total").alias("total")).toArrow().sort_by("pos")
-    return found["total"].to_numpy()
+                yield block(x[at : at + _BLOCK].astype(float))
+
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield batch.column(0)[i].values.to_numpy()
+
+    def adding(parts):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for part in parts(batches):
+                total = part + 0.0 if total is None else total + part
+            if total is not None:
+                yield pa.record_batch([pa.array([total], pa.list_(pa.float64()))], ["totals"])
+
+        return run
+
+    left, found = distinct.rdd.getNumPartitions(), distinct.mapInArrow(adding(first), "totals array<double>")
+    while left > 1:
+        left = -(-left // FAN)
+        found = found.repartition(left).mapInArrow(adding(later), "totals array<double>")
+    rows = found.toArrow()["totals"]
+    return rows[0].values.to_numpy() if len(rows) else np.zeros(width)
 
 
 def fit(distinct: DataFrame, dim: int) -> Whitening | None:

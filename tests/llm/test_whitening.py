@@ -102,3 +102,11 @@ def test_query(spark):
     assert found.columns[:7] == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
     vectors = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
     check(found.withColumnRenamed("vec_id", "id").collect(), vectors)
+
+
+def test_sums_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "FAN", 3)
+    x = spark.createDataFrame([([i, i % 7, 1],) for i in range(500)], "x ARRAY<LONG>").repartition(20).checkpoint()
+    found = whitening._totals(x, 3, lambda rows: (rows.T @ rows).ravel(), 9).reshape(3, 3)
+    rows = np.array([[i, i % 7, 1] for i in range(500)], float)
+    assert np.allclose(found, rows.T @ rows)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.llm import ann, bpe, decontaminate, extract, lm, mixing, simhash, tokenbin, toxicity, urlfilter, warc, whitening
+from inkfold.llm import ann, bpe, decontaminate, extract, lm, mixing, periods, simhash, tokenbin, toxicity, urlfilter, warc, whitening
 from inkfold.llm.common import bound_batches, fresh_path, table
 
 #: What a host of listed pages has in its name. Fixed values.
@@ -132,6 +132,24 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document the longest run, ties to the smaller start, then period."""
+    bound_batches(spark)
+    found = periods.periodic_runs(table(spark, sf_dir, "documents"), periods.planted, with_text=False)
+    by_length = F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period")))
+    best = found.withColumn("best", F.array_max(by_length))
+    return best.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length DIV -best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_html": op2_html,
@@ -145,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": op10_bpe,
     "op11_whitening": op11_whitening,
     "op12_mixing": op12_mixing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -53,10 +53,10 @@ _REFERENCE = r"\A(?:#([0-9]++);?|#[xX]([0-9A-Fa-f]++);?|([A-Za-z][A-Za-z0-9]*;?)
 # The longest name that needs no ';' at the start of a run of letters.
 _BARE_NAMES = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 _BARE = rf"\A({'|'.join(_BARE_NAMES)})"
-# The characters that the numbers 128 to 159 stand for, by Windows-1252.
-_WINDOWS = {
-    n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
-}
+# The characters that the numbers 128 to 159 stand for, by Windows-1252, as a map literal of SQL.
+_WINDOWS = "map({})".format(
+    ", ".join(f"{n}, '{bytes([n]).decode('cp1252')}'" for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+)
 
 # Name to text, as JSON so that it folds into one map literal. Names without ';' are those that
 # HTML allows to leave it out. A lookup goes through them in order: common characters first.
@@ -70,7 +70,7 @@ def _code_point(number: Column) -> Column:
     """The character of a code point; U+FFFD for what is not one."""
     valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
     char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    windows = F.create_map(*[F.lit(x) for pair in _WINDOWS.items() for x in pair])
+    windows = F.expr(_WINDOWS)
     return (
         F.when(number.between(128, 159), F.coalesce(F.try_element_at(windows, number.cast("int")), char))
         .when(valid, char)

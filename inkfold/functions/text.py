@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,17 +79,27 @@ def item_text(item: Column, dtype: T.DataType) -> Column:
     return item.cast("string")
 
 
-def join_texts(texts: Iterable[Column]) -> Column:
-    """Texts joined by a line break; NULL and '' add neither text nor line break."""
-    return F.concat_ws("\n", *[F.nullif(text, F.lit("")) for text in texts])
+def _texts(items: list[Column], dtype: T.DataType) -> list[Column]:
+    """The texts of items of one type, NULL for ''; as one array where that saves analysing a long expression for each."""
+
+    def text(item: Column) -> Column:
+        return F.nullif(item_text(item, dtype), F.lit(""))
+
+    if len(items) > 1 and isinstance(dtype, T.StructType):
+        return [F.transform(F.array(*items), text)]
+    return [text(item) for item in items]
 
 
 def fields_text(notes: DataFrame, fields: Iterable[str]) -> Column:
-    """Text of the named fields of a note in the order given, each name once.
+    """Text of the named fields of a note in the order given, each name once, joined by a line break; NULL and '' add neither
+    text nor line break.
 
     A field no note has is a missing item and adds nothing. Names are found as Spark finds them,
     without regard to case.
     """
     columns = {field.name.lower(): field for field in notes.schema}
     known = [columns[name.lower()] for name in dict.fromkeys(fields) if name.lower() in columns]
-    return join_texts(item_text(notes[f"`{field.name}`"], field.dataType) for field in known)
+    texts = []
+    for dtype, group in groupby(known, key=lambda field: field.dataType):
+        texts += _texts([notes[f"`{field.name}`"] for field in group], dtype)
+    return F.concat_ws("\n", *texts)

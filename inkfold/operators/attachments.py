@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.functions.names import glob_extension, matches_glob
-from inkfold.operators.keyed import BROADCAST_BYTES, Profile, few_keys, fits, narrowed, profile, spread_join
+from inkfold.operators.keyed import BROADCAST_BYTES, Profile, few_keys, first_rows, fits, narrowed, profile, spread_join
 from inkfold.operators.lookup import shared_columns
 from inkfold.sources.tables import UNID
 
@@ -82,23 +82,24 @@ def named_attachment(
     notes: DataFrame, attachments: DataFrame, name: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """The attachment of exactly this name for every note, of several the one with the lowest ``att_pos``. The query
-    fails if a note has none."""
+    fails if a note has none.
+
+    The file is found by its place, then its contents are looked up and stream past the notes; they are never sorted."""
     if not name:
         raise ValueError("an attachment name must not be empty")
     _refuse_shared_columns(notes, attachments)
     picked = attachments.where(F.col(NAME) == name)
     keys = notes.select(UNID)
     of_keys = profile(keys, UNID)
-    few = few_keys(of_keys)
+    few, bound = few_keys(of_keys), None
     if few is not None:
-        picked = narrowed(picked, UNID, few)
+        picked, bound = narrowed(picked, UNID, few), of_keys
     elif fits(of_keys, limit):
         # An outer join cannot broadcast the notes, but their keys leave little of the other side.
-        picked = picked.join(F.broadcast(keys.distinct()), UNID, "left_semi")
+        picked, bound = picked.join(F.broadcast(keys.distinct()), UNID, "left_semi"), of_keys
     others = [c for c in picked.columns if c.lower() != UNID]
-    place = [F.col(ATT_POS)] if any(c.lower() == ATT_POS for c in others) else []
-    whole = F.struct(*[F.col(f"`{c}`") for c in others])
-    first = picked.groupBy(UNID).agg(F.min_by(whole, place[0]).alias("__file") if place else F.first(whole).alias("__file"))
+    place = next((c for c in others if c.lower() == ATT_POS), None)
+    first = first_rows(picked, UNID, place, {"__file": F.col(NAME) == name}, others, limit, bound=bound)
     missing = F.raise_error(F.lit(f"attachment not found: {name}")).cast("boolean")
-    joined = spread_join(notes, first, UNID, of_keys, how="left").where(F.col("__file").isNotNull() | missing)
+    joined = spread_join(notes, first, UNID, of_keys, how="left", hashed="left").where(F.col("__file").isNotNull() | missing)
     return joined.select(*[F.col(f"`{c}`") for c in notes.columns], *[F.col(f"__file.`{c}`").alias(c) for c in others])

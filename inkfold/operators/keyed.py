@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import pyarrow as pa
@@ -163,12 +163,14 @@ def salted_join(
     left_salts: dict[object, int],
     right_salts: dict[object, int] | None = None,
     how: str = "inner",
+    hashed: str = "",
 ) -> DataFrame:
     """Inner (or, with the left side salted alone, left) join in which the rows of hot keys are split into parts by a hash of the row.
 
     The matching rows of the other side are repeated once per part, so that every pair of rows meets exactly
     once, also where both sides are hot. The hash depends on the row alone: a task that is run again after
-    an executor is lost sends every row to the same part.
+    an executor is lost sends every row to the same part. ``hashed`` names the side (left or right) whose rows of a task fit in memory:
+    the other side streams past it unsorted.
     """
     on = [key]
     spread_left, spread_right = _spread_columns(left), _spread_columns(right)
@@ -182,15 +184,63 @@ def salted_join(
         left = _in_all_parts(left, key, hot, "__right_part")
         right = _in_one_part(right, key, hot, "__right_part", spread_right)
         on.append("__right_part")
+    left = left.hint("shuffle_hash") if hashed == "left" else left
+    right = right.hint("shuffle_hash") if hashed == "right" else right
     return left.join(right, on, how).drop(*on[1:])
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, key: str, left_profile: Profile, right_profile: Profile | None = None, how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_profile: Profile,
+    right_profile: Profile | None = None,
+    how: str = "inner",
+    hashed: str = "",
 ) -> DataFrame:
     """Shuffled join; salted only where a side has hot keys, so that bucketed tables whose keys are even
     still join without a shuffle. A side without a profile has unique keys."""
     partitions = _partitions(left)
     left_salts = hot_salts(left_profile, partitions)
     right_salts = hot_salts(right_profile, partitions) if right_profile else {}
-    return salted_join(left, right, key, left_salts, right_salts, how)
+    return salted_join(left, right, key, left_salts, right_salts, how, hashed)
+
+
+def first_rows(
+    rows: DataFrame,
+    key: str,
+    place: str | None,
+    slots: dict[str, Column],
+    parts: Iterable[str],
+    limit: int = BROADCAST_BYTES,
+    clustered: bool = False,
+    bound: Profile | None = None,
+) -> DataFrame:
+    """One row per key with a struct of ``parts`` in each slot: those of the row with the least ``place`` of all that meet the
+    slot's condition, NULL where none does. Conditions exclude one another; of several rows at one place the least counts.
+
+    Places are found first, by an aggregation that reads no other column. Parts, which may be large, are then looked up by
+    them: a row that is no key's first is dropped where it is read if the places can be broadcast, else by a hash join that holds places only. Parts
+    are gathered by a hash aggregation, which spills by itself where a task has many keys; the plan sorts none. Hot keys are spread for the lookup, after which a key has a row for each slot.
+    ``clustered`` rows are bucketed by ``key``. ``bound``, where known, is a profile of more rows than there are keys, and saves measuring.
+    """
+    order, number = F.lit(0) if place is None else F.col(f"`{place}`"), range(len(slots))
+    kept = rows.where(reduce(Column.__or__, slots.values()))
+    places = kept.groupBy(key).agg(*[F.min(F.when(met, order)).alias(f"__place_{n}") for n, met in zip(number, slots.values())])
+    if clustered:
+        placed = kept.join(places, key)
+    else:
+        of_rows = bound or profile(kept.select(key), key)
+        if fits(replace(of_rows, size=of_rows.size + 16 * len(slots) * of_rows.rows), limit):
+            placed = kept.join(F.broadcast(places), key)
+        else:
+            of_rows = of_rows if bound is None else profile(kept.select(key), key)
+            placed = salted_join(kept, places, key, hot_salts(of_rows, _partitions(rows)), hashed="right")
+    slot = F.coalesce(*[F.when(met & (order == F.col(f"__place_{n}")), F.lit(n)) for n, met in zip(number, slots.values())])
+    found = placed.select(key, slot.alias("__slot"), F.struct(*[F.col(f"`{c}`") for c in parts]).alias("__parts"))
+    gathered = found.where("__slot IS NOT NULL").groupBy(key).agg(F.collect_set(F.struct("__slot", "__parts")).alias("__rows"))
+
+    def least(n: int) -> Column:
+        return F.array_min(F.filter("__rows", lambda row: row["__slot"] == n))["__parts"]
+
+    return gathered.select(key, *[least(n).alias(name) for n, name in zip(number, slots)])

@@ -90,8 +90,11 @@ def test_contents_are_read_only_where_needed(tables, plan_of):
     assert not any("content" in columns for columns in schema_read(plan))
     plan = plan_of(DocumentReader(EMPTY.with_string("title")).notes(notes).attachments(files).load())
     assert "hashpartitioning" not in plan
-    plan = plan_of(named_attachment(notes.select("unid"), files, "a.txt"))
-    assert "EqualTo(name,a.txt)" in plan
+    for limit in (10**9, 0):
+        plan = plan_of(named_attachment(notes.select("unid"), files, "a.txt", limit))
+        assert "EqualTo(name,a.txt)" in plan and "Sort" not in plan
+        # The place of each file is found without its contents.
+        assert any("content" not in columns and "att_pos" in columns for columns in schema_read(plan))
 
 
 def test_few_notes_prune_the_attachments(tables, plan_of):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,33 +101,27 @@ def page_notes(spark, sf_dir) -> DataFrame:
 
 def long_items(spark, sf_dir) -> DataFrame:
     """Items of documents and pages one row each. A page belongs to the note of the same number."""
-
-    def item(pos, name, kind, vals=None, plain=None, html=None, numbers=None, times=None):
-        return F.struct(
-            F.lit(pos).alias("item_pos"),
-            F.lit(name).alias("name"),
-            F.lit(kind).alias("kind"),
-            (F.lit(None).cast("array<string>") if vals is None else vals).alias("vals"),
-            (F.lit(None).cast("array<double>") if numbers is None else numbers).alias("numbers"),
-            (F.lit(None).cast("array<timestamp_ntz>") if times is None else times).alias("times"),
-            F.lit(None).cast("array<struct<kind:string,text:string>>").alias("runs"),
-            (F.lit(None).cast("string") if plain is None else plain).alias("plain"),
-            (F.lit(None).cast("string") if html is None else html).alias("html"),
-        )
-
-    documents = document_notes(spark, sf_dir)
-    texts = F.array(
-        item(0, "Source", "text", F.array("source")),
-        item(1, "Lang", "text", F.array("lang")),
-        item(2, "Body", "text", F.col("lines")),
+    types = {
+        "vals": "array<string>", "numbers": "array<double>", "times": "array<timestamp_ntz>",
+        "runs": "array<struct<kind:string,text:string>>", "plain": "string", "html": "string",
+    }
+
+    def item(notes, pos, name, kind, **parts):
+        found = [f"{parts[part]} AS {part}" if part in parts else f"CAST(NULL AS {kind}) AS {part}" for part, kind in types.items()]
+        return notes.selectExpr("unid", f"{pos} AS item_pos", f"'{name}' AS name", f"'{kind}' AS kind", *found)
+
+    documents, pages = document_notes(spark, sf_dir), page_notes(spark, sf_dir)
+    items = [
+        item(documents, 0, "Source", "text", vals="array(source)"),
+        item(documents, 1, "Lang", "text", vals="array(lang)"),
+        item(documents, 2, "Body", "text", vals="lines"),
         # A second item of the name, which is not read.
-        item(3, "SOURCE", "text", F.array("lang")),
-        item(5, "Size_K", "number", numbers=F.array(F.col("n_chars") / 1024, F.lit(0.0))),
-        item(6, "Seen", "time", times=F.array(F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, n_chars)"))),
-    )
-    pages = page_notes(spark, sf_dir)
-    bodies = F.array(item(4, "Page", "mime", plain=F.col("body.plain"), html=F.col("body.html")))
-    return documents.select("unid", F.inline(texts)).unionByName(pages.select("unid", F.inline(bodies)))
+        item(documents, 3, "SOURCE", "text", vals="array(lang)"),
+        item(documents, 5, "Size_K", "number", numbers="array(n_chars / 1024, 0D)"),
+        item(documents, 6, "Seen", "time", times="array(timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, n_chars))"),
+        item(pages, 4, "Page", "mime", plain="body.plain", html="body.html"),
+    ]
+    return reduce(DataFrame.unionAll, items)
 
 
 def item_notes(spark, sf_dir) -> DataFrame:

@@ -107,13 +107,14 @@ ORACLE = {
         FROM ({DOCUMENTS}) d FULL JOIN (SELECT page_id, {_unid('page_id')} AS unid,
           CASE WHEN {FILE} <> '' THEN {FILE} ELSE {_html('html')} END AS page FROM pages) p ON d.unid = p.unid""",
     "load_itemless_notes": f"""SELECT n.*, t.att_pos, t.name AS attachment_name, t.text,
-          CASE WHEN n.unid LIKE '%7' THEN d.source END AS meta_source
+          d.source AS meta_source, nullif(p.plain, '') AS meta_page
         FROM (SELECT {_unid('o_orderkey')} AS unid, {DEFAULT_META} FROM orders) n
         JOIN ({TURN}) t ON t.unid = n.unid LEFT JOIN ({DOCUMENTS}) d ON d.unid = n.unid
+        LEFT JOIN (SELECT {_unid('page_id')} AS unid, {FILE} AS plain FROM pages) p ON p.unid = n.unid
         WHERE regexp_matches(t.text, '[^\\x00-\\x20]')""",
     "load_reserved_names": f"""SELECT k.batch, k.pos, k.unid, concat_ws(chr(10), lang, source, text) AS text,
           lang AS meta_batch, upper(source) AS meta_place
-        FROM (SELECT 0 AS batch, * FROM ({UNID_KEYS}) UNION ALL SELECT 1, * FROM ({UNID_KEYS}) WHERE pos % 3 = 0) k
+        FROM (SELECT 0 AS batch, * FROM ({UNID_KEYS}) UNION ALL SELECT 1, * FROM ({ENTRIES})) k
         JOIN ({DOCUMENTS}) d ON k.unid = d.unid""",
     "load_attachment_extension": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, t.text, lang AS meta_lang
         FROM ({TURN}) t JOIN ({DOCUMENTS}) d ON t.unid = d.unid

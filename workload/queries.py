@@ -123,17 +123,18 @@ def load_long_items(spark, d):
 
 
 def load_itemless_notes(spark, d):
-    """Attachments of notes that have none of the items, with the default metadata of the table of notes."""
-    notes = wide_notes(long_items(spark, d).where("unid LIKE '%7'"), ["source"], notes=default_notes(spark, d))
-    return DocumentReader(DEFAULT.with_string("source")).notes(notes).attachments(turn_attachments(spark, d)).load().drop("batch")
+    """Attachments of notes beside the default metadata of the table of notes. Most notes have no page, and many none of the items."""
+    notes = wide_notes(long_items(spark, d), ["source", "page"], notes=default_notes(spark, d))
+    definition = DEFAULT.with_string("source").with_string("page", "page.plain")
+    return DocumentReader(definition).notes(notes).attachments(turn_attachments(spark, d)).load().drop("batch")
 
 
 def load_reserved_names(spark, d):
-    """Notes with items named as the reader's own columns, fetched by a key of another case."""
+    """Notes with items named as the reader's own columns, fetched by keys of another case from two lists."""
     notes = document_notes(spark, d).select(F.col("unid").alias("UNID"), F.col("lang").alias("batch"), F.col("source").alias("Pos"), "body")
-    keys = unid_keys(spark, d).select("pos", "unid")
     definition = EMPTY.with_string("batch").with_string("place", "upper(pos)")
-    return DocumentReader(definition).table(notes).unids(keys).unids(keys.where("pos % 3 = 0")).fields("batch", "pos", "body").load()
+    reader = DocumentReader(definition).table(notes).unids(unid_keys(spark, d)).unids(entries(spark, d))
+    return reader.fields("batch", "pos", "body").load()
 
 
 def load_attachment_extension(spark, d):

@@ -11,6 +11,7 @@ from inkfold.operators.lookup import append, fetch, fetch_entries, lookup_note
 from inkfold.plans.definition import DEFAULT, EMPTY, MetadataDefinition, MetaField, based_on
 from inkfold.plans.reader import DocumentReader, load_documents
 from inkfold.session import build_session
+from inkfold.sources.files import FileStore
 from inkfold.sources.items import wide_notes
 
 __all__ = [
@@ -18,6 +19,7 @@ __all__ = [
     "EMPTY",
     "BlankDocument",
     "DocumentReader",
+    "FileStore",
     "MetaField",
     "MetadataDefinition",
     "append",

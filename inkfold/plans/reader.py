@@ -9,12 +9,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from inkfold.functions.names import DEFAULT_GLOB
 from inkfold.operators.attachments import ATT_POS, ATTACHMENT
 from inkfold.operators.documents import Parser, extract_attachments, extract_fields
 from inkfold.operators.keyed import BROADCAST_BYTES, Profile, listed_profile
 from inkfold.operators.lookup import append, fetch_bounded
 from inkfold.operators.metadata import PREFIX, needed_columns
 from inkfold.plans.definition import MetadataDefinition
+from inkfold.sources.files import FileStore
 from inkfold.sources.tables import BATCH, NOTE_ID, POS, UNID, key_frame, open_path, open_table
 
 Keys = DataFrame | tuple
@@ -36,7 +38,7 @@ class DocumentReader:
     definition: MetadataDefinition
     field_names: tuple[str, ...] = ()
     with_attachments: bool = False
-    attachment_table: DataFrame | str = "attachments"
+    attachment_table: DataFrame | FileStore | str = "attachments"
     file_pattern: str | None = None
     document_parser: Parser | None = None
     kept: tuple[str, ...] = ()
@@ -61,8 +63,8 @@ class DocumentReader:
     def fields(self, *names: str) -> DocumentReader:
         return replace(self, field_names=(*self.field_names, *names))
 
-    def attachments(self, table: DataFrame | str | None = None, enabled: bool = True) -> DocumentReader:
-        """Read attachments, from a long table or an array column of the notes."""
+    def attachments(self, table: DataFrame | FileStore | str | None = None, enabled: bool = True) -> DocumentReader:
+        """Read attachments, from a long table, a store of files or an array column of the notes."""
         source = self.attachment_table if table is None else table
         return replace(self, with_attachments=enabled, attachment_table=source)
 
@@ -132,10 +134,11 @@ class DocumentReader:
         if self.with_attachments:
             renamed = notes.withColumnRenamed(own[UNID], UNID) if UNID in own else notes
             place, keep = {c: n for c, n in place.items() if n != UNID}, [UNID if c == own.get(UNID) else c for c in keep]
-            profile = bound() if bound and not isinstance(self.attachment_table, str) else None
-            found = extract_attachments(
-                renamed, self.definition, self.attachment_table, self.file_pattern, keep, self.broadcast_bytes, profile
-            )
+            table = self.attachment_table
+            if isinstance(table, FileStore):
+                table = table.attachments(notes.sparkSession, self.file_pattern or DEFAULT_GLOB)
+            profile = bound() if bound and not isinstance(table, str) else None
+            found = extract_attachments(renamed, self.definition, table, self.file_pattern, keep, self.broadcast_bytes, profile)
             keep += [ATT_POS, ATTACHMENT]
         else:
             found = extract_fields(notes, self.definition, self.field_names)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -147,6 +149,22 @@ def page_attachments(spark, sf_dir) -> DataFrame:
     )
 
 
+# The folders that this process has written, by application and tables.
+_written: dict[tuple[str, str], str] = {}
+
+
+def page_files(spark, sf_dir) -> str:
+    """A folder of the pages' HTML sources, in files that end in a line break, one folder for each page and name; written once."""
+    own = spark.sparkContext.applicationId, sf_dir
+    if own not in _written:
+        folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="inkfold-")
+        path = f"{folder.rstrip('/')}/page-files-{uuid.uuid4().hex}"
+        files = page_attachments(spark, sf_dir).select("unid", F.nullif("name", F.lit("")).alias("name"), F.col("content").cast("string"))
+        files.repartition(spark.sparkContext.defaultParallelism).write.partitionBy("unid", "name").text(path)
+        _written[own] = path
+    return _written[own]
+
+
 def unid_keys(spark, sf_dir) -> DataFrame:
     """Customers of all orders as keys: most repeat, many name no note."""
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pos"), unid("o_custkey"))

@@ -15,6 +15,8 @@ def _iso(ts: str) -> str:
 
 FILE = r"regexp_extract(url, '([^/?#]*)(?:[?#].*)?$', 1)"
 
+PAGE_NAME = f"CASE WHEN url LIKE 'https:%' THEN upper({FILE}) ELSE {FILE} END"
+
 TURN = f"""SELECT {_unid('conv_id')} AS unid, CAST(turn AS INTEGER) AS att_pos,
   'turn' || turn || '.' || role || CASE WHEN role = 'user' THEN '.TXT' ELSE '.txt' END AS name, text
   FROM conversations"""
@@ -119,6 +121,10 @@ ORACLE = {
     "load_attachment_extension": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, t.text, lang AS meta_lang
         FROM ({TURN}) t JOIN ({DOCUMENTS}) d ON t.unid = d.unid
         WHERE lower(t.name) LIKE 'turn%.txt' AND regexp_matches(t.text, '[^\\x00-\\x20]')""",
+    "load_file_attachments": f"""SELECT {_unid('page_id')} AS unid, 0 AS att_pos, {PAGE_NAME} AS attachment_name, html || chr(10) AS text,
+        url AS meta_url FROM pages WHERE regexp_matches(lower({FILE}), '^[^/]*[.]html?$')""",
+    "list_file_attachments": f"""SELECT {_unid('page_id')} AS unid, 0 AS att_pos, nullif({PAGE_NAME}, '') AS name,
+        CAST(octet_length(encode(html)) + 1 AS BIGINT) AS length FROM pages""",
     "parser_udf": f"""SELECT {_unid('doc_id')} AS unid,
         translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS text, lang AS meta_lang FROM documents""",
     "parser_attachments": f"""SELECT d.unid, t.att_pos, t.name AS attachment_name, array_to_string(list_reverse(string_split(t.text, chr(10))), chr(10)) AS text

@@ -8,6 +8,7 @@ from inkfold import (
     DEFAULT,
     EMPTY,
     DocumentReader,
+    FileStore,
     MetadataDefinition,
     append,
     attachment_source,
@@ -46,6 +47,7 @@ from workload.notes import (
     order_notes,
     page_attachments,
     page_file,
+    page_files,
     page_notes,
     part_notes,
     table,
@@ -144,6 +146,19 @@ def load_attachment_extension(spark, d):
     return DocumentReader(EMPTY.with_string("lang")).notes(document_notes(spark, d)).attachments(files.withColumn("extension", ending)).pattern("TURN*.TxT").load().drop("batch")
 
 
+def load_file_attachments(spark, d):
+    """Attachments that are files, of which only those with matching names are opened."""
+    pages = table(spark, d, "pages").select(unid("page_id"), "url")
+    store = FileStore(page_files(spark, d), layout=None, least_bytes=1)
+    return DocumentReader(EMPTY.with_string("url")).notes(pages).attachments(store).pattern("*.[h]tm{,l}").load().drop("batch")
+
+
+def list_file_attachments(spark, d):
+    """Names and lengths of all files, none of which is opened."""
+    found = FileStore(page_files(spark, d), layout=None).attachments(spark)
+    return found.select("unid", "att_pos", "name", "length")
+
+
 def parser_udf(spark, d):
     def shout(data: bytes) -> str:
         # Upper-cases ASCII letters and leaves all other bytes alone.
@@ -467,6 +482,8 @@ QUERIES = {
     "load_itemless_notes": load_itemless_notes,
     "load_reserved_names": load_reserved_names,
     "load_attachment_extension": load_attachment_extension,
+    "load_file_attachments": load_file_attachments,
+    "list_file_attachments": list_file_attachments,
     "parser_udf": parser_udf,
     "parser_attachments": parser_attachments,
     "field_source": text_of_notes,

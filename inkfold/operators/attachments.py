@@ -10,7 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkfold.functions.names import glob_extension, matches_glob
-from inkfold.operators.keyed import BROADCAST_BYTES, Profile, few_keys, first_rows, fits, narrowed, profile, spread_join
+from inkfold.operators.keyed import (
+    BROADCAST_BYTES,
+    Profile,
+    few_keys,
+    filter_pays,
+    filtered_by_keys,
+    first_rows,
+    fits,
+    narrowed,
+    profile,
+    spread_join,
+)
 from inkfold.operators.lookup import shared_columns
 from inkfold.sources.tables import UNID
 
@@ -29,7 +40,7 @@ def join_attachments(
     notes: DataFrame, attachments: DataFrame, limit: int = BROADCAST_BYTES, notes_profile: Profile | None = None
 ) -> DataFrame:
     """Each attachment with the columns of its note. Contents are shuffled only when the notes' columns are too
-    large to broadcast, and the notes only those that have an attachment. ``notes_profile`` saves measuring them."""
+    large to broadcast, then only those of wanted notes where these are few, and the notes only those that have an attachment. ``notes_profile`` saves measuring them."""
     _refuse_shared_columns(notes, attachments)
     of_notes = notes_profile or profile(notes, UNID)
     if fits(of_notes, limit):
@@ -44,15 +55,28 @@ def join_attachments(
         notes = narrowed(notes, UNID, few)
     elif fits(of_files, limit):
         notes = notes.join(F.broadcast(keys.distinct()), UNID, "left_semi")
+    elif filter_pays(of_files, of_notes):
+        notes = filtered_by_keys(notes, keys, UNID, of_files.rows)
+    if filter_pays(of_notes, of_files):
+        attachments = filtered_by_keys(attachments, notes.select(UNID), UNID, of_notes.rows)
     return spread_join(attachments, notes, UNID, of_files, of_notes)
 
 
-def unnest_attachments(notes: DataFrame, column: str = "attachments") -> DataFrame:
-    """Attachments held in an array column, one row each with the other columns of the note."""
+def unnest_attachments(notes: DataFrame, column: str = "attachments", pattern: str | None = None) -> DataFrame:
+    """Attachments held in an array column, one row each with the other columns of the note.
+
+    With a pattern, names are matched within the array, so that only attachments that match become rows; they keep their positions.
+    """
     others = [F.col(f"`{c}`") for c in notes.columns if c.lower() != column.lower()]
-    rows = notes.select(*others, F.posexplode(F.col(f"`{column}`")).alias(ATT_POS, "__att"))
+    if pattern is None:
+        rows = notes.select(*others, F.posexplode(F.col(f"`{column}`")).alias(ATT_POS, "__att"))
+    else:
+        placed = F.transform(F.col(f"`{column}`"), lambda file, at: F.struct(at.alias(ATT_POS), file.alias("file")))
+        matched = F.filter(placed, lambda placed: matches_glob(placed["file"][NAME], pattern))
+        rows = notes.select(*others, F.explode(matched).alias("__placed"))
+        rows = rows.select(*others, F.col(f"__placed.{ATT_POS}").alias(ATT_POS), F.col("__placed.file").alias("__att"))
     return rows.select(
-        *[c for c in rows.columns if c != "__att"],
+        *[F.col(f"`{c}`") for c in rows.columns if c != "__att"],
         F.col(f"__att.{NAME}").alias(NAME),
         F.col(f"__att.{CONTENT}").alias(CONTENT),
     )

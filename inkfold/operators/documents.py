@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from inkfold.functions.names import DEFAULT_GLOB
 from inkfold.functions.text import decode_utf8, fields_text, not_blank
 from inkfold.operators.attachments import (
     ATT_POS,
@@ -21,7 +22,7 @@ from inkfold.operators.attachments import (
     unnest_attachments,
 )
 from inkfold.operators.keyed import BROADCAST_BYTES, Profile
-from inkfold.operators.metadata import PREFIX, with_metadata
+from inkfold.operators.metadata import PREFIX, unsized, with_metadata
 from inkfold.plans.definition import DEFAULT, MetadataDefinition
 from inkfold.sources.tables import UNID
 
@@ -76,22 +77,28 @@ class Extract:
     text: Column
     content: Column
     metadata: list[Column]
+    sizes: tuple[str, ...] = ()
 
     def documents(self, keep: Iterable[str], parser: Parser | None = None) -> DataFrame:
-        """The columns to keep, the text and the metadata of every row that is not blank."""
+        """The columns to keep, the text and the metadata of every row that is not blank. ``sizes`` are metadata columns that
+        hold the bytes of the text."""
         if parser is None:
-            return select_nonblank(self.rows, _columns(keep), self.text, self.metadata)
-        text = parsed(self.content, parser).alias(TEXT)
-        return self.rows.select(*_columns(keep), text, *self.metadata).where(not_blank(F.col(TEXT)))
+            made = select_nonblank(self.rows, _columns(keep), self.text, self.metadata)
+        else:
+            text = parsed(self.content, parser).alias(TEXT)
+            made = self.rows.select(*_columns(keep), text, *self.metadata).where(not_blank(F.col(TEXT)))
+        return made.withColumns({name: F.octet_length(TEXT).cast(made.schema[name].dataType) for name in self.sizes})
 
     def observed(self, counter: Observation) -> Extract:
         return replace(self, rows=self.rows.observe(counter, F.count(F.lit(1)).alias("rows")))
 
 
-def extract_fields(notes: DataFrame, definition: MetadataDefinition, fields: Iterable[str]) -> Extract:
-    text = fields_text(notes, fields)
-    notes, metadata = with_metadata(notes, definition)
-    return Extract(notes, text, text.cast("binary"), metadata)
+def extract_fields(
+    notes: DataFrame, definition: MetadataDefinition, fields: Iterable[str], failures: Observation | None = None
+) -> Extract:
+    text, sizes = fields_text(notes, fields), unsized(notes, definition)
+    notes, metadata = with_metadata(notes, definition, failures=failures)
+    return Extract(notes, text, text.cast("binary"), metadata, sizes)
 
 
 def extract_attachments(
@@ -102,16 +109,17 @@ def extract_attachments(
     keep: Iterable[str] = (UNID,),
     limit: int = BROADCAST_BYTES,
     notes_profile: Profile | None = None,
+    failures: Observation | None = None,
 ) -> Extract:
     """Attachments with matching names beside their note's columns.
 
     ``attachments`` is a long table, or the name of an array column of the notes.
     """
     # Metadata is computed once per note, ahead of the attachments.
-    notes, metadata = with_metadata(notes, definition)
+    notes, metadata = with_metadata(notes, definition, failures=failures)
     sides = [*_columns(keep), *metadata]
     if isinstance(attachments, str):
-        rows = matching(unnest_attachments(notes.select(*sides, F.col(f"`{attachments}`")), attachments), pattern)
+        rows = unnest_attachments(notes.select(*sides, F.col(f"`{attachments}`")), attachments, pattern or DEFAULT_GLOB)
     else:
         long = matching(attachments, pattern).select(UNID, ATT_POS, NAME, CONTENT)
         rows = join_attachments(notes.select(*sides), long, limit, notes_profile)
@@ -151,9 +159,10 @@ def field_source(
     """Text and metadata of notes as they are, blank texts included."""
     names = [fields] if isinstance(fields, str) else list(fields)
     definition = DEFAULT if definition is None else definition
-    text = fields_text(note, names).alias(TEXT)
+    text, sizes = fields_text(note, names).alias(TEXT), unsized(note, definition)
     note, metadata = with_metadata(note, definition)
-    return note.select(text, *metadata)
+    made = note.select(text, *metadata)
+    return made.withColumns({name: F.octet_length(TEXT).cast(made.schema[name].dataType) for name in sizes})
 
 
 def attachment_source(

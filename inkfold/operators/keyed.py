@@ -33,6 +33,12 @@ TOP_LIMIT, TRACKED_LIMIT = 100_000, 1_000_000
 # So many keys are named in the filter of the scan, in groups that Parquet compares one by one rather than as a range.
 FEW_KEYS, KEY_GROUP = 256, 10
 
+# A filter of keys has blocks of eight 64-bit words for so many keys each, sixteen bits a key, and at most so many blocks, some 50 MB; with
+# FULL times as many keys as fit them well it still drops most other keys, with more it is not built.
+BLOCK_KEYS, MOST_BLOCKS, FULL = 32, 1 << 18, 4
+# A side is filtered by the other side's keys where these are at most one for so many of its rows.
+FILTER_SHARE = 2
+
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 _VARYING = (T.StringType, T.BinaryType)
 
@@ -121,6 +127,35 @@ def narrowed(side: DataFrame, key: str, keys: Iterable) -> DataFrame:
     return side.where(reduce(Column.__or__, [F.col(f"`{key}`").isin(group) for group in groups], F.lit(False)))
 
 
+def _bits(key: Column, blocks: int) -> tuple[Column, Column, Column]:
+    """The block of a key, the word within it, and four bits of that word."""
+    first, second = F.xxhash64(key), F.xxhash64(key, F.lit(1))
+    places = [F.shiftrightunsigned(second, at).bitwiseAND(63).cast("int") for at in (0, 6, 12, 18)]
+    bit = [F.call_function("shiftleft", F.lit(1).cast("bigint"), place) for place in places]
+    word = F.shiftrightunsigned(first, 40).bitwiseAND(7).cast("int")
+    return F.pmod(first, F.lit(blocks)).cast("int"), word, reduce(Column.bitwiseOR, bit)
+
+
+def filter_pays(keys: Profile, side: Profile) -> bool:
+    """Whether a filter of the keys of one side is small enough, and leaves out enough of the other side's rows, to be built."""
+    return keys.rows * FILTER_SHARE <= side.rows and keys.rows <= BLOCK_KEYS * MOST_BLOCKS * FULL
+
+
+def filtered_by_keys(side: DataFrame, keys: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of ``side`` whose key is among those of ``keys`` (``rows`` of them), and a few others.
+
+    A blocked Bloom filter of the keys is built by an aggregation and broadcast; its size is bounded, that of the keys need not be. It is probed
+    where the side is read, so that rows without a partner are not shuffled. The join that follows drops the others.
+    """
+    blocks = min(max(-(-rows // BLOCK_KEYS), 1), MOST_BLOCKS)
+    block, word, bits = _bits(F.col(f"`{key}`").cast(side.schema[key].dataType), blocks)
+    marks = keys.select(block.alias("__block"), word.alias("__word"), bits.alias("__bits"))
+    words = [F.bit_or(F.when(F.col("__word") == n, F.col("__bits")).otherwise(F.lit(0).cast("bigint"))) for n in range(8)]
+    built = marks.groupBy("__block").agg(F.array(*words).alias("__words"))
+    block, word, bits = _bits(side[f"`{key}`"], blocks)
+    return side.join(F.broadcast(built), (block == F.col("__block")) & (F.get("__words", word).bitwiseAND(bits) == bits), "left_semi")
+
+
 def hot_salts(side: Profile, partitions: int) -> dict[object, int]:
     """Tasks to spread each hot key over, so that none of them gets more than an even share.
 

@@ -8,7 +8,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkfold.operators.keyed import BROADCAST_BYTES, Profile, few_keys, fits, listed_profile, narrowed, profile, spread_join
+from inkfold.operators.keyed import (
+    BROADCAST_BYTES,
+    Profile,
+    few_keys,
+    filter_pays,
+    filtered_by_keys,
+    fits,
+    listed_profile,
+    narrowed,
+    profile,
+    spread_join,
+)
 from inkfold.sources.tables import BATCH, NOTE_ID, POS, UNID, key_frame, open_path, open_table
 
 
@@ -59,6 +70,8 @@ def fetch_bounded(
         return held.join(F.broadcast(keys), key), bound
     if fits(of_notes(), limit):
         return keys.join(F.broadcast(notes), key), bound
+    if filter_pays(of_keys, of_notes()):
+        notes = filtered_by_keys(notes, keys, key, of_keys.rows)
     return spread_join(keys, notes, key, of_keys, of_notes()), bound
 
 

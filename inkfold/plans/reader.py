@@ -15,6 +15,7 @@ from inkfold.operators.documents import Parser, extract_attachments, extract_fie
 from inkfold.operators.keyed import BROADCAST_BYTES, Profile, listed_profile
 from inkfold.operators.lookup import append, fetch_bounded
 from inkfold.operators.metadata import PREFIX, needed_columns
+from inkfold.operators.ordered import in_order
 from inkfold.plans.definition import MetadataDefinition
 from inkfold.sources.files import FileStore
 from inkfold.sources.tables import BATCH, NOTE_ID, POS, UNID, key_frame, open_path, open_table
@@ -53,6 +54,7 @@ class DocumentReader:
     session: SparkSession | None = None
     broadcast_bytes: int = BROADCAST_BYTES
     counters: tuple[Observation, Observation] | None = None
+    failures: Observation | None = None
 
     def __post_init__(self):
         if not isinstance(self.definition, MetadataDefinition):
@@ -88,6 +90,11 @@ class DocumentReader:
         """
         return replace(self, counters=(read, kept))
 
+    def count_failures(self, failures: Observation) -> DocumentReader:
+        """Count while the result is computed, for each metadata field that is an expression, the notes on which it fails: it gives no
+        value though the columns it names have one. The field is left out there and the document stays."""
+        return replace(self, failures=failures)
+
     # Which notes to read
 
     def notes(self, *frames: DataFrame) -> DocumentReader:
@@ -138,10 +145,12 @@ class DocumentReader:
             if isinstance(table, FileStore):
                 table = table.attachments(notes.sparkSession, self.file_pattern or DEFAULT_GLOB)
             profile = bound() if bound and not isinstance(table, str) else None
-            found = extract_attachments(renamed, self.definition, table, self.file_pattern, keep, self.broadcast_bytes, profile)
+            found = extract_attachments(
+                renamed, self.definition, table, self.file_pattern, keep, self.broadcast_bytes, profile, self.failures
+            )
             keep += [ATT_POS, ATTACHMENT]
         else:
-            found = extract_fields(notes, self.definition, self.field_names)
+            found = extract_fields(notes, self.definition, self.field_names, self.failures)
         if self.counters is None:
             return found.documents(keep, self.document_parser).withColumnsRenamed(place)
         read, kept = self.counters
@@ -158,16 +167,35 @@ class DocumentReader:
             raise ValueError(f"columns to keep have the names of others of the result: {clashing}")
 
     def load_ordered(self) -> DataFrame:
-        """``load()`` in source order, at the price of a range shuffle of the result.
+        """``load()`` in source order, at the price of a shuffle of the result.
 
         Rows go by ``batch`` and ``pos``. Notes given without a ``pos`` have no order of their own and go by
-        ``unid``; ``batch`` alone would send everything to one task.
+        ``unid``; ``batch`` alone would send everything to one task. Where the tasks' shares begin is settled on the keys alone, so
+        that texts are extracted, and parsed, once; then a note's attachments stay in one task. Attachments that no parser reads are cheap to
+        compute again, and a note with very many of them is cut by ``att_pos`` instead.
         """
         documents = self.load()
         place = next((c for c in (POS, UNID) if c in documents.columns), None)
         if place is None:
             raise ValueError("notes need a pos or unid column to be put in order")
-        return documents.orderBy(*[c for c in (BATCH, place, ATT_POS) if c in documents.columns])
+        order = [c for c in (BATCH, place, ATT_POS) if c in documents.columns]
+        cheap = self.with_attachments and self.document_parser is None
+        places = None if cheap else self._places(place)
+        return documents.orderBy(*order) if places is None else in_order(documents, places, [BATCH, place], order)
+
+    def _places(self, place: str) -> DataFrame | None:
+        """The batch and place of every row there can be, from the notes or keys given; ``None`` where a key list does not tell."""
+        if self.note_frames:
+            return append(self.note_frames, _BATCH).select(F.col(_BATCH).alias(BATCH), F.col(place).alias(place))
+        lists = [frame for frame, _ in self.entry_frames] or [keys for keys in self.unid_keys if isinstance(keys, DataFrame) or keys]
+        key = UNID if lists else NOTE_ID
+        lists = lists or [keys for keys in self.note_id_keys if isinstance(keys, DataFrame) or keys]
+        session = self._notes_table().sparkSession if any(not isinstance(keys, DataFrame) for keys in lists) else None
+        frames = [keys if isinstance(keys, DataFrame) else key_frame(session, keys, key) for keys in lists]
+        if not all(any(c.lower() == place for c in frame.columns) for frame in frames):
+            return None
+        numbered = [frame.select(F.lit(number).alias(BATCH), F.col(place).alias(place)) for number, frame in enumerate(frames)]
+        return reduce(DataFrame.unionAll, numbered)
 
     def _picked(self) -> tuple[DataFrame, Callable[[], Profile] | None]:
         """The notes to read, numbered by source call, and for view entries and UNIDs what bounds their number and size."""

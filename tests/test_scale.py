@@ -1,0 +1,153 @@
+"""What keeps work small: keys filtered before a shuffle, order without computing twice, names matched before contents, counted failures."""
+
+import re
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from inkfold import DEFAULT, EMPTY, DocumentReader, fetch, field_source
+from inkfold.operators import keyed
+from inkfold.operators.attachments import join_attachments, unnest_attachments
+from inkfold.operators.metadata import unsized, with_metadata
+from inkfold.operators.ordered import in_order
+
+
+@pytest.fixture(scope="module")
+def notes(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("scale") / "notes")
+    spark.range(40_000).select(F.concat(F.lit("U"), "id").alias("unid"), F.col("id").cast("int").alias("note_id"), F.repeat("id", 10).alias("body")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_wanted_notes_alone_are_shuffled(spark, notes, no_broadcast, plan_of):
+    """One note in a hundred is wanted, some often and some that are not there: almost no other reaches the shuffle."""
+    keys = spark.range(400).select(F.col("id").alias("pos"), F.concat(F.lit("U"), F.col("id") * 100 + F.when(F.col("id") % 10 == 0, 10**6).otherwise(0)).alias("unid"))
+    keys = keys.union(keys.selectExpr("pos + 1000", "unid")).union(spark.sql("SELECT 5000L, CAST(NULL AS STRING)"))
+    made = fetch(notes, keys, limit=0)
+    plan = plan_of(made, "simple")
+    assert re.search(r"Exchange hashpartitioning\(unid#\d+[^\n]*\n[^\n]*BroadcastHashJoin[^\n]*LeftSemi", plan)
+    few = keyed.filtered_by_keys(notes, keys.where("unid IS NOT NULL"), "unid", 800)
+    assert 360 <= few.count() <= 360 + 400
+    want = notes.join(keys, "unid").select("pos", "unid", "body")
+    assert sorted(made.select("pos", "unid", "body").collect()) == sorted(want.collect()) and want.count() == 720
+
+
+def test_filter_keeps_every_key(spark, notes):
+    """Keys of another whole-number type, more keys than a filter holds well, one block, none."""
+    for rows, most in ((40_000, 1 << 18), (40_000, 2), (5, 1 << 18)):
+        before, keyed.MOST_BLOCKS = keyed.MOST_BLOCKS, most
+        try:
+            keys = spark.range(rows).select(F.col("id").alias("note_id"))
+            assert keyed.filtered_by_keys(notes, keys, "note_id", rows).where(F.col("note_id") < rows).count() == rows
+        finally:
+            keyed.MOST_BLOCKS = before
+    assert keyed.filtered_by_keys(notes, keys.limit(0), "note_id", 0).count() == 0
+
+
+def test_contents_of_unwanted_notes_stay(spark, notes, no_broadcast, plan_of):
+    files = notes.select("unid", F.lit(0).alias("att_pos"), F.lit("a.txt").alias("name"), F.col("body").cast("binary").alias("content"))
+    wanted = notes.where("note_id % 100 = 0").select("unid", F.repeat(F.col("body"), 2).alias("title"))
+    found = join_attachments(wanted, files, limit=0)
+    assert plan_of(found, "simple").count("LeftSemi") == 1 and found.count() == 400
+    found = join_attachments(notes.select("unid", "body"), files.where("unid LIKE 'U%00'"), limit=0)
+    assert plan_of(found, "simple").count("LeftSemi") == 1 and found.count() == 399
+
+
+def test_parsers_run_once_when_results_are_put_in_order(spark, notes):
+    calls = spark.sparkContext.accumulator(0)
+
+    def parse(data):
+        calls.add(1)
+        return data.decode()
+
+    some = notes.where("note_id < 1000").withColumn("pos", 999 - F.col("note_id"))
+    found = DocumentReader(EMPTY).notes(some).fields("body").parser(parse).load_ordered().collect()
+    assert [r.pos for r in found] == list(range(1000)) and calls.value == 1000
+    files = some.select("unid", F.lit(1).alias("att_pos"), F.lit("a.txt").alias("name"), F.col("body").cast("binary").alias("content"))
+    files = files.union(files.withColumn("att_pos", F.lit(0)))
+    keys = some.select((F.col("pos") * 3).alias("pos"), "unid")
+    made = DocumentReader(EMPTY).table(notes).unids(keys).unids(["U5", "U3"]).attachments(files).parser(parse)
+    found = made.load_ordered().collect()
+    assert [(r.batch, r.pos, r.att_pos) for r in found[:-4]] == [(0, 3 * n, a) for n in range(1000) for a in (0, 1)]
+    assert [(r.batch, r.unid, r.att_pos) for r in found[-4:]] == [(1, u, a) for u in ("U5", "U3") for a in (0, 1)]
+    assert calls.value == 1000 + 2004
+
+
+def test_order_over_all_partitions(spark):
+    """Text and null places, places that are not among those known, none known; shares are even."""
+    rows = spark.range(5000).select((F.col("id") % 2).cast("int").alias("batch"), F.when(F.col("id") > 10, F.sha1(F.col("id").cast("string"))).alias("unid"), "id")
+    made = in_order(rows, rows.where("id % 3 = 0"), ["batch", "unid"], ["batch", "unid", "id"])
+    want = sorted(rows.collect(), key=lambda r: (r.batch, r.unid is not None, r.unid or "", r.id))
+    assert made.collect() == want and made.columns == rows.columns
+    sizes = [r["count"] for r in made.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 5000 / 8
+    assert in_order(rows, rows.limit(0), ["batch", "unid"], ["batch", "unid", "id"]).collect() == want
+
+
+def test_names_are_matched_before_contents_become_rows(spark, plan_of):
+    notes = spark.sql(
+        "SELECT 'U1' AS unid, array(named_struct('name', 'a.txt', 'content', X'41'), named_struct('name', 'B.PDF', 'content', X'42'), CAST(NULL AS STRUCT<name STRING, content BINARY>),"
+        " named_struct('name', 'c.pdf', 'content', X'43')) AS attachments UNION ALL SELECT 'U2', array() UNION ALL SELECT 'U3', NULL"
+    )
+    found = unnest_attachments(notes, pattern="*.pdf")
+    assert sorted(tuple(r) for r in found.collect()) == [("U1", 1, "B.PDF", b"B"), ("U1", 3, "c.pdf", b"C")]
+    plan = plan_of(DocumentReader(EMPTY).notes(notes).attachments().pattern("*.pdf").load(), "simple")
+    assert re.search(r"Generate explode\(filter\(transform\(attachments", plan) and "posexplode" not in plan
+    made = DocumentReader(EMPTY).notes(notes).attachments()
+    assert sorted((r.att_pos, r.attachment_name, r.text) for r in made.load().collect()) == [(0, "a.txt", "A"), (1, "B.PDF", "B"), (3, "c.pdf", "C")]
+
+
+def test_failures_are_counted_apart_from_missing_values(spark):
+    rows = [(f"U{n}", None if n % 4 == 0 else ("x" if n % 4 == 1 else str(n)), None if n % 5 == 0 else n % 3, [n] if n % 2 else None, "body") for n in range(120)]
+    notes = spark.createDataFrame(rows, "unid STRING, number STRING, divisor INT, vals ARRAY<INT>, body STRING")
+    definition = (
+        EMPTY.with_integer("cast", "CAST(number AS INT)")
+        .with_double("ratio", "10 / divisor")
+        .with_double("both", "CAST(number AS INT) / divisor")
+        .with_integer("second", "vals[1]")
+        .with_string("quoted", "concat('number ', divisor)")
+        .with_string("number")
+        .with_integer("absent")
+    )
+    failures = Observation("failures")
+    made = DocumentReader(definition).notes(notes).fields("body").count_failures(failures).load()
+    assert made.count() == 120 and len(made.columns) == 3 + 7
+    number, divisor = [r[1] for r in rows], [r[2] for r in rows]
+    assert failures.get == {
+        "cast": sum(v == "x" for v in number),
+        "ratio": sum(v == 0 for v in divisor),
+        "both": sum(v is not None and d is not None and (v == "x" or d == 0) for v, d in zip(number, divisor)),
+        "second": sum(r[3] is not None for r in rows),
+        "quoted": 0,
+    }
+    none = Observation("none")
+    with_metadata(notes, EMPTY.with_string("number"), failures=none)[0].count()
+    files = spark.sql("SELECT 'U1' AS unid, 0 AS att_pos, 'a.txt' AS name, X'41' AS content")
+    counted = Observation("attachments")
+    assert DocumentReader(definition).notes(notes).attachments(files).count_failures(counted).load().count() == 1
+    assert counted.get["cast"] <= 30
+
+
+def test_size_of_notes_that_have_none(spark):
+    """The bytes of the text, in UTF-8; a size that the notes have is kept, also where it is NULL."""
+    notes = spark.sql("SELECT 'U1' AS unid, 'größe' AS body UNION ALL SELECT 'U2', ' '")
+    definition = EMPTY.with_integer("size").with_long("bytes", "SIZE").with_string("text_size", "size")
+    made = DocumentReader(definition).notes(notes).fields("body")
+    assert [(r.meta_size, r.meta_bytes, r.meta_text_size) for r in made.load().collect()] == [(7, 7, None)]
+    assert made.load().schema["meta_size"].dataType.simpleString() == "int"
+    shouted = made.parser(lambda data: data.decode() + "!").load()
+    assert sorted(r.meta_size for r in shouted.collect()) == [2, 8]
+    assert sorted(r.meta_size for r in field_source(notes, "body", definition).collect()) == [1, 7]
+    sized = notes.withColumn("Size", F.when(F.col("unid") == "U2", 9))
+    assert unsized(sized, definition) == () and DocumentReader(definition).notes(sized).fields("body").load().first().meta_size is None
+    assert unsized(notes, DEFAULT) == ("meta_size",)

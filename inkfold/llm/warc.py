@@ -52,11 +52,14 @@ def write_record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return packer.compress(b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def capture_records(page: dict) -> list[bytes]:
-    """The records of one capture. page: id, url, payload, digest; first_id and first_url of a revisited capture, or None."""
+def capture_records(page: dict, place: str = "") -> list[bytes]:
+    """The records of one capture. page: id, url, payload, digest; first_id and first_url of a revisited capture, or None.
+
+    place tells captures apart that are alike in all else. A revisit names the earlier capture by its payload's digest and its URL.
+    """
     url, digest = page["url"] or "", page["digest"]
     uri = quote(url, safe=_PRINTABLE)
-    own = record_id("response", page["id"], url, digest)
+    own = record_id("response", page["id"], url, digest, place)
     payload = page["payload"]
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     common = [("WARC-Target-URI", uri)] * bool(uri) + [("WARC-Date", DATE), ("WARC-Payload-Digest", f"sha256:{digest}")]
@@ -64,9 +67,9 @@ def capture_records(page: dict) -> list[bytes]:
     if page["first_id"] is None:
         main = write_record([("WARC-Type", "response"), ("WARC-Record-ID", own), *common, http], head + payload)
     else:
-        first = record_id("response", page["first_id"], page["first_url"] or "", digest)
+        first = [("WARC-Refers-To-Target-URI", quote(page["first_url"], safe=_PRINTABLE))] * bool(page["first_url"])
         main = write_record(
-            [("WARC-Type", "revisit"), ("WARC-Record-ID", own), *common, ("WARC-Profile", PROFILE), ("WARC-Refers-To", first), http], head
+            [("WARC-Type", "revisit"), ("WARC-Record-ID", own), *common, ("WARC-Profile", PROFILE), *first, ("WARC-Refers-To-Date", DATE), http], head
         )
     try:
         cut = urlsplit(uri)
@@ -103,16 +106,18 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 def write_archives(pages: DataFrame, path: str, part_bytes: int = PART_BYTES, **columns: str) -> None:
     """Writes the pages' captures to the table of archives at path.
 
-    Null html is an empty payload; a null URL gives records without a target. A row without id is always written in full.
+    Null html is an empty payload; a null URL gives records without a target. A row without id is always written in full. Rows that
+    are alike are captures of their own, told apart by their places in the archives.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"captures-{TaskContext.get().partitionId():06d}.warc.gz"
-        held, size, part = [], 0, 0
+        held, size, part, written = [], 0, 0, 0
         for batch in batches:
             for i in range(batch.num_rows):
                 page = {c: batch.column(c)[i].as_py() for c in ("id", "url", "payload", "digest", "first_id", "first_url")}
-                for record in capture_records(page):
+                written += 1
+                for record in capture_records(page, f"{name}:{written}"):
                     held.append(record)
                     size += len(record)
                 if size >= part_bytes:
@@ -250,19 +255,19 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """assemble() with page_id from the metadata, and for a revisit the page_id of the response it refers to.
-
-    Rows that were written more than once exactly alike are one capture.
+    """assemble() with page_id from the metadata, and for a revisit the page_id of the response it refers to: the one of the
+    record it names, else the least of those whose payload has its digest. Every row written is one capture.
     """
     page = F.get_json_object("metadata.fields", "$.page-id").try_cast("long")
     path = fresh_path(records.sparkSession, "captures")
     assemble(records).withColumn("page_id", page).write.parquet(path)  # else archives would be read once for each use
     rows = records.sparkSession.read.parquet(path)
-    heads = rows.select("page_id", "response.type", "response.refers_to", "response.record_id")
-    again = heads.where("type = 'revisit'").groupBy(F.col("refers_to").alias("to_id")).agg(F.count(F.lit(1)).alias("n"))
-    named = heads.where("type <> 'revisit'").groupBy(F.col("record_id").alias("to_id")).agg(F.min("page_id").alias("refers_to"))
-    wanted = named.join(again, "to_id", "left_semi")
+    by_digest = F.concat(F.lit("digest:"), F.col("response.header_digest"))
     is_revisit = F.coalesce(F.col("response.type") == "revisit", F.lit(False))
-    keyed = rows.withColumn("to_id", F.when(is_revisit, F.col("response.refers_to")).otherwise(F.col("capture_id")))
+    keyed = rows.withColumn("to_id", F.when(is_revisit, F.coalesce("response.refers_to", by_digest)).otherwise(F.col("capture_id")))
+    again = keyed.where(is_revisit).groupBy("to_id").agg(F.count(F.lit(1)).alias("n"))
+    heads = rows.where(~is_revisit).select(F.explode(F.array("response.record_id", by_digest)).alias("to_id"), F.col("page_id").alias("refers_to"))
+    named = heads.groupBy("to_id").agg(F.min("refers_to").alias("refers_to"))
+    wanted = named.join(again, "to_id", "left_semi")
     found = salted_join(keyed, wanted, "to_id", hot_keys(again, "to_id"), "capture_id", how="left")
     return found.withColumn("refers_to", F.when(is_revisit, F.col("refers_to"))).drop("to_id")

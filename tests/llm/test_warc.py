@@ -21,7 +21,7 @@ def frame(spark, pages=PAGES):
 
 
 def expected(pages):
-    firsts, out = {}, set()
+    firsts, out = {}, []
     payloads = [(p, (h or "").encode()) for p, _, h in pages]
     for p, data in payloads:
         if p is not None and len(data) >= 100:
@@ -29,7 +29,7 @@ def expected(pages):
     for p, data in payloads:
         first = firsts.get(data)
         again = p is not None and first is not None and first != p
-        out.add((p, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first if again else None))
+        out.append((p, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first if again else None))
     return sorted(out, key=repr)
 
 
@@ -51,6 +51,29 @@ def test_round_trip(spark, monkeypatch, broadcast):
     assert whole.metadata.record_id != whole.request.record_id
 
 
+def test_alike_rows_are_captures_of_their_own(spark, monkeypatch):
+    """A third of the table is one row; others repeat twice, with payloads and without, with ids and without."""
+    pages = [(4, "http://same/", LONG)] * 40 + [(3, "http://same/", LONG)] * 2 + [(6, None, None)] * 5 + [(None, "http://n/", LONG)] * 3
+    pages += [(100 + i, f"http://x/{i}", f"{i} " * 100) for i in range(60)] + [(100, "http://x/0", "0 " * 100)]
+    for broadcast in (50_000, 0):
+        monkeypatch.setattr(warc, "BROADCAST_GROUPS", broadcast)
+        path = fresh_path(spark, "warc")
+        warc.write_archives(frame(spark, pages).repartition(5), path, part_bytes=2000)
+        found = warc.captures(warc.read_archives(spark, path))
+        assert summary(found) == expected(pages)
+        assert found.select("capture_id").distinct().count() == len(pages) and {r.n_records for r in found.collect()} == {3}
+
+
+def test_revisits_that_name_a_record(spark):
+    """As archives of others have it: the record named counts, and a digest of another kind is compared as it is."""
+    fields = "record_id STRING, type STRING, concurrent_to STRING, refers_to STRING, header_digest STRING, payload_digest STRING, fields STRING"
+    records = [("a", "response", None, None, "sha1:X", "1", None), ("b", "response", None, None, "sha1:X", "1", None)]
+    records += [("c", "revisit", None, "b", "sha1:X", "sha1:X", None), ("d", "revisit", None, None, "sha1:X", "sha1:X", None), ("e", "revisit", None, None, None, None, None)]
+    records += [(f"m{r}", "metadata", r, None, None, None, f'{{"page-id": "{n}"}}') for n, r in enumerate("abcde")]
+    found = warc.captures(spark.createDataFrame(records, fields))
+    assert sorted((r.page_id, r.refers_to) for r in found.collect()) == [(0, None), (1, None), (2, 1), (3, 0), (4, None)]
+
+
 def test_empty_table(spark):
     path = fresh_path(spark, "warc")
     warc.write_archives(frame(spark, []), path)

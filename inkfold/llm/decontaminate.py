@@ -116,7 +116,7 @@ class Automaton:
                     self.short[state] = sorted(found, key=lambda x: -x[0])
 
     def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Spans [start, end) of the words inside windows, in order and apart; the items whose windows occur."""
+        """Spans [start, end) of the words inside windows, in order and apart; the items whose windows occur, those without id left out."""
         follow, length, link, window, short = self.next, self.length, self.link, self.window, self.short
         spans: list[tuple[int, int]] = []
         found: set[str] = set()
@@ -155,6 +155,7 @@ class Automaton:
                     if n <= matched:
                         found |= names
                         _cover(spans, i + 1 - n, i + 1)
+        found.discard(None)
         return spans, found
 
 
@@ -165,7 +166,7 @@ def _cover(spans: list[tuple[int, int]], start: int, end: int) -> None:
     spans.append((start, end))
 
 
-def build_automaton(items: list[tuple[str, str | None]], window: int = WINDOW) -> Automaton:
+def build_automaton(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> Automaton:
     """The automaton of the items (id, text)."""
     split = [(item, words) for item, text in items if (words := clean_words(text))]
     built = Automaton(window)
@@ -216,7 +217,7 @@ def _shards(benchmark: DataFrame, item: str, text: str, window: int, most: int)
                 yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, [*[pa.int64()] * 3, *[pa.string()] * 2], strict=True)], names)
 
     names = ["part", "before", "n", "item", "text"]
-    listed = benchmark.where(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
+    listed = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
     path = fresh_path(session, "benchmark")
     listed.mapInArrow(run, "part long, before long, n long, item string, text string").write.parquet(path)
     pieces = session.read.parquet(path)
@@ -247,7 +248,7 @@ def _automaton(shared: Broadcast, window: int) -> Automaton:
 
 def _share(shard: DataFrame) -> Broadcast:
     """The items of a shard under a name of their own."""
-    items = sorted((r["item"], r["text"]) for r in shard.toLocalIterator())
+    items = sorted(((r["item"], r["text"]) for r in shard.toLocalIterator()), key=lambda x: (x[0] or "", x[1]))
     return shard.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, items))
 
 
@@ -311,7 +312,7 @@ def contamination(
     """One row per row of docs: id, n_words, spans of hit words [start, end), items whose windows occur, sorted as strings.
 
     Null or blank texts have no words, no spans and no items. Items without words have no window; an item id that is
-    repeated counts once; a null item id is left out. Repeated documents stay repeated. Other columns are not read. A
+    repeated counts once; an item without id hits like any other and is not named. Repeated documents stay repeated. Other columns are not read. A
     benchmark of over automaton_words words is cut into shards, each of which is searched by a pass of its own while the frame is built.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

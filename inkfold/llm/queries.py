@@ -169,7 +169,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"regexp_extract(coalesce(url, ''), '(?s)\A.*?://[^/?#]*([^?#]*)', 1)"
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE: dict[str, str] = {
+    "op6_decontaminate": f"""
+WITH d AS (
+  SELECT doc_id, {_WORDS} AS words FROM documents
+), b AS (
+  SELECT item_id, words, least(13, len(words)) AS n FROM (SELECT item_id, {_WORDS} AS words FROM benchmark) WHERE len(words) > 0
+), w AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM b)
+), g AS (
+  SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM w))
+), h AS (
+  SELECT doc_id, i, n, item_id FROM g JOIN w USING (n, gram)
+), hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM h) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id
+), made AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256
+  FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+)
+SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM made
+""",
     "op7_warc": """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(encode(coalesce(html, ''))) AS payload_digest FROM pages

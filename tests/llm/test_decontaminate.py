@@ -24,8 +24,8 @@ def brute(text, items, window=13):
         for i in range(len(own) - n + 1 if n else 0):
             if tuple(own[i : i + n]) in wins:
                 hit.update(range(i, i + n))
-                found.add(str(name))
-    return len(own), len(hit), sorted(found)
+                found.add(name)
+    return len(own), len(hit), sorted(str(name) for name in found if name is not None)
 
 
 @pytest.mark.parametrize("shard", [200_000, 3])
@@ -36,11 +36,21 @@ def test_against_brute_force(spark, shard):
     docs = [(i, text(rng.randint(0, 60))) for i in range(60)]
     bench = spark.createDataFrame(items, "item_id LONG, text STRING")
     frame = spark.createDataFrame(docs, "doc_id LONG, text STRING")
-    listed = [(n, t) for n, t in items if n is not None]
     for window in (2, 4, 13):
         found = d.contamination(frame, bench, window=window, automaton_words=shard)
         got = {r.id: (r.n_words, sum(s.end - s.start for s in r.spans), list(r["items"])) for r in found.collect()}
-        assert got == {i: brute(t, listed, window) for i, t in docs}
+        assert got == {i: brute(t, items, window) for i, t in docs}
+
+
+def test_an_item_without_id_hits(spark):
+    """Its windows are hit, it is not named; two of them count for nothing."""
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    docs = spark.createDataFrame([(1, text), (2, "clean words only"), (3, "x " + text + " short item y")], "doc_id LONG, text STRING")
+    bench = spark.createDataFrame([(None, text), (None, text), (7, "short item")], "item_id LONG, text STRING")
+    for shard in (200_000, 20):
+        got = sorted((r.id, r.n_words, sum(s.end - s.start for s in r.spans), list(r["items"])) for r in d.contamination(docs, bench, automaton_words=shard).collect())
+        assert got == [(1, 14, 14, []), (2, 3, 0, []), (3, 18, 16, ["7"])]
+        assert [r.doc_id for r in d.keep_clean(docs, bench, automaton_words=shard).collect()] == [2]
 
 
 def test_odd_texts(spark):

@@ -99,11 +99,12 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listed: the canonical URLs of all pages on hosts named in LISTED_HOSTS."""
+    """Listed: the canonical URLs of all pages on hosts named in LISTED_HOSTS, and those that several pages have."""
     pages = table(spark, sf_dir, "pages")
     hosts = pages.select(urlfilter.host_of(F.col("url")).alias("host"), urlfilter.path_of(F.col("url")).alias("path"))
-    bad = hosts.where(F.col("host").rlike("(?:" + "|".join(LISTED_HOSTS) + ")"))
-    listed = bad.select(urlfilter.canonical(F.col("host"), F.col("path")).alias("url"))
+    named = F.max(F.col("host").rlike("(?:" + "|".join(LISTED_HOSTS) + ")"))
+    urls = hosts.groupBy(urlfilter.canonical(F.col("host"), F.col("path")).alias("url"))
+    listed = urls.agg(named.alias("named"), F.count(F.lit(1)).alias("n")).where("named OR n > 1").select("url")
     return urlfilter.judge(pages, listed, RULES).withColumnRenamed("id", "page_id")
 
 
@@ -212,7 +213,7 @@ WITH parsed AS (
 ), keyed AS (
   SELECT *, regexp_replace(host, '^(www|m)[.]', '') || regexp_replace(path, '(/|[.]html)$', '') AS key FROM parsed
 ), bad AS (
-  SELECT DISTINCT key FROM keyed WHERE regexp_matches(host, '{"|".join(LISTED_HOSTS)}') AND key <> ''
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(*) > 1 OR bool_or(regexp_matches(host, '{"|".join(LISTED_HOSTS)}'))
 ), ruled AS (
   SELECT keyed.*, bad.key IS NOT NULL AS listed,
     CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkfold.llm.common import hot_keys
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Listed URLs for each block of 64 bits, and bits that each of them sets: about one false hit in 70.
 URLS_PER_BLOCK = 6
@@ -102,21 +104,26 @@ def judge(
     n = urls.count()
     blocks = max(1, -(-n // URLS_PER_BLOCK))
     bloom = bloom_blocks(urls, blocks, "key")
-    if blocks <= BROADCAST_BLOCKS:
-        bloom = F.broadcast(bloom)
     url = F.col(url_col).cast("string")
     rows = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("key", canonical(F.col("host"), F.col("path"))).withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
-    probed = rows.withColumn("block", _block(F.col("key"), blocks)).join(bloom, "block", "left")
+    # URLs of very many pages, at most HOT_SHARES, are looked up here and now; they and pages without a URL meet no other row below
+    hot = hot_keys(rows.where("key <> ''").groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
+    hot_listed = [r[0] for r in urls.where(F.col("key").isin(hot)).collect()] if hot else []
+    apart = (F.col("key") == "") | F.col("key").isin(hot)
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    if blocks <= BROADCAST_BLOCKS:
+        bloom = F.broadcast(bloom)
+    block = F.when(apart, -1 - F.col("row")).otherwise(_block(F.col("key"), blocks))
+    probed = rows.withColumn("block", block).join(bloom, "block", "left")
     mask = _bits(F.col("key"))
-    possible = F.coalesce(F.col("bits").bitwiseAND(mask) == mask, F.lit(False)) & (F.col("key") != "")
-    probed = probed.withColumn("possible", possible)
+    probed = probed.withColumn("possible", F.coalesce(F.col("bits").bitwiseAND(mask) == mask, F.lit(False)))
     # a page without a possible hit gets a key of its own that no URL has, so that such pages spread over the tasks
-    probe = F.when(F.col("possible"), F.col("key")).otherwise(F.concat(F.lit("\x00"), F.xxhash64("key", "id").cast("string")))
+    probe = F.when(F.col("possible"), F.col("key")).otherwise(F.concat(F.lit("\x00"), F.col("row").cast("string")))
     found = probed.withColumn("probe", probe).join(
         urls.select(F.col("key").alias("probe"), F.lit(True).alias("hit")), "probe", "left"
     )
-    is_listed = F.coalesce(F.col("hit"), F.lit(False))
+    is_listed = F.coalesce(F.col("hit"), F.lit(False)) | F.col("key").isin(hot_listed)
     fallback = F.when(is_listed, F.lit(listed_verdict)).otherwise(F.lit(other_verdict))
     return found.select(
         "id", "host", "path", F.col("rule.name").alias("rule"), is_listed.alias("listed"), F.coalesce(F.col("rule.verdict"), fallback).alias("verdict")

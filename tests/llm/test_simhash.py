@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from inkfold.llm import simhash
+from inkfold.llm import common, simhash
 from inkfold.llm.common import connected
 from inkfold.llm.queries import QUERIES
 from tests.llm.helpers import SF, documents, empty, rows
@@ -119,3 +119,14 @@ def test_chains_and_hubs(spark):
     found = dict(rows(connected(chain.union(hub).union(spark.sql("SELECT 7777L, 7777L")))))
     assert all(found[i] == 0 for i in range(61)) and all(found[i] == 100 for i in [*range(100, 400), 1000]) and found[7777] == 7777
     assert connected(chain.where("false")).collect() == []
+
+
+def test_hubs_are_dealt_over_tasks(spark, monkeypatch):
+    """A third of all edges on one id: its edges are salted, and the components are the same."""
+    asked = []
+    real = common.salted_join
+    monkeypatch.setattr(common, "salted_join", lambda left, right, key, hot, salt, **o: asked.append(hot) or real(left, right, key, hot, salt, **o))
+    edges = [(10_000 + i, 5) for i in range(2000)] + [(20_000 + i, 20_000 + i - i % 7) for i in range(4000)]
+    found = dict(rows(connected(spark.createDataFrame(edges, "a LONG, b LONG"))))
+    assert found == {**{a: 5 for a, b in edges if b == 5}, 5: 5, **{a: b for a, b in edges if b != 5}}
+    assert any(5 in hot for hot in asked)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from inkfold.llm import urlfilter as u
 from inkfold.llm.queries import RULES
@@ -73,3 +74,27 @@ def test_empty_tables(spark):
 def test_no_python_in_the_plan(spark, plan_of):
     plan = plan_of(u.judge(frame(spark, URLS), spark.createDataFrame([("a/b",)], "url STRING"), RULES), "simple")
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_no_task_holds_a_popular_url(spark, monkeypatch):
+    """A third of the rows have one listed URL, a third none at all; many rows are alike. Both joins by shuffle."""
+    monkeypatch.setattr(u, "BROADCAST_BLOCKS", 0)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in zip(before, ("-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        urls = ["http://hot.example/listed", None, "http://cold{}.example/x"]
+        pages = [(i % 50, urls[i % 3] and urls[i % 3].format(i)) for i in range(3000)]
+        listed = ["hot.example/listed", "cold2.example/x", *(f"never{i}.example/" for i in range(2000))]
+        kept = []
+        frames = type(spark.range(1))
+        real = frames.join
+        monkeypatch.setattr(frames, "join", lambda self, other, on, how: kept.append((self, on)) or real(self, other, on, how))
+        made = u.judge(spark.createDataFrame(pages, "page_id LONG, url STRING"), spark.createDataFrame([(x,) for x in listed], "url STRING"), RULES)
+        assert rows(made) == sorted((judged(i, x, listed) for i, x in pages), key=repr)
+        assert [on for _, on in kept] == ["block", "probe"]
+        for side, on in kept:
+            assert max(r["count"] for r in side.repartition(8, on).groupBy(F.spark_partition_id()).count().collect()) < 3000 / 8 * 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

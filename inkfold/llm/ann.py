@@ -2,7 +2,7 @@
 
 The neighbour graph of a bounded sample is cut into balanced parts with few edges between them. A small classifier learns
 which parts a vector's neighbours lie in; it puts every row into its most probable part and sends a query to several. How many
-is settled on the sample, by the recall there. What comes back from the parts is ranked by exact cosine.
+is settled by the recall of sample vectors that it was not trained on. What comes back from the parts is ranked by exact cosine.
 """
 
 from __future__ import annotations
@@ -19,11 +19,13 @@ from inkfold.llm.common import bounded_sample, cut, map_batches
 
 #: Vectors on which the index is fitted, chosen by hash of their ids. Every row is indexed.
 SAMPLE = 12_000
-#: Rows for each part, within the bounds of the number of parts.
+#: Rows for each part; the number of parts grows with the table until a part has no more than so many vectors of the sample.
 PART_ROWS = 1500
-LEAST_PARTS, MOST_PARTS = 4, 64
+LEAST_PARTS, PART_SAMPLE = 16, 16
+#: One in so many vectors of the sample is held back from training, to settle the number of probes.
+HELD_BACK = 5
 NEIGHBOURS = 10
-#: Recall on the sample at which the number of probed parts is settled.
+#: Recall of the held-back vectors at which the number of probed parts is settled.
 TARGET = 0.96
 #: Candidates and queries that meet in one task at a time; more are dealt over further tasks.
 CHUNK, QUERIES = 8192, 2048
@@ -132,22 +134,27 @@ def train_router(unit: np.ndarray, wanted: np.ndarray, hidden: int = 128, epochs
 
 
 def fit(unit: np.ndarray, n: int, target: float = TARGET) -> Router:
-    """A router for n vectors of which unit (normed rows) is a sample."""
+    """A router for n vectors of which unit (normed rows) is a sample. target: recall of held-back vectors; at 1 all parts are probed."""
     k = min(NEIGHBOURS, len(unit) - 1)
     if k < 1:
         return Router(np.zeros((unit.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), probes=1)
-    parts = max(1, min(max(LEAST_PARTS, min(MOST_PARTS, -(-n // PART_ROWS))), len(unit) // 4))
-    graph = neighbour_graph(unit, k)
-    part = balanced_parts(unit, graph, parts)
-    votes = np.bincount(np.repeat(np.arange(len(unit)), k + 1) * parts + part[np.column_stack((np.arange(len(unit)), graph))].ravel(), minlength=len(unit) * parts)
-    router = train_router(unit, votes.reshape(-1, parts) / (k + 1))
+    parts = max(1, min(max(LEAST_PARTS, -(-n // PART_ROWS)), len(unit) // PART_SAMPLE))
+    back = np.arange(len(unit)) % HELD_BACK == HELD_BACK - 1
+    if parts == 1 or not back.any():
+        return Router(np.zeros((unit.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), probes=1)
+    known = unit[~back]
+    k = min(k, len(known) - 1)
+    graph = neighbour_graph(known, k)
+    part = balanced_parts(known, graph, parts)
+    votes = np.bincount(np.repeat(np.arange(len(known)), k + 1) * parts + part[np.column_stack((np.arange(len(known)), graph))].ravel(), minlength=len(known) * parts)
+    router = train_router(known, votes.reshape(-1, parts) / (k + 1))
     home = router.parts(unit, 1)[:, 0]
-    asked = np.linspace(0, len(unit) - 1, min(2000, len(unit))).astype(np.int64)
-    near = neighbour_graph(unit, min(5, k), np.unique(asked))
-    order = router.parts(unit[np.unique(asked)], parts)
+    asked = np.flatnonzero(back)
+    near = neighbour_graph(unit, min(5, k), asked)
+    order = router.parts(unit[asked], parts)
     rank = np.argsort(order, axis=1)  # the place of each part in a query's order
     needed = np.take_along_axis(rank, home[near], axis=1)
-    router.probes = next(m for m in range(1, parts + 1) if (needed < m).mean() >= target or m == parts)
+    router.probes = next((m for m in range(1, parts) if (needed < m).mean() >= target and target < 1), parts)
     return router
 
 
@@ -188,15 +195,12 @@ def nearest(
     routed = cut(map_batches(rows, route, "id long, v array<double>, asked boolean, parts array<int>"))
     held = routed.select("id", "v", F.col("parts")[0].alias("part"))
     asked = routed.where("asked").select("id", "v", F.explode("parts").alias("part"))
-    # at most MOST_PARTS rows each
+    # a row for each part, of which there are at most SAMPLE / PART_SAMPLE
     chunks = {r[0]: -(-r[1] // CHUNK) for r in held.groupBy("part").count().collect()}
     blocks = {r[0]: -(-r[1] // QUERIES) for r in asked.groupBy("part").count().collect()}
 
     def pieces(counts: dict[int, int]) -> Column:
-        got = F.lit(1)
-        for part, count in counts.items():
-            got = F.when(F.col("part") == part, F.lit(count)).otherwise(got)
-        return got
+        return F.get(F.array(*[F.lit(counts.get(p, 1)) for p in range(max(counts, default=0) + 1)]), F.col("part"))
 
     def each(counts: dict[int, int]) -> Column:
         return F.explode(F.sequence(F.lit(0), pieces(counts) - 1))

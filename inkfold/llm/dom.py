@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 #: Elements that begin and end a block. Fixed values.
@@ -62,6 +63,7 @@ def parse(page: str) -> list[Node]:
     nodes = [Node("", -1, 0)]
     nodes[0].tag = "page"
     stack = [0]  # open blocks
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where in the stack blocks of a tag are, so that nothing walks it
     pieces: list[str] = []
     link_chars = link_count = controls = inline = 0
     in_link = False
@@ -84,7 +86,13 @@ def parse(page: str) -> list[Node]:
     def close_to(depth: int) -> None:
         flush()
         while len(stack) > depth:
-            nodes[stack.pop()].last = len(nodes) - 1
+            closed = nodes[stack.pop()]
+            closed.last = len(nodes) - 1
+            if stack:
+                places[closed.tag].pop()
+
+    def nearest(tags: frozenset[str]) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
 
     def add(raw: str) -> None:
         nonlocal link_chars
@@ -129,10 +137,8 @@ def parse(page: str) -> list[Node]:
             if tag == "a":
                 in_link = False
             elif tag in BLOCKS:
-                for k in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[k]].tag == tag:
-                        close_to(k)
-                        break
+                if places[tag]:
+                    close_to(places[tag][-1])
                 else:
                     flush()
             elif tag == "br":
@@ -159,13 +165,9 @@ def parse(page: str) -> list[Node]:
             flush()
             if tag in ENDS:
                 ended, bound = ENDS[tag]
-                for k in range(len(stack) - 1, 0, -1):
-                    open_tag = nodes[stack[k]].tag
-                    if open_tag in ended:
-                        close_to(k)
-                        break
-                    if open_tag in bound:
-                        break
+                at_ended = nearest(ended)
+                if at_ended > nearest(bound):
+                    close_to(at_ended)
             elif nodes[stack[-1]].tag == "p":
                 close_to(len(stack) - 1)
             elif tag[0] == "h" and tag[1:].isdigit() and nodes[stack[-1]].tag[1:].isdigit():
@@ -175,6 +177,7 @@ def parse(page: str) -> list[Node]:
                 nodes[0].tokens += own
             elif tag != "hr":
                 nodes.append(Node(tag, stack[-1], nodes[stack[-1]].depth + 1, own))
+                places[tag].append(len(stack))
                 stack.append(len(nodes) - 1)
     close_to(0)
     return nodes

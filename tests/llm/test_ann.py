@@ -81,3 +81,28 @@ def test_recall(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert set(got) == set(want)
     assert sum(len(got[q] & set(near)) for q, near in want.items()) >= 0.9 * sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize("shape", ["given", "mixture"])
+def test_recall_of_unseen_queries(spark, monkeypatch, shape):
+    """The index is fitted on less than a third of the rows; queries are rows that it has not seen, mostly."""
+    monkeypatch.setattr(ann, "SAMPLE", 600)
+    monkeypatch.setattr(ann, "PART_ROWS", 100)
+    fitted = []
+    fit = ann.fit
+    monkeypatch.setattr(ann, "fit", lambda unit, n, target: fitted.append((len(unit), fit(unit, n, target))) or fitted[-1][1])
+    if shape == "given":
+        table = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
+        data = [tuple(r) for r in table.collect()]
+    else:
+        rng = np.random.default_rng(4)
+        centres = rng.normal(size=(30, 32))
+        data = [(i, (centres[rng.integers(30)] + 0.4 * rng.normal(size=32)).tolist()) for i in range(4000)]
+        table = frame(spark, data)
+    want = brute(data, lambda q: q % 20 == 0)
+    got = {}
+    for r in ann.nearest(table, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    seen, router = fitted[0]
+    assert seen < len(data) / 3 and 1 <= router.probes < len(router.b2) and len(router.b2) >= 16
+    assert sum(len(got[q] & set(near)) for q, near in want.items()) >= 0.9 * sum(map(len, want.values()))

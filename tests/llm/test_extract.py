@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -10,6 +11,22 @@ from inkfold.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
+A = "The town council met on Tuesday evening and agreed to repair the old stone bridge before winter comes."
+B = "Work is to begin in the first week of May, and traffic will be led over the new road by the mill until autumn."
+C = "Shop owners near the river had asked for a shorter closure, since most of their guests arrive by car."
+#: Pages written by hand, and their texts.
+HAND = [
+    (f'<html><body><nav><a href=/>Home</a> <a href=/n>News</a></nav><article><h1>Bridge repair</h1><p>{A}</p><p>{B}</p></article><footer>&copy; Town Paper</footer></body></html>', f"Bridge repair\n{A}\n{B}"),
+    (f'<body><div class="menu"><ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul></div><main><h2>Bridge &amp; road</h2><p>{A}\n  {B}</p><p>{C}</p></main><div class="footer">Imprint</div>', f"Bridge & road\n{A} {B}\n{C}"),
+    (f'<div id="header"><a href="/">Town Paper</a></div><div id="content"><h1>Bridge repair</h1><p>{A}</p><p>{B}</p><p>{C}</p></div><div id="sidebar"><h3>Most read</h3><ul><li><a href=a>Cats</a></li><li><a href=b>Dogs</a></li></ul></div><div id="footer">All rights reserved</div>', f"Bridge repair\n{A}\n{B}\n{C}"),
+    (f'<article><h1>Bridge</h1><p>{A}</p><div class="ad">Buy two lamps and pay for one.</div><p>{B}</p></article><section class="comments"><p>I do not like it at all, says Ann.</p><p>Me neither.</p></section>', f"Bridge\n{A}\n{B}"),
+    (f'<article><p>{A}</p><form action=/s><input name=q><button>Search</button></form><ul><li>{B}</li><li>{C}</li></ul></article>', f"{A}\n{B}\n{C}"),
+    (f'<div class="cookie-notice">We use cookies. <a href=c>More</a><button>Accept</button></div><article><p>{A}<p>{B}<script>var a="<p>no</p>";</script><style>p{{}}</style></article>', f"{A}\n{B}"),
+    ('<nav><a href=/>Home</a><a href=/a>About</a><a href=/c>Contact</a></nav><footer>&copy; 2020</footer>', ""),
+    (f'<table class="layout"><tr><td class="nav"><a href=1>One</a> <a href=2>Two</a></td><td class="content"><h1>Bridge</h1><p>{A}</p><p>{B}</p><p>{C}</p></td></tr></table>', f"Bridge\n{A}\n{B}\n{C}"),
+    (f'<article><h1>Bridge</h1><blockquote>{A}</blockquote><p>{B}</p><aside class="related"><h4>Related</h4><a href=x>Mill road closed</a></aside><p>{C}</p></article>', f"Bridge\n{A}\n{B}\n{C}"),
+]
+
 
 def runs(page):
     return [(n.text, parse(page)[n.parent].tag) for n in parse(page) if n.text]
@@ -43,6 +60,19 @@ def test_hostile_pages_take_no_time():
         ex.feature_rows(parse(page), {})
 
 
+@pytest.mark.parametrize("page", ["<div>{n}</section>{n}", "<li><ul><div>{n}<li></li>{n}", "<table><td><table><div>{n}<td></td>{n}", "<p><b>{n}</p>{n}"])
+def test_work_grows_with_the_page_only(page):
+    """Many open blocks and as many tags that look for another one. Walking the stack would take 16 times as long on the longer page."""
+    first, second = page.split("{n}")[:2]
+
+    def seconds(n):
+        begin = time.process_time()
+        parse(first * n + second * n)
+        return time.process_time() - begin
+
+    assert min(seconds(40_000) for _ in range(2)) < 8 * max(min(seconds(10_000) for _ in range(3)), 0.02)
+
+
 def test_decoding_is_consistent_and_best():
     """Against all choices on small trees: kept nodes have kept parents, and no consistent choice has a larger sum."""
     rng = random.Random(3)
@@ -98,3 +128,8 @@ def test_query_and_made_up_layouts(spark):
         truth = "\n".join(n.text.replace(ex._MARK, "") for n in parse(page) if ex._MARK in n.text)
         exact += learnt.texts([page.replace(ex._MARK, "")])[0] == truth
     assert exact >= 0.85 * 150
+
+
+def test_hand_written_pages(spark):
+    learnt = ex.train(sorted(r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect() if r.html))
+    assert learnt.texts([page for page, _ in HAND]) == [text for _, text in HAND]

@@ -302,6 +302,10 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+#: Bytes of text in a shard, about; a session's shuffle partitions where those are more.
+SHARD_BYTES = 512 << 20
+#: Rows of one id are dealt over shards by so many first characters of their texts, in the texts' order.
+RANGE_CHARACTERS = 64
 #: Characters of text that a task hands to the encoder at once.
 _AT_ONCE = 1 << 20
 
@@ -312,12 +316,14 @@ def write_tokens(
     """Writes the token ids of docs, in ascending order of id, as a table of blocks (shard, block, n_docs, n_ids, data) at path.
 
     A shard is a range of ids, its blocks follow one another. Null ids stand first; repeated ids follow each other, by
-    text. A null text is empty and has the end id alone. tokenizer: a file of the tokenizers library that executors have.
+    text; a range may end between texts of one id, if they differ in their first characters. A null text is empty and has the end id alone. tokenizer: a file of the tokenizers library that executors have.
     """
     session = docs.sparkSession
-    parts = parts or int(session.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "text")
+    if parts is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    ordered = rows.repartitionByRange(parts, "id", F.left("text", F.lit(RANGE_CHARACTERS))).sortWithinPartitions("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, own = TaskContext.get().partitionId(), encoder(tokenizer)

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from inkfold.llm import tokenbin as t
@@ -77,3 +78,24 @@ def test_query(spark):
     found = QUERIES["op8_token_ids"](spark, SF).orderBy("start").collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     assert [tuple(r) for r in found] == expected([tuple(r) for r in docs])
+
+
+def test_rows_of_one_id_are_dealt_over_shards(spark):
+    """Half of the rows have no id, a third have one and the same; no shard holds more than a few times its share, and the order stays."""
+    docs = spark.range(6000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN NULL WHEN id % 6 < 5 THEN 7L ELSE id END AS doc_id", "concat(crc32(string(id)), ' words of ', id) AS text"
+    )
+    path = fresh_path(spark, "tokens")
+    t.write_tokens(docs, PATH, path, parts=8)
+    shards = {r.shard: r.n for r in spark.read.parquet(path).groupBy("shard").agg(F.sum("n_docs").alias("n")).collect()}
+    assert sum(shards.values()) == 6000 and max(shards.values()) < 2 * 6000 / 8
+    found = t.read_tokens(spark, path).orderBy("start").collect()
+    assert [(r.id, r.start, r.n_tokens, r.ids_crc32) for r in found] == expected([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_shards_follow_the_size_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(t, "SHARD_BYTES", 1000)
+    path = fresh_path(spark, "tokens")
+    docs = spark.range(100).selectExpr("id AS doc_id", "repeat('word ', 40) AS text")
+    t.write_tokens(docs, PATH, path)
+    assert spark.read.parquet(path).select("shard").distinct().count() >= 15

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A key is hot if it holds more than one in so many of the rows; so there are at most this many hot keys.
 HOT_SHARES = 200
@@ -48,7 +49,7 @@ def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(name, str(rows))
 
 
-def map_batches(df: DataFrame, batch: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, batch: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """df through a function from Arrow batch to Arrow batch, in tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,6 +69,9 @@ def filter_batches(df: DataFrame, column: str, keep: Callable[[pa.Array], Sequen
             if one.num_rows:
                 yield one.filter(pa.array(keep(one.column(at)), pa.bool_()))
 
+    if any("." in c or "`" in c for c in df.columns):  # such names are taken for paths
+        plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+        return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
     return df.mapInArrow(run, df.schema)
 
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from inkfold.llm.common import cut, filter_batches, fresh_path, hot_keys, map_batches, salted_join
 
@@ -390,15 +391,65 @@ def keep_clean(
     return filter_batches(docs, text_col, lambda texts: [clean(t.as_py()) for t in texts])
 
 
+def without_spans(text: Column, spans: Column) -> Column:
+    """The text without the words in spans and what stands after each of them; what stands before the first word stays."""
+    runs = F.regexp_extract_all(text, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]|[A-Z])+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"), F.lit(0))
+    lead = F.regexp_extract(text, r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
+    kept = F.filter(runs, lambda w, i: ~F.exists(spans, lambda s: (s["start"] <= i) & (i < s["end"])))
+    return F.concat(lead, F.array_join(kept, ""))
+
+
 def remove_spans(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the spans of contamination() cut out of the text; whole words and what stands between them go.
 
     found has one row per id. Documents without spans stay as they are.
     """
-    runs = F.regexp_extract_all(F.col(text_col), F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]|[A-Z])+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"), F.lit(0))
-    lead = F.regexp_extract(text_col, r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
-    kept = F.array_join(F.filter(runs, lambda w, i: ~F.exists("_spans", lambda s: (s["start"] <= i) & (i < s["end"]))), "")
     spans = found.where(F.size("spans") > 0).select(F.col("id").alias(id_col), F.col("spans").alias("_spans"))
-    return docs.join(spans, id_col, "left").withColumn(
-        text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.concat(lead, kept))
-    ).drop("_spans")
+    cleaned = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(without_spans(F.col(text_col), F.col("_spans")))
+    return docs.join(spans, id_col, "left").withColumn(text_col, cleaned).drop("_spans")
+
+
+def clean_texts(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    percent: int = 5,
+    span_words: int = 1,
+    automaton_words: int = AUTOMATON_WORDS,
+) -> DataFrame:
+    """The rows of docs that keep_clean() keeps, with their spans of at least span_words hit words cut out of the text.
+
+    Works row by row: ids are not read, so rows with a null or repeated id are judged and cut by their own texts. All other
+    columns and rows without such spans stay as they are, nulls included. span_words over the longest span cuts nothing out.
+    """
+    shards = _shards(benchmark, item_col, item_text_col, window, automaton_words)
+    whole = F.struct(*(f"`{c}`" for c in docs.columns)).alias("_doc")
+    if len(shards) > 1:
+        value = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+        marked = docs.select(whole, _mark(text_col), F.xxhash64(*value).alias("_deal"))
+        texts = docs.select(_mark(text_col), F.col(text_col).cast("string").alias("text"))
+        found = _found_by_text(texts, shards, window).select(F.col("mark").alias("_mark"), F.col("n").alias("n_words"), "spans")
+        located = salted_join(marked, found, "_mark", _hot_marks(texts), "_deal", how="left").select("_doc", "n_words", "spans")
+    else:
+        shared, at = _share(shards[0]), docs.columns.index(text_col)
+
+        def locate(rows: pa.RecordBatch) -> pa.RecordBatch:
+            counts, spans = [], []
+            for text in rows.column(0).field(at):
+                words = clean_words(text.as_py())
+                hit = _automaton(shared, window).search(words)[0]
+                counts.append(len(words))
+                spans.append([{"start": a, "end": b} for a, b in hit] or None)
+            return pa.record_batch([rows.column(0), pa.array(counts, pa.int64()), pa.array(spans, _ARROW_SPANS)], ["_doc", "n_words", "spans"])
+
+        rows = docs.select(whole)
+        span = ArrayType(StructType().add("start", "integer").add("end", "integer"))
+        located = map_batches(rows, locate, StructType([rows.schema["_doc"]]).add("n_words", "long").add("spans", span))
+    kept = located.where(F.col("spans").isNull() | ~F.coalesce(is_contaminated(percent), F.lit(False)))
+    long = F.filter("spans", lambda s: s["end"] - s["start"] >= span_words)
+    text = F.col("_doc").getField(text_col)
+    cleaned = F.when(F.size(long) > 0, without_spans(text, long)).otherwise(text).alias(text_col)
+    return kept.select(*(cleaned if c == text_col else F.col("_doc").getField(c).alias(c) for c in docs.columns))

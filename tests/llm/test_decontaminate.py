@@ -77,6 +77,27 @@ def test_removed_spans(spark):
     assert cleaned == {1: ">> The Runs.", 2: "clean text", 3: None}
 
 
+@pytest.mark.parametrize("automaton_words", [d.AUTOMATON_WORDS, 4])
+def test_cut_texts(spark, automaton_words):
+    """Row by row, whatever the ids: texts over the limit go, shorter spans than asked for stay, other columns and nulls stay."""
+    long = " ".join(f"w{i}" for i in range(60))
+    texts = [(1, f">> The Quick, brown fox! {long}"), (1, f"{long} QUICK BROWN FOX"), (None, f"{long}. quick-brown_fox, end"), (2, "quick brown fox"), (3, "clean Text!"),
+             (4, None), (5, ""), (6, f"{long} one two {long}"), (6, f"{long} one two {long}")]
+    docs = spark.createDataFrame([(i, t, "mine", [1, 2], "u") for i, t in texts], "doc_id LONG, text STRING, spans STRING, `a.b` ARRAY<INT>, _doc STRING")
+    bench = spark.sql("SELECT 1L AS item_id, 'quick brown fox' AS text UNION ALL SELECT 2L, 'one two'")
+    cut = d.clean_texts(docs, bench, percent=6, automaton_words=automaton_words)
+    assert cut.schema == docs.schema
+    want = [f">> The {long}", f"{long} ", f"{long}. end", "clean Text!", None, "", f"{long} {long}", f"{long} {long}"]
+    assert sorted(map(repr, (r.text for r in cut.collect()))) == sorted(map(repr, want))
+    assert all((r.spans, r["a.b"], r._doc) == ("mine", [1, 2], "u") for r in cut.collect())
+    longer = d.clean_texts(docs, bench, percent=6, span_words=3, automaton_words=automaton_words)
+    assert sorted(map(repr, (r.text for r in longer.collect()))) == sorted(map(repr, [*want[:6], *[f"{long} one two {long}"] * 2]))
+    none = d.clean_texts(docs, bench, percent=6, span_words=4, automaton_words=automaton_words)
+    assert rows(none) == rows(d.keep_clean(docs, bench, percent=6)) and none.count() == 8
+    assert d.clean_texts(docs.where("false"), bench).collect() == []
+    assert rows(d.clean_texts(docs, bench.where("false"))) == rows(docs)
+
+
 def test_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]

@@ -106,10 +106,12 @@ def lookup_note(
     base: str | None = None,
     unid: str | None = None,
     note_id: int | None = None,
+    at_once: bool = True,
 ) -> DataFrame:
     """The single note a caller asks for, as a frame of one row; ``ValueError`` when there is none.
 
-    A note given directly is taken as it is. A path replaces a table, and a UNID goes before a note id.
+    A note given directly is taken as it is. A path replaces a table, and a UNID goes before a note id. Unless
+    ``at_once``, no job looks for the note here: the frame reads the notes once, and its query fails when there is none.
     """
     if note is not None:
         return note
@@ -120,12 +122,25 @@ def lookup_note(
     else:
         raise ValueError("a note, or a table or path to find it in, is needed")
     if unid:
-        condition = F.col(UNID) == unid
+        key, wanted = UNID, unid
     elif note_id is not None:
-        condition = F.col(NOTE_ID) == note_id
+        key, wanted = NOTE_ID, note_id
     else:
         raise ValueError("a UNID or a note id is needed")
-    found = notes.where(condition)
+    found = notes.where(F.col(key) == wanted)
+    message = f"no note with {'UNID ' + unid if unid else f'note id {note_id}'}"
+    if not at_once:
+        return _one_or_refused(found.limit(1), key, wanted, message)
     if found.select(F.lit(1)).isEmpty():
-        raise ValueError(f"no note with {'UNID ' + unid if unid else f'note id {note_id}'}")
+        raise ValueError(message)
     return found.limit(1)
+
+
+def _one_or_refused(found: DataFrame, key: str, wanted: str | int, message: str) -> DataFrame:
+    """The row of found, or an error in the query: the wanted key is a row of its own, which the note joins."""
+    kind = "string" if isinstance(wanted, str) else "bigint"
+    asked = found.sparkSession.createDataFrame([(wanted,)], f"__wanted {kind}")
+    held = found.withColumn("__there", F.lit(True))
+    missing = F.raise_error(F.lit(message)).cast("boolean")
+    joined = asked.join(F.broadcast(held), asked["__wanted"] == held[key], "left").where(F.col("__there").isNotNull() | missing)
+    return joined.select(*(held[f"`{c}`"] for c in found.columns))

@@ -167,6 +167,20 @@ def test_single_note(spark, notes, tmp_path):
         lookup_note(**other, note_id=3)
 
 
+def test_single_note_in_one_scan(notes):
+    """No job while the frame is built; the refusal is part of the plan, whichever columns are read."""
+    assert lookup_note(table=notes, unid="U3", at_once=False).collect() == [("U3", 3, "title 3")]
+    assert lookup_note(table=notes.union(notes), note_id=4, at_once=False).select("unid").collect() == [("U4",)]
+    assert lookup_note(table=notes, unid="U3", at_once=False).columns == notes.columns
+    for arguments, words in ((dict(unid="nope"), "no note with UNID nope"), (dict(note_id=99), "no note with note id 99")):
+        refused = lookup_note(table=notes, **arguments, at_once=False)
+        for read in (refused.collect, refused.select("title").collect, refused.count):
+            with pytest.raises(Exception, match=words):
+                read()
+    with pytest.raises(ValueError):
+        lookup_note(table=notes, at_once=False)
+
+
 @pytest.mark.parametrize("arguments", [dict(), dict(unid="U3"), dict(unid=""), dict(unid="nope"), dict(note_id=99)])
 def test_single_note_not_found(notes, arguments):
     with pytest.raises(ValueError):

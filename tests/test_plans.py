@@ -61,6 +61,9 @@ def test_few_keys_reach_the_scan(tables, plan_of):
     assert "unid:string,title:string" in schema_read(plan)
     plan = plan_of(lookup_note(table=tables[0], note_id=7))
     assert "EqualTo(note_id,7)" in plan
+    plan = plan_of(lookup_note(table=tables[0], note_id=7, at_once=False).select("title"))
+    assert "EqualTo(note_id,7)" in plan and plan.count("+- Scan parquet") == 1 and "note_id:int,title:string" in schema_read(plan)
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
 
 
 def test_many_keys_are_broadcast_only_within_the_limit(spark, tables, plan_of):

@@ -213,7 +213,7 @@ def fetch_view_entries(spark, d):
 
 
 def lookup(spark, d):
-    return lookup_note(table=order_notes(spark, d), unid="0" * 29 + "4D2", note_id=7).select("unid", "note_id", "form", "size")
+    return lookup_note(table=order_notes(spark, d), unid="0" * 29 + "4D2", note_id=7, at_once=False).select("unid", "note_id", "form", "size")
 
 
 def append_sources(spark, d):

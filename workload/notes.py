@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,6 +154,52 @@ def page_attachments(spark, sf_dir) -> DataFrame:
     )
 
 
+# The characters that Spark writes as their codes in names of folders, and what it writes for none.
+_ESCAPED, _NO_VALUE = re.compile(r"[\x01-\x1f\"#%'*/:=?\\\x7f{\[\]^]"), "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder(column: str, value: str | None) -> str:
+    """A folder named by column, as Spark names it."""
+    return f"{column}={_ESCAPED.sub(lambda found: f'%{ord(found.group()):02X}', value) if value else _NO_VALUE}"
+
+
+def put_files(files: DataFrame, path: str) -> None:
+    """Writes ``(unid, name, content)`` as lines of a text file for each task, key and name, in folders below ``path`` that are named by column.
+
+    Hadoop's local file system starts a process for each folder and file that it makes, where it lacks its native library, and the folders of a
+    task are made twice over. So tasks make local files themselves; Spark writes those of any other file system.
+    """
+    spark = files.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri()
+    if uri.getScheme() != "file":
+        files.write.partitionBy("unid", "name").text(path)
+        return
+    local = uri.getPath()
+    os.makedirs(local)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, last, file = f"part-{TaskContext.get().partitionId():05}.txt", None, None
+        try:
+            for batch in batches:
+                for unid, name, content in zip(*(batch.column(i) for i in range(3)), strict=True):
+                    key = unid.as_py(), name.as_py()
+                    if key != last:
+                        if file:
+                            file.close()
+                        folder = os.path.join(local, _folder("unid", key[0]), _folder("name", key[1]))
+                        os.makedirs(folder, exist_ok=True)
+                        last, file = key, open(os.path.join(folder, own), "wb")
+                    file.write((content.as_py() or b"") + b"\n")
+        finally:
+            if file:
+                file.close()
+        yield from ()
+
+    rows = files.select(*(F.nullif(c, F.lit("")).alias(c) for c in ("unid", "name")), F.col("content").cast("binary"))
+    rows.sortWithinPartitions("unid", "name").mapInArrow(run, "done int").write.format("noop").mode("overwrite").save()
+
+
 # The folders that this process has written, by application and tables.
 _written: dict[tuple[str, str], str] = {}
 
@@ -160,7 +211,7 @@ def page_files(spark, sf_dir) -> str:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="inkfold-")
         path = f"{folder.rstrip('/')}/page-files-{uuid.uuid4().hex}"
         files = page_attachments(spark, sf_dir).select("unid", F.nullif("name", F.lit("")).alias("name"), F.col("content").cast("string"))
-        files.repartition(spark.sparkContext.defaultParallelism).write.partitionBy("unid", "name").text(path)
+        put_files(files.repartition(spark.sparkContext.defaultParallelism), path)
         _written[own] = path
     return _written[own]
 

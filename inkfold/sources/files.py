@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.functions.names import DEFAULT_GLOB, glob_to_regex, matches_glob
@@ -21,7 +21,14 @@ from inkfold.sources.tables import UNID
 # The columns of a note's attachments, and what a file has besides.
 ATT_POS, NAME, CONTENT, LENGTH, MODIFIED = "att_pos", "name", "content", "length", "modified"
 
+#: What opening a file counts in a task's share of bytes: a task takes up to 2,000 small files.
+OPEN_BYTES = 64 << 10
+
 _PLACEHOLDERS = {"{unid}": "([^/]+)", "{pos}": "([0-9]+)", "{name}": "([^/]+)"}
+# Fixed value: the name of a folder whose column has no value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: Folders up to which Spark is left to find their columns.
+PARSED_FOLDERS = 10_000
 # Upper-case letters beyond ASCII whose lower case is, or begins with, an ASCII letter.
 _OTHER_CAPITALS = {"i": "İ", "k": "K"}
 
@@ -52,6 +59,13 @@ def path_glob(glob: str | None) -> str:
     return re.sub(r"\*+", "*", "".join(out))
 
 
+def _bound_tasks(spark: SparkSession) -> None:
+    """Sets the session's cost of opening a file, if it is higher: at Spark's own, a task takes some 30 files, however small they are."""
+    name = "spark.sql.files.openCostInBytes"
+    if int(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()) > OPEN_BYTES:
+        spark.conf.set(name, str(OPEN_BYTES))
+
+
 @contextmanager
 def _listing(spark: SparkSession) -> Iterator[None]:
     """Folders that are listed meanwhile are dealt over some tasks for each core, not one for each folder, and keys made of digits
@@ -102,8 +116,10 @@ class FileStore:
     def attachments(self, spark: SparkSession, pattern: str | None = None) -> DataFrame:
         """``(unid, att_pos, name, length, modified, content)`` of the files whose names match, all files without a pattern.
 
-        Nothing is opened until ``content`` is used.
+        Nothing is opened until ``content`` is used. The session's cost of opening a file is lowered, so that tasks are as many as needed
+        for the files' bytes and not for their number.
         """
+        _bound_tasks(spark)
         found = self._in_columns(spark) if self.layout is None else self._in_paths(spark, pattern)
         if pattern is not None:
             found = found.where(matches_glob(F.col(NAME), pattern))
@@ -138,6 +154,12 @@ class FileStore:
         )
 
     def _in_columns(self, spark: SparkSession) -> DataFrame:
+        """Spark finds the columns of folders in time that grows with the square of their number. Where they are many, columns are taken from
+        the files' paths as the listing has them; so filters of these, too, keep files from being opened."""
+        with _listing(spark):
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.path)
+        if len(files._jdf.inputFiles()) > PARSED_FOLDERS:
+            return self._in_many_columns(files)
         with _listing(spark):
             files = spark.read.format("binaryFile").option("basePath", self.path).load(self.path)
         named = {c.lower() for c in files.columns}
@@ -148,3 +170,24 @@ class FileStore:
         if files.select(F.lit(1)).isEmpty():
             return files.select(F.lit("").alias(UNID), F.lit(0).alias(ATT_POS), F.lit("").alias(NAME), *file)
         raise ValueError(f"folders below {self.path} are not named by {UNID} and {NAME}")
+
+    def _in_many_columns(self, files: DataFrame) -> DataFrame:
+        path = F.col("_metadata.file_path")
+        named = [path.rlike(f"(?i)/{column}=[^/]*/") for column in (UNID, NAME)]
+        if not files.where(~(named[0] & named[1])).select(F.lit(1)).isEmpty():
+            raise ValueError(f"folders below {self.path} are not named by {UNID} and {NAME}")
+
+        def part(column: str):
+            # written twice in codes: as a folder's name, then as a URI
+            found = F.regexp_extract(path, f"(?i)^.*/{column}=([^/]*)/", 1)
+            return F.when(found != NO_VALUE, _uncoded(_uncoded(found)))
+
+        position = F.when(path.rlike(f"(?i)/{ATT_POS}=[^/]*/"), part(ATT_POS).cast("int")).otherwise(F.lit(0))
+        return files.select(
+            part(UNID).alias(UNID), position.alias(ATT_POS), part(NAME).alias(NAME), LENGTH, F.col("modificationTime").alias(MODIFIED), CONTENT
+        )
+
+
+def _uncoded(text: Column) -> Column:
+    """A text with the characters that ``%`` and two digits stand for; any other ``%`` and ``+`` are themselves."""
+    return F.when(text.contains("%"), F.url_decode(F.regexp_replace(F.replace(text, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25"))).otherwise(text)

@@ -25,6 +25,8 @@ LANES = 512
 TRAINING_LANES, FIRST_LANES = 256, 64
 #: Tokens that are laid out in lanes at once; a long text is one lane.
 AT_ONCE = 1 << 20
+#: Rows whose class outputs are worked out at once.
+ROWS = 1024
 
 SHAPES = {
     "input": (START + 1, 3 * HIDDEN), "back": (HIDDEN, 3 * HIDDEN), "classes": (HIDDEN, CLASSES + GROUPS), "class_bias": (CLASSES + GROUPS,),
@@ -50,15 +52,19 @@ def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([weights[k].ravel() for k in SHAPES])
 
 
-def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
+def _views(values: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k, shape in SHAPES.items():
         size = int(np.prod(shape))
-        out[k] = values[at : at + size].reshape(shape).astype(np.float32)
+        out[k] = values[at : at + size].reshape(shape)
         at += size
     return out
 
 
+def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
+    return {k: v.astype(np.float32) for k, v in _views(values).items()}
+
+
 @dataclass
 class Lanes:
     """Texts in lanes, one lane after the other in flat arrays: begin and size of each lane, longest first.
@@ -108,45 +114,96 @@ def lay_out(texts: list[np.ndarray], most: int = LANES) -> Lanes:
     return Lanes(inputs, targets, np.repeat(row, lengths), np.cumsum(sizes) - sizes, sizes)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
+def _sigmoid(x: np.ndarray) -> None:
     np.negative(x, out=x)
     np.exp(x, out=x)
     x += 1
-    return np.reciprocal(x, out=x)
-
-
-def _steps(weights: dict[str, np.ndarray], state: np.ndarray, inputs: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray, list]:
-    """States after each step of a window, the last state, and what the way back needs."""
-    back, table, h, tape = weights["back"], weights["input"], state, []
-    states = np.empty((*inputs.shape, HIDDEN), np.float32)
-    for t, x in enumerate(inputs):
-        fresh = x == START
-        if fresh.any():
-            h = np.where(fresh[:, None], np.float32(0), h)
-        a, u = table[x], h @ back
-        gates = _sigmoid(a[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        un = u[:, 2 * HIDDEN :]
-        new = np.tanh(a[:, 2 * HIDDEN :] + r * un)
-        after = new + z * (h - new)
-        if keep:
-            tape.append((h, z, r, un, new, fresh))
-        states[t] = h = after
-    return states, h, tape
-
-
-def _exps(weights: np.ndarray, bias: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Outputs, and their exponentials, by output and row. Outputs over 80 count as 80, so that float32 holds the sums."""
-    out = weights.T @ h.T
-    out += bias[:, None]
-    np.minimum(out, np.float32(80), out=out)
-    return out, np.exp(out)
+    np.reciprocal(x, out=x)
+
+
+def _steps(weights: dict[str, np.ndarray], state: np.ndarray, inputs: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray, tuple]:
+    """States after each step of a window, the last state, and what the way back needs.
+
+    By step, unit and lane, so that a step's values lie in one piece.
+    """
+    steps, n = inputs.shape
+    back = np.ascontiguousarray(weights["back"].T)
+    # the inputs' part of the gates, which become the gates z and r and the new value step by step
+    gates = np.ascontiguousarray(weights["input"].take(inputs, axis=0).swapaxes(1, 2))
+    fresh = inputs == START
+    begins, stays = fresh.any(1).tolist(), (~fresh).astype(np.float32)
+    states = np.empty((steps, HIDDEN, n), np.float32)
+    from_state = np.empty((steps if keep else 1, 3 * HIDDEN, n), np.float32)
+    h, part = state, np.empty((HIDDEN, n), np.float32)
+    for t in range(steps):
+        if begins[t]:
+            h = h * stays[t]
+        u = np.matmul(back, h, out=from_state[t if keep else 0])
+        zr, new = gates[t, : 2 * HIDDEN], gates[t, 2 * HIDDEN :]
+        zr += u[: 2 * HIDDEN]
+        _sigmoid(zr)
+        np.multiply(zr[HIDDEN:], u[2 * HIDDEN :], out=part)
+        part += new
+        np.tanh(part, out=new)
+        np.subtract(h, new, out=part)
+        part *= zr[:HIDDEN]
+        h = np.add(part, new, out=states[t])
+    return states, h.copy(), (gates, from_state[:, 2 * HIDDEN :], stays, begins)
+
+
+def _rows_of(states: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The states at places by step and lane, by unit; a row of ones, for the bias, comes last."""
+    steps, _, n = states.shape
+    out = np.empty((HIDDEN + 1, len(at)), np.float32)
+    np.ascontiguousarray(states.swapaxes(0, 1)).reshape(HIDDEN, steps * n).take(at, axis=1, out=out[:HIDDEN], mode="clip")
+    out[HIDDEN] = 1
+    return out
+
+
+def _with_bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """By output the weights of all units, then the bias, which belongs to the row of ones."""
+    return np.ascontiguousarray(np.concatenate((weights, bias[..., None, :]), axis=-2).swapaxes(-1, -2))
+
+
+def _bounded(weights: np.ndarray) -> bool:
+    """Whether no output can pass 80: units lie between -1 and 1."""
+    return bool(np.abs(weights).sum(-1).max() <= 80)
 
 
 def _classes_of(y: np.ndarray) -> np.ndarray:
     return np.where(y < LISTED, y // CLASS_WORDS, y - LISTED + CLASSES)
 
 
+class _Outputs:
+    """The rows of a window by class, in pieces that the processor's cache holds: their states, classes and words.
+
+    Outputs over 80 count as 80, so that float32 holds the sums of their exponentials.
+    """
+
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.classes, self.words = _with_bias(weights["classes"], weights["class_bias"]), _with_bias(weights["words"], weights["word_bias"])
+        self.clip = not (_bounded(self.classes) and _bounded(self.words))
+
+    def exps(self, out: np.ndarray) -> np.ndarray:
+        if self.clip:
+            np.minimum(out, np.float32(80), out=out)
+        return np.exp(out, out=out)
+
+    def word_outputs(self, h: np.ndarray, cuts: list[int]) -> np.ndarray:
+        """Outputs by place in the class, for rows whose classes end at cuts."""
+        out = np.empty((CLASS_WORDS, h.shape[1]), np.float32)
+        for c in range(CLASSES):
+            if cuts[c] < cuts[c + 1]:
+                np.matmul(self.words[c], h[:, cuts[c] : cuts[c + 1]], out=out[:, cuts[c] : cuts[c + 1]])
+        return out
+
+
+def _by_class(own: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Rows in the order of their classes, and where each class of listed words begins and the last one ends."""
+    order = np.argsort(own.astype(np.int8), kind="stable")
+    return order, np.concatenate(([0], np.cumsum(np.bincount(own, minlength=CLASSES)[:CLASSES]))).tolist()
+
+
 def log_probabilities(weights: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the probability of each text (ids under START, the last one the end), by the state of all before."""
     out = np.zeros(len(texts))
@@ -162,22 +219,26 @@ def log_probabilities(weights: dict[str, np.ndarray], texts: list[np.ndarray]) -
 
 
 def _score(weights: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
-    lanes = lay_out(texts)
-    total, state = np.zeros(len(texts)), np.zeros((len(lanes.size), HIDDEN), np.float32)
+    lanes, outputs = lay_out(texts), _Outputs(weights)
+    total, state = np.zeros(len(texts)), np.zeros((HIDDEN, len(lanes.size)), np.float32)
     for t in range(0, lanes.steps, WINDOW):
         x, y, who, live = lanes.window(t)
-        states, state, _ = _steps(weights, state[: x.shape[1]], x, keep=False)
-        h, y, who = states.reshape(-1, HIDDEN)[live.ravel()], y[live].astype(np.int64), who[live]
-        own = _classes_of(y)
-        out, p = _exps(weights["classes"], weights["class_bias"], h)
-        value = out[own, np.arange(len(y))] - np.log(p.sum(0))
-        order = np.argsort(own.astype(np.int8), kind="stable")
-        cuts = np.searchsorted(own[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            rows = order[cuts[c] : cuts[c + 1]]
-            if len(rows):
-                out, q = _exps(weights["words"][c], weights["word_bias"][c], h[rows])
-                value[rows] += out[y[rows] - c * CLASS_WORDS, np.arange(len(rows))] - np.log(q.sum(0))
+        states, state, _ = _steps(weights, state[:, : x.shape[1]], x, keep=False)
+        rows = np.flatnonzero(live)
+        y, who = y.ravel()[rows].astype(np.int64), who.ravel()[rows]
+        order, cuts = _by_class(_classes_of(y))
+        y, who = y[order], who[order]
+        own, h = _classes_of(y), _rows_of(states, rows[order])
+        value = np.empty(len(y), np.float32)
+        for a in range(0, len(y), ROWS):
+            b = min(a + ROWS, len(y))
+            out = outputs.classes @ h[:, a:b]
+            value[a:b] = out[own[a:b], np.arange(b - a)]
+            value[a:b] -= np.log(outputs.exps(out).sum(0))
+        listed = cuts[-1]
+        out = outputs.word_outputs(h[:, :listed], cuts)
+        value[:listed] += out[y[:listed] % CLASS_WORDS, np.arange(listed)]
+        value[:listed] -= np.log(outputs.exps(out).sum(0))
         total += np.bincount(who, value, len(texts))
     return total
 
@@ -186,82 +247,115 @@ class Trainer:
     """Adam on windows of lanes."""
 
     def __init__(self, weights: dict[str, np.ndarray], rate: float):
-        self.weights = {k: v.copy() for k, v in weights.items()}
-        self.first = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.second = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.values = flat(weights)
+        self.weights = _views(self.values)
+        self.first, self.second = np.zeros_like(self.values), np.zeros_like(self.values)
         self.rate, self.step, self.tokens = rate, 0, 0
 
     def learn(self, texts: list[np.ndarray], most: int = TRAINING_LANES) -> None:
         lanes = lay_out(texts, most)
-        state = np.zeros((len(lanes.size), HIDDEN), np.float32)
+        state = np.zeros((HIDDEN, len(lanes.size)), np.float32)
         for t in range(0, lanes.steps, WINDOW):
             state = self._window(lanes, t, state)
         self.tokens += sum(map(len, texts))
 
     def _window(self, lanes: Lanes, t: int, state: np.ndarray) -> np.ndarray:
-        w = self.weights
+        w, outputs = self.weights, _Outputs(self.weights)
         x, y, _, live = lanes.window(t)
-        n, y, live = x.shape[1], y.ravel().astype(np.int64), live.ravel()
-        states, last, tape = _steps(w, state[:n], x, keep=True)
-        h, own = states.reshape(-1, HIDDEN), _classes_of(y)
+        steps, n = x.shape
+        state = state[:, :n]
+        states, last, tape = _steps(w, state, x, keep=True)
         # a window in which few lanes still run moves the network by as much less
-        full, some = min(WINDOW, lanes.steps) * len(lanes.size), max(int(live.sum()), 1)
-        share = np.float32(1 / some)
-        g = {}
-        _, p = _exps(w["classes"], w["class_bias"], h)
-        weight = live.astype(np.float32) * share
-        p *= weight / p.sum(0)
-        p[own, np.arange(len(y))] -= weight
-        g["classes"], g["class_bias"] = (p @ h).T, p.sum(1)
-        slope = (w["classes"] @ p).T
-        g["words"], g["word_bias"] = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
-        own = np.where(live, own, CLASSES + GROUPS)
-        order = np.argsort(own.astype(np.int8), kind="stable")
-        cuts = np.searchsorted(own[order], np.arange(CLASSES + 1))
+        some = int(live.sum())
+        full, share = min(WINDOW, lanes.steps) * len(lanes.size), np.float32(1 / max(some, 1))
+        y = y.ravel().astype(np.int64)
+        order, cuts = _by_class(np.where(live.ravel(), _classes_of(y), CLASSES + GROUPS))
+        order, place = order[:some], np.zeros(steps * n, np.int64)
+        place[order] = np.arange(some)
+        y = y[order]
+        own, h = _classes_of(y), _rows_of(states, order)
+        slope, g_classes = np.empty((HIDDEN, some), np.float32), np.zeros_like(outputs.classes)
+        for a in range(0, some, ROWS):
+            b = min(a + ROWS, some)
+            p = outputs.exps(outputs.classes @ h[:, a:b])
+            p *= share / p.sum(0)
+            p[own[a:b], np.arange(b - a)] -= share
+            g_classes += p @ h[:, a:b].T
+            np.matmul(w["classes"], p, out=slope[:, a:b])
+        g = {"classes": g_classes[:, :HIDDEN].T, "class_bias": g_classes[:, HIDDEN]}
+        listed = cuts[-1]
+        q = outputs.exps(outputs.word_outputs(h[:, :listed], cuts))
+        q *= share / q.sum(0)
+        q[y[:listed] % CLASS_WORDS, np.arange(listed)] -= share
+        g_words, back_words = np.zeros_like(outputs.words), np.empty((HIDDEN, listed), np.float32)
         for c in range(CLASSES):
-            rows = order[cuts[c] : cuts[c + 1]]
-            if len(rows):
-                part = h[rows]
-                _, q = _exps(w["words"][c], w["word_bias"][c], part)
-                q *= share / q.sum(0)
-                q[y[rows] - c * CLASS_WORDS, np.arange(len(rows))] -= share
-                g["words"][c], g["word_bias"][c] = (q @ part).T, q.sum(1)
-                slope[rows] += (w["words"][c] @ q).T
-        slope = np.ascontiguousarray(slope).reshape(states.shape)
-        g["back"], later = np.zeros_like(w["back"]), np.zeros((n, HIDDEN), np.float32)
-        moves = np.empty((*x.shape, 3 * HIDDEN), np.float32)
-        for k in range(len(x) - 1, -1, -1):
-            before, z, r, un, new, fresh = tape[k]
-            d = slope[k] + later
-            dn = d * (1 - z) * (1 - new * new)
-            dz = d * (before - new) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            a, u = moves[k], np.empty((n, 3 * HIDDEN), np.float32)
-            a[:, :HIDDEN], a[:, HIDDEN : 2 * HIDDEN], a[:, 2 * HIDDEN :] = dz, dr, dn
-            u[:, : 2 * HIDDEN], u[:, 2 * HIDDEN :] = a[:, : 2 * HIDDEN], dn * r
-            g["back"] += before.T @ u
-            later = d * z + u @ w["back"].T
-            later[fresh] = 0
-        g["input"] = _sum_rows(moves.reshape(-1, 3 * HIDDEN), x.ravel(), len(w["input"]))
+            a, b = cuts[c], cuts[c + 1]
+            if a < b:
+                np.matmul(q[:, a:b], h[:, a:b].T, out=g_words[c])
+                np.matmul(w["words"][c], q[:, a:b], out=back_words[:, a:b])
+        slope[:, :listed] += back_words
+        g["words"], g["word_bias"] = g_words[:, :, :HIDDEN].swapaxes(1, 2), g_words[:, :, HIDDEN]
+        slope = slope.take(place, axis=1)
+        if some < steps * n:
+            slope *= live.ravel()
+        g["back"], g["input"] = self._back(state, states, slope.reshape(HIDDEN, steps, n), x, tape)
         self._move(g, some / full)
         return last
 
+    def _back(self, state: np.ndarray, states: np.ndarray, slope: np.ndarray, x: np.ndarray, tape: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """The slopes of back and input, from those of the states."""
+        gates, un, stays, begins = tape
+        steps, _, n = states.shape
+        z, r, new = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
+        before = np.empty_like(states)
+        before[0], before[1:] = state, states[:-1]
+        before *= stays[:, None]
+        # what a state's slope is multiplied by for those of new, z and r
+        by_new, by_z, by_r, rest = new * new, before - new, 1 - r, 1 - z
+        np.subtract(1, by_new, out=by_new)
+        by_new *= rest
+        by_z *= z
+        by_z *= rest
+        by_r *= r
+        by_r *= un
+        # slopes of the state's part of new, then those of the inputs' parts of z, r and new
+        moves = np.empty((steps, 4 * HIDDEN, n), np.float32)
+        to_state = np.ascontiguousarray(np.roll(self.weights["back"], HIDDEN, axis=1))
+        later, d, part = np.zeros((HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32)
+        for k in range(steps - 1, -1, -1):
+            own = moves[k]
+            np.add(slope[:, k], later, out=d)
+            dn = np.multiply(d, by_new[k], out=own[3 * HIDDEN :])
+            np.multiply(dn, r[k], out=own[:HIDDEN])
+            np.multiply(d, by_z[k], out=own[HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, by_r[k], out=own[2 * HIDDEN : 3 * HIDDEN])
+            np.multiply(d, z[k], out=part)
+            np.matmul(to_state, own[: 3 * HIDDEN], out=later)
+            later += part
+            if begins[k]:
+                later *= stays[k]
+        g_back = np.matmul(before, moves[:, : 3 * HIDDEN].swapaxes(1, 2)).sum(0)
+        at = x.ravel().astype(np.int64)
+        g_input = np.empty((3 * HIDDEN, START + 1), np.float32)
+        for i in range(3 * HIDDEN):
+            g_input[i] = np.bincount(at, moves[:, HIDDEN + i].ravel(), START + 1)
+        return np.roll(g_back, -HIDDEN, axis=1), g_input.T
+
     def _move(self, g: dict[str, np.ndarray], part: float) -> None:
-        norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
-        scale = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
+        s, m, v = flat(g), self.first, self.second
+        s *= np.float32(min(1.0, 1.0 / max(float(np.sqrt(s @ s)), 1e-9)))
         self.step += 1
         lift1, lift2 = 1 - 0.9**self.step, 1 - 0.99**self.step
-        for k, w in self.weights.items():
-            m, v, s = self.first[k], self.second[k], g[k] * scale
-            m += np.float32(0.1) * (s - m)
-            v += np.float32(0.01) * (s * s - v)
-            w -= np.float32(self.rate * part / lift1) * m / (np.sqrt(v / np.float32(lift2)) + np.float32(1e-6))
-
-
-def _sum_rows(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """The sums of the rows with each number."""
-    out = np.zeros((size, rows.shape[1]), np.float32)
-    order = np.argsort(at, kind="stable")
-    cuts = np.flatnonzero(np.diff(at[order], prepend=-1))
-    out[at[order][cuts]] = np.add.reduceat(rows[order], cuts)
-    return out
+        step = s - m
+        step *= np.float32(0.1)
+        m += step
+        s *= s
+        s -= v
+        s *= np.float32(0.01)
+        v += s
+        np.divide(v, np.float32(lift2), out=s)
+        np.sqrt(s, out=s)
+        s += np.float32(1e-6)
+        np.multiply(m, np.float32(self.rate * part / lift1), out=step)
+        step /= s
+        self.values -= step

@@ -9,12 +9,12 @@ probabilities of all words add up to one. A text is scored as a whole, its state
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,38 +31,85 @@ _DISTINCT = 300_000
 _BUCKETS = 8  # of counts, for each power of two
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words of a text, A-Z lower-cased, without the end."""
-    return (text or "").encode("utf-8", "replace").lower().split()
-
-
 def _group(word: bytes) -> int:
     return word[-1] & (gru.GROUPS - 1)
 
 
+def _groups(words: pa.Array) -> np.ndarray:
+    """The group of each word; -1 for the empty word."""
+    words = pa.concat_arrays([words, pa.array([], words.type)])  # from the start of its buffers
+    ends = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    found = np.full(len(words), -1, np.int32)
+    some = np.flatnonzero(ends[1:] > ends[:-1])
+    found[some] = data[ends[1:][some] - 1] & (gru.GROUPS - 1)
+    return found
+
+
+def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of texts, A-Z lower-cased; of all words the numbers among those; how many words each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    found = split.flatten().dictionary_encode()
+    words, at, sizes = found.dictionary.cast(pa.binary()), found.indices.to_numpy(zero_copy_only=False), pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    blank = pc.index(words, pa.scalar(b"", pa.binary())).as_py()  # beside white space at a text's begin and end
+    if blank >= 0:
+        kept = np.flatnonzero(at != blank)
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+        at = at[kept]
+    return words, at, sizes.astype(np.int64)
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row (word, grp, n) for each distinct word of docs, the empty word standing for the ends of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
+        size = 0
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words_of(text.as_py()))
-                counts[b""] += 1
-                if len(counts) > _DISTINCT:
+            words, at, sizes = cut_words(batch.column(0))
+            n = np.bincount(at, minlength=len(words))
+            some = np.flatnonzero(n)
+            one = pa.table({"word": words.take(pa.array(some)), "n": n[some]})
+            held += [one, pa.table({"word": pa.array([b""], pa.binary()), "n": np.array([len(sizes)], np.int64)})]
+            size += len(some)
+            if size > 2 * _DISTINCT:
+                counts = added(held)
+                held, size = [counts], counts.num_rows
+                if size > _DISTINCT:
                     yield rows(counts)
-                    counts.clear()
-        if counts:
-            yield rows(counts)
+                    held, size = [], 0
+        if held:
+            yield rows(added(held))
 
-    def rows(counts: Counter[bytes]) -> pa.RecordBatch:
-        groups = [_group(w) if w else -1 for w in counts]
-        return pa.record_batch([pa.array(counts.keys(), pa.binary()), pa.array(groups, pa.int32()), pa.array(counts.values(), pa.int64())], ["word", "grp", "n"])
+    def added(counts: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(counts).group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+    def rows(counts: pa.Table) -> pa.RecordBatch:
+        words = pa.concat_arrays(counts["word"].chunks)
+        return pa.record_batch([words, pa.array(_groups(words)), pa.concat_arrays(counts["n"].chunks)], ["word", "grp", "n"])
 
     found = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, grp int, n long")
     return found.groupBy("word", "grp").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class Encoded:
+    """Texts as ids for the network, each with the end, one after the other from starts on.
+
+    at: the number of each token among words, the end being one more than those. place: by such a number the place in the vocabulary, or -1.
+    """
+
+    ids: np.ndarray
+    starts: np.ndarray
+    words: pa.Array
+    at: np.ndarray
+    place: np.ndarray
+    word_ids: np.ndarray
+
+    def texts(self) -> list[np.ndarray]:
+        return np.split(self.ids, self.starts[1:]) if len(self.starts) else []
+
+
 @dataclass
 class Vocabulary:
     """place: word -> number in ids (of the network) and logs (log10 of the count + 1). group_logs: log10 of a group's total. id_counts: by id."""
@@ -75,17 +122,17 @@ class Vocabulary:
     tokens: int
     distinct: int
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Ids for the network with the end; places of the known words and the end (or -1); the other words."""
-        words, find = words_of(text), self.place.get
-        at = np.array([*[find(w, -1) for w in words], find(b"", -1)], np.int64)
-        ids = self.ids[at]
-        missing = np.flatnonzero(at[:-1] < 0)
-        other = [words[i] for i in missing.tolist()]
-        ids[missing] = [gru.LISTED + _group(w) for w in other]
-        if at[-1] < 0:
+    def encode(self, texts: pa.Array) -> Encoded:
+        words, at, sizes = cut_words(texts)
+        find, groups = self.place.get, _groups(words)
+        place = np.array([find(w, -1) for w in [*words.to_numpy(zero_copy_only=False).tolist(), b""]], np.int64)
+        ids = self.ids[place]
+        missing = np.flatnonzero(place[:-1] < 0)
+        ids[missing] = gru.LISTED + groups[missing]
+        if place[-1] < 0:
             ids[-1] = 0
-        return ids, at, other
+        at = np.insert(at, np.cumsum(sizes), len(words))
+        return Encoded(ids[at], np.cumsum(sizes + 1) - sizes - 1, words, at, place, ids)
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -122,16 +169,17 @@ def train(docs: DataFrame, words: Vocabulary, id_col: str = "doc_id", text_col:
     some = bounded_sample(docs.where(F.length(text_col) <= FIRST_CHARS), [id_col], FIRST_TEXTS).select(text_col).collect()
     some.sort(key=lambda r: r[0])  # whatever order the tasks end in
     first = gru.Trainer(gru.initial(words.id_counts), FIRST_RATE)
+    texts = words.encode(pa.array([r[0] for r in some], pa.string())).texts()
     for _ in range(FIRST_ROUNDS if some else 0):
-        first.learn([words.encode(r[0])[0] for r in some], gru.FIRST_LANES)
+        first.learn(texts, gru.FIRST_LANES)
     start = session.sparkContext.broadcast(gru.flat(first.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, held, size = gru.Trainer(gru.unflat(start.value), RATE), [], 0
         for batch in batches:
-            for text in batch.column(0):
-                held.append(shared.value.encode(text.as_py())[0])
-                size += len(held[-1])
+            for text in shared.value.encode(batch.column(0)).texts():
+                held.append(text)
+                size += len(text)
                 if size >= gru.AT_ONCE:
                     trainer.learn(held)
                     held, size = [], 0
@@ -171,34 +219,12 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
     model = train(training.select(id_col, text_col), words, id_col, text_col)
     shared = session.sparkContext.broadcast((words, model))
 
-    def batch(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        words, model = shared.value
-        ids: list[np.ndarray] = []
-        heads: list[list] = []
-        tail: list[tuple] = []
-        size = 0
-        for name, text in zip(rows.column(0).to_pylist(), rows.column(1), strict=True):
-            text = text.as_py() or ""
-            own, at, other = words.encode(text)
-            known = at[at >= 0]
-            groups = own[own >= gru.LISTED].astype(np.int64) - gru.LISTED
-            in_group = at[own >= gru.LISTED]
-            logs = words.logs[known].sum()
-            shares = words.logs[in_group[in_group >= 0]].sum() - words.group_logs[groups].sum()
-            mark = xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
-            ids.append(own)
-            heads.append([name, mark, len(own), len(known), float(logs), float(shares)])
-            tail += [(name, mark, w, k) for w, k in Counter(other).items()]
-            size += len(own)
-            if size >= gru.AT_ONCE:
-                yield _rows(heads, gru.log_probabilities(model, ids), tail)
-                ids, heads, tail, size = [], [], [], 0
-        if ids:
-            yield _rows(heads, gru.log_probabilities(model, ids), tail)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one in batches:
-            yield from batch(one)
+        words, model = shared.value
+        for batch in batches:
+            if batch.num_rows:
+                own = words.encode(batch.column(1))
+                yield _rows(batch, own, words, gru.log_probabilities(model, own.texts()))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = "id long, mark long, word binary, k int, copies int, n_tokens long, n_known long, logs double, net double"
@@ -227,17 +253,27 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
     ).drop("_copy")
 
 
-def _rows(heads: list[list], network: np.ndarray, tail: list[tuple]) -> pa.RecordBatch:
+def _rows(batch: pa.RecordBatch, own: Encoded, words: Vocabulary, network: np.ndarray) -> pa.RecordBatch:
     """A row for each text, under a word that no text has, and one for each of its rarer words."""
-    n, t = len(heads), len(tail)
-    name, mark, n_tokens, n_known, logs, shares = zip(*heads, strict=True)
-    names, marks, words, k = zip(*tail, strict=True) if tail else ((), (), (), ())
-    alone = [b" %d %d" % (m, i) for i, m in enumerate(mark)]
+    names, texts = batch.column(0), pc.fill_null(batch.column(1), "").cast(pa.binary())
+    mark = np.array([xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts.to_pylist()], np.int64)
+    n, n_tokens = len(mark), np.diff(own.starts, append=len(own.at))
+    # by word; a place of -1 means the last log, which is zero
+    known, logs = own.place >= 0, words.logs[own.place]
+    grouped = own.word_ids >= gru.LISTED
+    shares = np.where(grouped, logs - words.group_logs[np.where(grouped, own.word_ids.astype(np.int64) - gru.LISTED, 0)], 0.0)
+    n_known, logs, shares = (np.add.reduceat(v[own.at], own.starts) for v in (known.astype(np.int64), logs, shares))
+    other = np.flatnonzero(~known[own.at] & (own.at < len(own.words)))
+    row = np.searchsorted(own.starts, other, "right") - 1
+    pairs, k = np.unique(row * (len(own.words) + 1) + own.at[other], return_counts=True)
+    row, word, t = pairs // (len(own.words) + 1), pairs % (len(own.words) + 1), len(pairs)
+    alone = pa.array([b" %d %d" % (m, i) for i, m in enumerate(mark.tolist())], pa.binary())
     zeros, whole = np.zeros(t), np.zeros(t, np.int64)
     columns = [
-        pa.array([*name, *names], pa.int64()), pa.array([*mark, *marks], pa.int64()), pa.array([*alone, *words], pa.binary()),
-        pa.array(np.concatenate((np.zeros(n, np.int32), np.array(k, np.int32)))), pa.array(np.concatenate((np.ones(n, np.int32), np.zeros(t, np.int32)))),
-        pa.array(np.concatenate((n_tokens, whole)).astype(np.int64)), pa.array(np.concatenate((n_known, whole)).astype(np.int64)),
-        pa.array(np.concatenate((logs, zeros))), pa.array(np.concatenate((np.array(shares) + network, zeros))),
+        pa.concat_arrays([names, names.take(pa.array(row))]), pa.array(np.concatenate((mark, mark[row]))),
+        pa.concat_arrays([alone, own.words.take(pa.array(word))]),
+        pa.array(np.concatenate((np.zeros(n, np.int32), k.astype(np.int32)))), pa.array(np.concatenate((np.ones(n, np.int32), np.zeros(t, np.int32)))),
+        pa.array(np.concatenate((n_tokens, whole)).astype(np.int64)), pa.array(np.concatenate((n_known, whole))),
+        pa.array(np.concatenate((logs, zeros))), pa.array(np.concatenate((shares + network, zeros))),
     ]
     return pa.record_batch(columns, ["id", "mark", "word", "k", "copies", "n_tokens", "n_known", "logs", "net"])

@@ -1,9 +1,12 @@
 import math
+import random as rand
+import sys
 import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from inkfold.llm import gru, lm
@@ -113,3 +116,40 @@ def test_long_text_beside_short_ones():
     assert peak < 100_000_000 and trainer.tokens == sum(map(len, texts))
     alone = [gru.log_probabilities(weights, [t])[0] for t in (texts[0], texts[1], texts[-1])]
     assert np.allclose(alone, [scores[0], scores[1], scores[-1]], rtol=1e-5)
+
+
+def test_words_of_odd_texts():
+    """White space is the ASCII six, only A-Z are lowered, a batch may begin inside its buffers."""
+    rng = rand.Random(4)
+    odd = [None, "", "  ", " a ", "A\x0bB\x1cÀ É x\x85y\n", "a\x00b c", *("".join(rng.choice("aB \t\n\x0b\x0c\r\x1c\x1f\x85\xa0é中") for _ in range(rng.randint(0, 30))) for _ in range(500))]
+    for texts in (odd, odd[:1], []):
+        found, at, sizes = lm.cut_words(pa.array(["not this", *texts], pa.string())[1:])
+        assert [found[i].as_py() for i in at.tolist()] == [w for t in texts for w in words(t)[:-1]]
+        assert sizes.tolist() == [len(words(t)) - 1 for t in texts]
+
+
+def calls(work):
+    """Calls of functions, built-in ones included, that work makes."""
+    n = 0
+
+    def count(_frame, event, _arg):
+        nonlocal n
+        n += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        work()
+    finally:
+        sys.setprofile(None)
+    return n
+
+
+def test_work_is_by_batch_and_window():
+    """Words are looked up once a batch, not once a token; a window takes few calls, whatever the number of classes in it."""
+    texts = pa.array([" ".join(f"w{i % 90}" for i in range(1000))] * 40)
+    known = lm.Vocabulary({b"w1": 0, b"": 1}, np.array([1, 0, 0], np.int16), np.zeros(3), np.zeros(gru.GROUPS), np.ones(gru.START), 9, 3)
+    assert calls(lambda: known.encode(texts)) < 1000
+    rng = np.random.default_rng(5)
+    ids = [rng.integers(0, gru.START, 200).astype(np.int16) for _ in range(64)]
+    assert calls(lambda: gru.log_probabilities(gru.initial(), ids)) < 3500
+    assert calls(lambda: gru.Trainer(gru.initial(), 0.004).learn(ids)) < 5500

@@ -11,14 +11,16 @@ Block: magic, counts, CRC-32 of all that follows it; then document ids and lengt
 
 from __future__ import annotations
 
+import itertools
 import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -246,7 +248,27 @@ _NEAR_PIECES = re.compile(rf" ?[{NEAR_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(
 _NOT_NEAR = re.compile(r"[^\t-\r -\xb1\xb4-\xb8\xba\xbb\xbf-\u017f\u2010-\u2027]")
 #: Characters of scripts on which the libraries' tables of letters might differ.
 _FAR = re.compile(r"[^\x00-\u036f\u0400-\u052f\u2010-\u2027]")
-_KEPT_PIECES = 500_000
+_KEPT_PIECES = 1_000_000
+#: Fewer words than these are looked up text by text.
+_FEW_WORDS = 256
+
+
+_SPACE, _STRANGE, _DISTANT = 1, 2, 4
+#: By code point, what the matchers above find it to be; the last one stands for all beyond.
+_KINDS = np.array([_SPACE * c.isspace() + _STRANGE * bool(_NOT_NEAR.match(c)) + _DISTANT * bool(_FAR.match(c)) for c in map(chr, range(0x3001))], np.uint8)
+
+
+def _kinds(text: str) -> np.ndarray:
+    return _KINDS[np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), len(_KINDS) - 1)]
+
+
+def _words_barred(words: Sequence[str], joined: np.ndarray) -> np.ndarray:
+    """Which words are empty, begin or end with white space, or have far characters. joined: the kinds of the words joined by blanks."""
+    ends = np.cumsum(list(map(len, words))) + np.arange(len(words))
+    begins = np.concatenate(([0], ends[:-1] + 1))
+    space, far = (joined & _SPACE) > 0, np.concatenate(([0], np.cumsum((joined & _DISTANT) > 0)))
+    edge = np.concatenate((space, [True]))
+    return (begins == ends) | edge[begins] | edge[ends - 1] | (far[ends] > far[begins])
 
 
 class Encoder:
@@ -280,17 +302,75 @@ class Encoder:
 
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         """The ids of each text with the id end after them."""
-        kept, tail, out = self.kept, np.array([end], np.uint32).tobytes(), []
-        if len(kept) > _KEPT_PIECES:
-            kept.clear()
-        for text in texts:
-            own = self._pieces(text or "")
-            if own is None:
-                out.append(np.array([*self.library.encode(text, add_special_tokens=False).ids, end], np.uint32))
-                continue
-            out.append(np.frombuffer(b"".join(map(kept.__getitem__, own)) + tail, np.uint32))
+        if len(self.kept) > _KEPT_PIECES:
+            self.kept.clear()
+        texts = [t or "" for t in texts]
+        out: list[np.ndarray | None] = [None] * len(texts)
+        if self.by_piece:
+            self._by_word(texts, [i for i, t in enumerate(texts) if " " in t and not any(s in t for s in self.special)], end, out)
+        for i, text in enumerate(texts):
+            if out[i] is None:
+                out[i] = self._alone(text, end)
         return out
 
+    def _alone(self, text: str, end: int) -> np.ndarray:
+        own = self._pieces(text)
+        if own is None:
+            return np.array([*self.library.encode(text, add_special_tokens=False).ids, end], np.uint32)
+        return np.frombuffer(b"".join([*map(self.kept.__getitem__, own), np.array([end], np.uint32).tobytes()]), np.uint32)
+
+    def _by_word(self, texts: list[str], rows: list[int], end: int, out: list[np.ndarray | None]) -> None:
+        """Puts the same into out for those rows, all with blanks, of texts whose words are tight and of near scripts.
+
+        A piece has no blank but at its begin, so a word with the blank before it is whole pieces whatever is around it, if no
+        white space touches that blank. Each of the texts' distinct words is cut into pieces once; a text's ids are put
+        together from those of its words.
+        """
+        if not rows:
+            return
+        heads, tails = zip(*(texts[i].split(" ", 1) for i in rows), strict=True)
+        split = pc.split_pattern(pa.array(tails, pa.string()), " ")
+        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        if sizes.sum() < _FEW_WORDS:
+            return
+        found = split.flatten().dictionary_encode()
+        words, at = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy(zero_copy_only=False)
+        joined, begun = " ".join(words), " ".join(heads)
+        kinds, first = _kinds(joined), _kinds(begun)
+        bad, bad_first = _words_barred(words, kinds), _words_barred(heads, first)
+        if bad.any() or bad_first.any():
+            fit = ~(np.logical_or.reduceat(bad[at], np.cumsum(sizes) - sizes) | bad_first)
+            return self._by_word(texts, [i for i, fits in zip(rows, fit.tolist(), strict=True) if fits], end, out)
+        cut = _PIECES if (kinds & _STRANGE).any() or (first & _STRANGE).any() else _NEAR_PIECES
+        pieces = cut.findall(" " + joined)
+        ids = list(map(self.kept.get, pieces))
+        new = [i for i, own in enumerate(ids) if own is None]
+        self._keep(list({pieces[i] for i in new}))
+        for i in new:
+            ids[i] = self.kept[pieces[i]]
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        begins = np.flatnonzero(np.array([p[0] == " " for p in pieces]))
+        lengths = np.add.reduceat(np.array(list(map(len, ids)), np.int64) >> 2, begins)
+        shift = np.cumsum(lengths) - lengths
+        long = lengths[at]
+        ends = np.cumsum(long)
+        every = flat[np.repeat(shift[at] - ends + long, long) + np.arange(ends[-1])]
+        last, cuts = np.array([end], np.uint32), np.concatenate(([0], ends[np.cumsum(sizes) - 1])).tolist()
+        for i, head, a, b in zip(rows, heads, cuts, cuts[1:], strict=False):
+            own = np.frombuffer(b"".join(map(self.kept.__getitem__, cut.findall(head))), np.uint32)
+            out[i] = np.concatenate((own, every[a:b], last))
+
+    def _keep(self, new: list[str]) -> None:
+        """Asks the library for pieces that are not kept yet, if they can be told apart when joined."""
+        joined = "\0".join(new)
+        if not new or joined.count("\0") >= len(new):
+            return
+        characters = joined.encode("utf-8", "replace").decode("latin-1").translate(self.characters).split(self.characters[0])
+        made = [[t.id for t in tokens] for tokens in map(self.model.tokenize, characters)]
+        ids = np.fromiter(itertools.chain.from_iterable(made), np.uint32).tobytes()
+        ends = (np.cumsum(list(map(len, made))) * 4).tolist()
+        self.kept.update((p, ids[a:b]) for p, a, b in zip(new, [0, *ends], ends, strict=False))
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -307,7 +387,7 @@ SHARD_BYTES = 512 << 20
 #: Rows of one id are dealt over shards by so many first characters of their texts, in the texts' order.
 RANGE_CHARACTERS = 64
 #: Characters of text that a task hands to the encoder at once.
-_AT_ONCE = 1 << 20
+_AT_ONCE = 1 << 22
 
 
 def write_tokens(

@@ -51,6 +51,37 @@ def test_pieces_give_the_library_s_ids():
         assert own.encode([text], 0)[0].tolist() == [*library.encode(text, add_special_tokens=False).ids, 0], text
 
 
+def test_words_of_many_texts_give_the_library_s_ids(monkeypatch):
+    """Texts encoded together, whose words are looked up once: loose blanks, far scripts, special names and NULs beside plain texts."""
+    monkeypatch.setattr(t, "_FEW_WORDS", 0)
+    library, own, rng = Tokenizer.from_file(PATH), t.Encoder(PATH), random.Random(8)
+    letters = "ab é_'’² \n\t\x1c\x85\xa0st'reВЖ中9.,\0  "
+    for k in range(400):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) + rng.choice(["", "", "<|endoftext|>x"]) for _ in range(6)]
+        texts = [*texts, *(" ".join(w.strip() or "x" for w in x.split(" ")) for x in texts), None, "é'd it's  so", " a b", "a b ", "a\nb c\n\nd 12"]
+        for text, ids in zip(texts, own.encode(texts, 0), strict=True):
+            assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 0], text
+
+
+def test_a_word_is_looked_up_once_for_many_texts():
+    class Counted(t.Kept):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+    own = t.Encoder(PATH)
+    own.kept = Counted(own._piece_ids)
+    texts = [" ".join(f"word{(i * j) % 50}" for i in range(200)) for j in range(40)]
+    want = [[*own.library.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert [ids.tolist() for ids in own.encode(texts, 0)] == want and Counted.asked < 1000
+
+
 def expected(docs):
     library, at, out = Tokenizer.from_file(PATH), 0, []
     for name, text in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):

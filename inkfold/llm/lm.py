@@ -66,6 +66,8 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         held: list[pa.Table] = []
         size = 0
         for batch in batches:
+            if not batch.num_rows:
+                continue
             words, at, sizes = cut_words(batch.column(0))
             n = np.bincount(at, minlength=len(words))
             some = np.flatnonzero(n)

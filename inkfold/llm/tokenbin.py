@@ -15,7 +15,6 @@ import itertools
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -46,6 +45,10 @@ _WORD = np.uint64(16)
 _SLOTS = 18
 _SURE_BITS, _SURE = 4, 15
 _CASES = 2 * (_SURE + 1) ** 2
+#: By whether order 2 (2) and order 1 (1) were right, where the outcomes of the cases begin.
+_OUTCOME = np.array([2 * _CASES, _CASES, 0, 0])
+#: By how sure a guess was and, _SURE + 1 further on, if it was right: what is added to it with its sureness. A wrong one at 0 goes.
+_STEP = np.array([(s >> 1) - s for s in range(_SURE + 1)] + [min(s + 1, _SURE) - s for s in range(_SURE + 1)], np.int32)
 
 
 class _Model:
@@ -82,7 +85,7 @@ class _Model:
     def _weigh(self) -> None:
         """For each case the shares of order 0 (in 64ths of the total) and the masses of the two guesses."""
         two, one, none = self.outcomes
-        self.zero = np.clip(none * _SHARES // (two + one + none), 1, _SHARES - 1)
+        self.zero = np.minimum(np.maximum(none * _SHARES // (two + one + none), 1), _SHARES - 1)
         rest = (_SHARES - self.zero) << _ORDER0_BITS
         self.mass2 = rest * two // (two + one)
         self.mass1 = rest - self.mass2
@@ -91,22 +94,24 @@ class _Model:
         """Guesses of order 2 and 1, their masses, the share of order 0."""
         self.slot = ((self.before * 0x9E3779B1 + self.last * 0x85EBCA6B) >> 7) & ((1 << _SLOTS) - 1)
         held2, held1 = self.table2.take(self.slot), self.table1.take(self.last)
-        self.s2, self.s1 = held2 & _SURE, held1 & _SURE
-        g2, g1 = self.g2, self.g1 = held2 >> _SURE_BITS, held1 >> _SURE_BITS
-        self.case = (((self.s2 << _SURE_BITS) | self.s1) << 1) | (g1 == g2)
+        self.held2, self.held1, self.s2, self.s1 = held2, held1, held2 & _SURE, held1 & _SURE
+        g2, g1 = held2 >> _SURE_BITS, held1 >> _SURE_BITS
+        self.case = ((((self.s2 << _SURE_BITS) | self.s1) << 1) | (g1 == g2)).astype(np.int64)
         return g2, g1, self.mass2.take(self.case), self.mass1.take(self.case), self.zero.take(self.case)
 
-    def learn(self, ids: np.ndarray) -> None:
-        right2, right1 = self.g2 == ids, self.g1 == ids
-        outcome = np.where(right2, 0, np.where(right1, _CASES, 2 * _CASES))
-        self.outcomes += np.bincount(outcome + self.case, minlength=3 * _CASES).reshape(3, _CASES)
+    def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray) -> None:
+        """ids: what came; right2, right1: where the guesses said so, as booleans."""
+        right2, right1 = right2.view(np.uint8), right1.view(np.uint8)
+        self.outcomes += np.bincount(_OUTCOME.take(right2 * 2 + right1) + self.case, minlength=3 * _CASES).reshape(3, _CASES)
         if self.seen >> 20 != (self.seen + len(ids)) >> 20:
             self.outcomes = (self.outcomes >> 1) + 1
         self._weigh()
         new = (ids << _SURE_BITS).astype(np.int32)
-        for table, at, guess, right, sure in ((self.table2, self.slot, self.g2, right2, self.s2), (self.table1, self.last, self.g1, right1, self.s1)):
-            kept = (guess << _SURE_BITS) | np.where(right, np.minimum(sure + 1, _SURE), sure >> 1)
-            table[at] = np.where(right | (sure > 0), kept, new)
+        for table, at, held, right, sure in ((self.table2, self.slot, self.held2, right2, self.s2), (self.table1, self.last, self.held1, right1, self.s1)):
+            how = sure.astype(np.uint8) | (right << _SURE_BITS)
+            held += _STEP.take(how)
+            held ^= (held ^ new) & -(how == 0).astype(np.int32)
+            table[at] = held
         self.new.append(ids)
         self.seen += len(ids)
         self.fresh += len(ids)
@@ -126,7 +131,7 @@ def pack_ids(ids: np.ndarray) -> tuple[int, int, bytes]:
     vocabulary = int(ids.max()) + 1 if len(ids) else 1
     if vocabulary > 1 << (_ORDER0_BITS - 1):
         raise ValueError("ids are too large for this coder")
-    padded = np.zeros(lanes * steps, np.int64)
+    padded = np.zeros(lanes * steps, np.int32)
     padded[: len(ids)] = ids
     table = padded.reshape(lanes, steps)
     model = _Model(lanes, vocabulary, False)
@@ -134,27 +139,29 @@ def pack_ids(ids: np.ndarray) -> tuple[int, int, bytes]:
     whose: list[np.ndarray] = []
     words: list[np.ndarray] = []
     every = np.arange(lanes)
-    for t in range(steps):
-        s = np.ascontiguousarray(table[:, t])
+    for s in itertools.chain.from_iterable(np.ascontiguousarray(table[:, t : t + 16].T) for t in range(0, steps, 16)):
         g2, g1, m2, m1, zero = model.predict()
-        start = zero * model.below.take(s) + m2 * (g2 < s) + m1 * (g1 < s)
-        size = zero * model.frequency.take(s) + m2 * (g2 == s) + m1 * (g1 == s)
+        right2, right1, ids = g2 == s, g1 == s, s.astype(np.int64)
+        start = zero * model.below.take(ids) + m2 * (g2 < s) + m1 * (g1 < s)
+        size = zero * model.frequency.take(ids) + m2 * right2 + m1 * right1
         width >>= np.uint64(_TOTAL_BITS)
-        low += start.astype(np.uint64) * width
-        width *= size.astype(np.uint64)
+        low += start.view(np.uint64) * width
+        width *= size.view(np.uint64)
+        at, own_low, own_width = every, low, width
         while True:
-            settled = (low ^ (low + width)) < _TOP
-            narrow = ~settled & (width < _BOTTOM)
-            at = np.flatnonzero(settled | narrow)
-            if not len(at):
+            settled = (own_low ^ (own_low + own_width)) < _TOP
+            move = np.flatnonzero(settled | (own_width < _BOTTOM))
+            if not len(move):
                 break
-            tight = np.flatnonzero(narrow)
-            width[tight] = (~low[tight] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
+            at, own_low, own_width, settled = at[move], own_low[move], own_width[move], settled[move]
+            if not settled.all():
+                own_width = np.where(settled, own_width, (~own_low + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
             whose.append(at)
-            words.append((low[at] >> np.uint64(48)).astype(np.uint16))
-            low[at] <<= _WORD
-            width[at] <<= _WORD
-        model.learn(s)
+            words.append((own_low >> np.uint64(48)).astype(np.uint16))
+            own_low <<= _WORD
+            own_width <<= _WORD
+            low[at], width[at] = own_low, own_width
+        model.learn(ids, right2, right1)
     for _ in range(4):
         whose.append(every)
         words.append((low >> np.uint64(48)).astype(np.uint16))
@@ -175,41 +182,46 @@ def unpack_ids(n: int, lanes: int, vocabulary: int, data: bytes) -> np.ndarray:
     for _ in range(4):
         code = (code << _WORD) | words[at]
         at += 1
-    table = np.zeros((steps, lanes), np.int64)
+    table = np.zeros((steps, lanes), np.int32)
+    every = np.arange(lanes)
     for t in range(steps):
         g2, g1, m2, m1, zero = model.predict()
         width >>= np.uint64(_TOTAL_BITS)
-        target = np.minimum((code - low) // width, np.uint64((1 << _TOTAL_BITS) - 1)).astype(np.int64)
+        target = np.minimum((code - low) // width, np.uint64((1 << _TOTAL_BITS) - 1)).view(np.int64)
         # the guesses' masses lie in the order-0 line where their ids are
-        apart = g1 != g2
-        start2 = zero * model.below.take(g2) + m1 * (g1 < g2)
-        start1 = zero * model.below.take(g1) + m2 * (g2 < g1)
-        past2 = start2 + zero * model.frequency.take(g2) + m2 + m1 * ~apart
-        past1 = start1 + zero * model.frequency.take(g1) + m1 + m2 * ~apart
+        id2, id1, apart = g2.astype(np.int64), g1.astype(np.int64), g1 != g2
+        start2 = zero * model.below.take(id2) + m1 * (g1 < g2)
+        start1 = zero * model.below.take(id1) + m2 * (g2 < g1)
+        past2 = start2 + zero * model.frequency.take(id2) + m2 + m1 * ~apart
+        past1 = start1 + zero * model.frequency.take(id1) + m1 + m2 * ~apart
+        right2, right1 = (target >= start2) & (target < past2), (target >= start1) & (target < past1)
+        ids = np.where(right2, id2, id1)
         rest = target - m2 * (target >= past2) - m1 * (target >= past1)
-        s = np.where((target >= start2) & (target < past2), g2, np.where((target >= start1) & (target < past1), g1, -1))
-        other = np.flatnonzero(s < 0)
-        s[other] = model.id_at.take(rest.take(other) // zero.take(other))
-        s = s.astype(np.int64)
-        start = zero * model.below.take(s) + m2 * (g2 < s) + m1 * (g1 < s)
-        size = zero * model.frequency.take(s) + m2 * (g2 == s) + m1 * (g1 == s)
-        low += start.astype(np.uint64) * width
-        width *= size.astype(np.uint64)
+        other = np.flatnonzero(~(right2 | right1))
+        ids[other] = model.id_at.take(rest.take(other) // zero.take(other))
+        s = ids.astype(np.int32)
+        start = zero * model.below.take(ids) + m2 * (g2 < s) + m1 * (g1 < s)
+        size = zero * model.frequency.take(ids) + m2 * right2 + m1 * right1
+        low += start.view(np.uint64) * width
+        width *= size.view(np.uint64)
+        whose, own_low, own_width = every, low, width
         while True:
-            settled = (low ^ (low + width)) < _TOP
-            narrow = ~settled & (width < _BOTTOM)
-            move = np.flatnonzero(settled | narrow)
+            settled = (own_low ^ (own_low + own_width)) < _TOP
+            move = np.flatnonzero(settled | (own_width < _BOTTOM))
             if not len(move):
                 break
-            tight = np.flatnonzero(narrow)
-            width[tight] = (~low[tight] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-            code[move] = (code[move] << _WORD) | words[at[move]]
-            at[move] += 1
-            low[move] <<= _WORD
-            width[move] <<= _WORD
+            whose, own_low, own_width, settled = whose[move], own_low[move], own_width[move], settled[move]
+            if not settled.all():
+                own_width = np.where(settled, own_width, (~own_low + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
+            own_at = at[whose]
+            code[whose] = (code[whose] << _WORD) | words[own_at]
+            at[whose] = own_at + 1
+            own_low <<= _WORD
+            own_width <<= _WORD
+            low[whose], width[whose] = own_low, own_width
         table[t] = s
-        model.learn(s)
-    return table.T.reshape(-1)[:n]
+        model.learn(ids, right2, right1)
+    return table.T.reshape(-1)[:n].astype(np.int64)
 
 
 def pack_block(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
@@ -248,9 +260,11 @@ _NEAR_PIECES = re.compile(rf" ?[{NEAR_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(
 _NOT_NEAR = re.compile(r"[^\t-\r -\xb1\xb4-\xb8\xba\xbb\xbf-\u017f\u2010-\u2027]")
 #: Characters of scripts on which the libraries' tables of letters might differ.
 _FAR = re.compile(r"[^\x00-\u036f\u0400-\u052f\u2010-\u2027]")
-_KEPT_PIECES = 1_000_000
+_KEPT_PIECES = 1_500_000
 #: Fewer words than these are looked up text by text.
 _FEW_WORDS = 256
+#: The ids of texts of about so many words are put together at a time.
+_GATHERED_WORDS = 1 << 15
 
 
 _SPACE, _STRANGE, _DISTANT = 1, 2, 4
@@ -271,6 +285,17 @@ def _words_barred(words: Sequence[str], joined: np.ndarray) -> np.ndarray:
     return (begins == ends) | edge[begins] | edge[ends - 1] | (far[ends] > far[begins])
 
 
+def _room(held: np.ndarray, n: int) -> np.ndarray:
+    """An array that begins like the one held and has room for n."""
+    return held if n <= len(held) else np.concatenate((held, np.zeros(max(n - len(held), len(held)), held.dtype)))
+
+
+def _runs(flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of flat with those begins and lengths, one after another."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(begins - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
     """Ids by the tokenizers library, asked once for each piece of text that its pre-tokenizer cuts off.
 
@@ -284,7 +309,9 @@ class Encoder:
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.characters = dict(enumerate(byte_characters()))
+        # pieces' numbers; their ids lie one after another, from bounds[number] to bounds[number + 1]; blank: whether they begin with one
         self.kept = Kept(self._piece_ids)
+        self.n_kept, self.ids, self.bounds, self.blank = 0, np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, bool)
         cut = self.library.pre_tokenizer
         self.by_piece = cut is not None and "ByteLevel" in repr(cut) and self.library.normalizer is None
 
@@ -296,14 +323,46 @@ class Encoder:
             return _NEAR_PIECES.findall(text)
         return None if _FAR.search(text) else _PIECES.findall(text)
 
-    def _piece_ids(self, piece: str) -> bytes:
-        made = self.model.tokenize(piece.encode("utf-8", "replace").decode("latin-1").translate(self.characters))
-        return array("I", [t.id for t in made]).tobytes()
+    def _translated(self, text: str) -> str:
+        """A text's bytes as the vocabulary's characters."""
+        return text.encode("utf-8", "replace").decode("latin-1").translate(self.characters)
+
+    def _piece_ids(self, piece: str) -> int:
+        """Keeps the ids of a piece; their number."""
+        ids = [t.id for t in self.model.tokenize(self._translated(piece))]
+        return self._append([piece], np.array(ids, np.uint32), np.array([len(ids)]))
+
+    def _append(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray) -> int:
+        """Lays the ids of pieces, which end there in ids, beside those that are kept. The first piece's number; the others follow."""
+        first, at = self.n_kept, int(self.bounds[self.n_kept])
+        self.n_kept += len(pieces)
+        self.ids, self.bounds, self.blank = _room(self.ids, at + len(ids)), _room(self.bounds, self.n_kept + 1), _room(self.blank, self.n_kept)
+        self.ids[at : at + len(ids)] = ids
+        self.bounds[first + 1 : self.n_kept + 1] = at + ends
+        self.blank[first : self.n_kept] = [p[0] == " " for p in pieces]
+        return first
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of pieces; those that are not kept yet are asked for together."""
+        numbers = np.fromiter(map(self.kept.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        lacking = np.flatnonzero(numbers < 0)
+        if len(lacking):
+            new = [pieces[i] for i in lacking.tolist()]
+            self._keep(list(dict.fromkeys(new)))
+            numbers[lacking] = np.fromiter(map(self.kept.__getitem__, new), np.int64, len(new))
+        return numbers
+
+    def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after another, and how many each has."""
+        begins = self.bounds[numbers]
+        lengths = self.bounds[numbers + 1] - begins
+        return _runs(self.ids, begins, lengths), lengths
 
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         """The ids of each text with the id end after them."""
         if len(self.kept) > _KEPT_PIECES:
             self.kept.clear()
+            self.n_kept = 0
         texts = [t or "" for t in texts]
         out: list[np.ndarray | None] = [None] * len(texts)
         if self.by_piece:
@@ -317,7 +376,8 @@ class Encoder:
         own = self._pieces(text)
         if own is None:
             return np.array([*self.library.encode(text, add_special_tokens=False).ids, end], np.uint32)
-        return np.frombuffer(b"".join([*map(self.kept.__getitem__, own), np.array([end], np.uint32).tobytes()]), np.uint32)
+        numbers = np.fromiter(map(self.kept.__getitem__, own), np.int64, len(own))
+        return np.append(self._ids_of(numbers)[0], np.uint32(end))
 
     def _by_word(self, texts: list[str], rows: list[int], end: int, out: list[np.ndarray | None]) -> None:
         """Puts the same into out for those rows, all with blanks, of texts whose words are tight and of near scripts.
@@ -342,34 +402,34 @@ class Encoder:
             fit = ~(np.logical_or.reduceat(bad[at], np.cumsum(sizes) - sizes) | bad_first)
             return self._by_word(texts, [i for i, fits in zip(rows, fit.tolist(), strict=True) if fits], end, out)
         cut = _PIECES if (kinds & _STRANGE).any() or (first & _STRANGE).any() else _NEAR_PIECES
-        pieces = cut.findall(" " + joined)
-        ids = list(map(self.kept.get, pieces))
-        new = [i for i, own in enumerate(ids) if own is None]
-        self._keep(list({pieces[i] for i in new}))
-        for i in new:
-            ids[i] = self.kept[pieces[i]]
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        begins = np.flatnonzero(np.array([p[0] == " " for p in pieces]))
-        lengths = np.add.reduceat(np.array(list(map(len, ids)), np.int64) >> 2, begins)
+        numbers = self._numbers(cut.findall(" " + joined))
+        flat, long = self._ids_of(numbers)
+        lengths = np.add.reduceat(long, np.flatnonzero(self.blank[numbers]))
         shift = np.cumsum(lengths) - lengths
-        long = lengths[at]
-        ends = np.cumsum(long)
-        every = flat[np.repeat(shift[at] - ends + long, long) + np.arange(ends[-1])]
-        last, cuts = np.array([end], np.uint32), np.concatenate(([0], ends[np.cumsum(sizes) - 1])).tolist()
-        for i, head, a, b in zip(rows, heads, cuts, cuts[1:], strict=False):
-            own = np.frombuffer(b"".join(map(self.kept.__getitem__, cut.findall(head))), np.uint32)
-            out[i] = np.concatenate((own, every[a:b], last))
+        begun = [cut.findall(head) for head in heads]
+        first, long = self._ids_of(self._numbers(list(itertools.chain.from_iterable(begun))))
+        first_ends = np.cumsum(long)[np.cumsum(list(map(len, begun))) - 1].tolist()
+        # some texts at a time, whose arrays stay in the processor's cache
+        upto, last, a = np.concatenate(([0], np.cumsum(sizes))), np.array([end], np.uint32), 0
+        for b in [*(np.flatnonzero(np.diff(upto[1:] // _GATHERED_WORDS)) + 1).tolist(), len(rows)]:
+            own = at[upto[a] : upto[b]]
+            long = lengths[own]
+            every, cuts = _runs(flat, shift[own], long), np.cumsum(long)[upto[a + 1 : b + 1] - upto[a] - 1].tolist()
+            for k, x, y in zip(range(a, b), [0, *cuts], cuts, strict=False):
+                out[rows[k]] = np.concatenate((first[first_ends[k - 1] if k else 0 : first_ends[k]], every[x:y], last))
+            a = b
 
     def _keep(self, new: list[str]) -> None:
         """Asks the library for pieces that are not kept yet, if they can be told apart when joined."""
         joined = "\0".join(new)
         if not new or joined.count("\0") >= len(new):
             return
-        characters = joined.encode("utf-8", "replace").decode("latin-1").translate(self.characters).split(self.characters[0])
-        made = [[t.id for t in tokens] for tokens in map(self.model.tokenize, characters)]
-        ids = np.fromiter(itertools.chain.from_iterable(made), np.uint32).tobytes()
-        ends = (np.cumsum(list(map(len, made))) * 4).tolist()
-        self.kept.update((p, ids[a:b]) for p, a, b in zip(new, [0, *ends], ends, strict=False))
+        ids, ends = [], []
+        for tokens in map(self.model.tokenize, self._translated(joined).split(self.characters[0])):
+            ids += [t.id for t in tokens]
+            ends.append(len(ids))
+        first = self._append(new, np.array(ids, np.uint32), np.array(ends))
+        self.kept.update(zip(new, range(first, self.n_kept), strict=True))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -386,8 +446,9 @@ def encoder(path: str) -> Encoder:
 SHARD_BYTES = 512 << 20
 #: Rows of one id are dealt over shards by so many first characters of their texts, in the texts' order.
 RANGE_CHARACTERS = 64
-#: Characters of text that a task hands to the encoder at once.
-_AT_ONCE = 1 << 22
+#: Characters of text that a task hands to the encoder at once, and for how many a row counts beside its text.
+_AT_ONCE = 1 << 23
+_ROW = 64
 
 
 def write_tokens(
@@ -424,17 +485,18 @@ def write_tokens(
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of the rows of several batches, bounded by the texts' size: the more of them, the fewer distinct words for each."""
+    names, texts, size = [], [], 0
     for batch in batches:
-        names, texts, size = [], [], 0
-        for name, text in zip(batch.column(0), batch.column(1), strict=True):
-            names.append(name.as_py())
+        for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            names.append(name)
             texts.append(text.as_py())
-            size += len(texts[-1])
+            size += len(texts[-1]) + _ROW
             if size > _AT_ONCE:
                 yield names, texts
                 names, texts, size = [], [], 0
-        if names:
-            yield names, texts
+    if names:
+        yield names, texts
 
 
 def _row(shard: int, block: int, held: list[tuple[int | None, np.ndarray]]) -> pa.RecordBatch:
@@ -461,7 +523,9 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                 ends = np.cumsum(sizes)
                 crc = [zlib.crc32(flat[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
                 n = len(names)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(flat.astype(np.int32)))
+                lists = pa.nulls(n, pa.list_(pa.int32()))
+                if with_ids:
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(flat.astype(np.int32)))
                 yield pa.record_batch(
                     [
                         pa.array(names, pa.int64()),
@@ -470,7 +534,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                         pa.array(ends - sizes),
                         pa.array(sizes),
                         pa.array(crc, pa.int64()),
-                        lists if with_ids else pa.nulls(n, pa.list_(pa.int32())),
+                        lists,
                     ],
                     ["id", "shard", "block", "inside", "n_tokens", "ids_crc32", "ids"],
                 )

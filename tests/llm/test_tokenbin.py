@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -82,6 +83,37 @@ def test_a_word_is_looked_up_once_for_many_texts():
     assert [ids.tolist() for ids in own.encode(texts, 0)] == want and Counted.asked < 1000
 
 
+def test_rows_of_several_batches_are_encoded_together(monkeypatch):
+    """Up to a size, for which empty texts count as well."""
+    batch = pa.record_batch([pa.array(range(10)), pa.array(["some words"] * 10)], ["id", "text"])
+    assert [(len(names), len(texts)) for names, texts in t._slices(iter([batch] * 5))] == [(50, 50)]
+    monkeypatch.setattr(t, "_AT_ONCE", 1000)
+    nothing = pa.record_batch([pa.array(range(100)), pa.array([""] * 100)], ["id", "text"])
+    found = list(t._slices(iter([batch, nothing, batch])))
+    assert max(len(names) for names, _ in found) < 20
+    assert [x for names, _ in found for x in names] == [*range(10), *range(100), *range(10)]
+
+
+def test_pieces_are_kept_within_a_limit(monkeypatch):
+    """Pieces forgotten between calls, while ids returned before stay as they are; arrays that outgrow their room."""
+    monkeypatch.setattr(t, "_KEPT_PIECES", 1000)
+    library, own, got = Tokenizer.from_file(PATH), t.Encoder(PATH), []
+    rounds = [[" ".join(f"w{k}{i * j % 1777:x}é" for i in range(600)) for j in (1, 7, 11)] + ["", "x\0 y", None] for k in range(12)]
+    for texts in rounds:
+        got += own.encode(texts, 5)
+        assert own.n_kept == len(own.kept) < 12_000
+    for text, ids in zip((x for texts in rounds for x in texts), got, strict=True):
+        assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 5]
+
+
+def test_the_format_stays():
+    """The bytes that earlier versions wrote for the same ids, guesses right and wrong among them."""
+    rng = np.random.default_rng(11)
+    ids = np.concatenate((rng.zipf(1.3, 60_000) % 50_257, np.tile(rng.integers(0, 50_257, 50), 900), np.full(5000, 7)))
+    assert zlib.crc32(t.pack_ids(ids)[2]) == 1344516776
+    assert t.unpack_block(t.pack_block([3], [ids]))[2].tolist() == ids.tolist()
+
+
 def expected(docs):
     library, at, out = Tokenizer.from_file(PATH), 0, []
     for name, text in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):

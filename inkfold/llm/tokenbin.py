@@ -33,6 +33,8 @@ BLOCK_IDS = 1 << 21
 #: Lanes of a large block; small ones have fewer, so that each lane has some hundred ids.
 LANES = 8192
 LANE_IDS = 256
+#: Steps whose ids are turned from lanes to steps, or back, at a time.
+_TURNED = 8
 MAGIC = b"TIB1"
 _HEAD = struct.Struct("<4sIIIII")  # magic, documents, ids, lanes, bytes of the directory, crc32
 
@@ -62,6 +64,7 @@ class _Model:
         # a guess and, in the lowest bits, how sure it is: of the last id, and of a hash of the last two
         self.table1, self.table2 = np.zeros(vocabulary, np.int32), np.zeros(1 << _SLOTS, np.int32)
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.below, self.every = np.zeros(vocabulary + 1, np.int32), np.arange(vocabulary, dtype=np.int32)
         # outcomes by the confidences and whether the guesses agree: order 2 right, only order 1 right, neither
         self.outcomes = np.ones((3, _CASES), np.int64)
         self.outcomes[2] += 1
@@ -76,19 +79,19 @@ class _Model:
         room = (1 << _ORDER0_BITS) - len(self.counts)
         shares = self.counts * room // max(self.seen, 1) + 1
         shares[int(self.counts.argmax())] += (1 << _ORDER0_BITS) - int(shares.sum())
-        self.frequency = shares
-        self.below = np.concatenate(([0], np.cumsum(shares)))
+        self.frequency = shares.astype(np.int32)
+        np.cumsum(self.frequency, dtype=np.int32, out=self.below[1:])
         if self.decoding:
-            self.id_at = np.repeat(np.arange(len(shares), dtype=np.int32), shares)
+            self.id_at = np.repeat(self.every, shares)
         self.fresh = 0
 
     def _weigh(self) -> None:
         """For each case the shares of order 0 (in 64ths of the total) and the masses of the two guesses."""
         two, one, none = self.outcomes
-        self.zero = np.minimum(np.maximum(none * _SHARES // (two + one + none), 1), _SHARES - 1)
-        rest = (_SHARES - self.zero) << _ORDER0_BITS
-        self.mass2 = rest * two // (two + one)
-        self.mass1 = rest - self.mass2
+        zero = np.minimum(np.maximum(none * _SHARES // (two + one + none), 1), _SHARES - 1)
+        rest = (_SHARES - zero) << _ORDER0_BITS
+        mass2 = rest * two // (two + one)
+        self.zero, self.mass2, self.mass1 = zero.astype(np.int32), mass2.astype(np.int32), (rest - mass2).astype(np.int32)
 
     def predict(self) -> tuple[np.ndarray, ...]:
         """Guesses of order 2 and 1, their masses, the share of order 0."""
@@ -139,14 +142,14 @@ def pack_ids(ids: np.ndarray) -> tuple[int, int, bytes]:
     whose: list[np.ndarray] = []
     words: list[np.ndarray] = []
     every = np.arange(lanes)
-    for s in itertools.chain.from_iterable(np.ascontiguousarray(table[:, t : t + 16].T) for t in range(0, steps, 16)):
+    for s in itertools.chain.from_iterable(np.ascontiguousarray(table[:, t : t + _TURNED].T) for t in range(0, steps, _TURNED)):
         g2, g1, m2, m1, zero = model.predict()
         right2, right1, ids = g2 == s, g1 == s, s.astype(np.int64)
         start = zero * model.below.take(ids) + m2 * (g2 < s) + m1 * (g1 < s)
         size = zero * model.frequency.take(ids) + m2 * right2 + m1 * right1
         width >>= np.uint64(_TOTAL_BITS)
-        low += start.view(np.uint64) * width
-        width *= size.view(np.uint64)
+        low += start.astype(np.uint64) * width
+        width *= size.astype(np.uint64)
         at, own_low, own_width = every, low, width
         while True:
             settled = (own_low ^ (own_low + own_width)) < _TOP
@@ -156,18 +159,18 @@ def pack_ids(ids: np.ndarray) -> tuple[int, int, bytes]:
             at, own_low, own_width, settled = at[move], own_low[move], own_width[move], settled[move]
             if not settled.all():
                 own_width = np.where(settled, own_width, (~own_low + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
-            whose.append(at)
+            whose.append(at.astype(np.uint16))
             words.append((own_low >> np.uint64(48)).astype(np.uint16))
             own_low <<= _WORD
             own_width <<= _WORD
             low[at], width[at] = own_low, own_width
         model.learn(ids, right2, right1)
     for _ in range(4):
-        whose.append(every)
+        whose.append(every.astype(np.uint16))
         words.append((low >> np.uint64(48)).astype(np.uint16))
         low <<= _WORD
     lane = np.concatenate(whose)
-    order = np.argsort(lane.astype(np.uint16), kind="stable")
+    order = np.argsort(lane, kind="stable")
     return lanes, vocabulary, np.bincount(lane, minlength=lanes).astype("<u4").tobytes() + np.concatenate(words)[order].astype("<u2").tobytes()
 
 
@@ -175,19 +178,19 @@ def unpack_ids(n: int, lanes: int, vocabulary: int, data: bytes) -> np.ndarray:
     """The ids that pack_ids() coded."""
     steps = -(-n // lanes)
     sizes = np.frombuffer(data, "<u4", lanes).astype(np.int64)
-    words = np.concatenate((np.frombuffer(data, "<u2", offset=4 * lanes).astype(np.uint64), np.zeros(4, np.uint64)))
+    words = np.concatenate((np.frombuffer(data, "<u2", offset=4 * lanes), np.zeros(4, np.uint16)))
     at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     model = _Model(lanes, vocabulary, True)
     low, width, code = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64), np.zeros(lanes, np.uint64)
     for _ in range(4):
-        code = (code << _WORD) | words[at]
+        code = (code << _WORD) | words[at].astype(np.uint64)
         at += 1
-    table = np.zeros((steps, lanes), np.int32)
+    table, few = np.zeros((lanes, steps), np.int32), np.zeros((_TURNED, lanes), np.int32)
     every = np.arange(lanes)
     for t in range(steps):
         g2, g1, m2, m1, zero = model.predict()
         width >>= np.uint64(_TOTAL_BITS)
-        target = np.minimum((code - low) // width, np.uint64((1 << _TOTAL_BITS) - 1)).view(np.int64)
+        target = np.minimum((code - low) // width, np.uint64((1 << _TOTAL_BITS) - 1)).astype(np.int32)
         # the guesses' masses lie in the order-0 line where their ids are
         id2, id1, apart = g2.astype(np.int64), g1.astype(np.int64), g1 != g2
         start2 = zero * model.below.take(id2) + m1 * (g1 < g2)
@@ -195,15 +198,15 @@ def unpack_ids(n: int, lanes: int, vocabulary: int, data: bytes) -> np.ndarray:
         past2 = start2 + zero * model.frequency.take(id2) + m2 + m1 * ~apart
         past1 = start1 + zero * model.frequency.take(id1) + m1 + m2 * ~apart
         right2, right1 = (target >= start2) & (target < past2), (target >= start1) & (target < past1)
-        ids = np.where(right2, id2, id1)
         rest = target - m2 * (target >= past2) - m1 * (target >= past1)
         other = np.flatnonzero(~(right2 | right1))
-        ids[other] = model.id_at.take(rest.take(other) // zero.take(other))
-        s = ids.astype(np.int32)
+        s = g1 ^ ((g1 ^ g2) & -right2.astype(np.int32))
+        s[other] = model.id_at.take(rest.take(other) // zero.take(other))
+        ids = s.astype(np.int64)
         start = zero * model.below.take(ids) + m2 * (g2 < s) + m1 * (g1 < s)
         size = zero * model.frequency.take(ids) + m2 * right2 + m1 * right1
-        low += start.view(np.uint64) * width
-        width *= size.view(np.uint64)
+        low += start.astype(np.uint64) * width
+        width *= size.astype(np.uint64)
         whose, own_low, own_width = every, low, width
         while True:
             settled = (own_low ^ (own_low + own_width)) < _TOP
@@ -214,14 +217,16 @@ def unpack_ids(n: int, lanes: int, vocabulary: int, data: bytes) -> np.ndarray:
             if not settled.all():
                 own_width = np.where(settled, own_width, (~own_low + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
             own_at = at[whose]
-            code[whose] = (code[whose] << _WORD) | words[own_at]
+            code[whose] = (code[whose] << _WORD) | words[own_at].astype(np.uint64)
             at[whose] = own_at + 1
             own_low <<= _WORD
             own_width <<= _WORD
             low[whose], width[whose] = own_low, own_width
-        table[t] = s
+        few[t % _TURNED] = s
+        if (t + 1) % _TURNED == 0 or t + 1 == steps:
+            table[:, t - t % _TURNED : t + 1] = few[: t % _TURNED + 1].T
         model.learn(ids, right2, right1)
-    return table.T.reshape(-1)[:n].astype(np.int64)
+    return table.reshape(-1)[:n].astype(np.int64)
 
 
 def pack_block(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
@@ -278,11 +283,14 @@ def _kinds(text: str) -> np.ndarray:
 
 def _words_barred(words: Sequence[str], joined: np.ndarray) -> np.ndarray:
     """Which words are empty, begin or end with white space, or have far characters. joined: the kinds of the words joined by blanks."""
-    ends = np.cumsum(list(map(len, words))) + np.arange(len(words))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) + np.arange(len(words))
     begins = np.concatenate(([0], ends[:-1] + 1))
-    space, far = (joined & _SPACE) > 0, np.concatenate(([0], np.cumsum((joined & _DISTANT) > 0)))
-    edge = np.concatenate((space, [True]))
-    return (begins == ends) | edge[begins] | edge[ends - 1] | (far[ends] > far[begins])
+    edge, far = np.concatenate(((joined & _SPACE) > 0, [True])), (joined & _DISTANT) > 0
+    barred = (begins == ends) | edge[begins] | edge[ends - 1]
+    if far.any():
+        upto = np.concatenate(([0], np.cumsum(far)))
+        barred |= upto[ends] > upto[begins]
+    return barred
 
 
 def _room(held: np.ndarray, n: int) -> np.ndarray:
@@ -348,8 +356,7 @@ class Encoder:
         lacking = np.flatnonzero(numbers < 0)
         if len(lacking):
             new = [pieces[i] for i in lacking.tolist()]
-            self._keep(list(dict.fromkeys(new)))
-            numbers[lacking] = np.fromiter(map(self.kept.__getitem__, new), np.int64, len(new))
+            numbers[lacking] = np.fromiter(map(self._keep(list(dict.fromkeys(new))).__getitem__, new), np.int64, len(new))
         return numbers
 
     def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -419,17 +426,19 @@ class Encoder:
                 out[rows[k]] = np.concatenate((first[first_ends[k - 1] if k else 0 : first_ends[k]], every[x:y], last))
             a = b
 
-    def _keep(self, new: list[str]) -> None:
-        """Asks the library for pieces that are not kept yet, if they can be told apart when joined."""
+    def _keep(self, new: list[str]) -> dict[str, int]:
+        """Asks the library for distinct pieces that are not kept yet, prepared together if they can be told apart when joined. Their numbers."""
         joined = "\0".join(new)
-        if not new or joined.count("\0") >= len(new):
-            return
+        if joined.count("\0") >= len(new):
+            return {p: self.kept[p] for p in new}
         ids, ends = [], []
         for tokens in map(self.model.tokenize, self._translated(joined).split(self.characters[0])):
             ids += [t.id for t in tokens]
             ends.append(len(ids))
         first = self._append(new, np.array(ids, np.uint32), np.array(ends))
-        self.kept.update(zip(new, range(first, self.n_kept), strict=True))
+        found = dict(zip(new, range(first, self.n_kept), strict=True))
+        self.kept.update(found)
+        return found
 
 
 _ENCODERS: dict[str, Encoder] = {}

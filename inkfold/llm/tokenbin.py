@@ -266,8 +266,10 @@ _NOT_NEAR = re.compile(r"[^\t-\r -\xb1\xb4-\xb8\xba\xbb\xbf-\u017f\u2010-\u2027]
 #: Characters of scripts on which the libraries' tables of letters might differ.
 _FAR = re.compile(r"[^\x00-\u036f\u0400-\u052f\u2010-\u2027]")
 _KEPT_PIECES = 1_500_000
-#: Fewer words than these are looked up text by text.
+#: Fewer words than these are not made distinct first.
 _FEW_WORDS = 256
+#: Characters of texts that are cut into pieces one by one before these are looked up.
+_PIECED_AT_ONCE = 1 << 20
 #: The ids of texts of about so many words are put together at a time.
 _GATHERED_WORDS = 1 << 15
 
@@ -374,17 +376,33 @@ class Encoder:
         out: list[np.ndarray | None] = [None] * len(texts)
         if self.by_piece:
             self._by_word(texts, [i for i, t in enumerate(texts) if " " in t and not any(s in t for s in self.special)], end, out)
+        group, size = [], 0
         for i, text in enumerate(texts):
             if out[i] is None:
-                out[i] = self._alone(text, end)
+                group.append(i)
+                size += len(text)
+                if size > _PIECED_AT_ONCE:
+                    self._by_text(texts, group, end, out)
+                    group, size = [], 0
+        self._by_text(texts, group, end, out)
         return out
 
-    def _alone(self, text: str, end: int) -> np.ndarray:
-        own = self._pieces(text)
-        if own is None:
-            return np.array([*self.library.encode(text, add_special_tokens=False).ids, end], np.uint32)
-        numbers = np.fromiter(map(self.kept.__getitem__, own), np.int64, len(own))
-        return np.append(self._ids_of(numbers)[0], np.uint32(end))
+    def _by_text(self, texts: list[str], rows: list[int], end: int, out: list[np.ndarray | None]) -> None:
+        """Puts the same into out for those rows, each text cut into pieces or given to the library by itself."""
+        cut = []
+        for i in rows:
+            own = self._pieces(texts[i])
+            if own is None:
+                out[i] = np.array([*self.library.encode(texts[i], add_special_tokens=False).ids, end], np.uint32)
+            else:
+                cut.append((i, own))
+        if not cut:
+            return
+        flat, lengths = self._ids_of(self._numbers([p for _, own in cut for p in own]))
+        upto = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum([0, *(len(own) for _, own in cut)])].tolist()
+        last = np.array([end], np.uint32)
+        for (i, _), a, b in zip(cut, upto, upto[1:], strict=False):
+            out[i] = np.concatenate((flat[a:b], last))
 
     def _by_word(self, texts: list[str], rows: list[int], end: int, out: list[np.ndarray | None]) -> None:
         """Puts the same into out for those rows, all with blanks, of texts whose words are tight and of near scripts.

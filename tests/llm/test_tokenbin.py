@@ -106,6 +106,16 @@ def test_pieces_are_kept_within_a_limit(monkeypatch):
         assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 5]
 
 
+def test_loose_texts_are_looked_up_in_groups(monkeypatch):
+    """Texts that are cut into pieces by themselves, some at a time, between others; each piece that is not kept is asked for with others."""
+    monkeypatch.setattr(t, "_PIECED_AT_ONCE", 100)
+    library, own, asked = Tokenizer.from_file(PATH), t.Encoder(PATH), []
+    own.kept = t.Kept(lambda piece: asked.append(piece) or own._piece_ids(piece))
+    texts = [f"two  blanks{i}\n here,  {i}" if i % 3 else f"中{i}" if i % 2 else f"tight words {i}" for i in range(60)] + ["", None, " "]
+    assert [x.tolist() for x in own.encode(texts, 0)] == [[*library.encode(x or "", add_special_tokens=False).ids, 0] for x in texts]
+    assert asked == []
+
+
 def test_the_format_stays():
     """The bytes that earlier versions wrote for the same ids, guesses right and wrong among them."""
     rng = np.random.default_rng(11)
